@@ -100,7 +100,7 @@ def mix_sources(
 ) -> tuple[DataFrame, DataFrame]:
     """(documents, pieces) of a mix of the sources to their targets.
 
-    Each source's documents are shuffled (by a hash of id and row) and laid end to end, ``cap`` times over. The line is cut
+    Each source's documents are shuffled (by a hash of id, then of the text) and laid end to end, ``cap`` times over. The line is cut
     into blocks of equal numbers of words; slot after slot the schedule takes the next block of the source it
     draws. ``pieces`` are (slot, doc_key, doc_id, words): the stretch of a document that falls into a slot's block.
     ``documents`` has doc_key, doc_id, source, size, source_size, target and taken, and the columns in ``keep``.
@@ -111,6 +111,7 @@ def mix_sources(
     """
     src = docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), *[F.col(k).alias(f"keep_{k}") for k in keep],
+        F.xxhash64(F.col(text_col).cast("string")).alias("text_hash"),
         F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
     )
     # The row number is only written here; from the table on it is a fixed key.
@@ -126,13 +127,13 @@ def mix_sources(
     # Shuffled order within a source, by two levels of prefix sums: buckets of the hash, then rows of a bucket.
     buckets = max(1, n_docs // 2048)
     mixed = sized.where("size > 0").withColumn("h", F.md5(F.concat_ws("-", F.col("doc_id").cast("string"), F.lit("mix"))))
-    mixed = mixed.withColumn("b", F.pmod(F.xxhash64("h", "doc_key"), F.lit(buckets)))
+    mixed = mixed.withColumn("b", F.pmod(F.xxhash64("h", "text_hash"), F.lit(buckets)))
     sums = mixed.groupBy("source", "b").agg(F.sum("size").alias("n"))
     upto = Window.partitionBy("source").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select(
         F.col("source").alias("s"), F.col("b").alias("sb"), F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("base")
     )
-    inside = Window.partitionBy("source", "b").orderBy("h", "doc_key").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("source", "b").orderBy("h", "text_hash", "doc_key").rowsBetween(Window.unboundedPreceding, -1)
     placed = mixed.withColumn("offset", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     placed = placed.join(sums, placed.source.eqNullSafe(sums.s) & (placed.b == sums.sb)).select(
         "doc_key", "doc_id", "source", "size", (F.col("base") + F.col("offset")).alias("at")

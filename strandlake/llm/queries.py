@@ -9,6 +9,24 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import quality_rules
+
+    return quality_rules(_table(spark, sf_dir, "documents"))
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secrets import secret_digest, secret_scan
+
+    return secret_digest(secret_scan(_table(spark, sf_dir, "documents")))
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licenses import license_scan
+
+    return license_scan(_table(spark, sf_dir, "documents"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -32,6 +50,9 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op1_quality_rules": op1_quality_rules,
+        "op7_secret_scan": op7_secret_scan,
+        "op9_license_scan": op9_license_scan,
         "op6_token_counts": op6_token_counts,
         "op8_mix_sources": op8_mix_sources,
     }
