@@ -27,6 +27,24 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(_table(spark, sf_dir, "documents"))
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "documents"), width=3, share=(90, 100))
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontam import contained_items
+
+    return contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html import extract_pages
+
+    return extract_pages(_table(spark, sf_dir, "pages"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -51,6 +69,9 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {
         "op1_quality_rules": op1_quality_rules,
+        "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+        "op5_decontamination": op5_decontamination,
+        "op10_html_extraction": op10_html_extraction,
         "op7_secret_scan": op7_secret_scan,
         "op9_license_scan": op9_license_scan,
         "op6_token_counts": op6_token_counts,
