@@ -27,6 +27,12 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(_table(spark, sf_dir, "documents"))
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix import remove_repeats
+
+    return remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .jaccard import near_duplicates
 
@@ -69,6 +75,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {
         "op1_quality_rules": op1_quality_rules,
+        "op2_suffix_array_dedup": op2_suffix_array_dedup,
         "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
         "op5_decontamination": op5_decontamination,
         "op10_html_extraction": op10_html_extraction,
