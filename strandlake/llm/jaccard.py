@@ -7,7 +7,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary_column, connected_components, discard, materialise, shingle_hashes, slices, words_of
+from .common import WORD, binary_column, connected_components, discard, materialise, shingle_hashes, slices, words_of
 
 CELLS = 1 << 20
 PIECES = 16
@@ -46,16 +46,15 @@ def _cells(grams: np.ndarray) -> np.ndarray:
     return (grams >> np.uint64(44)).astype(np.int64)
 
 
-def _profile(width: int, id_kind: str):
+def _profile(width: int):
     """Task: a row for each text (kind 0) and, at its end, what it adds to the frequency sketch (kind 1)."""
 
     def run(batches):
         import pyarrow as pa
 
-        names = ["kind", "doc_id", "n", "sig", "hist", "piece", "counts"]
-        total, waiting, size, id_type = np.zeros(CELLS, np.int64), [], 0, None
+        names = ["kind", "doc_id", "h", "n", "sig", "hist", "piece", "counts"]
+        total, waiting, size = np.zeros(CELLS, np.int64), [], 0
         for whole in batches:
-            id_type = whole.column(0).type
             for batch in slices(whole, 500):
                 n, sig, hist = [], [], []
                 for text in binary_column(batch, "text"):
@@ -70,17 +69,17 @@ def _profile(width: int, id_kind: str):
                     waiting, size = [], 0
                 k = batch.num_rows
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([0] * k, pa.int32()), batch.column(0), pa.array(n, pa.int64()), pa.array(sig, pa.int64()),
+                    [pa.array([0] * k, pa.int32()), batch.column("doc_id"), batch.column("h"), pa.array(n, pa.int64()), pa.array(sig, pa.int64()),
                      pa.array(hist, pa.binary()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names,
                 )
         if waiting:
             total += np.bincount(_cells(np.concatenate(waiting)), minlength=CELLS)
-        if id_type is not None and total.any():
+        if total.any():
             import zlib
 
             parts = [zlib.compress(p.astype(np.uint32).tobytes(), 1) for p in np.split(total, PIECES)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([1] * PIECES, pa.int32()), pa.nulls(PIECES, id_type), pa.nulls(PIECES, pa.int64()),
+                [pa.array([1] * PIECES, pa.int32()), pa.nulls(PIECES, pa.int64()), pa.nulls(PIECES, pa.int64()), pa.nulls(PIECES, pa.int64()),
                  pa.nulls(PIECES, pa.int64()), pa.nulls(PIECES, pa.binary()), pa.array(range(PIECES), pa.int32()),
                  pa.array(parts, pa.binary())], names,
             )
@@ -308,35 +307,15 @@ def _resolve(num: int, den: int):
     return run
 
 
-def near_duplicates(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, share: tuple[int, int] = (80, 100),
-    window: int = 32, block: int = 1024,
-) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row.
-
-    A text's set are its distinct shingles of ``width`` words (A-Z lower-cased, split at spaces; fewer words are one
-    shingle). Two texts link when den * intersection >= num * union, ``share`` being (num, den); component_id is
-    the smallest id that links reach.
-
-    1. Equal sets are one class by a 64-bit signature. A task also counts its shingles in a sketch of fixed size;
-       the sum orders all shingles rarest first (any one order is right, a rare-first one keeps buckets small).
-    2. Each class sends its prefix of n - ceil(n num/den) + 1 shingles to the shingles' buckets. Linked sets share one.
-    3. Pairs of a bucket pass filters on length, position and (by histograms) suffix. Buckets over ``window``
-       classes chain their members instead, so that no bucket emits its square.
-    4. Connected candidates are a cluster. Its sets meet in one task, each pair is verified at most once, and pairs
-       that are already connected are skipped. Clusters over ``block`` classes are split in blocks, all pairs of
-       which meet, so none is gathered whole.
-
-    A null or empty text has no shingles and its own id as component; null ids never name a component; rows of one id and
-    other text are linked by their texts alone; repeated rows are copies; an empty table gives an empty result.
-    """
+def _components(docs: DataFrame, id_col: str, text_col: str, width: int, share: tuple[int, int], window: int, block: int) -> DataFrame:
+    """(doc_id, h: hash of the text, n: size of the set, c: class of the component or null, component_id) of every row."""
     num, den = share
     spark = docs.sparkSession
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    hashed = src.withColumn("h", F.xxhash64("text"))
     profile = materialise(
-        src.mapInArrow(
-            _profile(width, "bigint"),
-            "kind int, doc_id long, n long, sig long, hist binary, piece int, counts binary",
+        hashed.mapInArrow(
+            _profile(width), "kind int, doc_id long, h long, n long, sig long, hist binary, piece int, counts binary"
         ),
         "jaccard-profile",
     )
@@ -344,7 +323,7 @@ def near_duplicates(
     often = np.zeros(CELLS, np.int64)
     for piece, raw in pieces.mapInArrow(_add_pieces, "piece int, counts binary").collect():  # PIECES rows of fixed size
         often[piece * (CELLS // PIECES) : (piece + 1) * (CELLS // PIECES)] = np.frombuffer(raw, np.int64)
-    rows = profile.where("kind = 0").select("doc_id", "n", "sig")
+    rows = profile.where("kind = 0").select("doc_id", "h", "n", "sig")
 
     counts = spark.sparkContext.broadcast(np.minimum(often, (1 << 31) - 1).astype(np.int32))
     prefix = src.mapInArrow(_prefixes(width, num, den, counts), "gram long, sig long, n int, pos int")
@@ -378,22 +357,60 @@ def near_duplicates(
     classes = rows.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("least"))
     labelled = classes.join(parts, classes.sig == parts.node, "left").withColumn("c", F.coalesce("component", "sig"))
     least = labelled.groupBy("c").agg(F.min("least").alias("component_id"))
-    named = labelled.join(least, "c").select(F.col("sig").alias("s"), "component_id")
-    out = rows.join(named, rows.sig == named.s, "left")
-    for old in (pairs, edges):
-        discard(old)
-    return out.select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("sig").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
+    named = labelled.join(least, "c").select(F.col("sig").alias("s"), "c", "component_id")
+    discard(pairs)
+    discard(edges)
+    return rows.join(named, rows.sig == named.s, "left").select(
+        "doc_id", "h", "n", "c", F.when(F.col("sig").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
     )
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose id names their component: one document of each group of near duplicates."""
-    found = near_duplicates(docs, **options)
-    keep = found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("kept_id")).agg(F.count("*").alias("rows_of_id"))
-    keep = materialise(keep, "jaccard-keep")
-    id_col = options.get("id_col", "doc_id")
-    out = docs.join(keep, docs[id_col] == keep.kept_id).select(*docs.columns, "rows_of_id")
-    if keep.where("rows_of_id > 1").limit(1).count():  # repeated rows of one id
-        out = out.dropDuplicates([id_col])
-    return out.select(*docs.columns)
+def near_duplicates(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, share: tuple[int, int] = (80, 100),
+    window: int = 32, block: int = 1024,
+) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row.
+
+    A text's set are its distinct shingles of ``width`` words (A-Z lower-cased, split at spaces; fewer words are one
+    shingle). Two texts link when den * intersection >= num * union, ``share`` being (num, den); component_id is
+    the smallest id that links reach.
+
+    1. Equal sets are one class by a 64-bit signature. A task also counts its shingles in a sketch of fixed size;
+       the sum orders all shingles rarest first (any one order is right, a rare-first one keeps buckets small).
+    2. Each class sends its prefix of n - ceil(n num/den) + 1 shingles to the shingles' buckets. Linked sets share one.
+    3. Pairs of a bucket pass filters on length, position and (by histograms) suffix. Buckets over ``window``
+       classes chain their members instead, so that no bucket emits its square.
+    4. Connected candidates are a cluster. Its sets meet in one task, each pair is verified at most once, and pairs
+       that are already connected are skipped. Clusters over ``block`` classes are split in blocks, all pairs of
+       which meet, so none is gathered whole.
+
+    A null or empty text has no shingles and its own id as component; null ids never name a component; rows of one id and
+    other text are linked by their texts alone; repeated rows are copies; an empty table gives an empty result.
+    """
+    rows = _components(docs, id_col, text_col, width, share, window, block)
+    return rows.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def keep_one(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, share: tuple[int, int] = (80, 100),
+    window: int = 32, block: int = 1024,
+) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each component the row with the smallest id stays.
+
+    Null ids come last, and of one id the text with the smaller hash first; repeated rows count once; rows without
+    shingles all stay. All columns are kept as they are.
+    """
+    rows = _components(docs, id_col, text_col, width, share, window, block)
+    order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "h")
+    best = rows.where("c is not null").groupBy("c").agg(F.min(order).alias("o"), F.count("*").alias("size"))
+    best = materialise(best.select(F.col("o.doc_id").alias("kept_id"), F.col("o.h").alias("kept_h"), "size"), "jaccard-keep")
+    # Whole rows travel as one column, whatever their columns are called.
+    whole = docs.select(
+        F.col(id_col).cast("long").alias("d"), F.xxhash64(F.col(text_col).cast("string")).alias("th"),
+        (F.size(F.split(F.coalesce(F.col(text_col).cast("string"), F.lit("")), WORD, 2)) > 1).alias("has_words"),
+        F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+    )
+    found = whole.where("has_words").join(best, whole.d.eqNullSafe(best.kept_id) & (whole.th == best.kept_h), "left_semi")
+    if rows.where("c is not null").groupBy("doc_id", "h").agg(F.count("*").alias("k")).where("k > 1").limit(1).count():
+        found = found.dropDuplicates(["d", "th"])  # repeated rows
+    return found.select("row.*").unionByName(whole.where("not has_words").select("row.*"))

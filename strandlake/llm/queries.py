@@ -39,6 +39,12 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), width=3, share=(90, 100))
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lm import pseudo_likelihood
+
+    return pseudo_likelihood(_table(spark, sf_dir, "documents"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontam import contained_items
 
@@ -77,12 +83,14 @@ def queries() -> dict:
         "op1_quality_rules": op1_quality_rules,
         "op2_suffix_array_dedup": op2_suffix_array_dedup,
         "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+        "op4_lm_scoring": op4_lm_scoring,
         "op5_decontamination": op5_decontamination,
         "op10_html_extraction": op10_html_extraction,
         "op7_secret_scan": op7_secret_scan,
         "op9_license_scan": op9_license_scan,
         "op6_token_counts": op6_token_counts,
         "op8_mix_sources": op8_mix_sources,
+        "pipeline": pipeline,
     }
 
 
