@@ -1 +1 @@
-
+"""Readers and writers of sequencing files."""
