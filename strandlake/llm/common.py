@@ -1,53 +1,19 @@
-"""Shared pieces of the training-data operators: scratch tables, word hashing, components."""
+"""Shared pieces of the training-data operators: word hashing, and the library's scratch tables and components."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from strandlake.operators.graph import connected_components
+from strandlake.operators.scratch import discard, materialise, release, scratch_path, shared_dir
+
+__all__ = ["connected_components", "discard", "materialise", "release", "scratch_path", "shared_dir"]
 
 #: Java/RE2 pattern of a run of non-space characters; the same bytes that ``bytes.split()`` splits on.
 WORD = r"[^\x20\x09-\x0D]+"
 GAPS = r"[\x20\x09-\x0D]+"
 
-_own_dir: list[str] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share (``spark.checkpoint.dir``); a local one only where it is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if found:
-        return found.rstrip("/")
-    if not _own_dir:
-        _own_dir.append("file://" + tempfile.mkdtemp(prefix="strandlake-"))
-    return _own_dir[0]
-
-
-def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/strandlake/{label}-{uuid.uuid4().hex}"
-
-
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to a Parquet table in the shared folder and read it back: lineage ends there."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
-    out._strandlake_path = path
-    return out
-
-
-def discard(df: DataFrame | None) -> None:
-    """Delete a table that ``materialise`` wrote and no plan needs any more."""
-    path = getattr(df, "_strandlake_path", None)
-    if path:
-        jvm, jsc = df.sparkSession._jvm, df.sparkSession._jsc
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(jsc.hadoopConfiguration()).delete(where, True)
-
 
 def words_of(text: bytes | None) -> list[bytes]:
     """Lower-cased (A-Z only) words of UTF-8 bytes; ``None`` has none."""
@@ -92,44 +58,3 @@ def slices(batch, rows: int):
     """Pieces of an Arrow batch of at most ``rows`` rows."""
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)
-
-
-def connected_components(edges: DataFrame, label: str = "components", max_rounds: int = 40) -> DataFrame:
-    """(node, component): smallest node reachable over ``edges`` (a, b: long); nodes without edges are absent.
-
-    Alternates large-star and small-star steps (each a group-by and an exchange over the surviving edges), written
-    to the shared folder after every round, until no edge changes. The star of a node is never gathered in one
-    task: both steps need only the minimum neighbour, which partial aggregation finds before the shuffle.
-    """
-    pairs = materialise(
-        edges.where("a <> b").select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).distinct(), label
-    )
-    before = None
-    for _ in range(max_rounds):
-        # Large star: each node's larger neighbours move to its smallest neighbour (or itself).
-        both = pairs.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(pairs.select("lo", "hi"))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = (
-            both.where("v > u").join(least, "u").where("v <> m").select(F.col("m").alias("lo"), F.col("v").alias("hi"))
-        ).distinct()
-        # Small star: each node and its smaller neighbours move to the smallest of them.
-        small_min = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        small = large.join(small_min, "hi")
-        nxt = (
-            small.where("lo <> m").select(F.col("m").alias("x"), F.col("lo").alias("y"))
-            .union(small_min.select(F.col("m").alias("x"), F.col("hi").alias("y")))
-            .distinct()
-            .select(F.col("x").alias("lo"), F.col("y").alias("hi"))
-        )
-        nxt = materialise(nxt, label)
-        n, s = nxt.agg(F.count("*"), F.sum(F.xxhash64("lo", "hi").cast("decimal(38,0)"))).first()
-        discard(pairs)
-        pairs = nxt
-        if (n, s) == before:
-            break
-        before = (n, s)
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    return pairs.select(F.col("hi").alias("node"), F.col("lo").alias("component")).union(
-        pairs.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct()
-    )
