@@ -25,10 +25,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/strandlake/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def materialise(df: DataFrame, label: str, **options: str) -> DataFrame:
     """Write ``df`` to a Parquet table in the shared folder and read it back: lineage ends there."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._strandlake_path = path
     return out
