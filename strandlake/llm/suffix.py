@@ -10,16 +10,17 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, materialise, slices
+from .common import discard, materialise, release, slices
 
 K = 24
 #: Bits of the bitmaps that pass over what has no match; a full one only costs time.
 KEY_BITS, DOC_BITS = 26, 23
-CHUNK = 2_000_000
+#: How tables of blobs are written: a page ends after one that fills it, not after a hundred.
+BLOBS = {"parquet.page.size.row.check.min": "1"}
+CHUNK = 100_000  #: bytes handled at once: what fits a core's cache
 
 _TABLE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _STEPS = [np.uint64(x) for x in (0x9FB21C651E98DF25, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)]
@@ -90,7 +91,7 @@ def _texts(batch, rows: int = 2000):
 
 
 def pack(key: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> bytes:
-    """A suffix array (sorted by key, doc, pos) as byte planes of differences and values, compressed."""
+    """A suffix array (sorted by key) as byte planes of differences and values, compressed."""
     import pyarrow as pa
 
     planes = [np.diff(key, prepend=np.uint64(0)), doc.astype(np.uint64), pos.astype(np.uint64)]
@@ -109,7 +110,7 @@ def unpack(blob: bytes):
 
 def merged(arrays):
     key, doc, pos = (np.concatenate(x) for x in zip(*arrays))
-    order = np.lexsort((pos, doc, key))
+    order = np.argsort(key)
     return key[order], doc[order], pos[order]
 
 
@@ -121,17 +122,19 @@ def _arrays(length: int, cuts: list[int], shards: int, room: int = 1_500_000):
 
         held, size = [], 0
 
-        def flush():
+        def flush():  # a few blobs at a time: batches of small size
             key, doc, pos = merged(held)
             batch, shard = np.searchsorted(cuts, doc, "right"), (key % np.uint64(shards)).astype(np.int64)
             code = batch * shards + shard
             order = np.argsort(code, kind="stable")
             edge = np.flatnonzero(np.r_[True, np.diff(code[order]) != 0, True])
-            groups = [order[a:b] for a, b in zip(edge[:-1], edge[1:])]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([int(batch[g[0]]) for g in groups], pa.int32()), pa.array([int(shard[g[0]]) for g in groups], pa.int32()),
-                 pa.array([pack(key[g], doc[g], pos[g]) for g in groups], pa.binary())], ["batch", "shard", "blob"],
-            )
+            every = [order[a:b] for a, b in zip(edge[:-1], edge[1:])]
+            for i in range(0, len(every), 16):
+                groups = every[i : i + 16]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([int(batch[g[0]]) for g in groups], pa.int32()), pa.array([int(shard[g[0]]) for g in groups], pa.int32()),
+                     pa.array([pack(key[g], doc[g], pos[g]) for g in groups], pa.binary())], ["batch", "shard", "blob"],
+                )
 
         for whole in batches:
             for docs, data, offsets in _texts(whole):
@@ -142,10 +145,10 @@ def _arrays(length: int, cuts: list[int], shards: int, room: int = 1_500_000):
                 held.append((key, docs[row], at - offsets[row]))
                 size += len(key)
                 if size >= room:
-                    yield flush()
+                    yield from flush()
                     held, size = [], 0
         if held:
-            yield flush()
+            yield from flush()
 
     return run
 
@@ -191,7 +194,7 @@ class SuffixFamily:
 
     def __init__(self):
         self.levels: dict[int, DataFrame] = {}
-        self.matches: list[DataFrame] = []
+        self.tables: list[DataFrame] = []
 
     def add(self, arrays: DataFrame) -> None:
         """``arrays``: (shard, blob) of a batch. Notes which keys occur twice in it or also in a level."""
@@ -202,15 +205,22 @@ class SuffixFamily:
         for level, table in self.levels.items():
             rows = rows.unionByName(table.where("kind = 'level'").select("shard", F.lit(level).alias("level"), "blob"))
         done = rows.groupBy("shard").applyInArrow(_add_batch(tuple(carry), len(carry)), "kind string, shard int, blob binary")
-        table = materialise(done, "suffix-level")
-        # A level's table also has the matches of its last batch, which are copied out before it goes.
-        self.matches.append(materialise(table.where("kind = 'match'").select("blob"), "suffix-matches"))
+        # A level's table also has the matches of its last batch, so it stays until the family is dropped.
+        table = materialise(done, "suffix-level", **BLOBS)
+        self.tables.append(table)
         for level in carry:
-            discard(self.levels.pop(level))
+            self.levels.pop(level)
         self.levels[len(carry)] = table
 
+    def matches(self) -> DataFrame:
+        """(blob): arrays of the keys that were found twice."""
+        out = self.tables[0]
+        for more in self.tables[1:]:
+            out = out.unionByName(more)
+        return out.where("kind = 'match'").select("blob")
+
     def drop(self) -> None:
-        for table in [*self.levels.values(), *self.matches]:
+        for table in self.tables:
             discard(table)
 
 
@@ -256,84 +266,155 @@ def _bitmap(df: DataFrame, bits: int, cells) -> bytes:
     return got[0] if got else bytes((1 << bits) // 8)
 
 
-def _stretches(key_bits, length: int):
-    """Task: (doc, start, stop, key, at, text) of the anchors whose key may be matched.
+def _hash_sums(data: np.ndarray) -> np.ndarray:
+    """Running sums of which a difference, taken back to its start, is a hash of a stretch of ``data``."""
+    pows, _ = _powers(len(data))
+    return np.concatenate([np.zeros(1, np.uint64), np.cumsum(_TABLE[data] * pows[: len(data)], dtype=np.uint64)])
+
+
+_pows: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    if len(_pows[0]) <= n:
+        for i, x in enumerate((_BASE, _BASE_INV)):
+            out = np.full(2 * n + 1, x, np.uint64)
+            out[0] = 1
+            _pows[i] = np.multiply.accumulate(out)
+    return _pows
+
+
+def _id_cell(doc: np.ndarray, start: np.ndarray) -> np.ndarray:
+    h = doc.astype(np.uint64) * _STEPS[0] + start.astype(np.uint64) * _STEPS[1]
+    return (((h ^ (h >> np.uint64(32))) * _STEPS[2]) >> np.uint64(64 - KEY_BITS)).astype(np.int64)
+
+
+def _id_cells(batch):
+    return _id_cell(*(batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc", "start")))
+
 
-    Of anchors with the same key and the same bytes around, the earliest keeps its ``text``; the others' bytes are
-    removed whatever other tasks have, and go on as stretches without a text. So copies leave a task once.
+def _candidates(key_bits, length: int, room: int = 1_000_000):
+    """Task: (doc, start, stop, key, name) of the anchors whose key may be matched.
+
+    ``name`` hashes the key and all bytes of the anchor's strings: anchors of one name stand for the same strings. Of
+    a name the task's earliest goes on; the others' bytes are removed whatever other tasks have, and come out merged,
+    without a name. So copies leave a task once.
     """
 
     def run(batches):
         import pyarrow as pa
 
         seen = np.unpackbits(np.frombuffer(key_bits.value, np.uint8)).view(bool)
-        first: dict[tuple[int, int], tuple] = {}
-        names, kinds = ["doc", "start", "stop", "key", "at", "text"], [pa.int64()] * 5 + [pa.binary()]
+        fields = ["doc", "start", "stop", "key", "name"]
+
+        def spill(held):
+            doc, start, stop, key, name = (np.concatenate(x) for x in zip(*held))
+            order = np.lexsort((start, doc, name))
+            first = np.r_[True, np.diff(name[order]) != 0]
+            keep, lost = order[first], order[~first]
+            for i in range(0, len(keep), 20_000):
+                part = keep[i : i + 20_000]
+                yield pa.RecordBatch.from_arrays([pa.array(x[part]) for x in (doc, start, stop, key, name)], fields)
+            if len(lost):
+                lost = lost[np.lexsort((start[lost], doc[lost]))]
+                new = np.r_[True, (np.diff(doc[lost]) != 0) | (start[lost][1:] > stop[lost][:-1])]
+                last = np.r_[np.flatnonzero(new)[1:] - 1, len(lost) - 1]
+                none = pa.nulls(int(new.sum()), pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(doc[lost[new]]), pa.array(start[lost[new]]), pa.array(stop[lost[last]]), none, none], fields
+                )
+
+        held, size = [], 0
+        for whole in batches:
+            for docs, data, offsets in _texts(whole):
+                key, at, lo, hi = anchors(data, offsets, length)
+                near = seen[(key >> np.uint64(64 - KEY_BITS)).astype(np.int64)]
+                if not near.any():
+                    continue
+                key, at, lo, hi = key[near], at[near], lo[near], hi[near] + length
+                sums = _hash_sums(data)
+                name = (sums[hi] - sums[lo]) * _powers(len(data))[1][lo]
+                name = (name ^ (name >> np.uint64(31))) * _STEPS[0] + key + (at - lo).astype(np.uint64) * _STEPS[1] + (hi - lo).astype(np.uint64) * _STEPS[2]
+                row = np.searchsorted(offsets, at, "right") - 1
+                held.append((docs[row], lo - offsets[row], hi - offsets[row], key.view(np.int64), name.view(np.int64)))
+                size += len(key)
+                if size >= room:
+                    yield from spill(held)
+                    held, size = [], 0
+        if held:
+            yield from spill(held)
+
+    return run
+
 
-        def emit(rows):
-            cols = list(zip(*rows)) if rows else [()] * 6
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names)
+def _sort_out(batches):
+    """Task: from rows sorted by key, name, doc and start, (doc, start, stop, open).
+
+    All but the first of a name are repeats as a whole (open is false). The firsts of a key with several names may
+    share some strings, which is still open; a key's only name is left out.
+    """
+    import pyarrow as pa
+
+    last = None  # (key, name) of the row before, and the key's first row while it has no second name
+    alone = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        doc, start, stop, key, name = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        new_key = np.r_[last is None or key[0] != last[0], key[1:] != key[:-1]]
+        new_name = new_key | np.r_[last is None or name[0] != last[1], name[1:] != name[:-1]]
+        again = np.flatnonzero(~new_name)
+        # A first of a name is open if its key has another name: before it, or as the next first.
+        firsts = np.flatnonzero(new_name)
+        starts_key = new_key[firsts]
+        followed = np.r_[~starts_key[1:], False] if len(firsts) else np.empty(0, bool)
+        is_open = firsts[~starts_key | followed]
+        out = [(doc[again], start[again], stop[again], np.zeros(len(again), bool)), (doc[is_open], start[is_open], stop[is_open], np.ones(len(is_open), bool))]
+        if alone is not None and len(firsts) and not starts_key[0]:
+            out.append(tuple(np.array([v]) for v in alone) + (np.ones(1, bool),))
+        if len(firsts):
+            i = firsts[-1]
+            alone = (doc[i], start[i], stop[i]) if starts_key[-1] else None
+        last = (key[-1], name[-1])
+        cols = [np.concatenate(x) for x in zip(*out)]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["doc", "start", "stop", "open"])
+
+
+def _open_texts(key_bits, id_bits, length: int):
+    """Task: (doc, start, key, at, text) of the anchors that are still open, with the bytes of their strings."""
 
-        def spill(first):
-            rows = list(first.values())
-            for i in range(0, len(rows), 20_000):
-                yield emit(rows[i : i + 20_000])
+    def run(batches):
+        import pyarrow as pa
 
-        lost, kept = [], 0
+        seen, wanted = (np.unpackbits(np.frombuffer(b.value, np.uint8)).view(bool) for b in (key_bits, id_bits))
         for whole in batches:
             for docs, data, offsets in _texts(whole):
                 key, at, lo, hi = anchors(data, offsets, length)
                 near = np.flatnonzero(seen[(key >> np.uint64(64 - KEY_BITS)).astype(np.int64)])
                 row = np.searchsorted(offsets, at[near], "right") - 1
-                view = data.tobytes()
-                base = offsets[row]
-                for d, b, k, a, x, y in zip(
-                    docs[row].tolist(), base.tolist(), key[near].view(np.int64).tolist(), at[near].tolist(), lo[near].tolist(), hi[near].tolist()
-                ):
-                    text = view[x : y + length]
-                    name = (k, a - x, xxhash.xxh3_64_intdigest(text))
-                    one = (d, x - b, y - b + length, k, a - b, text)
-                    old = first.get(name)
-                    if old is None:
-                        first[name] = one
-                        kept += len(text) + 200
-                        continue
-                    if one[:2] < old[:2]:
-                        first[name], one = one, old
-                    if lost and lost[-1][0] == one[0] and lost[-1][1] <= one[1] <= lost[-1][2]:
-                        lost[-1] = (one[0], lost[-1][1], max(one[2], lost[-1][2]), None, None, None)
-                    else:
-                        lost.append((one[0], one[1], one[2], None, None, None))
-                if kept > 40_000_000:  # bounds the worker's memory; other copies then meet in the next step
-                    yield from spill(first)
-                    first, kept = {}, 0
-                if len(lost) > 50_000:
-                    yield emit(lost)
-                    lost = []
-        yield from spill(first)
-        if lost:
-            yield emit(lost)
+                ok = wanted[_id_cell(docs[row], lo[near] - offsets[row])]
+                near, row = near[ok], row[ok]
+                if not len(near):
+                    continue
+                view, base = data.tobytes(), offsets[row]
+                texts = [view[x:y] for x, y in zip(lo[near].tolist(), (hi[near] + length).tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(docs[row]), pa.array(lo[near] - base), pa.array(key[near].view(np.int64)), pa.array(at[near] - base), pa.array(texts, pa.binary())],
+                    ["doc", "start", "key", "at", "text"],
+                )
 
     return run
 
 
-def _verify(length: int, room: int = 20_000):
+def _verify(length: int, room: int = 5_000):
     """Task: from anchors sorted by key, doc and place, the stretches (doc, start, stop) whose bytes came earlier.
 
     Every string of an anchor is compared by its offset to the anchor and a 64-bit hash beside the anchor's own; the
     first in order stays. A key's strings are remembered while its rows last, so rows are handled in pieces.
     """
-    base, inverse = np.uint64(_BASE), np.uint64(_BASE_INV)
-
-    def powers(x, n):
-        out = np.full(n, x, np.uint64)
-        out[0] = 1
-        return np.multiply.accumulate(out)
-
     def run(batches):
         import pyarrow as pa
 
-        pows = [np.empty(0, np.uint64)] * 2
         last_key, known = None, np.empty(0, np.uint64)
         for whole in batches:
             for part in slices(whole, room):
@@ -342,14 +423,12 @@ def _verify(length: int, room: int = 20_000):
                 data = np.frombuffer(text.buffers()[2], np.uint8)[bounds[0] : bounds[-1]]
                 bounds = bounds - bounds[0]
                 doc, start, key, at = (part.column(c).to_numpy(zero_copy_only=False) for c in ("doc", "start", "key", "at"))
-                if len(pows[0]) < len(data) + 1:
-                    pows = [powers(base, len(data) + 1), powers(inverse, len(data) + 1)]
-                sums = np.r_[np.uint64(0), np.cumsum(_TABLE[data] * pows[0][: len(data)], dtype=np.uint64)]
+                sums = _hash_sums(data)
                 many = np.diff(bounds) - length + 1
                 row = np.repeat(np.arange(len(doc)), many)
                 step = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
                 p = bounds[:-1][row] + step
-                h = (sums[p + length] - sums[p]) * pows[1][p]
+                h = (sums[p + length] - sums[p]) * _powers(len(data))[1][p]
                 back = (at - start)[row] - step
                 h = (h ^ (h >> np.uint64(31))) * _STEPS[1] + back.astype(np.uint64) * _STEPS[2] + key.view(np.uint64)[row] * _STEPS[3]
                 h = (h ^ (h >> np.uint64(30))) * _STEPS[4]
@@ -399,24 +478,42 @@ def repeated_stretches(texts: DataFrame, *, length: int = 100, batches: int = 4,
     ).first()
     shards = max(64, (total or 0) // shard_bytes)
     arrays = materialise(
-        texts.mapInArrow(_arrays(length, sorted(set(bounds or [])), shards), "batch int, shard int, blob binary"), "suffix-arrays"
+        texts.mapInArrow(_arrays(length, sorted(set(bounds or [])), shards), "batch int, shard int, blob binary"), "suffix-arrays", **BLOBS
     )
+    bits = _matched_keys(arrays, len(set(bounds or [])) + 1)
+    discard(arrays)
+    release(spark)
+    found = _whole_repeats(texts, bits, length)
+    release(spark)
+    wanted = spark.sparkContext.broadcast(_bitmap(found.where("open").select("doc", "start"), KEY_BITS, _id_cells))
+    release(spark)
+    rows = texts.mapInArrow(_open_texts(bits, wanted, length), "doc long, start long, key long, at long, text binary")
+    rows = rows.repartition("key").sortWithinPartitions("key", "doc", "start")
+    parts = materialise(rows.mapInArrow(_verify(length), "doc long, start long, stop long"), "suffix-repeats")
+    return parts.unionByName(found.where("not open").select("doc", "start", "stop"))
+
+
+def _matched_keys(arrays: DataFrame, batches: int):
+    """A broadcast bitmap of the keys that the index family finds more than once, batch after batch."""
     family = SuffixFamily()
-    for b in range(len(set(bounds or [])) + 1):
+    for b in range(batches):
         family.add(arrays.where(F.col("batch") == b))
-    discard(arrays)
-    match = family.matches[0]
-    for more in family.matches[1:]:
-        match = match.unionByName(more)
+    match = family.matches()
     n = match.agg(F.sum(F.octet_length("blob"))).first()[0] or 0
-    bits = spark.sparkContext.broadcast(_bitmap(match.coalesce(1 + n // 40_000_000), KEY_BITS, _key_cells))
+    bits = arrays.sparkSession.sparkContext.broadcast(_bitmap(match.coalesce(1 + n // 40_000_000), KEY_BITS, _key_cells))
     family.drop()
+    return bits
+
+
+def _whole_repeats(texts: DataFrame, bits, length: int) -> DataFrame:
+    """(doc, start, stop, open): anchors all of whose strings come earlier, and those that may share some."""
     found = materialise(
-        texts.mapInArrow(_stretches(bits, length), "doc long, start long, stop long, key long, at long, text binary"), "suffix-stretches"
+        texts.mapInArrow(_candidates(bits, length), "doc long, start long, stop long, key long, name long"), "suffix-candidates"
     )
-    sure = found.where("text is null").select("doc", "start", "stop")
-    near = found.where("text is not null").repartition("key").sortWithinPartitions("key", "doc", "start")
-    out = materialise(near.mapInArrow(_verify(length), "doc long, start long, stop long").union(sure), "suffix-repeats")
+    named = found.where("name is not null").repartition("key").sortWithinPartitions("key", "name", "doc", "start")
+    named = named.select("doc", "start", "stop", "key", "name").mapInArrow(_sort_out, "doc long, start long, stop long, open boolean")
+    sure = found.where("name is null").select("doc", "start", "stop", F.lit(False).alias("open"))
+    out = materialise(named.union(sure), "suffix-sorted")
     discard(found)
     return out
 
@@ -467,8 +564,9 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     id, or earlier in the same one. Strings are judged on the input and never cross documents.
 
     The documents come in ``batches`` by id. Each batch gets suffix arrays (by shards), is merge-scanned against
-    the family's levels, and joins them. Anchors that match anything are then read again with the bytes around them,
-    copies once a task, and every string of theirs is compared. Texts are shuffled only if they lose something.
+    the family's levels, and joins them. Anchors that match anything are then named by a hash of all their strings:
+    all but the first of a name are repeats. Where a gram has several names, the first of each is read once more
+    with its bytes, and string is compared with string. Texts are shuffled only if they lose something.
 
     A null or empty text has 0 bytes and loses none. Documents of one id are ordered by a hash of the text, null ids
     come last; rows of the same id and text are one document and each get its result; other columns are not read; an
@@ -478,7 +576,8 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     texts, named = _unique_ids(src)
     spans = repeated_stretches(texts, length=length, batches=batches)
-    per = spans.distinct().groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    release(spark)
+    per = spans.groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     bits = spark.sparkContext.broadcast(_bitmap(spans.select("doc").distinct(), DOC_BITS, _doc_cells))
     hit = texts.mapInArrow(_only(bits), "doc long, text string").join(per.withColumnRenamed("doc", "d"), F.col("doc") == F.col("d"))
     done = hit.select("doc", "text", "spans").mapInArrow(_apply, "doc long, n_removed long, n_spans long, kept_sha256 string, kept binary")
