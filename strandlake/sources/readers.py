@@ -48,7 +48,7 @@ def read_pairs(spark: SparkSession, path1, path2, check_names: bool = False) ->
         one, two = (renamed, two) if k == 1 else (one, renamed)
     out = one.join(two, "rec")
     if check_names:
-        bare = lambda c: F.regexp_replace(F.split(F.col(c), " ")[0], r"([/.])[12]$", "")
+        bare = lambda c: F.regexp_replace(F.get(F.split(F.col(c), " "), F.lit(0)), r"([/.])[12]$", "")
         bad = F.raise_error(F.concat(F.lit("read names differ: "), "name1", F.lit(" and "), "name2"))
         out = out.where(F.when(bare("name1") == bare("name2"), True).otherwise(bad.cast("boolean")))
     return out
@@ -57,7 +57,7 @@ def read_pairs(spark: SparkSession, path1, path2, check_names: bool = False) ->
 def _tsv(spark: SparkSession, path, columns) -> DataFrame:
     parts = F.split(_bare(F.col("value")), "\t")
     rows = spark.read.text(path).select(parts.alias("p")).where(F.size("p") == len(columns))
-    return rows.select(*[F.col("p")[i].alias(c) for i, c in enumerate(columns)])
+    return rows.select(*[F.get("p", F.lit(i)).alias(c) for i, c in enumerate(columns)])
 
 
 def read_families(spark: SparkSession, path) -> DataFrame:
@@ -74,7 +74,7 @@ def read_msa(spark: SparkSession, path) -> DataFrame:
 def read_marked_msa(spark: SparkSession, path) -> DataFrame:
     """(family, row, barcode, name, seq, consensus): three columns, each family led by a row named CONSENSUS."""
     lines = _lines(spark, path).select("line", F.split(_bare(F.col("value")), "\t").alias("p")).where("size(p) = 3")
-    rows = lines.select("line", F.col("p")[0].alias("barcode"), F.col("p")[1].alias("name"), F.col("p")[2].alias("seq"))
+    rows = lines.select("line", F.get("p", F.lit(0)).alias("barcode"), F.get("p", F.lit(1)).alias("name"), F.get("p", F.lit(2)).alias("seq"))
     heads = rows.where("name = 'CONSENSUS'").select("barcode", F.col("line").alias("family"), F.col("seq").alias("consensus"))
     # A member belongs to the last head before it; heads of one barcode are few, members find theirs by barcode.
     found = rows.where("name <> 'CONSENSUS'").join(heads, "barcode").where("family < line")
@@ -174,18 +174,18 @@ def extract_region(records: DataFrame, start: int, end: int, chrom: str | None =
 def read_tsv_reads(spark: SparkSession, path) -> DataFrame:
     """(name, seq, qual) of tab-separated lines with two columns or more."""
     rows = spark.read.text(path).select(F.split(_bare(F.col("value")), "\t").alias("p")).where("size(p) >= 2")
-    return rows.select(F.col("p")[0].alias("name"), F.col("p")[1].alias("seq"), F.get("p", F.lit(2)).alias("qual"))
+    return rows.select(F.get("p", F.lit(0)).alias("name"), F.get("p", F.lit(1)).alias("seq"), F.get("p", F.lit(2)).alias("qual"))
 
 
 def _sam_fields(spark: SparkSession, path) -> DataFrame:
     rows = spark.read.text(path).select(F.split(_bare(F.col("value")), "\t").alias("p"))
-    header = F.col("p")[0].startswith("@") & (F.length(F.col("p")[0]) == 3)
+    header = F.get("p", F.lit(0)).startswith("@") & (F.length(F.get("p", F.lit(0))) == 3)
     return rows.where((F.size("p") >= 11) & ~header)
 
 
 def read_sam_reads(spark: SparkSession, path) -> DataFrame:
     """(name, seq, qual) of the lines of a SAM file with eleven fields or more."""
-    return _sam_fields(spark, path).select(F.col("p")[0].alias("name"), F.col("p")[9].alias("seq"), F.col("p")[10].alias("qual"))
+    return _sam_fields(spark, path).select(F.get("p", F.lit(0)).alias("name"), F.get("p", F.lit(9)).alias("seq"), F.get("p", F.lit(10)).alias("qual"))
 
 
 def read_alignments(spark: SparkSession, path, *, pos: int = 2, mapq: int = 20, dist: int = 1) -> DataFrame:
@@ -196,10 +196,10 @@ def read_alignments(spark: SparkSession, path, *, pos: int = 2, mapq: int = 20,
     """
     p = F.col("p")
     nm = F.regexp_extract(F.array_join(F.filter(F.slice(p, 12, 1000), lambda t: t.startswith("NM:i:")), " "), r"NM:i:(-?\d+)", 1)
-    rows = spark.read.text(path).select(F.split(_bare(F.col("value")), "\t").alias("p")).where((F.size("p") >= 11) & ~p[0].startswith("@"))
+    rows = spark.read.text(path).select(F.split(_bare(F.col("value")), "\t").alias("p")).where((F.size("p") >= 11) & ~F.get(p, F.lit(0)).startswith("@"))
     rows = rows.select(
-        p[0].alias("qname"), p[2].alias("target"), p[1].try_cast("int").alias("flag"), p[3].try_cast("int").alias("pos"),
-        p[4].try_cast("int").alias("mapq"), nm.alias("nm_text"),
+        F.get(p, F.lit(0)).alias("qname"), F.get(p, F.lit(2)).alias("target"), F.get(p, F.lit(1)).try_cast("int").alias("flag"), F.get(p, F.lit(3)).try_cast("int").alias("pos"),
+        F.get(p, F.lit(4)).try_cast("int").alias("mapq"), nm.alias("nm_text"),
     ).where("flag is not null and pos is not null and mapq is not null and target <> '*' and flag & 4 = 0")
     rows = rows.where((F.abs(F.col("pos") - 1) <= pos) & (F.col("mapq") >= mapq))
     checked = F.when(F.col("nm_text") != "", F.col("nm_text").cast("int")).otherwise(F.raise_error(F.lit("no NM tag")).cast("int"))
@@ -251,10 +251,10 @@ def duplex_reads(families: DataFrame, mate: int, order: str) -> DataFrame:
 def read_expected(spark: SparkSession, path) -> DataFrame:
     """(famsize, x, prob) of a table of k, n, x and p."""
     p = F.split(_bare(F.col("value")), "\t")
-    return spark.read.text(path).select(p[1].cast("int").alias("famsize"), p[2].cast("int").alias("x"), p[3].cast("double").alias("prob"))
+    return spark.read.text(path).select(F.get(p, F.lit(1)).cast("int").alias("famsize"), F.get(p, F.lit(2)).cast("int").alias("x"), F.get(p, F.lit(3)).cast("double").alias("prob"))
 
 
 def read_observed(spark: SparkSession, path) -> DataFrame:
     """(famsize, errors) of a table of family sizes and errors."""
     p = F.split(_bare(F.col("value")), "\t")
-    return spark.read.text(path).select(p[0].cast("int").alias("famsize"), p[1].cast("int").alias("errors"))
+    return spark.read.text(path).select(F.get(p, F.lit(0)).cast("int").alias("famsize"), F.get(p, F.lit(1)).cast("int").alias("errors"))

@@ -13,7 +13,7 @@ def stream_families(spark: SparkSession, path: str) -> DataFrame:
     """A stream of families from eight-column text files; other lines are left out."""
     parts = F.split(F.regexp_replace("value", r"\r$", ""), "\t")
     rows = spark.readStream.text(path).select(parts.alias("p")).where(F.size("p") == len(FAMILY_COLUMNS))
-    return rows.select(*[F.col("p")[i].alias(c) for i, c in enumerate(FAMILY_COLUMNS)])
+    return rows.select(*[F.get("p", F.lit(i)).alias(c) for i, c in enumerate(FAMILY_COLUMNS)])
 
 
 def append_families(families: DataFrame, table: str, checkpoint: str, buckets: int = 64) -> StreamingQuery:
