@@ -255,11 +255,11 @@ def _sets(width: int, seen):
     return run
 
 
-def linked_forest(sigs: list[int], sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
+def linked_forest(sigs: list[int], sets: list[np.ndarray], num: int, den: int, labels: list[int] | None = None) -> list[tuple[int, int]]:
     """Links (a, b) that span the components of the sets under size(a & b) * den >= size(a | b) * num.
 
     Breadth first: each set reached is compared once with all that are not reached yet, so every pair is verified
-    at most once and a pair already connected not at all.
+    at most once and a pair already connected not at all. Sets of one label are connected from the start.
     """
     size = np.array([len(s) for s in sets])
     order = np.argsort(size, kind="stable")
@@ -268,12 +268,15 @@ def linked_forest(sigs: list[int], sets: list[np.ndarray], num: int, den: int) -
     size, names = size[order], [sigs[i] for i in order]
     start = np.r_[0, np.cumsum(size)]
     flag = np.zeros(ids.max() + 1 if len(ids) else 1, bool)
+    label = np.arange(len(names)) if labels is None else np.unique([labels[i] for i in order], return_inverse=True)[1]
+    by_label = np.argsort(label, kind="stable")
+    edge = np.searchsorted(label[by_label], np.arange(label.max() + 2 if len(label) else 1))
     left, out = np.ones(len(names), bool), []
     for seed in range(len(names)):
         if not left[seed]:
             continue
-        left[seed] = False
-        queue = [seed]
+        queue = by_label[edge[label[seed]] : edge[label[seed] + 1]].tolist()
+        left[queue] = False
         while queue and left.any():
             v = queue.pop()
             own = ids[start[v] : start[v + 1]]
@@ -286,10 +289,12 @@ def linked_forest(sigs: list[int], sets: list[np.ndarray], num: int, den: int) -
                     shared = np.add.reduceat(flag[ids[start[lo] : start[hi]]], start[lo:hi] - start[lo], dtype=np.int64)[near - lo]
                 else:
                     shared = np.array([np.count_nonzero(flag[ids[start[u] : start[u + 1]]]) for u in near])
-                hit = near[shared * (num + den) >= num * (size[near] + size[v])]
-                left[hit] = False
-                queue += hit.tolist()
-                out += [(names[v], names[u]) for u in hit]
+                for u in near[shared * (num + den) >= num * (size[near] + size[v])].tolist():
+                    out.append((names[v], names[u]))
+                    if left[u]:
+                        more = by_label[edge[label[u]] : edge[label[u] + 1]]
+                        left[more] = False
+                        queue += more.tolist()
             flag[own] = False
     return out
 
@@ -299,14 +304,61 @@ def _resolve(num: int, den: int):
         import pyarrow as pa
 
         sets: dict[int, np.ndarray] = {}
+        label = dict(zip(table.column("sig").to_pylist(), table.column("label").to_pylist()))
         for sig, raw in zip(table.column("sig").to_pylist(), table.column("grams").to_pylist()):
             sets.setdefault(sig, np.frombuffer(raw, np.uint64))
-        found = linked_forest(list(sets), list(sets.values()), num, den)
+        found = linked_forest(list(sets), list(sets.values()), num, den, [label[s] for s in sets])
         return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
     return run
 
 
+def _cluster_links(sets: DataFrame, clusters: DataFrame, num: int, den: int, block: int) -> DataFrame:
+    """(a, b): links that span the components of every cluster; no task holds more than two blocks of a cluster.
+
+    Clusters up to ``block`` are settled whole. Of larger ones, blocks drawn by a hash are settled first, twice, with
+    what is connected by then skipped: a dense group becomes one part at a cost in proportion to its size. What is
+    still outside a cluster's largest part is then held, block by block, against the whole cluster, so that no link
+    between parts is missed.
+    """
+    sizes = clusters.groupBy("component").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    members = sets.join(clusters.join(sizes, "component").withColumnRenamed("node", "sig"), "sig")
+    members = materialise(members.select("component", "blocks", "sig", "grams"), "jaccard-members")
+
+    def settle(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("component", "i", "j").applyInArrow(_resolve(num, den), "a long, b long")
+
+    def drawn(n: int):
+        return F.pmod(F.xxhash64(F.lit(n), "sig"), F.col("blocks")).cast("int")
+
+    zero = F.lit(0).cast("int")
+    links = materialise(settle(members.select("component", drawn(0).alias("i"), zero.alias("j"), "sig", F.col("sig").alias("label"), "grams")), "jaccard-links")
+    large = members.where("blocks > 1")
+    if not large.limit(1).count():
+        return links
+
+    def labelled(links: DataFrame) -> DataFrame:
+        parts = connected_components(links.join(large.select(F.col("sig").alias("a")), "a", "left_semi"), "jaccard-parts")
+        named = large.select("component", "blocks", "sig").join(parts.select(F.col("node").alias("sig"), F.col("component").alias("p")), "sig", "left")
+        return materialise(named.select("component", "blocks", "sig", F.coalesce("p", "sig").alias("label")), "jaccard-labels")
+
+    grams = large.select("sig", "grams")
+    labels = labelled(links)
+    again = settle(labels.join(grams, "sig").select("component", drawn(1).alias("i"), zero.alias("j"), "sig", "label", "grams"))
+    links = links.unionByName(materialise(again, "jaccard-links"))
+    labels = labelled(links)
+    per_label = labels.groupBy("component", "label").agg(F.count("*").alias("k"))
+    main = per_label.groupBy("component").agg(F.max_by("label", F.struct("k", "label")).alias("main"), F.sum("k").alias("all_k"), F.max("k").alias("most"))
+    main = main.withColumn("outer_blocks", F.ceil((F.col("all_k") - F.col("most")) / block).cast("int")).where("outer_blocks > 0")
+    main = materialise(main.select("component", "main", "outer_blocks"), "jaccard-main")
+    rows = labels.join(main, "component").withColumn("own", drawn(2)).withColumn("outer", F.col("label") != F.col("main"))
+    rows = rows.withColumn("r", F.pmod(F.xxhash64(F.lit(3), "sig"), F.col("outer_blocks")).cast("int"))
+    every = rows.select("component", F.explode(F.sequence(F.lit(0), F.col("outer_blocks") - 1)).alias("i"), F.col("own").alias("j"), "sig", "label")
+    outer = rows.where("outer").select("component", F.col("r").alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), "sig", "label")
+    last = settle(every.unionByName(outer).distinct().join(grams, "sig"))
+    return links.unionByName(materialise(last, "jaccard-links"))
+
+
 def _components(docs: DataFrame, id_col: str, text_col: str, width: int, share: tuple[int, int], window: int, block: int) -> DataFrame:
     """(doc_id, h: hash of the text, n: size of the set, c: class of the component or null, component_id) of every row."""
     num, den = share
@@ -342,21 +394,13 @@ def _components(docs: DataFrame, id_col: str, text_col: str, width: int, share:
     bits = seen.first()
     bits = spark.sparkContext.broadcast(bits[0] if bits else bytes((1 << SEEN_BITS) // 8))
     sets = src.mapInArrow(_sets(width, bits), "sig long, grams binary").groupBy("sig").agg(F.first("grams").alias("grams"))
-    sizes = clusters.groupBy("component").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    members = clusters.join(sizes, "component").withColumnRenamed("node", "sig")
-    placed = (
-        sets.join(members, "sig")
-        .withColumn("own", F.pmod(F.xxhash64("sig"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "sig", "grams")
-    )
-    links = placed.groupBy("component", "i", "j").applyInArrow(_resolve(num, den), "a long, b long")
-    links = materialise(links, "jaccard-links")
+    links = _cluster_links(sets, clusters, num, den, block)
 
     parts = connected_components(links, "jaccard-components")
     classes = rows.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("least"))
     labelled = classes.join(parts, classes.sig == parts.node, "left").withColumn("c", F.coalesce("component", "sig"))
-    least = labelled.groupBy("c").agg(F.min("least").alias("component_id"))
+    # A table of its own, so that the join can split a component with very many classes.
+    least = materialise(labelled.groupBy("c").agg(F.min("least").alias("component_id")), "jaccard-least")
     named = labelled.join(least, "c").select(F.col("sig").alias("s"), "c", "component_id")
     discard(pairs)
     discard(edges)
@@ -367,7 +411,7 @@ def _components(docs: DataFrame, id_col: str, text_col: str, width: int, share:
 
 def near_duplicates(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, share: tuple[int, int] = (80, 100),
-    window: int = 32, block: int = 1024,
+    window: int = 32, block: int = 512,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row.
 
@@ -381,8 +425,8 @@ def near_duplicates(
     3. Pairs of a bucket pass filters on length, position and (by histograms) suffix. Buckets over ``window``
        classes chain their members instead, so that no bucket emits its square.
     4. Connected candidates are a cluster. Its sets meet in one task, each pair is verified at most once, and pairs
-       that are already connected are skipped. Clusters over ``block`` classes are split in blocks, all pairs of
-       which meet, so none is gathered whole.
+       that are already connected are skipped. Clusters over ``block`` classes are split in blocks, so none is
+       gathered whole; parts that grow together in random blocks are only held against what stayed outside.
 
     A null or empty text has no shingles and its own id as component; null ids never name a component; rows of one id and
     other text are linked by their texts alone; repeated rows are copies; an empty table gives an empty result.
@@ -393,7 +437,7 @@ def near_duplicates(
 
 def keep_one(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, share: tuple[int, int] = (80, 100),
-    window: int = 32, block: int = 1024,
+    window: int = 32, block: int = 512,
 ) -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each component the row with the smallest id stays.
 
