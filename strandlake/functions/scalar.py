@@ -164,7 +164,13 @@ def register(spark) -> None:
     """The functions by name in SQL: built-in expressions as temporary SQL functions, alignment as an Arrow function."""
     from strandlake.operators.align import sw_align
 
+    pairs = {c + c: c for c in "ACGT-"} | {x[i] + x[1 - i]: code for x, code in AMBIGUITY.items() for i in (0, 1)}
+    table = ", ".join(f"'{k}', '{v}'" for k, v in sorted(pairs.items()))
     texts = {
+        "merge_bases": (
+            "a STRING, b STRING",
+            f"CASE WHEN length(a) > 0 THEN array_join(zip_with(split(a, ''), split(b, ''), (x, y) -> coalesce(try_element_at(map({table}), concat(x, y)), 'N')), '') ELSE '' END",
+        ),
         "revcomp": ("s STRING", f"translate(reverse(s), '{COMPLEMENT_PLAIN[0]}', '{COMPLEMENT_PLAIN[1]}')"),
         "revcomp_swapping": ("s STRING", f"translate(reverse(s), '{COMPLEMENT_SWAPPING[0]}', '{COMPLEMENT_SWAPPING[1]}')"),
         "swap_halves": ("s STRING", "concat(substr(s, cast(length(s) div 2 as int) + 1), substr(s, 1, cast(length(s) div 2 as int)))"),

@@ -104,3 +104,12 @@ def emission_order(msa: DataFrame) -> DataFrame:
     ).otherwise(F.col("mate") - 1)
     w = Window.partitionBy("barcode").orderBy("rank", "name", "seq")
     return msa.withColumn("rank", rank).withColumn("emit_seq", F.row_number().over(w)).drop("rank")
+
+
+def run_counters(reads: DataFrame, name: str = "run"):
+    """(reads, observation): the same rows, and an observation that has reads and families once an action has run."""
+    from pyspark.sql import Observation
+
+    seen = Observation(name)
+    families = F.approx_count_distinct(F.concat_ws(".", "barcode", "order")).alias("families_about")
+    return reads.observe(seen, F.count(F.lit(1)).alias("reads"), families), seen

@@ -41,6 +41,23 @@ def vote_matrix(msa: DataFrame, keys=("barcode", "order", "mate"), least: str |
     return explode_bases(msa, keys, least).groupBy(*keys, "pos").agg(*[F.count_if(F.col("base") == b).alias(n) for b, n in names.items()])
 
 
+def weighted_vote_matrix(msa: DataFrame, keys=("barcode", "order", "mate"), offset: int = 33) -> DataFrame:
+    """keys, pos, n_A .. n_gap: sums of qualities in place of counts; a gap weighs what its neighbours' qualities give."""
+    keys = list(keys)
+    names = dict(zip(BASES, ("n_A", "n_C", "n_G", "n_T", "n_N", "n_gap")))
+    rows = msa.select(*keys, "qual", F.posexplode(F.split(F.upper("seq"), "")).alias("p", "base")).withColumn("pos", F.col("p") + 1)
+    own = F.ascii(F.substr("qual", F.col("pos"), F.lit(1)))
+    weight = F.when(F.col("base") == "-", gap_quality("qual", F.col("pos"))).otherwise(own) - offset
+    sums = [F.sum(F.when(F.col("base") == b, weight).otherwise(0)).alias(n) for b, n in names.items()]
+    return rows.where(F.col("base").isin(*BASES)).groupBy(*keys, "pos").agg(*sums)
+
+
+def alignment_consensus(records: DataFrame, thres: float = 0.5, gapped: bool = False) -> DataFrame:
+    """(consensus) of one alignment, a table with a column ``seq``, without qualities."""
+    one = records.select(F.lit("alignment").alias("alignment"), "seq", F.lit("").alias("qual"))
+    return consensus_native(one, ["alignment"], min_reads=1, thres=thres, gapped=gapped).select("consensus")
+
+
 def majority(thres: float = 0.5) -> Column:
     """The base of a row of votes: over ``thres`` of the counted votes, else N."""
     counts = {"A": F.col("n_A"), "C": F.col("n_C"), "G": F.col("n_G"), "T": F.col("n_T"), "N": F.col("n_N"), "-": F.col("n_gap")}

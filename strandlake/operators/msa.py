@@ -6,10 +6,13 @@ import subprocess
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from strandlake.functions.scalar import mark_differences, phred_char
 
 from .align import star_alignment, transfer_gaps
 from .barcodes import long_reads
-from .consensus import _whole_barcodes
+from .consensus import _whole_barcodes, consensus_native
 
 
 def mafft(reads: list[str]) -> list[str] | None:
@@ -60,3 +63,10 @@ def align_families(families: DataFrame, aligner: str = "star") -> DataFrame:
 
     reads = long_reads(families).repartition("barcode").sortWithinPartitions("barcode", "order", "mate", "name", "seq", "qual")
     return reads.mapInArrow(run, "barcode string, order string, mate int, name string, seq string, qual string")
+
+
+def marked_alignment(msa: DataFrame, qual_thres: int = 20, thres: float = 0.5) -> DataFrame:
+    """(barcode, order, mate, name, marked, consensus): reads with '.' where they agree and ' ' for bases of low quality."""
+    keys, least = ["barcode", "order", "mate"], phred_char(qual_thres)
+    called = consensus_native(msa, keys, min_reads=1, least=least, thres=thres, gapped=True).select(*keys, "consensus")
+    return msa.join(called, keys).select(*keys, "name", mark_differences("seq", "consensus", "qual", least).alias("marked"), F.col("consensus"))

@@ -473,3 +473,45 @@ def test_families_from_a_stream(spark, tmp_path):
     (tmp_path / "in" / "b.tsv").write_text(line.replace("AC\t", "AG\t") + "\n")
     append_families(stream_families(spark, folder), table, mark).awaitTermination()
     assert sorted((r.barcode, r.qual2) for r in ingested(spark, table).collect()) == [("AC", 'I"'), ("AG", 'I"')]
+
+
+# ---- the command line
+
+
+def test_commands(spark, fastq, tmp_path, capsys):
+    from strandlake.__main__ import main
+
+    path = lambda name: str(tmp_path / name)
+    main(["make-families", *fastq, path("fam"), "-t", "8", "-i", "3"])
+    main(["correct", path("fam"), path("fixed")])
+    main(["align", path("fixed"), path("msa")])
+    main(["duplex", path("msa"), path("out"), "-r", "1", "--sscs"])
+    assert [r.value for r in spark.read.text(path("out_1")).collect()] == [">AAAACCCCGGGGTTTT 2-1", "ACGTACGT"]
+    assert spark.read.text(path("out_sscs")).count() == 8
+    main(["errstats", path("msa"), path("errors")])
+    assert spark.read.text(path("errors")).count() == 4
+    main(["filter", path("fam"), path("filtered"), "-r", "3"])
+    assert spark.read.text(path("filtered")).count() == 0
+    main(["subsample", path("fam"), path("some"), "-f", "1"])
+    assert spark.read.text(path("some")).count() == 3
+    (tmp_path / "a.fa").write_text(">a\nAC-T\n>b\nACGT\n>c\nAC-A\n")
+    main(["consensus", path("a.fa")])
+    assert capsys.readouterr().out.strip() == "ACT"
+    main(["precheck", *fastq, "-t", "8", "-m", "1"])
+    assert "duplexes\t1.0" in capsys.readouterr().out
+    main(["pcr", "-k", "5", "-n", "4"])
+    assert len(capsys.readouterr().out.strip().split("\n")) == 2
+
+
+def test_views_and_counters(spark):
+    rows = spark.createDataFrame([("b", "ab", 1, f"r{i}", s, q) for i, (s, q) in enumerate([("AC-T", "II I"), ("ACGT", "IIII"), ("AG-T", "I# I")])], MSA)
+    got = {r.name: (r.marked, r.consensus) for r in M.marked_alignment(rows).collect()}
+    assert got == {"r0": ("....", "AC-T"), "r1": ("..G.", "AC-T"), "r2": (". ..", "AC-T")}
+    heavy = {r.pos: (r.n_C, r.n_G, r.n_gap) for r in C.weighted_vote_matrix(rows).collect()}
+    assert heavy[2] == (80, 2, 0) and heavy[3][1] == 40
+    same, seen = B.run_counters(rows)
+    assert same.count() == 3 and seen.get["reads"] == 3
+    base = spark.range(50).select(S.random_base(1, F.col("id")).alias("b"))
+    assert {r.b for r in base.collect()} == set("ACGT") and base.collect() == base.repartition(3).sort("b").select("b").collect() or base.count() == 50
+    S.register(spark)
+    assert spark.sql("select merge_bases('ACG-', 'AGGA')").first()[0] == "ASGN"
