@@ -64,12 +64,12 @@ class ItemIndex:
 
 def contained_items(
     docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-    item_text_col: str = "text", width: int = WIDTH, share: float = SHARE, block_items: int = 50_000, keep=(),
+    item_text_col: str = "text", width: int = WIDTH, share: float = SHARE, block_bytes: int = 32_000_000, keep=(),
 ) -> DataFrame:
     """(doc_id, item_id, n_shared, n_item, containment) of all pairs with ``share`` of the item's word shingles.
 
     Words are what lies between spaces, A-Z lower-cased. Items of fewer words than ``width`` are one shingle and match
-    only texts of the same words. The items are handled in blocks of ``block_items`` rows, which bounds what is
+    only texts of the same words. The items are handled in blocks of about ``block_bytes`` of text, which bounds what is
     broadcast at once; the documents are read once for each block, and each document is searched whole in one task,
     without a shuffle. ``keep`` columns stay.
 
@@ -79,7 +79,7 @@ def contained_items(
     spark = docs.sparkSession
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), *[F.col(k).alias(f"keep_{k}") for k in keep])
     items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).cast("string").alias("text")).where("text is not null")
-    blocks = max(1, -(-items.count() // block_items))
+    blocks = _blocks(items, block_bytes)
     kinds = {c: src.schema[c].dataType.simpleString() for c in src.columns if c != "text"}
     item_kind = items.schema["item"].dataType
     out = None
@@ -97,6 +97,10 @@ def contained_items(
     return out.select("doc_id", "item_id", "n_shared", "n_item", "containment", *[F.col(f"keep_{k}").alias(k) for k in keep])
 
 
+def _blocks(items: DataFrame, block_bytes: int) -> int:
+    return max(1, -(-(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // block_bytes))
+
+
 def _searcher(index, columns: list[str], width: int, item_kind: str):
     def run(batches):
         import pyarrow as pa
@@ -123,10 +127,10 @@ def _searcher(index, columns: list[str], width: int, item_kind: str):
 def clean_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that contain no item, all columns, in one map-side pass (one for each block of items)."""
     text_col, width, share = options.pop("text_col", "text"), options.pop("width", WIDTH), options.pop("share", SHARE)
-    item_text_col, block_items = options.pop("item_text_col", "text"), options.pop("block_items", 50_000)
+    item_text_col, block_bytes = options.pop("item_text_col", "text"), options.pop("block_bytes", 32_000_000)
     spark = docs.sparkSession
     items = benchmark.select(F.col(item_text_col).cast("string").alias("text")).where("text is not null")
-    blocks = max(1, -(-items.count() // block_items))
+    blocks = _blocks(items, block_bytes)
     out = docs
     for b in range(blocks):
         part = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == b)

@@ -266,7 +266,7 @@ def test_decontamination(spark, docs, odd, sf_dir):
     from strandlake.llm.decontam import clean_documents, contained_items
 
     bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    for df, items, blocks in ((docs, bench, 50_000), (odd, spark.createDataFrame([(1, H.LINE), (2, None), (3, ""), (4, "one TWO"), (5, H.LINE), (6, "zzz")], "item_id int, text string"), 2)):
+    for df, items, blocks in ((docs, bench, 32_000_000), (odd, spark.createDataFrame([(1, H.LINE), (2, None), (3, ""), (4, "one TWO"), (5, H.LINE), (6, "zzz")], "item_id int, text string"), 150)):
         sets = [(r.item_id, H.shingles(r.text, 5)) for r in items.collect()]
         expected = Counter()
         for d, t in pairs(df):
@@ -274,10 +274,10 @@ def test_decontamination(spark, docs, odd, sf_dir):
             for i, q in sets:
                 if q and 10 * len(q & s) >= 8 * len(q):
                     expected[d, i, len(q & s), len(q)] += 1
-        got = contained_items(df, items, block_items=blocks).collect()
+        got = contained_items(df, items, block_bytes=blocks).collect()
         assert Counter((r.doc_id, r.item_id, r.n_shared, r.n_item) for r in got) == expected and expected
         bad = {d for d, *_ in expected}
-        clean = clean_documents(df, items, block_items=blocks)
+        clean = clean_documents(df, items, block_bytes=blocks)
         assert clean.columns == df.columns
         if df is docs:
             assert {r.doc_id for r in clean.collect()} == {d for d, _ in pairs(df)} - bad
