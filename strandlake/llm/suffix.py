@@ -224,16 +224,25 @@ class SuffixFamily:
             discard(table)
 
 
+def in_bitmap(packed: np.ndarray, cells: np.ndarray) -> np.ndarray:
+    """Which cells are set in a bitmap of one bit a cell."""
+    return (packed[cells >> 3] >> (cells & 7).astype(np.uint8)) & np.uint8(1) != 0
+
+
+def add_to_bitmap(packed: np.ndarray, cells: np.ndarray) -> None:
+    np.bitwise_or.at(packed, cells >> 3, np.left_shift(np.uint8(1), (cells & 7).astype(np.uint8)))
+
+
 def _bitmap_of(bits: int, cells):
     """Tasks that mark the cells of their rows in a bitmap of fixed size, and one that joins the bitmaps."""
 
     def mark(batches):
         import pyarrow as pa
 
-        seen = np.zeros(1 << bits, bool)
+        seen = np.zeros((1 << bits) // 8, np.uint8)
         for batch in batches:
-            seen[cells(batch)] = True
-        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(seen).tobytes()], pa.binary())], ["bits"])
+            add_to_bitmap(seen, np.unique(cells(batch)))
+        yield pa.RecordBatch.from_arrays([pa.array([seen.tobytes()], pa.binary())], ["bits"])
 
     def join(batches):
         import pyarrow as pa
@@ -304,7 +313,7 @@ def _candidates(key_bits, length: int, room: int = 1_000_000):
     def run(batches):
         import pyarrow as pa
 
-        seen = np.unpackbits(np.frombuffer(key_bits.value, np.uint8)).view(bool)
+        seen = np.frombuffer(key_bits.value, np.uint8)
         fields = ["doc", "start", "stop", "key", "name"]
 
         def spill(held):
@@ -328,7 +337,7 @@ def _candidates(key_bits, length: int, room: int = 1_000_000):
         for whole in batches:
             for docs, data, offsets in _texts(whole):
                 key, at, lo, hi = anchors(data, offsets, length)
-                near = seen[(key >> np.uint64(64 - KEY_BITS)).astype(np.int64)]
+                near = in_bitmap(seen, (key >> np.uint64(64 - KEY_BITS)).astype(np.int64))
                 if not near.any():
                     continue
                 key, at, lo, hi = key[near], at[near], lo[near], hi[near] + length
@@ -386,13 +395,13 @@ def _open_texts(key_bits, id_bits, length: int):
     def run(batches):
         import pyarrow as pa
 
-        seen, wanted = (np.unpackbits(np.frombuffer(b.value, np.uint8)).view(bool) for b in (key_bits, id_bits))
+        seen, wanted = (np.frombuffer(b.value, np.uint8) for b in (key_bits, id_bits))
         for whole in batches:
             for docs, data, offsets in _texts(whole):
                 key, at, lo, hi = anchors(data, offsets, length)
-                near = np.flatnonzero(seen[(key >> np.uint64(64 - KEY_BITS)).astype(np.int64)])
+                near = np.flatnonzero(in_bitmap(seen, (key >> np.uint64(64 - KEY_BITS)).astype(np.int64)))
                 row = np.searchsorted(offsets, at[near], "right") - 1
-                ok = wanted[_id_cell(docs[row], lo[near] - offsets[row])]
+                ok = in_bitmap(wanted, _id_cell(docs[row], lo[near] - offsets[row]))
                 near, row = near[ok], row[ok]
                 if not len(near):
                     continue
@@ -549,10 +558,10 @@ def _only(bits):
     def run(batches):
         import pyarrow as pa
 
-        seen = np.unpackbits(np.frombuffer(bits.value, np.uint8)).view(bool)
+        seen = np.frombuffer(bits.value, np.uint8)
         for batch in batches:
             if batch.num_rows:
-                yield batch.filter(pa.array(seen[_doc_cells(batch)]))
+                yield batch.filter(pa.array(in_bitmap(seen, _doc_cells(batch))))
 
     return run
 
