@@ -29,7 +29,8 @@ JUNK = frozenset(
     "consent gdpr notice notices alert comment comments commentlist disqus reply replies respond discussion sidebar "
     "sidenav widget widgets related recommended recommendations share sharing social newsletter subscribe subscription "
     "signup popup modal overlay breadcrumb breadcrumbs pagination pager nav navbar navigation menu menubar toolbar "
-    "footer masthead topbar login search searchform skip".split()
+    "footer masthead topbar login search searchform skip responses feedback notification notifications announcement toast "
+    "disclaimer".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar".split())
 WHOLE = frozenset("html body article main".split())
@@ -46,11 +47,15 @@ CLOSES = {
 _P_KEEPS = frozenset("table td th button object caption li body html article main section div aside nav".split())
 
 
-def _junk(tag: str, attrs: str) -> bool:
+def _junk(tag: str, attrs: str, inside: bool) -> bool:
     for name, a, b, c in _ATTR.findall(attrs):
-        name, value = name.lower(), (a or b or c).lower()
-        if name in ("class", "id") and tag not in WHOLE and not JUNK.isdisjoint(re.split(r"[\s_-]+", value)):
-            return True
+        name, raw = name.lower(), a or b or c
+        value = raw.lower()
+        if name in ("class", "id") and tag not in WHOLE:
+            parts = re.split(r"[\s_-]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", raw).lower())
+            # A page's header goes; an article's own may hold its title.
+            if not JUNK.isdisjoint(parts) or "header" in parts and not inside:
+                return True
         if name == "role" and value in ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
             return True
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
@@ -69,7 +74,7 @@ class _Tree:
     def _open(self, tag: str, attrs: str) -> int:
         top = self.stack[-1]
         inside = self.inside[top] or self.tag[top] in ("article", "main")
-        drop = self.drop[top] or tag in DROP or bool(attrs.strip()) and _junk(tag, attrs)
+        drop = self.drop[top] or tag in DROP or bool(attrs.strip()) and _junk(tag, attrs, inside)
         if tag == "header" and not inside:
             drop = True
         if self.tag[top] == "header" and tag not in HEADINGS and tag not in ("hgroup", "div", "header"):

@@ -507,7 +507,7 @@ def test_extraction_leaves_out_what_is_not_the_article():
 @pytest.mark.parametrize(
     ("page", "text"),
     [(None, ""), ("", ""), ("plain, text", "plain, text"), ("<p>cut off <b>here", "cut off here"), ("a < b <", "a < b <"), ("<p>a</p", "a"),
-     ("<!-- only --><script>x", ""), ("<div>" * 3000 + "deep" + "</div>" * 10, "deep"), ("<p>&#228;&nbsp;&lt;x&gt;\n b</p>", "ä <x> b"), ("<p title='a>b'>c</p>", "c")],
+     ("<!-- only --><script>x", ""), ("<div class=siteHeader>Top</div><article><div class=post-header><h1>T</h1></div><p>a</p></article>", "T a"), ("<div>" * 3000 + "deep" + "</div>" * 10, "deep"), ("<p>&#228;&nbsp;&lt;x&gt;\n b</p>", "ä <x> b"), ("<p title='a>b'>c</p>", "c")],
 )
 def test_extraction_of_broken_pages(page, text):
     from strandlake.llm.html import main_text
