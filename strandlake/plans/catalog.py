@@ -13,6 +13,7 @@ from strandlake.operators import msa as M
 from strandlake.operators import qc as Q
 from strandlake.operators import simulate as I
 from strandlake.operators.align import ALIGNMENT_TYPE, align_pairs
+from strandlake.operators.scratch import materialise, scratch_path
 from strandlake.sources import readers as R
 from strandlake.sources import writers as W
 
@@ -212,6 +213,71 @@ def family_lines(spark, sf_dir):
     return df.select("barcode", F.col("order").alias("ord"), "name1", F.concat_ws("\t", *R.FAMILY_COLUMNS).alias("value"))
 
 
+@_query("select barcode, ord, name1, seq1, qual1, name2, seq2, qual2 from reads")
+def fastq_to_families(spark, sf_dir):
+    """The pairs written as two FASTQ files, read back by record and made into families."""
+    pairs, paths = D.raw_pairs(spark, sf_dir), []
+    for k in (1, 2):
+        record = F.concat(F.lit("@"), f"name{k}", F.lit("\n"), f"seq{k}", F.lit("\n+\n"), f"qual{k}")
+        paths.append(scratch_path(spark, f"fastq{k}"))
+        pairs.select(record.alias("value")).write.text(paths[-1])
+    return _ord(B.make_families(R.read_pairs(spark, *paths)))
+
+
+@_query("select barcode, ord, mate, name, seq, qual from msa")
+def msa_round_trip(spark, sf_dir):
+    """Aligned families written as text and read back; gaps' qualities are spaces that must stay."""
+    path = scratch_path(spark, "msa")
+    W.write_lines(W.msa_lines(D.msa(spark, sf_dir)), path)
+    return _ord(R.read_msa(spark, path))
+
+
+@_query(_QUAL + _CALL + " select barcode || '.' || ord || '.' || mate || ' ' || n_reads as name, barcode || '.' || ord || '.' || mate id, replace(gapped, '-', '') seq from s")
+def fasta_round_trip(spark, sf_dir):
+    """Consensus sequences written as FASTA and read back as records."""
+    path = scratch_path(spark, "fasta")
+    W.write_lines(W.sscs_fasta(C.single_strand(D.msa(spark, sf_dir))), path)
+    return R.read_fasta(spark, path).select("name", "id", "seq")
+
+
+@_query("""with a as (select cast(l_orderkey as varchar) qname, cast(l_partkey as varchar) rname, l_suppkey % 3 = 0 reversed, cast(l_suppkey % 8 as int) flag,
+  cast(l_linenumber as int) pos, cast(l_quantity as int) mapq, cast(l_partkey % 4 as int) nm from lineitem)
+select qname, rname, reversed, flag, pos, mapq, nm from a where flag & 4 = 0 and abs(pos - 1) <= 2 and mapq >= 20 and nm <= 1""")
+def sam_filters(spark, sf_dir):
+    """Lines of an alignment file made of the lines of orders, read with the default filters."""
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    text = lambda c: c.cast("string")
+    target = F.concat(text(F.col("l_partkey")), F.when(F.col("l_suppkey") % 3 == 0, ":rev").otherwise(""))
+    fields = [
+        text(F.col("l_orderkey")), text(F.col("l_suppkey") % 8), target, text(F.col("l_linenumber")), text(F.col("l_quantity").cast("int")), F.lit("24M"),
+        F.lit("*"), F.lit("0"), F.lit("0"), F.lit("ACGT"), F.lit("IIII"), F.lit("AS:i:7"), F.concat(F.lit("NM:i:"), text(F.col("l_partkey") % 4)),
+    ]
+    path = scratch_path(spark, "sam")
+    rows.select(F.concat_ws("\t", *fields).alias("value")).write.text(path)
+    return R.read_alignments(spark, path)
+
+
+_WEIGHED = _QUAL.split(",\nv as")[0] + f""", v as (select barcode, ord, mate, pos, base, case when base = '-' then ({_SIDE}) // ({_SIDE_W}) else ascii(substr(qual, pos, 1)) end - 33 q from w)"""
+
+
+@_query(_WEIGHED + " select barcode, ord, mate, pos, " + ", ".join(f"cast(coalesce(sum(q) filter (base = '{b}'), 0) as bigint) n_{n}" for b, n in zip("ACGTN-", ("A", "C", "G", "T", "N", "gap"))) + " from v where base in ('A','C','G','T','N','-') group by all")
+def vote_matrix_weighted(spark, sf_dir):
+    return _ord(C.weighted_vote_matrix(D.msa(spark, sf_dir)))
+
+
+@_query("""with c as (select alpha, beta, count(*) n from reads group by 1, 2), b as (select c.n, d.n m from c left join c d on c.alpha = d.beta and c.beta = d.alpha),
+x as (select cast(sum(n) as double) pairs, cast(count(*) as double) barcodes, cast(count(*) filter (n = 1) as double) singletons, cast(count(*) filter (n >= 3) * 2 as double) passed from b)
+select 'pairs' stat, pairs as value from x union all select 'barcodes', barcodes from x union all select 'singletons', singletons from x union all select 'passed_sscs', passed from x""")
+def precheck_report(spark, sf_dir):
+    tags = D.reads(spark, sf_dir).select(F.col("alpha").alias("tag1"), F.col("beta").alias("tag2"))
+    return B.precheck_report(B.precheck(tags)).where("stat in ('pairs', 'barcodes', 'singletons', 'passed_sscs')")
+
+
+@_query()
+def marked_alignment(spark, sf_dir):
+    return _ord(M.marked_alignment(D.msa(spark, sf_dir)))
+
+
 # ---- scalar functions
 
 
@@ -356,7 +422,26 @@ def rescued_families(spark, sf_dir):
 # ---- quality control
 
 
-@_query()
+_ERRORS = """with r as (select *, row_number() over (partition by barcode, ord, mate order by name, seq, qual) rn from msa),
+c as (select barcode, ord, mate, rn, p, substr(seq, p, 1) base, nullif(substr(qual, p, 1), ' ') q from r, (select unnest(range(1, 33)) p)),
+l as (select *, last_value(q ignore nulls) over (partition by barcode, ord, mate, p order by rn) above,
+      last_value(q ignore nulls) over (partition by barcode, ord, mate, p order by rn rows between unbounded preceding and unbounded following) final from c),
+f as (select distinct barcode, ord, mate, p + 1 p, coalesce(final, '~') final from l),
+k as (select l.*, coalesce(l.above, f.final, '~') q1, coalesce(l.above, '~') q2 from l left join f on f.barcode = l.barcode and f.ord = l.ord and f.mate = l.mate and f.p = l.p),
+v as (select barcode, ord, mate, p, base, count(*) n from k where q1 >= '5' group by all),
+tt as (select barcode, ord, mate, p, max(n) top from v group by all),
+w as (select tt.barcode, tt.ord, tt.mate, tt.p, case when count(*) = 1 then min(v.base) else 'N' end cons from tt join v on v.barcode = tt.barcode and v.ord = tt.ord and v.mate = tt.mate and v.p = tt.p and v.n = tt.top group by all),
+a as (select g.barcode, g.ord, g.mate, g.p, coalesce(w.cons, 'N') cons from (select distinct barcode, ord, mate, p from c) g left join w on w.barcode = g.barcode and w.ord = g.ord and w.mate = g.mate and w.p = g.p),
+e as (select k.barcode, k.ord, k.mate, k.rn, count(*) filter (q2 >= '5' and base <> cons) n from k join a on a.barcode = k.barcode and a.ord = k.ord and a.mate = k.mate and a.p = k.p group by all),
+o as (select v.*, position(base in 'ACGT-N') o from v join a on a.barcode = v.barcode and a.ord = v.ord and a.mate = v.mate and a.p = v.p where base <> cons),
+x as (select barcode, ord, mate, count(*) n_reads, string_agg(cast(n as varchar), ',' order by rn) errors from e group by all),
+y as (select barcode, ord, mate, count(*) filter (n > 1) repeat_errors, string_agg(cast(n as varchar), ',' order by p, o) repeat_votes from o group by all),
+z as (select barcode, ord, mate, string_agg(cons, '' order by p) consensus from a group by all)
+select x.barcode, x.ord, x.mate - 1 mate, n_reads, coalesce(repeat_errors, 0) repeat_errors, errors, coalesce(repeat_votes, '') repeat_votes, consensus
+from x join z on z.barcode = x.barcode and z.ord = x.ord and z.mate = x.mate left join y on y.barcode = x.barcode and y.ord = x.ord and y.mate = x.mate"""
+
+
+@_query(_ERRORS)
 def errstats(spark, sf_dir):
     rows = _ord(Q.error_statistics(D.msa(spark, sf_dir), 20))
     text = lambda c: F.array_join(F.col(c).cast("array<string>"), ",").alias(c)
@@ -370,10 +455,16 @@ def diffs_frac(spark, sf_dir):
     return D.reads(spark, sf_dir).select("name1", "gseq", F.round(share, 6).alias("diffs"))
 
 
-@_query()
+@_query("""with r as (select k family, cast('0x' || substr(md5(name1 || gseq), 1, 12) as bigint) as row, barcode, name1 as name, gseq seq, s0 from reads),
+n as (select *, row_number() over (partition by family order by row) rn from r),
+c as (select family, row, rn, barcode, name, seq, p, substr(s0, p, 1) x, substr(seq, p, 1) y from n, (select unnest(range(1, 33)) p)),
+g as (select *, coalesce(lag(y = '-' or x = '-') over (partition by family order by rn, p), false) before from c),
+b as (select family, row, rn, barcode, name, seq, (p - 1) // 4 bin, cast(count(*) filter (x <> y and ((x <> '-' and y <> '-') or not before)) as double) / 4 share from g group by all)
+select family, row, barcode, name, seq, string_agg(cast(share as varchar), ',' order by bin) bins from b group by family, row, rn, barcode, name, seq""")
 def diffs_binned(spark, sf_dir):
+    number = F.conv(F.substr(F.md5(F.concat("name1", "gseq")), F.lit(1), F.lit(12)), 16, 10).cast("long")
     rows = D.reads(spark, sf_dir).select(
-        F.col("k").alias("family"), F.xxhash64("name1", "gseq").alias("row"), "barcode", F.col("name1").alias("name"), F.col("gseq").alias("seq"), F.col("s0").alias("consensus")
+        F.col("k").alias("family"), number.alias("row"), "barcode", F.col("name1").alias("name"), F.col("gseq").alias("seq"), F.col("s0").alias("consensus")
     )
     return Q.differences_binned(rows, 8).withColumn("bins", F.array_join(F.col("bins").cast("array<string>"), ","))
 
@@ -460,8 +551,6 @@ def simulate(spark, sf_dir):
 @_query()
 def sim_check(spark, sf_dir):
     """Simulated reads through families, alignment, duplex calls and comparison with their fragments."""
-    from strandlake.operators.scratch import materialise
-
     reads = materialise(_simulated(spark, sf_dir), "simulated")
     fam = materialise(B.make_families(reads), "families")
     called = C.duplex(M.align_families(fam), min_reads=2)
