@@ -6,7 +6,8 @@ import gc
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 _own_dir: list[str] = []
 
@@ -47,3 +48,34 @@ def release(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of finished plans now: it does so when the driver collects its garbage."""
     gc.collect()
     spark._jvm.System.gc()
+
+
+def with_places(table: DataFrame) -> DataFrame:
+    """Adds ``file`` (rank of the file's path) and ``line`` (row in the file, from 0) to a table read from files.
+
+    Each split of a file counts its rows, running sums over the splits give where it starts, and the place in the split
+    comes from the row ids that Spark deals out in reading order. Only the counts, a row for each split, are sorted.
+    """
+    columns = table.columns
+    rows = table.select(
+        *columns, F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_id"),
+    )
+    splits = rows.groupBy("_path", "_block").agg(F.min("_id").alias("_first"), F.count("*").alias("_n"))
+    before = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select(
+        F.col("_path").alias("_p"), F.col("_block").alias("_b"), "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"),
+        (F.dense_rank().over(Window.orderBy("_path")) - 1).cast("long").alias("file"),
+    )
+    out = rows.join(splits, (F.col("_path") == F.col("_p")) & (F.col("_block") == F.col("_b")))
+    return out.select(*columns, "file", (F.col("_base") + F.col("_id") - F.col("_first")).alias("line"))
+
+
+def ranked(df: DataFrame, *order, label: str = "ranked") -> DataFrame:
+    """Adds ``rank`` (from 0) in the order of ``order``: sorted into files by ranges, then numbered file after file."""
+    columns = df.columns
+    placed = with_places(materialise(df.orderBy(*order), label))
+    sizes = placed.groupBy("file").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    bases = sizes.select(F.col("file").alias("_f"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    return placed.join(bases, F.col("file") == F.col("_f")).select(*columns, (F.col("_base") + F.col("line")).alias("rank"))

@@ -1,7 +1,7 @@
 """Readers of sequencing files as DataFrames.
 
 Line formats are read with Spark's text source, so they split and push down like any table; record numbers come from
-the order of lines within files. Formats whose records span any number of lines are parsed file by file in Arrow
+the places of lines in their files. Formats whose records span any number of lines are parsed file by file in Arrow
 batches, one record at a time.
 """
 
@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandlake.operators.scratch import with_places
+
 FAMILY_COLUMNS = ("barcode", "order", "name1", "seq1", "qual1", "name2", "seq2", "qual2")
 MSA_COLUMNS = ("barcode", "order", "mate", "name", "seq", "qual")
 
@@ -19,12 +21,8 @@ class FormatError(ValueError):
 
 
 def _lines(spark: SparkSession, path) -> DataFrame:
-    """(line, value) in file order over the files of ``path``; the byte order within a file gives the numbers.
-
-    The numbering is Spark's indexed pass over partitions: a count of each partition, then numbers; no shuffle.
-    """
-    text = spark.read.text(path)
-    return text.rdd.zipWithIndex().map(lambda x: (x[1], x[0][0])).toDF("line long, value string")
+    """(file, line, value): the rank of the file's path, the line's place in it, and the line."""
+    return with_places(spark.read.text(path))
 
 
 def _bare(c: Column) -> Column:
@@ -33,8 +31,12 @@ def _bare(c: Column) -> Column:
 
 
 def read_fastq_lines(spark: SparkSession, path) -> DataFrame:
-    """(rec, name, seq, qual) of a FASTQ file with four lines a record; blank lines at the end are left out."""
-    lines = _lines(spark, path).select((F.col("line") / 4).cast("long").alias("rec"), (F.col("line") % 4).alias("k"), _bare(F.col("value")).alias("v"))
+    """(rec, name, seq, qual) of FASTQ files with four lines a record; blank lines at the end are left out.
+
+    ``rec`` has the rank of the file in its upper bits and the record's place in the file in the lower 40.
+    """
+    place = F.shiftleft("file", 40) + F.shiftright("line", 2)
+    lines = _lines(spark, path).select(place.alias("rec"), (F.col("line") % 4).alias("k"), _bare(F.col("value")).alias("v"))
     part = lambda k: F.max(F.when(F.col("k") == k, F.col("v")))
     rows = lines.groupBy("rec").agg(part(0).alias("head"), part(1).alias("seq"), part(3).alias("qual"))
     return rows.where("head like '@%' and qual is not null").select("rec", F.substr("head", F.lit(2)).alias("name"), "seq", "qual")
@@ -73,7 +75,7 @@ def read_msa(spark: SparkSession, path) -> DataFrame:
 
 def read_marked_msa(spark: SparkSession, path) -> DataFrame:
     """(family, row, barcode, name, seq, consensus): three columns, each family led by a row named CONSENSUS."""
-    lines = _lines(spark, path).select("line", F.split(_bare(F.col("value")), "\t").alias("p")).where("size(p) = 3")
+    lines = _lines(spark, path).select((F.shiftleft("file", 40) + F.col("line")).alias("line"), F.split(_bare(F.col("value")), "\t").alias("p")).where("size(p) = 3")
     rows = lines.select("line", F.get("p", F.lit(0)).alias("barcode"), F.get("p", F.lit(1)).alias("name"), F.get("p", F.lit(2)).alias("seq"))
     heads = rows.where("name = 'CONSENSUS'").select("barcode", F.col("line").alias("family"), F.col("seq").alias("consensus"))
     # A member belongs to the last head before it; heads of one barcode are few, members find theirs by barcode.

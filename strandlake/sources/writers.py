@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strandlake.operators.scratch import ranked
+
 from .readers import FAMILY_COLUMNS, MSA_COLUMNS
 
 
@@ -53,10 +55,10 @@ def pair_mates(sscs: DataFrame) -> DataFrame:
 def barcode_fasta(families: DataFrame) -> DataFrame:
     """(num, barcode): distinct barcodes numbered from 1 in order.
 
-    Numbers come from a range partitioning and the partitions' counts, not from one sorted task.
+    Numbers come from a range partitioning and the files' counts, not from one sorted task.
     """
-    ranked = families.select("barcode").distinct().orderBy("barcode").rdd.zipWithIndex()
-    return ranked.map(lambda x: (x[1] + 1, x[0][0])).toDF("num long, barcode string")
+    rows = ranked(families.select("barcode").distinct(), "barcode", label="barcodes")
+    return rows.select((F.col("rank") + 1).alias("num"), "barcode")
 
 
 def barcode_references(barcodes: DataFrame) -> DataFrame:
