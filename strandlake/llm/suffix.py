@@ -13,6 +13,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strandlake.operators.scratch import ranked
+
 from .common import discard, materialise, release, slices
 
 K = 24
@@ -469,10 +471,8 @@ def _unique_ids(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     narrow = hashed.select("doc_id", "h").distinct()
     if not narrow.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 or doc_id is null").limit(1).count():
         return docs.select(F.col("doc_id").alias("doc"), "text"), None
-    ranked = narrow.orderBy(F.col("doc_id").asc_nulls_last(), "h").rdd.zipWithIndex()
-    names = materialise(
-        ranked.map(lambda x: (x[1], x[0][0], x[0][1])).toDF("doc long, own long, h long"), "suffix-names"
-    )
+    named = ranked(narrow, F.col("doc_id").asc_nulls_last(), "h", label="suffix-order")
+    names = materialise(named.select(F.col("rank").alias("doc"), F.col("doc_id").alias("own"), "h"), "suffix-names")
     joined = hashed.join(names, hashed.doc_id.eqNullSafe(names.own) & (hashed.h == names.h)).select("doc", "text", "doc_id")
     joined = materialise(joined, "suffix-documents")
     return joined.select("doc", "text"), joined
