@@ -308,15 +308,31 @@ def _resolve(num: int, den: int):
         for sig, raw in zip(table.column("sig").to_pylist(), table.column("grams").to_pylist()):
             sets.setdefault(sig, np.frombuffer(raw, np.uint64))
         found = linked_forest(list(sets), list(sets.values()), num, den, [label[s] for s in sets])
-        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+        stars = star_edges(found)
+        return pa.table({"a": pa.array([a for a, _ in stars], pa.int64()), "b": pa.array([b for _, b in stars], pa.int64())})
 
     return run
 
 
-def _cluster_links(sets: DataFrame, clusters: DataFrame, num: int, den: int, block: int) -> DataFrame:
-    """(a, b): links that span the components of every cluster; no task holds more than two blocks of a cluster.
+def star_edges(links: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """(smallest node, node) for every other node of the components of ``links``."""
+    parent: dict[int, int] = {}
 
-    Clusters up to ``block`` are settled whole. Of larger ones, blocks drawn by a hash are settled first, twice, with
+    def find(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    for a, b in links:
+        a, b = sorted((find(a), find(b)))
+        parent[b] = a
+    return [(find(x), x) for x in parent if find(x) != x]
+
+
+def _cluster_parts(sets: DataFrame, clusters: DataFrame, num: int, den: int, block: int) -> DataFrame:
+    """(node, component) of the sets that links join to a smaller one; no task holds more than two blocks of a cluster.
+
+    Clusters up to ``block`` are settled whole, which gives their components at once. Of larger ones, blocks drawn by a hash are settled first, twice, with
     what is connected by then skipped: a dense group becomes one part at a cost in proportion to its size. What is
     still outside a cluster's largest part is then held, block by block, against the whole cluster, so that no link
     between parts is missed.
@@ -335,7 +351,8 @@ def _cluster_links(sets: DataFrame, clusters: DataFrame, num: int, den: int, blo
     links = materialise(settle(members.select("component", drawn(0).alias("i"), zero.alias("j"), "sig", F.col("sig").alias("label"), "grams")), "jaccard-links")
     large = members.where("blocks > 1")
     if not large.limit(1).count():
-        return links
+        discard(members)
+        return links.select(F.col("b").alias("node"), F.col("a").alias("component"))
 
     def labelled(links: DataFrame) -> DataFrame:
         parts = connected_components(links.join(large.select(F.col("sig").alias("a")), "a", "left_semi"), "jaccard-parts")
@@ -356,7 +373,9 @@ def _cluster_links(sets: DataFrame, clusters: DataFrame, num: int, den: int, blo
     every = rows.select("component", F.explode(F.sequence(F.lit(0), F.col("outer_blocks") - 1)).alias("i"), F.col("own").alias("j"), "sig", "label")
     outer = rows.where("outer").select("component", F.col("r").alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), "sig", "label")
     last = settle(every.unionByName(outer).distinct().join(grams, "sig"))
-    return links.unionByName(materialise(last, "jaccard-links"))
+    links = links.unionByName(materialise(last, "jaccard-links"))
+    discard(members)
+    return connected_components(links, "jaccard-components")
 
 
 def _components(docs: DataFrame, id_col: str, text_col: str, width: int, share: tuple[int, int], window: int, block: int) -> DataFrame:
@@ -394,9 +413,7 @@ def _components(docs: DataFrame, id_col: str, text_col: str, width: int, share:
     bits = seen.first()
     bits = spark.sparkContext.broadcast(bits[0] if bits else bytes((1 << SEEN_BITS) // 8))
     sets = src.mapInArrow(_sets(width, bits), "sig long, grams binary").groupBy("sig").agg(F.first("grams").alias("grams"))
-    links = _cluster_links(sets, clusters, num, den, block)
-
-    parts = connected_components(links, "jaccard-components")
+    parts = _cluster_parts(sets, clusters, num, den, block)
     classes = rows.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("least"))
     labelled = classes.join(parts, classes.sig == parts.node, "left").withColumn("c", F.coalesce("component", "sig"))
     # A table of its own, so that the join can split a component with very many classes.
@@ -411,7 +428,7 @@ def _components(docs: DataFrame, id_col: str, text_col: str, width: int, share:
 
 def near_duplicates(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, share: tuple[int, int] = (80, 100),
-    window: int = 32, block: int = 512,
+    window: int = 32, block: int = 2048,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row.
 
@@ -437,7 +454,7 @@ def near_duplicates(
 
 def keep_one(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, share: tuple[int, int] = (80, 100),
-    window: int = 32, block: int = 512,
+    window: int = 32, block: int = 2048,
 ) -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each component the row with the smallest id stays.
 
