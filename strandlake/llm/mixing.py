@@ -100,7 +100,7 @@ def mix_sources(
 ) -> tuple[DataFrame, DataFrame]:
     """(documents, pieces) of a mix of the sources to their targets.
 
-    Each source's documents are shuffled (by a hash of id, then of the text) and laid end to end, ``cap`` times over. The line is cut
+    Each source's documents are shuffled (by a hash of the id, of the text if it is null) and laid end to end, ``cap`` times over. The line is cut
     into blocks of equal numbers of words; slot after slot the schedule takes the next block of the source it
     draws. ``pieces`` are (slot, doc_key, doc_id, words): the stretch of a document that falls into a slot's block.
     ``documents`` has doc_key, doc_id, source, size, source_size, target and taken, and the columns in ``keep``.
@@ -125,9 +125,11 @@ def mix_sources(
     slots = int((total or 0) // block)
 
     # Shuffled order within a source, by two levels of prefix sums: buckets of the hash, then rows of a bucket.
-    buckets = max(1, n_docs // 2048)
-    mixed = sized.where("size > 0").withColumn("h", F.md5(F.concat_ws("-", F.col("doc_id").cast("string"), F.lit("mix"))))
-    mixed = mixed.withColumn("b", F.pmod(F.xxhash64("h", "text_hash"), F.lit(buckets)))
+    buckets = max(1, n_docs // 512)
+    name = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text"), F.col("text_hash").cast("string")))
+    mixed = sized.where("size > 0").withColumn("h", F.md5(F.concat_ws("-", name, F.lit("mix"))))
+    # Buckets are stretches of the hash, so the order by bucket and hash is the order by hash.
+    mixed = mixed.withColumn("b", F.shiftright(F.conv(F.substr("h", F.lit(1), F.lit(7)), 16, 10).cast("long") * buckets, 28))
     sums = mixed.groupBy("source", "b").agg(F.sum("size").alias("n"))
     upto = Window.partitionBy("source").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select(
