@@ -453,8 +453,10 @@ def test_reference_mutations(spark):
 
 
 def test_lineages_have_one_root():
-    tree = I.build_lineage(random.Random(2), 9, 12)
-    assert sum(p < 0 for p in tree.parent) == 1 and len(tree.leaves) == 9
+    for seed in range(200):
+        tree = I.build_lineage(random.Random(seed), 1 + seed % 60, 12)
+        assert sum(p < 0 for p in tree.parent) == 1 and len(tree.leaves) == 1 + seed % 60
+        assert max(tree.parent.count(p) for p in set(tree.parent)) <= 2
     for node, parent in enumerate(tree.parent):
         assert parent < 0 or tree.cycle[parent] == tree.cycle[node] - 1
 
