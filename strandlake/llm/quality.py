@@ -140,8 +140,8 @@ def quality_rules(
     """Base statistics, base_failed, distance2 and kept of every row, with the columns in ``keep``.
 
     base_failed: under 10 words, or over 20% of the words in 5-word windows that the text repeats. Rows that pass
-    are measured in their (language, source) group; groups under ``min_group`` rows are pooled by language, and
-    languages under it together. A minimum-covariance-determinant estimate is made of each group: from medians and
+    are measured in their (language, source) group; those of groups under ``min_group`` rows against all rows of their
+    language, and those of languages under it against all rows. A minimum-covariance-determinant estimate is made of each group: from medians and
     median deviations, ``steps`` concentration steps on the ``half`` of the rows nearest to the centre, then one
     reweighting step. A row is kept if its squared Mahalanobis distance is within the chi-square quantile that
     leaves ``tail``. Each covariance has a fixed floor, so a constant statistic can't make small differences large.
@@ -163,16 +163,18 @@ def quality_rules(
     # Groups are named by JSON, which tells null from any text.
     counts = stats.where("not base_failed").groupBy("_lang", "_source").agg(F.count("*").alias("n"))
     total = counts.groupBy("_lang").agg(F.sum("n").alias("n_lang")).withColumnRenamed("_lang", "l")
+    pair, lang, every = F.to_json(F.array("_lang", "_source")), F.to_json(F.array("_lang")), F.lit("[]")
     named = counts.join(total, counts._lang.eqNullSafe(total.l)).select(
-        "_lang", "_source",
-        F.when(F.col("n") >= min_group, F.to_json(F.array("_lang", "_source")))
-        .when(F.col("n_lang") >= min_group, F.to_json(F.array("_lang")))
-        .otherwise("[]").alias("grp"),
+        "_lang", "_source", F.array(pair, lang, every).alias("levels"),
+        F.when(F.col("n") >= min_group, pair).when(F.col("n_lang") >= min_group, lang).otherwise(every).alias("grp"),
     )
     named = materialise(named.coalesce(1), "quality-groups")
     own = named.select(F.col("_lang").alias("l"), F.col("_source").alias("s"), "grp")
+    # A row is judged in one group, but is part of the estimate of each level around it that judges any row.
+    feeds = named.select(F.col("_lang").alias("l"), F.col("_source").alias("s"), F.explode("levels").alias("grp"))
+    feeds = feeds.join(named.select("grp").distinct(), "grp", "left_semi")
     fit = stats.where("not base_failed").join(
-        own, stats._lang.eqNullSafe(own.l) & stats._source.eqNullSafe(own.s)
+        feeds, stats._lang.eqNullSafe(feeds.l) & stats._source.eqNullSafe(feeds.s)
     ).select("grp", *[f"x_{a}" for a in DIMS])
 
     d = len(DIMS)

@@ -98,6 +98,19 @@ def test_quality_rules_find_junk(spark):
     assert all(good) and np.mean(bad) < 0.1
 
 
+def test_quality_rules_judge_thin_sources_by_language(spark):
+    from strandlake.llm.quality import quality_rules
+
+    good = [" ".join(f"{'abcdefgh'[(i * 7 + j) % 8] * (3 + (i * j + j) % 4)}{i}{j}" for j in range(100 + i % 50)) for i in range(300)]
+    junk = " ".join("#$%&*|<>" * 5 + str(j) for j in range(60))
+    data = [(i, t, "en", "web", *[None] * 7) for i, t in enumerate(good)]
+    data += [(900, junk, "en", "thin", *[None] * 7), (901, good[3] + " x", "en", "thin", *[None] * 7), (902, junk, "fr", "lone", *[None] * 7), (903, good[5] + " x", "fr", "lone", *[None] * 7)]
+    got = {r.doc_id: r for r in quality_rules(H.table(spark, data)).collect()}
+    assert len(got) == len(data) and not any(r.base_failed for r in got.values())
+    assert all(got[i].kept for i in range(300)) and got[901].kept and got[903].kept
+    assert not got[900].kept and not got[902].kept
+
+
 def test_chi_square_functions():
     from strandlake.llm.quality import chi2_cdf, chi2_quantile
 
