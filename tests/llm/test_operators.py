@@ -258,6 +258,40 @@ def test_pseudo_likelihood_held_out(spark):
     assert ordered > np.log(1 / 5) and ordered > mixed + 0.5
 
 
+@pytest.mark.parametrize("known", [1 << 17, 1200])
+def test_pseudo_likelihood_of_rare_words(spark, monkeypatch, known):
+    """Rarer words score below common ones and by their own counts, whether these are broadcast or joined."""
+    from strandlake.llm import lm
+
+    monkeypatch.setattr(lm, "KNOWN", known)
+    common, often, rare = ([f"{k}{i}" for i in range(n)] for k, n in (("c", 960), ("o", 1000), ("r", 2000)))
+    texts = [" ".join(common[(i * 13 + j * 7) % 960] for j in range(500)) for i in range(40)]
+    texts += [" ".join(often) for _ in range(6)] + [" ".join(rare[:1000]), " ".join(rare[1000:])]
+    df = H.table(spark, [(i, t, *[None] * 9) for i, t in enumerate(texts)])
+    got = {r.doc_id: r for r in lm.pseudo_likelihood(df.repartition(1).sortWithinPartitions("doc_id")).collect()}
+    assert [got[i].n_tokens for i in range(len(texts))] == [len(t.split()) for t in texts]
+    assert got[0].mean_log_likelihood > got[40].mean_log_likelihood > got[46].mean_log_likelihood + 1
+    assert got[46].mean_log_likelihood < np.log(1 / 1000)
+    monkeypatch.setattr(lm, "KNOWN", 1 << 17)
+    held = {r.doc_id: r for r in lm.pseudo_likelihood(df.repartition(1).sortWithinPartitions("doc_id")).collect()}
+    assert all(abs(held[d].log_likelihood - got[d].log_likelihood) < 1e-3 for d in got)
+
+
+def test_training_reaches_every_token(monkeypatch):
+    from strandlake.llm import lm
+
+    class Start:
+        value = lm.Network().flat
+
+    import pyarrow as pa
+    import pyspark
+
+    monkeypatch.setattr(pyspark, "TaskContext", type("T", (), {"get": staticmethod(lambda: type("C", (), {"partitionId": lambda s: 0})())}))
+    batch = pa.RecordBatch.from_arrays([pa.array([np.arange(100, dtype=np.uint16).tobytes()], pa.binary())], ["ids"])
+    seen = [next(lm._train(Start, 6, range(r, 6, 2), 0.1, 16)([batch])).column("tokens")[0].as_py() for r in range(2)]
+    assert sum(seen) == 100
+
+
 def test_gradients_are_derivatives():
     from strandlake.llm.lm import Network, windows
 
