@@ -414,6 +414,14 @@ def test_shared_kmers(spark):
     assert all(0 <= r.similarity <= 1 for r in groups) and {r.barcode for r in groups} == {r.barcode for r in fam.collect()}
 
 
+def test_a_large_set_of_a_kmer_has_one_consensus(spark):
+    rng = random.Random(4)
+    bars = sorted({"AAAAA" + "".join(rng.choice("ACGT") for _ in range(2)) + "GGG" for _ in range(60)})
+    kmers = spark.createDataFrame([(0, "AAAAA", bars)], "half int, kmer string, barcodes array<string>")
+    whole, parts = sorted(Q.fuzzy_groups(kmers).collect()), sorted(Q.fuzzy_groups(kmers, most=3).collect())
+    assert len(whole) == len(bars) and whole == parts
+
+
 # ---- simulation
 
 
