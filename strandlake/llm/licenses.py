@@ -11,7 +11,10 @@ K = 2
 
 #: (label, words): base phrases. Fixed values.
 BASE = (("mit", "mit license"), ("apache", "apache license"), ("gpl", "general public license"))
-#: (label, words): longer notices that the voting finds even when words are changed. Fixed values.
+#: Positions a mask holds; longer templates have several masks.
+BITS = 63
+#: (label, words): longer notices that the voting finds even when words are changed. Those of up to four words are found
+#: as they stand (fewer than all of their grams are under the share), which keeps variants of a license apart. Fixed values.
 NOTICES = (
     ("mit", "released under the mit license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software"),
@@ -20,6 +23,46 @@ NOTICES = (
     ("cc-by-nc", "licensed under cc by nc 4 0"),
     ("cc-by-sa", "licensed under cc by sa 4 0"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
+    (
+        "mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation "
+        "files the software to deal in the software without restriction including without limitation the rights to use copy modify merge "
+        "publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so "
+        "subject to the following conditions",
+    ),
+    (
+        "isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided "
+        "that the above copyright notice and this permission notice appear in all copies",
+    ),
+    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"),
+    (
+        "apache", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license "
+        "you may obtain a copy of the license at",
+    ),
+    (
+        "apache", "subject to the terms and conditions of this license each contributor hereby grants to you a perpetual worldwide non "
+        "exclusive no charge royalty free irrevocable copyright license to reproduce prepare derivative works of publicly display publicly "
+        "perform sublicense and distribute the work and such derivative works in source or object form",
+    ),
+    (
+        "gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as "
+        "published by the free software foundation either version",
+    ),
+    ("gpl", "everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed"),
+    ("lgpl", "gnu lesser general public license"),
+    ("agpl", "gnu affero general public license"),
+    ("mpl", "mozilla public license"),
+    ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with this file"),
+    ("epl", "eclipse public license"),
+    ("unlicense", "this is free and unencumbered software released into the public domain"),
+    (
+        "zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any "
+        "damages arising from the use of this software",
+    ),
+    ("cc0", "cc0 1 0"),
+    ("cc-by", "cc by 4 0"),
+    ("cc-by", "commons attribution 4 0"),
+    ("cc-by-nc", "attribution noncommercial 4 0"),
+    ("cc-by-sa", "attribution sharealike 4 0"),
 )
 
 
@@ -29,7 +72,6 @@ def _templates():
     for t, (label, text) in enumerate(BASE + NOTICES):
         words = text.split()
         grams = [" ".join(words[i : i + K]) for i in range(len(words) - K + 1)]
-        assert len(grams) < 63
         rows += [(t, label, t < len(BASE), len(grams), i, g) for i, g in enumerate(grams)]
     return rows
 
@@ -41,7 +83,8 @@ def license_scan(
 
     The hashes of all runs of K words of all texts are joined with the template positions (a fixed, small table that
     is broadcast) and checked by their words. Hits of one text and template vote for the diagonal text position minus
-    template position; a bit for each template position counts a repeated hit once. Diagonals at most ``reach``
+    template position; a bit for each template position, in as many masks as the longest template needs, counts a
+    repeated hit once. Diagonals at most ``reach``
     apart are merged, so words put in or left out don't split a notice. A base phrase stands where one diagonal has
     all its positions; a notice is found where merged diagonals have ``share`` of its positions. score is the largest
     share of any template that is found.
@@ -65,18 +108,19 @@ def license_scan(
 
     names = ("template", "label", "base", "total", "tpos", "tgram")
     rows = [F.struct(*[F.lit(v).alias(k) for k, v in zip(names, row)]) for row in _templates()]
+    masks = [f"mask{i}" for i in range(max(row[3] for row in _templates()) // BITS + 1)]
     table = spark.range(1).select(F.inline(F.array(*rows))).withColumn("th", F.xxhash64("tgram"))
     hits = grams.join(F.broadcast(table), (F.col("gh") == F.col("th")) & (F.col("gram") == F.col("tgram")))
     votes = hits.withColumn("diag", F.col("pos") - F.col("tpos")).groupBy(
         "doc_id", "h", "template", "label", "base", "total", "diag"
-    ).agg(F.bit_or(F.expr("shiftleft(1L, tpos)")).alias("mask"))
+    ).agg(*[F.bit_or(F.expr(f"if(tpos div {BITS} = {i}, shiftleft(1L, tpos % {BITS}), 0L)")).alias(m) for i, m in enumerate(masks)])
 
     along = Window.partitionBy("doc_id", "h", "template").orderBy("diag")
     near = F.col("diag") - F.lag("diag").over(along) <= F.lit(reach)
     banded = votes.withColumn("new", F.when(near & ~F.col("base"), 0).otherwise(1))
     banded = banded.withColumn("band", F.sum("new").over(along))
     spans = banded.groupBy("doc_id", "h", "template", "label", "base", "total", "band").agg(
-        F.bit_count(F.bit_or("mask")).alias("n"), F.min("diag").alias("start")
+        sum((F.bit_count(F.bit_or(m)) for m in masks[1:]), F.bit_count(F.bit_or(masks[0]))).alias("n"), F.min("diag").alias("start")
     )
     spans = spans.withColumn("part", F.col("n") / F.col("total")).where(
         F.when(F.col("base"), F.col("n") == F.col("total")).otherwise(F.col("part") >= share)

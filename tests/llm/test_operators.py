@@ -522,6 +522,29 @@ def test_license_scan_survives_changed_words(spark):
 # ---- pages
 
 
+def test_license_scan_knows_notices_and_bodies(spark):
+    from strandlake.llm.licenses import license_scan
+
+    mit = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files
+    (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish,
+    distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the
+    following conditions:"""
+    texts = {
+        mit: ("mit", 1.0), "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.": ("mpl", 1.0),
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the "
+        "above copyright notice and this permission notice appear in all copies.": ("isc", 1.0),
+        "This is free and unencumbered software released into the public domain.": ("unlicense", 1.0), "CC0 1.0 Universal": ("cc0", 1.0),
+        "Licensed under CC BY 4.0": ("cc-by", 1.0), "Creative Commons Attribution 4.0 International License": ("cc-by", 1.0),
+        "Creative Commons Attribution-NonCommercial 4.0 International License": ("cc-by-nc", 1.0), "Licensed under CC BY-NC 4.0": ("cc-by-nc", 1.0),
+        "the rights of the public to use this and the following": ("", 0.0),
+    }
+    got = {r.doc_id: (r.labels, r.score) for r in license_scan(H.table(spark, [(i, t, *[None] * 9) for i, t in enumerate(texts)])).collect()}
+    assert [got[i] for i in range(len(texts))] == list(texts.values())
+    # Without its opening, only the long template finds it, by positions beyond one mask.
+    body = license_scan(H.table(spark, [(0, " ".join(mit.split()[14:]), *[None] * 9)])).first()
+    assert body.labels == "mit" and 0.75 <= body.score < 1
+
+
 def test_extraction_on_pages(spark, sf_dir):
     import html
 
