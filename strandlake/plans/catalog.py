@@ -537,7 +537,7 @@ def sw_align(spark, sf_dir):
 
 
 def _simulated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One fragment for every order's worth of lines, from a reference made of the parts' digests."""
+    """One fragment for every fifty orders, at least 50, from a fixed reference of 4,000 bases; no other table is read."""
     n = spark.read.parquet(f"{sf_dir}/orders.parquet").count()
     reference = "".join(f"{i * 2654435761 % 4**8:08d}".translate(str.maketrans("0123456789", "ACGTACGTAC")) for i in range(500))
     return I.simulate(spark, reference, n_frags=max(50, n // 50), frag_len=120, read_len=60, cycles=12, seed=42)
