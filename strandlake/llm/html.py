@@ -18,22 +18,36 @@ BLOCK = frozenset(
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section summary table "
     "tbody td tfoot th thead tr ul".split()
 )
-#: Elements whose text never belongs to an article.
+#: Elements whose content is never text of the page.
 DROP = frozenset(
-    "head script style noscript template nav footer aside form button select textarea iframe object svg math canvas "
-    "dialog menu audio video title noembed noframes xmp".split()
-)
-#: Words in class or id (split at - and _) of elements that are not the article.
-JUNK = frozenset(
-    "ad ads adbox adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies "
-    "consent gdpr notice notices alert comment comments commentlist disqus reply replies respond discussion sidebar "
-    "sidenav widget widgets related recommended recommendations share sharing social newsletter subscribe subscription "
-    "signup popup modal overlay breadcrumb breadcrumbs pagination pager nav navbar navigation menu menubar toolbar "
-    "footer masthead topbar login search searchform skip responses feedback notification notifications announcement toast "
-    "disclaimer".split()
+    "head script style noscript template button select textarea iframe object svg math canvas audio video title noembed noframes xmp".split()
 )
+#: What a name (class, id, role or tag) says of an element; the scores decide whether it is believed.
+PLAIN, FURNITURE, LISTS, THIN, ADVERT = range(5)
+_SAYS = {
+    ADVERT: "ad ads adbox adv advert adverts advertisement advertising sponsor sponsored",
+    FURNITURE: "banner cookie cookies consent gdpr notice notices alert comment comments commentlist disqus reply replies respond responses "
+    "discussion sidebar sidenav newsletter subscribe subscription signup popup modal overlay breadcrumb breadcrumbs pagination pager "
+    "nav navbar navigation menu menubar toolbar footer masthead topbar login search searchform skip notification notifications "
+    "announcement toast",
+    LISTS: "related recommended recommendations",
+    THIN: "share sharing social widget widgets promo promotion feedback disclaimer",
+}
+NAMES = {word: kind for kind, words in _SAYS.items() for word in words.split()}
+GOOD = frozenset("article content post entry story main body text prose".split())
+#: A word after one of these says what a layout lacks or has beside the text.
+NEGATED = frozenset("no not non without has with hide".split())
+TAGS = dict.fromkeys("nav footer aside form dialog menu".split(), FURNITURE)
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar".split())
+#: How much of a paragraph's points counts inside an element that is said to be of this kind.
+WEIGHT = {PLAIN: 1.0, FURNITURE: 0.1, LISTS: 0.4, THIN: 0.3, ADVERT: 0.05}
 WHOLE = frozenset("html body article main".split())
+#: Elements of running text: only an advert's name is believed of them.
+RUNNING = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dt dd td th tr tbody table figure figcaption b i em strong code sub sup".split())
+CONTAINERS = frozenset("div section td article main body html form center".split())
+#: Headings of readers' comments: those that an article's own section would not have, and those that it might.
+_REPLIES = re.compile(r"\W*(\d+ (comments?|responses?|replies|reply)|(comments|responses|replies) \W?\d+|(reader|user) comments|leave a (reply|comment))\W*", re.I)
+_COMMENTS = re.compile(r"\W*(comments|kommentare|commentaires|comentarios)\W*", re.I)
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: An opening tag closes these open elements, up to a boundary.
 _TABLE = frozenset(["table"])
@@ -47,20 +61,28 @@ CLOSES = {
 _P_KEEPS = frozenset("table td th button object caption li body html article main section div aside nav".split())
 
 
-def _junk(tag: str, attrs: str, inside: bool) -> bool:
+def _said(tag: str, attrs: str, inside: bool) -> tuple[int, bool]:
+    """What the tag and attributes say an element is, and whether they call it the text itself."""
+    kind, good = TAGS.get(tag, PLAIN), False
+    if tag == "header" and not inside:
+        kind = FURNITURE
+    if not attrs.strip():
+        return kind, good
     for name, a, b, c in _ATTR.findall(attrs):
         name, raw = name.lower(), a or b or c
         value = raw.lower()
         if name in ("class", "id") and tag not in WHOLE:
             parts = re.split(r"[\s_-]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", raw).lower())
-            # A page's header goes; an article's own may hold its title.
-            if not JUNK.isdisjoint(parts) or "header" in parts and not inside:
-                return True
+            for before, word in zip(["", *parts], parts):
+                says = NAMES.get(word, FURNITURE if word == "header" and not inside else PLAIN)
+                if says and before not in NEGATED and (says == ADVERT or tag not in RUNNING):
+                    kind = max(kind, says) if ADVERT in (kind, says) else min(kind or says, says)
+                good = good or word in GOOD
         if name == "role" and value in ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+            kind = kind or FURNITURE
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-    return False
+            kind = kind or FURNITURE
+    return kind, good
 
 
 class _Tree:
@@ -68,17 +90,20 @@ class _Tree:
 
     def __init__(self, page: str):
         self.tag, self.parent, self.drop, self.texts = ["html"], [-1], [False], []
+        self.kind, self.weight, self.attrs = [PLAIN], [1.0], [""]
         self.stack, self.inside, self.open = [0], [False], {}
         self._read(page)
 
     def _open(self, tag: str, attrs: str) -> int:
         top = self.stack[-1]
         inside = self.inside[top] or self.tag[top] in ("article", "main")
-        drop = self.drop[top] or tag in DROP or bool(attrs.strip()) and _junk(tag, attrs, inside)
-        if tag == "header" and not inside:
-            drop = True
-        if self.tag[top] == "header" and tag not in HEADINGS and tag not in ("hgroup", "div", "header"):
-            drop = True
+        kind, good = _said(tag, attrs, inside)
+        # Of an article's own header only the title is text.
+        byline = self.tag[top] == "header" and tag not in HEADINGS and tag not in ("hgroup", "div", "header", *WHOLE, "section", "form")
+        drop = self.drop[top] or tag in DROP
+        self.kind.append(max(kind, THIN) if byline and kind != FURNITURE else kind)
+        self.weight.append(self.weight[top] * WEIGHT[kind] * (1.25 if good else 1.0))
+        self.attrs.append(attrs.strip())
         self.tag.append(tag)
         self.parent.append(top)
         self.drop.append(drop)
@@ -176,11 +201,8 @@ class _Tree:
                 return
 
 
-def main_text(page: str | None) -> str:
-    """The article of a page as one line; empty if there is none."""
-    if not page:
-        return ""
-    t = _Tree(page)
+def _measures(t: _Tree):
+    """Per element: characters, those in links, its own paragraph's points (weighted and plain), and the longest paragraph below it."""
     n = len(t.tag)
     block, link = [0] * n, [False] * n
     for i in range(1, n):
@@ -197,40 +219,125 @@ def main_text(page: str | None) -> str:
             else:
                 own[block[i]] += k
                 commas[block[i]] += text.count(",")
+    worth = [0.0] * n
+    for i in range(n):
+        if own[i]:
+            worth[i] = (1 + commas[i] + min(own[i] / 100, 3)) if own[i] >= 25 and t.tag[i] not in HEADINGS else own[i] / 100
+    longest = list(own)
     for i in range(n - 1, 0, -1):
-        size[t.parent[i]] += size[i]
-        linked[t.parent[i]] += linked[i]
-    if not size[0]:
-        return ""
+        p = t.parent[i]
+        size[p] += size[i]
+        linked[p] += linked[i]
+        longest[p] = max(longest[p], longest[i])
+    return size, linked, worth, longest
+
+
+def _scores(t: _Tree, size, linked, worth) -> list[float]:
+    """Points of the paragraphs below each element, less with distance, discounted by its share of link text."""
+    n = len(t.tag)
     points = [0.0] * n
     for i in range(n):
-        if own[i]:
-            worth = (1 + commas[i] + min(own[i] / 100, 3)) if own[i] >= 25 else own[i] / 100
+        if worth[i]:
             # A container's direct text is its own paragraph; a paragraph's goes to those above it.
-            up, share = (i, 1) if t.tag[i] in ("div", "section", "td", "article", "main", "body", "html") else (t.parent[i], 1)
+            up, share = (i if t.tag[i] in CONTAINERS else t.parent[i]), 1
             while up >= 0 and share <= 6:
-                points[up] += worth / share
+                points[up] += worth[i] * t.weight[i] / share
                 up, share = t.parent[up], share + 1 if share == 1 else share + 2
-    score = [p * (1 - linked[i] / size[i]) if size[i] and t.tag[i] in BLOCK | {"span"} or i == 0 and size[i] else 0.0 for i, p in enumerate(points)]
+    score = [0.0] * n
+    for i, p in enumerate(points):
+        if size[i] and p and (i == 0 or t.tag[i] in BLOCK or t.tag[i] == "span"):
+            bonus = 1.25 if t.tag[i] in ("article", "main") else 1.0
+            score[i] = (p * bonus + (t.weight[i] if bonus > 1 else 0)) * (1 - linked[i] / size[i])
+    return score
+
+
+def main_text(page: str | None) -> str:
+    """The article of a page as one line; empty if there is none."""
+    if not page:
+        return ""
+    t = _Tree(page)
+    n = len(t.tag)
+    size, linked, worth, longest = _measures(t)
+    if not size[0]:
+        return ""
+    score = _scores(t, size, linked, worth)
     best = max(range(n), key=lambda i: (score[i], -i))
-    up = best
-    while up > 0:
-        if t.tag[up] in ("article", "main"):
-            best = up
+    path, up = [False] * n, best
+    while up >= 0:
+        path[up] = True
         up = t.parent[up]
+
+    if t.weight[best] < 0.2 and size[best] - linked[best] < 250:
+        below, paragraphs = [False] * n, 0
+        for i in range(n):
+            below[i] = i == best or i > 0 and below[t.parent[i]]
+            paragraphs += below[i] and worth[i] >= 1
+        if paragraphs < 2:
+            return ""  # a few words that are said to be furniture, and nothing beside them
+    like_path = {(t.tag[i], t.attrs[i]) for i in range(n) if path[i] and t.attrs[i]}
+
+    def dense(i: int) -> float:
+        return linked[i] / size[i] if size[i] else 0.0
+
+    def furniture(i: int) -> bool:
+        kind = t.kind[i]
+        if not kind or path[i] or (t.tag[i], t.attrs[i]) in like_path:
+            return False
+        return kind in (FURNITURE, ADVERT) or kind == LISTS and dense(i) >= 0.25 or kind == THIN and (dense(i) >= 0.25 or longest[i] < 100)
+
+    # Readers' comments follow a heading that says so, whatever their elements are called.
+    heads: dict[int, list[str]] = {}
+    gone, at_heading = [False] * n, {}
+    for i, text in t.texts:
+        p = i
+        while p > 0 and t.tag[p] not in HEADINGS:
+            p = t.parent[p]
+        if p > 0:
+            heads.setdefault(p, []).append(text)
+    for h, parts in heads.items():
+        title = " ".join("".join(parts).split())
+        if _REPLIES.fullmatch(title) or _COMMENTS.fullmatch(title) and not path[t.parent[h]]:
+            at_heading[t.parent[h]] = min(h, at_heading.get(t.parent[h], h))
+    kept = [0.0] * n
+    for i in range(1, n):
+        p = t.parent[i]
+        below = p in at_heading and i >= at_heading[p] and not path[i]
+        gone[i] = gone[p] or furniture(i) or below
+        kept[i] = 0.0 if gone[i] else worth[i]
+    for i in range(n - 1, 0, -1):
+        kept[t.parent[i]] += kept[i]
+
+    # From the best container to the element around it, as long as that adds little or is the article itself.
+    top = best
+    while (p := t.parent[top]) > 0 and t.tag[p] not in ("body", "html"):
+        if not (kept[p] <= 1.05 * kept[top] or t.tag[p] == "article" and kept[p] <= 2 * kept[top]):
+            break
+        top = p
     chosen = [False] * n
     chosen[best] = True
-    if best and t.tag[best] not in ("article", "main", "body"):
-        for i in range(1, n):
-            if t.parent[i] == t.parent[best] and i != best and size[i]:
-                dense = linked[i] / size[i]
-                chosen[i] = score[i] >= max(10, 0.2 * score[best]) or t.tag[i] in HEADINGS or t.tag[i] in ("p", "pre", "blockquote", "ul", "ol", "table") and dense < 0.25
-    elif best and t.tag[best] == "article":
-        for i in range(1, n):  # an article in several parts
-            chosen[i] |= t.tag[i] == "article" and t.parent[i] == t.parent[best] and score[i] >= 0.2 * score[best]
+    within, up = {}, best  # parents whose other children are judged one by one
+    while up != top:
+        up = t.parent[up]
+        within[up] = t.tag[up] in ("article", "main")
+    if top and t.tag[top] not in ("body", "html"):
+        within[t.parent[top]] = None
+    for i in range(1, n):
+        p = t.parent[i]
+        if i == best or p not in within or path[i] or not size[i]:
+            continue
+        alike = t.tag[i] == t.tag[best] and t.attrs[i] == t.attrs[best]
+        strong = score[i] >= max(2 if alike else 10, (0.2 if alike else 0.35) * score[best])
+        if within[p] is None and t.tag[top] in ("article", "main"):
+            chosen[i] = t.tag[i] == t.tag[top] and score[i] >= 0.2 * score[best]
+        elif within[p]:
+            chosen[i] = dense(i) < 0.5
+        else:
+            reads = t.tag[i] in ("p", "pre", "blockquote", "ul", "ol", "table", "figure") or t.tag[i] == "header" and within[p] is not None
+            chosen[i] = strong or t.tag[i] in HEADINGS or reads and dense(i) < 0.25
     for i in range(1, n):
-        chosen[i] |= chosen[t.parent[i]]
-    return " ".join("".join(text for i, text in t.texts if chosen[i] or text == "\n").split())
+        chosen[i] = not gone[i] and (chosen[i] or chosen[t.parent[i]])
+    own = {up for up in within if within[up] is not None}  # direct text of what was climbed
+    return " ".join("".join(text for i, text in t.texts if chosen[i] or i in own or text == "\n").split())
 
 
 def extract_pages(
@@ -238,10 +345,13 @@ def extract_pages(
 ) -> DataFrame:
     """(page_id, url, text, n_chars) of every row.
 
-    Each page becomes a tree. Menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts and styles
-    are left out by element, role, class or id. Paragraphs give points for length and commas to the elements
-    above them, less with distance, and each element's points are discounted by its share of link text. The best
-    container (the whole article around it, if there is one) and its siblings that score or read like text are kept.
+    Each page becomes a tree. Paragraphs give points for length and commas to the elements above them, less with
+    distance, and each element's points are discounted by its share of link text. Tags, roles and names in class or id
+    (of menus, headers, footers, sidebars, notices, adverts, forms and comments) only weigh the points; an article or
+    main element has a bonus. The best container is kept, with the elements closely around it and its siblings that score or
+    read like text. Of these, elements that are said to be furniture and don't hold the best container are left out; names of
+    lists of links count only where there are links, and in running text only an advert's name counts. Scripts, styles and form
+    controls are never text.
 
     A null or empty page gives an empty text; broken markup is read as far as it goes; null or repeated ids and
     repeated rows are extracted row by row; other columns are not read; an empty table gives an empty result.

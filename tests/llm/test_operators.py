@@ -585,6 +585,62 @@ def test_extraction_of_broken_pages(page, text):
     assert main_text(page) == text
 
 
+THREE = (
+    "<p>The first paragraph, with commas, tells what happened.</p><p>The second one, no shorter, adds who, where and when.</p>"
+    "<p>The third one, at last, says why it matters to readers.</p>"
+)
+TEXT = " ".join(re.findall("<p>(.*?)</p>", THREE))
+MENU = "<ul><li><a href=/a>Home, sweet, home</a><li><a href=/b>About</a></ul>"
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        # Names and tags of what is around an article don't cost it.
+        (f"<body><section class='no-sidebar'>{THREE}</section></body>", TEXT),
+        (f"<body><div class='article-share-wrapper'>{THREE}</div></body>", TEXT),
+        (f"<body><form id='aspnetForm'><input name=q><div>{MENU}</div><div class=c>{THREE}</div></form></body>", TEXT),
+        (f"<body><form id='aspnetForm'>{THREE}<button>Send</button></form></body>", TEXT),
+        (f"<body class=sidebar><div class='sidebar-right'><div id=x>{THREE}</div></div></body>", TEXT),
+        (f"<div style='display:none'>{THREE}</div>", TEXT),
+        # What is said of a part inside it is believed only as far as the part looks so.
+        (f"<article>{THREE}<div class='related-work'><p>Earlier work, in brief.</p></div></article>", TEXT + " Earlier work, in brief."),
+        (f"<article>{THREE}<p class='notice'>Note, this holds.</p></article>", TEXT + " Note, this holds."),
+        (f"<article>{THREE}<div class='related-posts'>See, also, <a href=/x>another long story, of the same kind</a></div></article>", TEXT),
+        (f"<article>{THREE}<div class='notice'>This site, like all, uses cookies.</div></article>", TEXT),
+        (f"<article>{THREE}<p class='ad'>Buy, now.</p></article>", TEXT),
+        (f"<article><header><h1>Title</h1><p>By A. Writer</p></header>{THREE}</article>", "Title " + TEXT),
+        # Without article or main; lists, asides and comments beside it.
+        (f"<body><div>{MENU}</div><div><h1>Title</h1><div class=x>{THREE}</div></div><div>Made by us, 2024.</div></body>", "Title " + TEXT),
+        (f"<body><table><tr><td>{MENU}</td><td><h1>Title</h1>{THREE}</td></tr></table></body>", "Title " + TEXT),
+        (f"<body><div id=a>{THREE}</div><div id=thread><h3>2 Comments</h3><div class=u><p>Great, great, great, I like it, a lot.</p></div>"
+         "<div class=u><p>No, no, no, that is wrong, all of it.</p></div></div></body>", TEXT),
+        (f"<body><main>{THREE}<section><h2>Comments</h2><p>Yes, yes, well, said, thanks, a lot.</p></section></main></body>", TEXT),
+        (f"<body><main>{THREE}<h2>Discussion</h2><p>In sum, it all fits.</p></main></body>", TEXT + " Discussion In sum, it all fits."),
+        (f"<body><aside>Some, side, notes, here.</aside><div class=part>{THREE}</div><div class=part>{THREE}</div></body>", TEXT + " " + TEXT),
+        (f"<body><div class=teaser><article><p>A teaser, short.</p></article></div><div class=x>{THREE}{THREE}</div></body>", TEXT + " " + TEXT),
+        # Nothing but furniture.
+        (f"<body><nav>{MENU}</nav><footer>All, rights, reserved.</footer></body>", ""),
+        ("<div class=cookie-banner>We, like, cookies.</div>", ""),
+    ],
+)
+def test_extraction_lets_scores_decide(page, text):
+    from strandlake.llm.html import main_text
+
+    assert main_text(page) == text
+
+
+def test_extraction_without_tags_of_articles(spark, sf_dir):
+    """The real pages give the same text if their article elements are plain ones."""
+    from strandlake.llm.html import extract_pages
+
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").selectExpr("page_id", "url", "html")
+    plain = pages.selectExpr("page_id", "url", "replace(replace(html, '<article>', '<div class=x>'), '</article>', '</div>') html")
+    want = {r.page_id: r.text for r in extract_pages(pages).collect()}
+    got = {r.page_id: r.text for r in extract_pages(plain).collect()}
+    assert sum(got[k] == v for k, v in want.items()) >= 0.97 * len(want)
+
+
 # ---- all of them
 
 
