@@ -2,24 +2,26 @@
 
 A string of ``length`` bytes is found through one of its own positions, its anchor: the leftmost of its ``length - K + 1``
 K-byte grams that has the smallest hash. Equal strings have equal anchors, so suffix arrays over the anchors (about
-one byte in 39) see every repeat that full ones see. Arrays are sorted by the gram's hash and split in shards by it.
+one byte in 39) see every repeat that full ones see. An entry of an array is a suffix from its anchor on, with the bytes
+before and after it that the anchor's strings cover; arrays are sorted by the following bytes and split in shards by
+the gram.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandlake.operators.scratch import ranked
 
-from .common import discard, materialise, release, slices
+from .common import materialise, release, scratch_path, slices
 
 K = 24
-#: Bits of the bitmaps that pass over what has no match; a full one only costs time.
-KEY_BITS, DOC_BITS = 26, 23
+PIECES = 64
 #: How tables of blobs are written: a page ends after one that fills it, not after a hundred.
 BLOBS = {"parquet.page.size.row.check.min": "1"}
 CHUNK = 100_000  #: bytes handled at once: what fits a core's cache
@@ -45,7 +47,7 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int):
-    """(key, anchor, first, last): for each anchor, which strings of ``length`` bytes (by start) it stands for.
+    """(anchor, first, last): for each anchor, which strings of ``length`` bytes (by start) it stands for.
 
     ``offsets`` bounds the texts in ``data``; no string crosses them.
     """
@@ -53,7 +55,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int):
     begin, end = offsets[:-1], offsets[1:]
     long = end - begin >= length
     if not long.any():
-        return none.astype(np.uint64), none, none, none
+        return none, none, none
     h = gram_hashes(data)
     low = (h & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(h), dtype=np.uint64)
     width, want = 1, length - K + 1
@@ -69,13 +71,17 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int):
     at = (low[start] & np.uint64(0xFFFFFFFF)).astype(np.int64)
     new = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (start[1:] != start[:-1] + 1)])
     last = np.r_[new[1:] - 1, len(start) - 1]
-    return h[at[new]], at[new], start[new], start[last]
+    return at[new], start[new], start[last]
 
 
-def _texts(batch, rows: int = 2000):
-    """Pieces of an Arrow batch (doc, text) as (docs, bytes, offsets), of about CHUNK bytes or one text."""
+def _texts(batch, length: int, rows: int = 2000, most: int = 64 * CHUNK):
+    """Pieces of an Arrow batch (doc, text) as (docs, bytes, offsets, place in the text), of about CHUNK bytes.
+
+    A text over ``most`` bytes comes in stretches that overlap by one byte less than a string: each string is in one of them.
+    """
     import pyarrow as pa
 
+    over = length - 1
     for part in slices(batch, rows):
         text = part.column(1).cast(pa.large_binary()).fill_null(b"")
         docs = part.column(0).to_numpy(zero_copy_only=False)
@@ -87,380 +93,588 @@ def _texts(batch, rows: int = 2000):
         while at < len(docs):
             to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + CHUNK, "right")) - 1)
             to = min(to, len(docs))
-            if bounds[to] - bounds[at] >= K:
-                yield docs[at:to], data[bounds[at] : bounds[to]], bounds[at : to + 1] - bounds[at]
+            if bounds[to] - bounds[at] > most:
+                for lo in range(0, int(bounds[to] - bounds[at]), most - over):
+                    hi = min(lo + most, int(bounds[to] - bounds[at]))
+                    yield docs[at:to], data[bounds[at] + lo : bounds[at] + hi], np.array([0, hi - lo]), lo
+                    if bounds[at] + hi == bounds[to]:
+                        break
+            elif bounds[to] - bounds[at] >= K:
+                yield docs[at:to], data[bounds[at] : bounds[to]], bounds[at : to + 1] - bounds[at], 0
             at = to
 
 
-def pack(key: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> bytes:
-    """A suffix array (sorted by key) as byte planes of differences and values, compressed."""
-    import pyarrow as pa
+# ---- entries: suffixes from their anchors on, as parallel arrays
+
+
+class Entries:
+    """``doc`` and ``pos`` of the anchor, ``left`` bytes kept before it, ``count`` strings (of starts pos - left on), and the bytes.
+
+    Entry i covers ``data[at[i] : at[i] + count[i] + length - 1]``, the bytes of its strings.
+    """
+
+    def __init__(self, doc, pos, left, count, at, data, length: int):
+        self.doc, self.pos, self.left, self.count, self.at, self.data, self.length = doc, pos, left, count, at, data, length
+
+    def __len__(self) -> int:
+        return len(self.doc)
+
+    def take(self, rows: np.ndarray) -> Entries:
+        """The entries of ``rows`` in that order; the bytes stay where they are."""
+        return Entries(self.doc[rows], self.pos[rows], self.left[rows], self.count[rows], self.at[rows], self.data, self.length)
+
+    def size(self) -> np.ndarray:
+        return self.count.astype(np.int64) + (self.length - 1)
+
+    def gathered(self, step: int = 20_000) -> np.ndarray:
+        """The entries' bytes, one after the other."""
+        out = [np.empty(0, np.uint8)]
+        for i in range(0, len(self), step):
+            size = self.size()[i : i + step]
+            before = np.cumsum(size) - size
+            out.append(self.data[np.arange(size.sum()) + np.repeat(self.at[i : i + step] - before, size)])
+        return np.concatenate(out)
+
+    def words(self, first: int, n: int) -> np.ndarray:
+        """n 8-byte words from ``first`` bytes after the anchor, most significant byte first; beyond the entry's bytes they are 0."""
+        start = self.at + self.left + first
+        room = np.concatenate([self.data, np.zeros(8 * n + first, np.uint8)])
+        view = np.lib.stride_tricks.sliding_window_view(room, 8 * n)[np.minimum(start, len(self.data))]
+        have = self.at + self.size() - start
+        if len(have) and have.min() < 8 * n:
+            view = np.where(np.arange(8 * n) < have[:, None], view, np.uint8(0))
+        return np.ascontiguousarray(view).view(">u8").astype(np.uint64)
+
+    def pack(self) -> bytes:
+        import pyarrow as pa
 
-    planes = [np.diff(key, prepend=np.uint64(0)), doc.astype(np.uint64), pos.astype(np.uint64)]
-    raw = b"".join(np.ascontiguousarray(p.view(np.uint8).reshape(-1, 8).T).tobytes() for p in planes)
-    return len(key).to_bytes(8, "little") + pa.Codec("zstd", compression_level=1).compress(raw, asbytes=True)
+        planes = [np.ascontiguousarray(x.astype(np.int64).view(np.uint8).reshape(-1, 8).T).tobytes() for x in (self.doc, self.pos)]
+        raw = b"".join([*planes, self.left.astype(np.uint8).tobytes(), self.count.astype(np.uint8).tobytes(), self.gathered().tobytes()])
+        head = len(self).to_bytes(8, "little") + len(raw).to_bytes(8, "little")
+        return head + pa.Codec("zstd", compression_level=1).compress(raw, asbytes=True)
+
+    @staticmethod
+    def unpack(blobs: list[bytes], length: int) -> Entries:
+        import pyarrow as pa
+
+        parts, datas, base = [], [np.empty(0, np.uint8)], 0
+        for blob in blobs:
+            n, size = (int.from_bytes(blob[i : i + 8], "little") for i in (0, 8))
+            raw = np.frombuffer(pa.Codec("zstd").decompress(blob[16:], size, asbytes=True), np.uint8)
+            doc, pos = (np.ascontiguousarray(raw[i * 8 * n : (i + 1) * 8 * n].reshape(8, n).T).view(np.int64).ravel() for i in (0, 1))
+            left, count = (raw[(16 + i) * n : (17 + i) * n].astype(np.int64) for i in (0, 1))
+            long = count + (length - 1)
+            parts.append((doc, pos, left, count, base + np.cumsum(long) - long))
+            datas.append(raw[18 * n :])
+            base += size - 18 * n
+        cols = [np.concatenate(x) for x in zip(*parts)] if parts else [np.empty(0, np.int64)] * 5
+        return Entries(*cols, np.concatenate(datas), length)
+
+
+def gram_key(words: np.ndarray) -> np.ndarray:
+    """A hash of the K bytes after the anchor, from their three words."""
+    h = words[:, 0] * _STEPS[0]
+    for i in (1, 2):
+        h = (h ^ (h >> np.uint64(31)) ^ words[:, i]) * _STEPS[i]
+    return h ^ (h >> np.uint64(32))
+
+
+_pows: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    if len(_pows[0]) <= n:
+        for i, x in enumerate((_BASE, _BASE_INV)):
+            out = np.full(2 * n + 1, x, np.uint64)
+            out[0] = 1
+            _pows[i] = np.multiply.accumulate(out)
+    return _pows
+
+
+def _stretch_hashes(data: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """64-bit hashes of stretches of ``data``, from running sums; equal bytes have equal hashes wherever they stand."""
+    power, inverse = _powers(len(data))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_TABLE[data] * power[: len(data)], dtype=np.uint64)])
+    h = (sums[hi] - sums[lo]) * inverse[lo]
+    h = (h ^ (h >> np.uint64(31))) * _STEPS[1] + (hi - lo).astype(np.uint64) * _STEPS[2]
+    return (h ^ (h >> np.uint64(30))) * _STEPS[4]
+
+
+def _hashed(entries: Entries, step: int = 5_000):
+    """Pieces of the entries with their bytes gathered, as (first row, Entries)."""
+    for i in range(0, len(entries), step):
+        part = entries.take(np.arange(i, min(i + step, len(entries))))
+        size = part.size()
+        yield i, Entries(part.doc, part.pos, part.left, part.count, np.cumsum(size) - size, part.gathered(), part.length)
+
+
+def names(entries: Entries) -> np.ndarray:
+    """Hashes of all bytes of the entries and of the anchor's place in them: entries of one name stand for the same strings."""
+    out = np.empty(len(entries), np.uint64)
+    for i, part in _hashed(entries):
+        out[i : i + len(part)] = _stretch_hashes(part.data, part.at, part.at + part.size()) + part.left.astype(np.uint64) * _STEPS[3]
+    return out
 
 
-def unpack(blob: bytes):
+def strings(entries: Entries, least: np.ndarray):
+    """(row, back, hash) of the strings that start at least ``least`` bytes before their entry's anchor."""
+    rows, backs, hashes = [], [], []
+    for i, part in _hashed(entries):
+        low = np.maximum(least[i : i + len(part)], part.left - part.count + 1)
+        many = np.maximum(part.left - low + 1, 0)
+        row = np.repeat(np.arange(len(part)), many)
+        back = part.left[row] - (np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many))
+        lo = part.at[row] + part.left[row] - back
+        rows.append(row + i)
+        backs.append(back)
+        hashes.append(_stretch_hashes(part.data, lo, lo + part.length) + back.astype(np.uint64) * _STEPS[3])
+    join = lambda x, kind: np.concatenate(x) if x else np.empty(0, kind)
+    return join(rows, np.int64), join(backs, np.int64), join(hashes, np.uint64)
+
+
+def common_prefix(words: np.ndarray) -> np.ndarray:
+    """How many bytes neighbouring rows of ``words`` have in common from the start: the LCP array (first element 0)."""
+    differ = (words[1:] ^ words[:-1]).astype(">u8").view(np.uint8) != 0
+    return np.r_[0, np.where(differ.any(axis=1), np.argmax(differ, axis=1), 8 * words.shape[1])].astype(np.int64)
+
+
+def intervals(doc: np.ndarray, start: np.ndarray, stop: np.ndarray) -> bytes:
+    """(doc, start, stop) of what the stretches cover, merged, as bytes."""
+    order = np.lexsort((start, doc))
+    doc, start, stop = doc[order], start[order], stop[order]
+    # A stretch opens where its start lies beyond all earlier stops of its document.
+    shift = np.cumsum(np.r_[0, doc[1:] != doc[:-1]]) * (1 << 42)
+    reach = np.maximum.accumulate(stop + shift)
+    new = np.flatnonzero(np.r_[True, start[1:] + shift[1:] > reach[:-1]])
+    last = np.r_[new[1:] - 1, len(doc) - 1]
+    return np.stack([doc[new], start[new], reach[last] - shift[last]]).astype(np.int64).tobytes()
+
+
+def suffix_sorted(entries: Entries):
+    """(order, LCP of each with the one before): the suffix array of the entries, by all bytes they hold after the anchor."""
+    w = entries.words(0, 3)
+    order = np.lexsort((w[:, 2], w[:, 1], w[:, 0]))
+    w = w[order]
+    same = (w[1:] == w[:-1]).all(axis=1)
+    lcp = common_prefix(w)
+    tied = np.r_[False, same] | np.r_[same, False]
+    rows = np.flatnonzero(tied)
+    if len(rows):
+        run = np.cumsum(np.r_[True, ~same])[rows]
+        deep = entries.take(order[rows]).words(K, -(-(entries.length - K) // 8))
+        again = np.lexsort((*deep.T[::-1], run))
+        order[rows] = order[rows][again]
+        more = common_prefix(deep[again])
+        lcp[rows] = np.where(np.r_[False, same][rows], K + more, lcp[rows])
+    return order, np.minimum(lcp, entries.length)
+
+
+def merge_scan(entries: Entries, age: np.ndarray):
+    """(order, rows kept, (doc, start, stop) of long matches) of old (age 0) and new entries (age 1).
+
+    In the merged suffix array, entries with a gram in common are a run. An entry that has all bytes of an older one (by
+    age, document and place) is a match as a whole. Of the other entries those strings may match whose part after the
+    anchor is within the common prefix with a neighbour; their bytes before the anchor are compared by hash.
+    """
+    order, lcp = suffix_sorted(entries)
+    run = np.cumsum(lcp < K)
+    size = np.bincount(run)
+    tied = np.flatnonzero(size[run] > 1)
+    keep = np.ones(len(entries), bool)
+    found = []
+    edge = np.flatnonzero(np.r_[True, np.diff(run[tied]) != 0, True]) if len(tied) else np.zeros(1, np.int64)
+    at = 0
+    while at < len(edge) - 1:  # whole runs, some thousands of entries at a time
+        to = max(at + 1, int(np.searchsorted(edge, edge[at] + 20_000, "right")) - 1)
+        place = tied[edge[at] : edge[to]]
+        at = to
+        rows = order[place]
+        part, old, runs = entries.take(rows), age[rows], run[place].astype(np.uint64)
+        by_age = np.lexsort((part.pos, part.doc, old))
+        name = names(part) + runs * _STEPS[0]
+        _, first = np.unique(name[by_age], return_index=True)
+        lead = np.zeros(len(rows), bool)
+        lead[by_age[first]] = True
+        keep[rows[~lead]] = False
+        again = np.flatnonzero(~lead & (old == 1))
+        if len(again):
+            start = part.pos[again] - part.left[again]
+            found.append((part.doc[again], start, start + part.count[again] + entries.length - 1))
+        # LCP among the leads: the least between one and the next.
+        leads = np.flatnonzero(lead)
+        if len(leads) < 2:
+            continue
+        low = np.minimum.reduceat(lcp[place][: leads[-1] + 1], leads[:-1] + 1)
+        low[runs[leads[1:]] != runs[leads[:-1]]] = 0
+        near = np.maximum(np.r_[0, low], np.r_[low, 0])
+        some = leads[near >= K]
+        row, back, h = strings(part.take(some), entries.length - near[near >= K])
+        if not len(row):
+            continue
+        row = some[row]
+        h += runs[row] * _STEPS[2]
+        rank = np.empty(len(rows), np.int64)
+        rank[by_age] = np.arange(len(rows))
+        by = np.argsort(rank[row], kind="stable")
+        _, first = np.unique(h[by], return_index=True)
+        repeat = np.ones(len(h), bool)
+        repeat[by[first]] = False
+        hit = np.flatnonzero(repeat & (old[row] == 1))
+        if len(hit):
+            start = part.pos[row[hit]] - back[hit]
+            found.append((part.doc[row[hit]], start, start + entries.length))
+    joined = tuple(np.concatenate(x) for x in zip(*found)) if found else None
+    return order, keep, joined
+
+
+# ---- tasks
+
+
+def _fields(**given):
+    """An Arrow batch of the family's rows: kind, shard, key, n, blob; what isn't given is null."""
     import pyarrow as pa
 
-    n = int.from_bytes(blob[:8], "little")
-    raw = np.frombuffer(pa.Codec("zstd").decompress(blob[8:], n * 24, asbytes=True), np.uint8)
-    cols = [np.ascontiguousarray(raw[i * n * 8 : (i + 1) * n * 8].reshape(8, n).T).view(np.uint64).ravel() for i in range(3)]
-    return np.cumsum(cols[0], dtype=np.uint64), cols[1].astype(np.int64), cols[2].astype(np.int64)
+    kinds = {"kind": pa.string(), "shard": pa.int32(), "key": pa.int64(), "n": pa.int64(), "blob": pa.binary()}
+    n = len(next(iter(given.values())))
+    return pa.RecordBatch.from_arrays([pa.array(given[c], k) if c in given else pa.nulls(n, k) for c, k in kinds.items()], list(kinds))
 
 
-def merged(arrays):
-    key, doc, pos = (np.concatenate(x) for x in zip(*arrays))
-    order = np.argsort(key)
-    return key[order], doc[order], pos[order]
+ROWS = "kind string, shard int, key long, n long, blob binary"
 
 
-def _arrays(length: int, cuts: list[int], shards: int, room: int = 1_500_000):
-    """Task: suffix arrays of what it reads, one for each batch and shard, as (batch, shard, blob)."""
+def _arrays(length: int, shards: int, room: int = 600_000, heavy: int = 16):
+    """Task: the suffix arrays of what it reads, one for each shard, and what it can tell by itself.
 
-    def run(batches):
-        import pyarrow as pa
+    Copies within the task are entered once; the bytes of the others are matches (kind match). Grams with many
+    different entries are reported (kind heavy).
+    """
 
-        held, size = [], 0
-
-        def flush():  # a few blobs at a time: batches of small size
-            key, doc, pos = merged(held)
-            batch, shard = np.searchsorted(cuts, doc, "right"), (key % np.uint64(shards)).astype(np.int64)
-            code = batch * shards + shard
-            order = np.argsort(code, kind="stable")
-            edge = np.flatnonzero(np.r_[True, np.diff(code[order]) != 0, True])
-            every = [order[a:b] for a, b in zip(edge[:-1], edge[1:])]
-            for i in range(0, len(every), 16):
-                groups = every[i : i + 16]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([int(batch[g[0]]) for g in groups], pa.int32()), pa.array([int(shard[g[0]]) for g in groups], pa.int32()),
-                     pa.array([pack(key[g], doc[g], pos[g]) for g in groups], pa.binary())], ["batch", "shard", "blob"],
-                )
+    def run(batches):
+        held, datas, size, base = [], [], 0, 0
+
+        def flush():
+            doc, pos, left, count, at = (np.concatenate(x) for x in zip(*held))
+            all_of = Entries(doc, pos, left, count, at, np.concatenate(datas), length)
+            name, words = names(all_of), all_of.words(0, 3)
+            key = gram_key(words)
+            order = np.lexsort((pos, doc, name + key))
+            first = np.r_[True, np.diff((name + key)[order]) != 0]
+            lost, lead = order[~first], order[first]
+            if len(lost):
+                start = pos[lost] - left[lost]
+                yield _fields(kind=["match"], blob=[intervals(doc[lost], start, start + count[lost] + length - 1)])
+            found, many = np.unique(key[lead], return_counts=True)
+            often = many >= heavy
+            if often.any():
+                yield _fields(kind=["heavy"] * int(often.sum()), key=found[often].view(np.int64), n=many[often])
+            shard = (key[lead] % np.uint64(shards)).astype(np.int64)
+            by = np.argsort(shard, kind="stable")
+            lead, shard = lead[by], shard[by]
+            edge = np.flatnonzero(np.r_[True, np.diff(shard) != 0, True])
+            for i in range(0, len(edge) - 1, 8):  # a few blobs at a time: batches of small size
+                blobs, which = [], []
+                for a, b in zip(edge[i : i + 8], edge[i + 1 : i + 9]):
+                    part = all_of.take(lead[a:b])
+                    blobs.append(part.take(suffix_sorted(_hold(part))[0]).pack())
+                    which.append(int(shard[a]))
+                yield _fields(kind=["array"] * len(blobs), shard=which, blob=blobs)
 
         for whole in batches:
-            for docs, data, offsets in _texts(whole):
-                key, at, _, _ = anchors(data, offsets, length)
-                if not len(key):
+            for docs, data, offsets, skip in _texts(whole, length):
+                at, lo, hi = anchors(data, offsets, length)
+                if not len(at):
                     continue
                 row = np.searchsorted(offsets, at, "right") - 1
-                held.append((key, docs[row], at - offsets[row]))
-                size += len(key)
-                if size >= room:
+                held.append((docs[row], at - offsets[row] + skip, at - lo, hi - lo + 1, lo + base))
+                datas.append(data.copy())
+                base += len(data)
+                size += len(at)
+                if size >= room or base >= 40 * room:
                     yield from flush()
-                    held, size = [], 0
+                    held, datas, size, base = [], [], 0, 0
         if held:
             yield from flush()
 
     return run
 
 
-def _add_batch(carry: tuple[int, ...], new_level: int):
-    """Task: one shard of a new batch and of all levels (-1 is new): matching keys, and the merged array."""
+def _hold(part: Entries) -> Entries:
+    """The same entries with a copy of their own bytes only."""
+    size = part.size()
+    return Entries(part.doc, part.pos, part.left, part.count, np.cumsum(size) - size, part.gathered(), part.length)
 
-    def run(table):
-        import pyarrow as pa
-
-        levels: dict[int, list] = {}
-        for level, blob in zip(table.column("level").to_pylist(), table.column("blob").to_pylist()):
-            levels.setdefault(level, []).append(unpack(blob))
-        kinds, blobs = [], []
-        new = merged(levels.pop(-1)) if -1 in levels else None
-        if new is not None:
-            key = new[0]
-            same = [key[1:][key[1:] == key[:-1]]]
-            own = np.unique(key)
-            for arrays in levels.values():  # merge-scan: both sides are sorted
-                for old, _, _ in arrays:
-                    at = np.minimum(np.searchsorted(old, own), len(old) - 1)
-                    same.append(own[old[at] == own])
-            found = np.unique(np.concatenate(same))
-            if len(found):
-                kinds.append("match")
-                blobs.append(found.tobytes())
-        parts = ([new] if new is not None else []) + [a for level in carry for a in levels.get(level, [])]
-        if parts:
-            kinds.append("level")
-            blobs.append(pack(*(merged(parts) if len(parts) > 1 else parts[0])))
-        shard = table.column("shard")[0].as_py()
-        return pa.table({"kind": pa.array(kinds, pa.string()), "shard": pa.array([shard] * len(kinds), pa.int32()), "blob": pa.array(blobs, pa.binary())})
-
-    return run
 
+def _is_hot(entries: Entries, hot: np.ndarray) -> np.ndarray:
+    key = gram_key(entries.words(0, 3))
+    at = np.minimum(np.searchsorted(hot, key), len(hot) - 1)
+    return hot[at] == key
 
-class SuffixFamily:
-    """Suffix arrays in levels: level i holds 2**i batches. Adding a batch scans it against all levels.
 
-    Levels of one size merge as in a binary counter, so a gram is rewritten a logarithmic number of times.
-    """
+def _without(hot, length: int):
+    """Task: arrays (shard, level, blob) less the entries of hot grams."""
 
-    def __init__(self):
-        self.levels: dict[int, DataFrame] = {}
-        self.tables: list[DataFrame] = []
+    def run(batches):
+        import pyarrow as pa
 
-    def add(self, arrays: DataFrame) -> None:
-        """``arrays``: (shard, blob) of a batch. Notes which keys occur twice in it or also in a level."""
-        carry = []
-        while len(carry) in self.levels:
-            carry.append(len(carry))
-        rows = arrays.select("shard", F.lit(-1).alias("level"), "blob")
-        for level, table in self.levels.items():
-            rows = rows.unionByName(table.where("kind = 'level'").select("shard", F.lit(level).alias("level"), "blob"))
-        done = rows.groupBy("shard").applyInArrow(_add_batch(tuple(carry), len(carry)), "kind string, shard int, blob binary")
-        # A level's table also has the matches of its last batch, so it stays until the family is dropped.
-        table = materialise(done, "suffix-level", **BLOBS)
-        self.tables.append(table)
-        for level in carry:
-            self.levels.pop(level)
-        self.levels[len(carry)] = table
-
-    def matches(self) -> DataFrame:
-        """(blob): arrays of the keys that were found twice."""
-        out = self.tables[0]
-        for more in self.tables[1:]:
-            out = out.unionByName(more)
-        return out.where("kind = 'match'").select("blob")
+        grams = hot.value
+        for whole in batches:
+            for batch in slices(whole, 8):
+                blobs = []
+                for blob in batch.column("blob").to_pylist():
+                    entries = Entries.unpack([blob], length)
+                    rest = np.flatnonzero(~_is_hot(entries, grams))
+                    blobs.append(blob if len(rest) == len(entries) else entries.take(rest).pack())
+                yield pa.RecordBatch.from_arrays([batch.column("shard"), batch.column("level"), pa.array(blobs, pa.binary())], ["shard", "level", "blob"])
 
-    def drop(self) -> None:
-        for table in self.tables:
-            discard(table)
+    return run
 
 
-def in_bitmap(packed: np.ndarray, cells: np.ndarray) -> np.ndarray:
-    """Which cells are set in a bitmap of one bit a cell."""
-    return (packed[cells >> 3] >> (cells & 7).astype(np.uint8)) & np.uint8(1) != 0
+def _hot_strings(hot, length: int):
+    """Task: (h, doc, start) of all strings of the entries of hot grams in arrays."""
 
+    def run(batches):
+        import pyarrow as pa
 
-def add_to_bitmap(packed: np.ndarray, cells: np.ndarray) -> None:
-    np.bitwise_or.at(packed, cells >> 3, np.left_shift(np.uint8(1), (cells & 7).astype(np.uint8)))
+        grams = hot.value
+        for whole in batches:
+            for blob in whole.column("blob").to_pylist():
+                entries = Entries.unpack([blob], length)
+                entries = entries.take(np.flatnonzero(_is_hot(entries, grams)))
+                for i in range(0, len(entries), 5_000):
+                    part = entries.take(np.arange(i, min(i + 5_000, len(entries))))
+                    row, back, h = strings(part, np.zeros(len(part), np.int64))
+                    h += gram_key(part.words(0, 3))[row]
+                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(part.doc[row]), pa.array(part.pos[row] - back)], ["h", "doc", "start"])
 
+    return run
 
-def _bitmap_of(bits: int, cells):
-    """Tasks that mark the cells of their rows in a bitmap of fixed size, and one that joins the bitmaps."""
 
-    def mark(batches):
-        import pyarrow as pa
+def _add_shard(carry: tuple[int, ...], length: int, large: int):
+    """Task: one shard of a new batch (level -1) and of all levels: long matches, and the merged array of the new level."""
 
-        seen = np.zeros((1 << bits) // 8, np.uint8)
-        for batch in batches:
-            add_to_bitmap(seen, np.unique(cells(batch)))
-        yield pa.RecordBatch.from_arrays([pa.array([seen.tobytes()], pa.binary())], ["bits"])
-
-    def join(batches):
+    def run(table):
+        level = np.array(table.column("level").to_pylist())
+        blobs = table.column("blob").to_pylist()
+        parts = [(lv, Entries.unpack([b for b, x in zip(blobs, level) if x == lv], length)) for lv in sorted(set(level.tolist()))]
+        origin = np.concatenate([np.full(len(p), lv) for lv, p in parts])
+        base, at = 0, []
+        for _, p in parts:
+            at.append(p.at + base)
+            base += len(p.data)
+        one = Entries(*(np.concatenate([getattr(p, k) for _, p in parts]) for k in ("doc", "pos", "left", "count")), np.concatenate(at), np.concatenate([p.data for _, p in parts]), length)
+        parts.clear()
+        out = []
+        if len(one):
+            order, keep, found = merge_scan(one, (origin == -1).astype(np.int8))
+            if found is not None:
+                out.append(_fields(kind=["match"], blob=[intervals(*found)]))
+            stays = order[keep[order] & np.isin(origin[order], (-1, *carry))]
+            if len(stays):
+                out.append(_fields(kind=["level"], shard=[table.column("shard")[0].as_py()], blob=[one.take(stays).pack()]))
+            found, many = np.unique(gram_key(one.words(0, 3)), return_counts=True) if len(one) >= large else (None, np.zeros(1))
+            if (many >= large).any():
+                out.append(_fields(kind=["heavy"] * int((many >= large).sum()), key=found[many >= large].view(np.int64), n=many[many >= large]))
         import pyarrow as pa
 
-        total = np.zeros((1 << bits) // 8, np.uint8)
-        for batch in batches:
-            for raw in batch.column(0).to_pylist():
-                total |= np.frombuffer(raw, np.uint8)
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["bits"])
-
-    return mark, join
-
+        return pa.Table.from_batches(out or [_fields(kind=[])])
 
-def _key_cells(batch):
-    keys = [np.frombuffer(b, np.uint64) for b in batch.column(0).to_pylist()]
-    return (np.concatenate(keys) >> np.uint64(64 - KEY_BITS)).astype(np.int64) if keys else np.empty(0, np.int64)
+    return run
 
 
-def _doc_cell(doc: np.ndarray) -> np.ndarray:
-    return ((doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - DOC_BITS)).astype(np.int64)
+def _stretches(batches):
+    """Task: (doc, start, stop) rows of blobs of intervals."""
+    import pyarrow as pa
 
+    for whole in batches:
+        for blob in whole.column("blob").to_pylist():
+            rows = np.frombuffer(blob, np.int64).reshape(3, -1)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in rows], ["doc", "start", "stop"])
 
-def _doc_cells(batch):
-    return _doc_cell(batch.column(0).to_numpy(zero_copy_only=False))
 
+# ---- the family
 
-def _bitmap(df: DataFrame, bits: int, cells) -> bytes:
-    mark, join = _bitmap_of(bits, cells)
-    got = df.mapInArrow(mark, "bits binary").repartition(1).mapInArrow(join, "bits binary").first()
-    return got[0] if got else bytes((1 << bits) // 8)
 
+class SuffixFamily:
+    """A saved family of suffix arrays in levels: level i holds 2**i batches.
 
-def _hash_sums(data: np.ndarray) -> np.ndarray:
-    """Running sums of which a difference, taken back to its start, is a hash of a stretch of ``data``."""
-    pows, _ = _powers(len(data))
-    return np.concatenate([np.zeros(1, np.uint64), np.cumsum(_TABLE[data] * pows[: len(data)], dtype=np.uint64)])
+    ``add`` makes the arrays of a batch of (doc, text), scans them against all levels for long matches, and merges
+    levels of one size as in a binary counter, so an entry is rewritten a logarithmic number of times. What is in the
+    family counts as earlier than the batch; within the batch the smaller (doc, place) does. Of equal stretches the
+    family keeps one. A gram with more than ``hot_from`` different surroundings would burden one shard: its strings are
+    kept by hash in a table of their own and compared by an aggregate and a join.
 
+    The family lives in ``path``: tables, and a manifest for each version. Opening a path again continues it.
+    """
 
-_pows: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+    def __init__(self, spark: SparkSession, path: str | None = None, *, length: int = 100, shards: int = 64, hot_from: int = 16_384):
+        self.spark, self.path = spark, path or scratch_path(spark, "suffix-family")
+        self.state = {"version": 0, "length": length, "shards": shards, "hot_from": hot_from, "levels": {}, "hot": [], "strings": []}
+        self.stale: list[str] = []
+        found = self._manifests()
+        if found:
+            self.state = json.loads(spark.read.text(f"{self.path}/manifest-{max(found)}").first()[0])
+
+    def _fs(self, where: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(where)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def _manifests(self) -> list[int]:
+        fs, path = self._fs(self.path)
+        entries = [f.getPath().getName() for f in fs.listStatus(path)] if fs.exists(path) else []
+        return [int(e.split("-")[1]) for e in entries if e.startswith("manifest-") and fs.exists(self._fs(f"{self.path}/{e}/_SUCCESS")[1])]
+
+    def _commit(self) -> None:
+        """A version stands once its manifest is whole; only then are the tables it replaces deleted."""
+        self.state["version"] += 1
+        line = json.dumps(self.state)
+        self.spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("overwrite").text(f"{self.path}/manifest-{self.state['version']}")
+        for name in self.stale:
+            fs, path = self._fs(name)
+            fs.delete(path, True)
+        self.stale = []
+
+    def _table(self, label: str) -> str:
+        return f"{self.path}/{label}-{self.state['version'] + 1}"
+
+    def _read(self, name: str, schema: str = ROWS) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(name)
+
+    def add(self, texts: DataFrame) -> DataFrame:
+        """(doc, start, stop) of the bytes of a batch that long matches cover; they may overlap."""
+        s, spark = self.state, self.spark
+        length = s["length"]
+        made = self._table("arrays")
+        texts.mapInArrow(_arrays(length, s["shards"]), ROWS).write.mode("overwrite").options(**BLOBS).parquet(made)
+        arrays = self._read(made)
+        new = self._new_hot(arrays)
+        levels = {int(k): self._read(v) for k, v in s["levels"].items()}
+        carry = []
+        while len(carry) in levels:
+            carry.append(len(carry))
+        rows = arrays.where("kind = 'array'").select("shard", F.lit(-1).alias("level"), "blob")
+        for level, table in levels.items():
+            rows = rows.unionByName(table.where("kind = 'level'").select("shard", F.lit(level).alias("level"), "blob"))
+        hot = sorted({*s["hot"], *new})
+        strings_found = None
+        if hot:
+            strings_found = self._hot_matches(rows, hot)
+            grams = spark.sparkContext.broadcast(np.sort(np.array(hot, np.int64).view(np.uint64)))
+            rows = rows.mapInArrow(_without(grams, length), "shard int, level int, blob binary")
+        done = rows.groupBy("shard").applyInArrow(_add_shard(tuple(carry), length, s["hot_from"]), ROWS)
+        where = self._table("level")
+        done.write.mode("overwrite").options(**BLOBS).parquet(where)
+        self.stale += [s["levels"].pop(str(level)) for level in carry]
+        s["levels"][str(len(carry))] = where
+        scanned = self._read(where)
+        s["hot"] = sorted({*hot, *self._over(scanned.where("kind = 'heavy'"), s["hot_from"])})
+        matches = self._table("matches")
+        both = arrays.where("kind = 'match'").unionByName(scanned.where("kind = 'match'")).select("blob")
+        both = both.mapInArrow(_stretches, "doc long, start long, stop long")
+        (both if strings_found is None else both.unionByName(strings_found)).write.mode("overwrite").parquet(matches)
+        self.stale.append(made)
+        self._commit()
+        return self._read(matches, "doc long, start long, stop long")
+
+    @staticmethod
+    def _over(heavy: DataFrame, least: int, most: int = 1 << 20) -> list[int]:
+        """The grams with at least ``least`` entries, or with so many more that ``most`` of them at most are told."""
+        sums = heavy.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+        while sums.count() > most:
+            least *= 2
+            sums = sums.where(F.col("n") >= least)
+        return [r[0] for r in sums.select("key").collect()]
+
+    def _new_hot(self, arrays: DataFrame) -> list[int]:
+        return self._over(arrays.where("kind = 'heavy'"), self.state["hot_from"])
+
+    def _hot_matches(self, rows: DataFrame, hot: list[int]) -> DataFrame:
+        """(doc, start, stop) of the new strings of hot grams that are known or come earlier; the others become known."""
+        s, length = self.state, self.state["length"]
+        grams = self.spark.sparkContext.broadcast(np.sort(np.array(hot, np.int64).view(np.uint64)))
+        found = rows.select("level", "blob")
+        new = found.where("level = -1").select("blob").mapInArrow(_hot_strings(grams, length), "h long, doc long, start long")
+        old = found.where("level >= 0").select("blob").mapInArrow(_hot_strings(grams, length), "h long, doc long, start long")
+        every = new.select("h", F.lit(1).alias("age"), "doc", "start").unionByName(old.select("h", F.lit(0).alias("age"), "doc", "start"))
+        for name in s["strings"]:
+            known = self._read(name, "h long, age int, doc long, start long")
+            every = every.unionByName(known.withColumn("age", F.lit(0)))
+        made = self._table("strings")
+        first = every.groupBy("h").agg(F.min(F.struct("age", "doc", "start")).alias("o")).select("h", "o.*")
+        first.write.mode("overwrite").parquet(made)
+        self.stale += s["strings"]
+        s["strings"] = [made]
+        lead = self._read(made, "h long, age int, doc long, start long").select(F.col("h").alias("k"), *[F.col(c).alias(f"first_{c}") for c in ("age", "doc", "start")])
+        again = new.join(lead, F.col("h") == F.col("k")).where("first_age = 0 or first_doc != doc or first_start != start")
+        return again.select("doc", "start", (F.col("start") + length).alias("stop"))
 
+    def drop(self) -> None:
+        fs, path = self._fs(self.path)
+        fs.delete(path, True)
 
-def _powers(n: int) -> list[np.ndarray]:
-    if len(_pows[0]) <= n:
-        for i, x in enumerate((_BASE, _BASE_INV)):
-            out = np.full(2 * n + 1, x, np.uint64)
-            out[0] = 1
-            _pows[i] = np.multiply.accumulate(out)
-    return _pows
 
+# ---- what loses bytes
 
-def _id_cell(doc: np.ndarray, start: np.ndarray) -> np.ndarray:
-    h = doc.astype(np.uint64) * _STEPS[0] + start.astype(np.uint64) * _STEPS[1]
-    return (((h ^ (h >> np.uint64(32))) * _STEPS[2]) >> np.uint64(64 - KEY_BITS)).astype(np.int64)
 
+def in_bitmap(packed: np.ndarray, cells: np.ndarray) -> np.ndarray:
+    """Which cells are set in a bitmap of one bit a cell."""
+    return (packed[cells >> 3] >> (cells & 7).astype(np.uint8)) & np.uint8(1) != 0
 
-def _id_cells(batch):
-    return _id_cell(*(batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc", "start")))
 
+def _doc_cell(doc: np.ndarray, bits: int) -> np.ndarray:
+    return ((doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
 
-def _candidates(key_bits, length: int, room: int = 1_000_000):
-    """Task: (doc, start, stop, key, name) of the anchors whose key may be matched.
 
-    ``name`` hashes the key and all bytes of the anchor's strings: anchors of one name stand for the same strings. Of
-    a name the task's earliest goes on; the others' bytes are removed whatever other tasks have, and come out merged,
-    without a name. So copies leave a task once.
-    """
+def _mark(bits: int):
+    """Task: the pieces of a bitmap that the documents it reads fall in."""
 
     def run(batches):
         import pyarrow as pa
 
-        seen = np.frombuffer(key_bits.value, np.uint8)
-        fields = ["doc", "start", "stop", "key", "name"]
-
-        def spill(held):
-            doc, start, stop, key, name = (np.concatenate(x) for x in zip(*held))
-            order = np.lexsort((start, doc, name))
-            first = np.r_[True, np.diff(name[order]) != 0]
-            keep, lost = order[first], order[~first]
-            for i in range(0, len(keep), 20_000):
-                part = keep[i : i + 20_000]
-                yield pa.RecordBatch.from_arrays([pa.array(x[part]) for x in (doc, start, stop, key, name)], fields)
-            if len(lost):
-                lost = lost[np.lexsort((start[lost], doc[lost]))]
-                new = np.r_[True, (np.diff(doc[lost]) != 0) | (start[lost][1:] > stop[lost][:-1])]
-                last = np.r_[np.flatnonzero(new)[1:] - 1, len(lost) - 1]
-                none = pa.nulls(int(new.sum()), pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc[lost[new]]), pa.array(start[lost[new]]), pa.array(stop[lost[last]]), none, none], fields
-                )
-
-        held, size = [], 0
-        for whole in batches:
-            for docs, data, offsets in _texts(whole):
-                key, at, lo, hi = anchors(data, offsets, length)
-                near = in_bitmap(seen, (key >> np.uint64(64 - KEY_BITS)).astype(np.int64))
-                if not near.any():
-                    continue
-                key, at, lo, hi = key[near], at[near], lo[near], hi[near] + length
-                sums = _hash_sums(data)
-                name = (sums[hi] - sums[lo]) * _powers(len(data))[1][lo]
-                name = (name ^ (name >> np.uint64(31))) * _STEPS[0] + key + (at - lo).astype(np.uint64) * _STEPS[1] + (hi - lo).astype(np.uint64) * _STEPS[2]
-                row = np.searchsorted(offsets, at, "right") - 1
-                held.append((docs[row], lo - offsets[row], hi - offsets[row], key.view(np.int64), name.view(np.int64)))
-                size += len(key)
-                if size >= room:
-                    yield from spill(held)
-                    held, size = [], 0
-        if held:
-            yield from spill(held)
+        seen = np.zeros((1 << bits) // 8, np.uint8)
+        for batch in batches:
+            cells = np.unique(_doc_cell(batch.column(0).to_numpy(zero_copy_only=False), bits))
+            np.bitwise_or.at(seen, cells >> 3, np.left_shift(np.uint8(1), (cells & 7).astype(np.uint8)))
+        for i, piece in enumerate(np.split(seen, PIECES)):
+            if piece.any():
+                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([pa.compress(piece.tobytes(), "zstd", asbytes=True)], pa.binary())], ["piece", "bits"])
 
     return run
 
 
-def _sort_out(batches):
-    """Task: from rows sorted by key, name, doc and start, (doc, start, stop, open).
-
-    All but the first of a name are repeats as a whole (open is false). The firsts of a key with several names may
-    share some strings, which is still open; a key's only name is left out.
-    """
-    import pyarrow as pa
-
-    last = None  # (key, name) of the row before, and the key's first row while it has no second name
-    alone = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        doc, start, stop, key, name = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-        new_key = np.r_[last is None or key[0] != last[0], key[1:] != key[:-1]]
-        new_name = new_key | np.r_[last is None or name[0] != last[1], name[1:] != name[:-1]]
-        again = np.flatnonzero(~new_name)
-        # A first of a name is open if its key has another name: before it, or as the next first.
-        firsts = np.flatnonzero(new_name)
-        starts_key = new_key[firsts]
-        followed = np.r_[~starts_key[1:], False] if len(firsts) else np.empty(0, bool)
-        is_open = firsts[~starts_key | followed]
-        out = [(doc[again], start[again], stop[again], np.zeros(len(again), bool)), (doc[is_open], start[is_open], stop[is_open], np.ones(len(is_open), bool))]
-        if alone is not None and len(firsts) and not starts_key[0]:
-            out.append(tuple(np.array([v]) for v in alone) + (np.ones(1, bool),))
-        if len(firsts):
-            i = firsts[-1]
-            alone = (doc[i], start[i], stop[i]) if starts_key[-1] else None
-        last = (key[-1], name[-1])
-        cols = [np.concatenate(x) for x in zip(*out)]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["doc", "start", "stop", "open"])
-
-
-def _open_texts(key_bits, id_bits, length: int):
-    """Task: (doc, start, key, at, text) of the anchors that are still open, with the bytes of their strings."""
+def _join_pieces(size: int):
+    """Task: the union of all versions of each piece it is dealt."""
 
     def run(batches):
         import pyarrow as pa
 
-        seen, wanted = (np.frombuffer(b.value, np.uint8) for b in (key_bits, id_bits))
-        for whole in batches:
-            for docs, data, offsets in _texts(whole):
-                key, at, lo, hi = anchors(data, offsets, length)
-                near = np.flatnonzero(in_bitmap(seen, (key >> np.uint64(64 - KEY_BITS)).astype(np.int64)))
-                row = np.searchsorted(offsets, at[near], "right") - 1
-                ok = in_bitmap(wanted, _id_cell(docs[row], lo[near] - offsets[row]))
-                near, row = near[ok], row[ok]
-                if not len(near):
-                    continue
-                view, base = data.tobytes(), offsets[row]
-                texts = [view[x:y] for x, y in zip(lo[near].tolist(), (hi[near] + length).tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(docs[row]), pa.array(lo[near] - base), pa.array(key[near].view(np.int64)), pa.array(at[near] - base), pa.array(texts, pa.binary())],
-                    ["doc", "start", "key", "at", "text"],
-                )
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for piece, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                one = np.frombuffer(pa.decompress(raw, size, "zstd", asbytes=True), np.uint8)
+                total[piece] = total[piece] | one if piece in total else one
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], ["piece", "bits"])
 
     return run
 
 
-def _verify(length: int, room: int = 5_000):
-    """Task: from anchors sorted by key, doc and place, the stretches (doc, start, stop) whose bytes came earlier.
+def document_bitmap(docs: DataFrame, bits: int) -> bytes:
+    """A bitmap of (doc): joined piece by piece over the tasks, so that none sees all of all tasks."""
+    size = (1 << bits) // 8 // PIECES
+    pieces = docs.coalesce(256).mapInArrow(_mark(bits), "piece int, bits binary").repartition("piece")
+    out = np.zeros((1 << bits) // 8, np.uint8)
+    for piece, raw in pieces.mapInArrow(_join_pieces(size), "piece int, bits binary").collect():  # a bitmap of fixed size
+        out[piece * size : (piece + 1) * size] = np.frombuffer(raw, np.uint8)
+    return out.tobytes()
 
-    Every string of an anchor is compared by its offset to the anchor and a 64-bit hash beside the anchor's own; the
-    first in order stays. A key's strings are remembered while its rows last, so rows are handled in pieces.
-    """
+
+def _only(seen, bits: int):
     def run(batches):
         import pyarrow as pa
 
-        last_key, known = None, np.empty(0, np.uint64)
-        for whole in batches:
-            for part in slices(whole, room):
-                text = part.column("text").cast(pa.large_binary())
-                bounds = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1]
-                data = np.frombuffer(text.buffers()[2], np.uint8)[bounds[0] : bounds[-1]]
-                bounds = bounds - bounds[0]
-                doc, start, key, at = (part.column(c).to_numpy(zero_copy_only=False) for c in ("doc", "start", "key", "at"))
-                sums = _hash_sums(data)
-                many = np.diff(bounds) - length + 1
-                row = np.repeat(np.arange(len(doc)), many)
-                step = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
-                p = bounds[:-1][row] + step
-                h = (sums[p + length] - sums[p]) * _powers(len(data))[1][p]
-                back = (at - start)[row] - step
-                h = (h ^ (h >> np.uint64(31))) * _STEPS[1] + back.astype(np.uint64) * _STEPS[2] + key.view(np.uint64)[row] * _STEPS[3]
-                h = (h ^ (h >> np.uint64(30))) * _STEPS[4]
-                _, at_first = np.unique(h, return_index=True)
-                again = np.ones(len(h), bool)
-                again[at_first] = False
-                if len(known) and key[0] == last_key:
-                    again |= np.isin(h, known) & (key[row] == last_key)
-                tail = key[row] == key[-1]
-                fresh = h[tail & ~again]
-                known = np.concatenate([known, fresh]) if key[0] == last_key == key[-1] else fresh
-                last_key = key[-1]
-                hit = np.flatnonzero(again)
-                if not len(hit):
-                    continue
-                new = np.r_[True, (np.diff(hit) != 1) | (row[hit[1:]] != row[hit[:-1]])]
-                a = hit[new]
-                b = hit[np.r_[np.flatnonzero(new)[1:] - 1, len(hit) - 1]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc[row[a]]), pa.array(start[row[a]] + step[a]), pa.array(start[row[b]] + step[b] + length)], ["doc", "start", "stop"]
-                )
+        packed = np.frombuffer(seen.value, np.uint8)
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.filter(pa.array(in_bitmap(packed, _doc_cell(batch.column(0).to_numpy(zero_copy_only=False), bits))))
 
     return run
 
@@ -478,52 +692,21 @@ def _unique_ids(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     return joined.select("doc", "text"), joined
 
 
-def repeated_stretches(texts: DataFrame, *, length: int = 100, batches: int = 4, shard_bytes: int = 32_000_000) -> DataFrame:
+def repeated_stretches(texts: DataFrame, *, length: int = 100, batches: int = 4, shard_bytes: int = 32_000_000, hot_from: int = 16_384) -> DataFrame:
     """(doc, start, stop) of bytes of (doc, text) covered by ``length``-byte strings that start earlier; may overlap."""
-    spark = texts.sparkSession
     cuts = [i / batches for i in range(1, batches)]
     total, bounds = texts.agg(
-        F.sum(F.octet_length("text")), F.percentile_approx("doc", F.array(*[F.lit(c) for c in cuts]), 1000)
+        F.sum(F.octet_length("text")), F.percentile_approx("doc", F.array(*[F.lit(c) for c in cuts]), 1000) if cuts else F.lit(None)
     ).first()
-    shards = max(64, (total or 0) // shard_bytes)
-    arrays = materialise(
-        texts.mapInArrow(_arrays(length, sorted(set(bounds or [])), shards), "batch int, shard int, blob binary"), "suffix-arrays", **BLOBS
-    )
-    bits = _matched_keys(arrays, len(set(bounds or [])) + 1)
-    discard(arrays)
-    release(spark)
-    found = _whole_repeats(texts, bits, length)
-    release(spark)
-    wanted = spark.sparkContext.broadcast(_bitmap(found.where("open").select("doc", "start"), KEY_BITS, _id_cells))
-    release(spark)
-    rows = texts.mapInArrow(_open_texts(bits, wanted, length), "doc long, start long, key long, at long, text binary")
-    rows = rows.repartition("key").sortWithinPartitions("key", "doc", "start")
-    parts = materialise(rows.mapInArrow(_verify(length), "doc long, start long, stop long"), "suffix-repeats")
-    return parts.unionByName(found.where("not open").select("doc", "start", "stop"))
-
-
-def _matched_keys(arrays: DataFrame, batches: int):
-    """A broadcast bitmap of the keys that the index family finds more than once, batch after batch."""
-    family = SuffixFamily()
-    for b in range(batches):
-        family.add(arrays.where(F.col("batch") == b))
-    match = family.matches()
-    n = match.agg(F.sum(F.octet_length("blob"))).first()[0] or 0
-    bits = arrays.sparkSession.sparkContext.broadcast(_bitmap(match.coalesce(1 + n // 40_000_000), KEY_BITS, _key_cells))
+    family = SuffixFamily(texts.sparkSession, length=length, shards=max(64, (total or 0) // shard_bytes), hot_from=hot_from)
+    out, edges = None, [None, *sorted(set(bounds or [])), None]
+    for lo, hi in zip(edges[:-1], edges[1:]):
+        batch = texts.where(F.lit(True) if lo is None else F.col("doc") >= lo).where(F.lit(True) if hi is None else F.col("doc") < hi)
+        found = family.add(batch)
+        out = found if out is None else out.unionByName(found)
+        release(texts.sparkSession)
+    out = materialise(out, "suffix-repeats")
     family.drop()
-    return bits
-
-
-def _whole_repeats(texts: DataFrame, bits, length: int) -> DataFrame:
-    """(doc, start, stop, open): anchors all of whose strings come earlier, and those that may share some."""
-    found = materialise(
-        texts.mapInArrow(_candidates(bits, length), "doc long, start long, stop long, key long, name long"), "suffix-candidates"
-    )
-    named = found.where("name is not null").repartition("key").sortWithinPartitions("key", "name", "doc", "start")
-    named = named.select("doc", "start", "stop", "key", "name").mapInArrow(_sort_out, "doc long, start long, stop long, open boolean")
-    sure = found.where("name is null").select("doc", "start", "stop", F.lit(False).alias("open"))
-    out = materialise(named.union(sure), "suffix-sorted")
-    discard(found)
     return out
 
 
@@ -554,28 +737,19 @@ def _apply(batches):
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["doc", "n_removed", "n_spans", "kept_sha256", "kept"])
 
 
-def _only(bits):
-    def run(batches):
-        import pyarrow as pa
-
-        seen = np.frombuffer(bits.value, np.uint8)
-        for batch in batches:
-            if batch.num_rows:
-                yield batch.filter(pa.array(in_bitmap(seen, _doc_cells(batch))))
-
-    return run
-
-
-def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 100, batches: int = 4, with_text: bool = False) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 100, batches: int = 4, with_text: bool = False,
+    hot_from: int = 16_384, family: SuffixFamily | None = None,
+) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row; ``with_text`` adds ``kept`` (bytes, null: all).
 
     A byte is removed if a string of ``length`` bytes that covers it also starts earlier: in a document of smaller
     id, or earlier in the same one. Strings are judged on the input and never cross documents.
 
-    The documents come in ``batches`` by id. Each batch gets suffix arrays (by shards), is merge-scanned against
-    the family's levels, and joins them. Anchors that match anything are then named by a hash of all their strings:
-    all but the first of a name are repeats. Where a gram has several names, the first of each is read once more
-    with its bytes, and string is compared with string. Texts are shuffled only if they lose something.
+    The documents come in ``batches`` by id. Each batch gets suffix arrays (by shards), which are merge-scanned against the
+    family's levels for long matches and join them. The matches, as stretches of documents, are what is removed. With
+    a saved ``family`` the documents are one new batch: what it holds counts as earlier, and it holds them afterwards.
+    Texts are shuffled only if they lose something.
 
     A null or empty text has 0 bytes and loses none. Documents of one id are ordered by a hash of the text, null ids
     come last; rows of the same id and text are one document and each get its result; other columns are not read; an
@@ -584,11 +758,13 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     spark = docs.sparkSession
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     texts, named = _unique_ids(src)
-    spans = repeated_stretches(texts, length=length, batches=batches)
+    spans = family.add(texts) if family else repeated_stretches(texts, length=length, batches=batches, hot_from=hot_from)
     release(spark)
     per = spans.groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    bits = spark.sparkContext.broadcast(_bitmap(spans.select("doc").distinct(), DOC_BITS, _doc_cells))
-    hit = texts.mapInArrow(_only(bits), "doc long, text string").join(per.withColumnRenamed("doc", "d"), F.col("doc") == F.col("d"))
+    losers = spans.select("doc").distinct()
+    bits = min(30, max(20, (8 * losers.count()).bit_length()))  # past 2**30 cells the bitmap fills, which only costs time
+    seen = spark.sparkContext.broadcast(document_bitmap(losers, bits))
+    hit = texts.mapInArrow(_only(seen, bits), "doc long, text string").join(per.withColumnRenamed("doc", "d"), F.col("doc") == F.col("d"))
     done = hit.select("doc", "text", "spans").mapInArrow(_apply, "doc long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     done = done.withColumnRenamed("doc", "d") if with_text else done.drop("kept").withColumnRenamed("doc", "d")
     whole = (texts.withColumn("doc_id", F.col("doc")) if named is None else named).select(

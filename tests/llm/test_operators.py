@@ -147,39 +147,76 @@ def test_suffix_dedup_keeps_text(docs):
         assert hashlib.sha256(bytes(r.kept)).hexdigest() == r.kept_sha256 and len(r.kept) == r.n_bytes - r.n_removed
 
 
-def test_suffix_verification_in_small_pieces():
-    """Strings that repeat are found wherever the sorted rows are cut."""
-    import pyarrow as pa
+def test_suffix_dedup_of_hot_grams(odd, docs):
+    """Grams with many surroundings go by the strings' hashes; the result is the same."""
+    from strandlake.llm.suffix import remove_repeats
+
+    want = Counter(map(tuple, remove_repeats(docs).collect()))
+    assert want == Counter(map(tuple, remove_repeats(docs, hot_from=2).collect()))
+
+
+def test_one_gram_in_all_documents(spark):
+    """A passage that every text enters and leaves differently: each goes beyond it on its own."""
+    from strandlake.llm.suffix import remove_repeats
+
+    rng = np.random.default_rng(8)
+    word = lambda: "".join(chr(97 + c) for c in rng.integers(0, 26, 5))
+    passage = " ".join(word() for _ in range(40))
+    data = [(i, " ".join([word() for _ in range(20 + i % 7)] + [passage[i % 11 :]] + [word() for _ in range(25)]), *[None] * 9) for i in range(400)]
+    want = Counter(H.repeats([(r[0], r[1]) for r in data], 100))
+    for hot_from in (16_384, 50):
+        assert want == Counter(map(tuple, remove_repeats(H.table(spark, data).repartition(5), hot_from=hot_from).collect()))
 
-    from strandlake.llm.suffix import _sort_out, _verify
-
-    text = bytes(np.random.default_rng(1).integers(97, 123, 160, dtype=np.uint8))
-    rows = pa.table({
-        "doc": pa.array(range(9), pa.int64()), "start": pa.array([5] * 9, pa.int64()), "key": pa.array([1] * 5 + [2] * 4, pa.int64()),
-        "at": pa.array([20] * 9, pa.int64()), "text": pa.array([text] * 9, pa.binary()),
-    })
-    for room in (1, 2, 3, 100):
-        found = [tuple(r.values()) for b in _verify(100, room)(rows.to_batches()) for r in pa.Table.from_batches([b]).to_pylist()]
-        assert sorted(found) == [(d, 5, 165) for d in (1, 2, 3, 4, 6, 7, 8)]
-    # key 1: names 7, 7, 8; key 2: name 9 alone; key 3: names 4, 5
-    data = [(0, 1, 7), (3, 1, 7), (1, 1, 8), (5, 2, 9), (6, 3, 4), (7, 3, 5)]
-    for size in (1, 2, 6):
-        batches = [
-            pa.RecordBatch.from_pydict({"doc": [r[0] for r in part], "start": [0] * len(part), "stop": [1] * len(part), "key": [r[1] for r in part], "name": [r[2] for r in part]})
-            for part in (data[i : i + size] for i in range(0, len(data), size))
-        ]
-        got = {(r["doc"], r["open"]) for b in _sort_out(batches) for r in pa.Table.from_batches([b]).to_pylist()}
-        assert got == {(0, True), (3, False), (1, True), (6, True), (7, True)}
-
-
-def test_suffix_arrays_round_trip():
-    from strandlake.llm.suffix import merged, pack, unpack
+
+def test_saved_family_takes_more_batches(spark, docs, tmp_path):
+    """Batches added one by one, the family opened anew each time, find what one run over all finds."""
+    from strandlake.llm.suffix import SuffixFamily, remove_repeats
+
+    data = sorted(pairs(docs))
+    want, at = set(H.repeats(data, 100)), [0, 60, 61, 100, 130, len(data)]
+    for hot_from in (16_384, 3):
+        path, got = f"file://{tmp_path}/family-{hot_from}", set()
+        for lo, hi in zip(at[:-1], at[1:]):
+            batch = H.table(spark, [(d, t, *[None] * 9) for d, t in data[lo:hi]])
+            family = SuffixFamily(spark, path, shards=5, hot_from=hot_from)
+            got |= {tuple(r) for r in remove_repeats(batch, family=family).collect()}
+        assert got == want
+        assert set(SuffixFamily(spark, path).state["levels"]) == {"0", "2"}  # five batches: 4 + 1
+
+
+def test_suffix_arrays_are_in_order():
+    from strandlake.llm.suffix import Entries, suffix_sorted
 
     rng = np.random.default_rng(3)
-    key = np.sort(rng.integers(0, 1 << 63, 500, dtype=np.uint64) * np.uint64(2))
-    one = (key, rng.integers(0, 10**12, 500), rng.integers(0, 10**6, 500))
-    assert all((a == b).all() for a, b in zip(unpack(pack(*one)), one))
-    assert (np.diff(merged([one, one])[0].astype(np.float64)) >= 0).all()
+    data = rng.integers(97, 100, 4000, dtype=np.uint8)
+    data[1000:1300] = data[2000:2300]
+    at = np.sort(rng.integers(0, 3800, 300))
+    left, count = rng.integers(0, 60, 300), rng.integers(1, 60, 300)
+    left = np.maximum(left, count - 1)
+    entries = Entries(np.arange(300), at + left, left, count, at, data, 100)
+    again = Entries.unpack([entries.take(np.arange(100)).pack(), entries.take(np.arange(100, 300)).pack()], 100)
+    for e in (entries, again):
+        order, lcp = suffix_sorted(e)
+        tails = [e.data[a + x : a + n].tobytes().ljust(100, b"\0") for a, x, n in zip(e.at, e.left, e.size())]
+        assert [tails[i] for i in order] == sorted(tails)
+        for i in range(1, 300):
+            a, b = tails[order[i - 1]], tails[order[i]]
+            assert lcp[i] == next((k for k in range(100) if a[k] != b[k]), 100)
+
+
+def test_long_texts_come_in_stretches():
+    import pyarrow as pa
+
+    from strandlake.llm.suffix import _texts, anchors
+
+    raw = np.random.default_rng(4).integers(97, 123, 5000, dtype=np.uint8).tobytes().decode()
+    batch = pa.RecordBatch.from_arrays([pa.array([7, 8]), pa.array([raw, "short"])], ["doc", "text"])
+    starts = []
+    for docs, data, offsets, skip in _texts(batch, 100, most=700):
+        at, lo, hi = anchors(data, offsets, 100)
+        assert len(at) == 0 or docs.tolist() == [7] or skip == 0
+        starts += [skip + x for a, b in zip(lo, hi) for x in range(a, b + 1)]
+    assert starts == list(range(4901))
 
 
 # ---- n-gram Jaccard join
