@@ -2,9 +2,9 @@
 
 A string of ``length`` bytes is found through one of its own positions, its anchor: the leftmost of its ``length - K + 1``
 K-byte grams that has the smallest hash. Equal strings have equal anchors, so suffix arrays over the anchors (about
-one byte in 39) see every repeat that full ones see. An entry of an array is a suffix from its anchor on, with the bytes
-before and after it that the anchor's strings cover; arrays are sorted by the following bytes and split in shards by
-the gram.
+one byte in 39) see every repeat that full ones see. The arrays of the family hold suffixes by their first K bytes, in
+order, with a hash of all the bytes that the anchor's strings cover. What a scan leaves open, suffixes with K bytes in
+common and different surroundings, is read from the texts and put in full suffix order.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from strandlake.operators.scratch import ranked
 
-from .common import materialise, release, scratch_path, slices
+from .common import discard, materialise, release, scratch_path, slices
 
 K = 24
 PIECES = 64
@@ -91,7 +91,7 @@ def _texts(batch, length: int, rows: int = 2000, most: int = 64 * CHUNK):
         data = np.frombuffer(text.buffers()[2], np.uint8)
         at = 0
         while at < len(docs):
-            to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + CHUNK, "right")) - 1)
+            to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + min(CHUNK, most), "right")) - 1)
             to = min(to, len(docs))
             if bounds[to] - bounds[at] > most:
                 for lo in range(0, int(bounds[to] - bounds[at]), most - over):
@@ -108,7 +108,7 @@ def _texts(batch, length: int, rows: int = 2000, most: int = 64 * CHUNK):
 
 
 class Entries:
-    """``doc`` and ``pos`` of the anchor, ``left`` bytes kept before it, ``count`` strings (of starts pos - left on), and the bytes.
+    """Suffixes with their bytes: ``doc`` and ``pos`` of the anchor, ``left`` bytes kept before it, ``count`` strings (of starts pos - left on), and the bytes.
 
     Entry i covers ``data[at[i] : at[i] + count[i] + length - 1]``, the bytes of its strings.
     """
@@ -145,31 +145,6 @@ class Entries:
             view = np.where(np.arange(8 * n) < have[:, None], view, np.uint8(0))
         return np.ascontiguousarray(view).view(">u8").astype(np.uint64)
 
-    def pack(self) -> bytes:
-        import pyarrow as pa
-
-        planes = [np.ascontiguousarray(x.astype(np.int64).view(np.uint8).reshape(-1, 8).T).tobytes() for x in (self.doc, self.pos)]
-        raw = b"".join([*planes, self.left.astype(np.uint8).tobytes(), self.count.astype(np.uint8).tobytes(), self.gathered().tobytes()])
-        head = len(self).to_bytes(8, "little") + len(raw).to_bytes(8, "little")
-        return head + pa.Codec("zstd", compression_level=1).compress(raw, asbytes=True)
-
-    @staticmethod
-    def unpack(blobs: list[bytes], length: int) -> Entries:
-        import pyarrow as pa
-
-        parts, datas, base = [], [np.empty(0, np.uint8)], 0
-        for blob in blobs:
-            n, size = (int.from_bytes(blob[i : i + 8], "little") for i in (0, 8))
-            raw = np.frombuffer(pa.Codec("zstd").decompress(blob[16:], size, asbytes=True), np.uint8)
-            doc, pos = (np.ascontiguousarray(raw[i * 8 * n : (i + 1) * 8 * n].reshape(8, n).T).view(np.int64).ravel() for i in (0, 1))
-            left, count = (raw[(16 + i) * n : (17 + i) * n].astype(np.int64) for i in (0, 1))
-            long = count + (length - 1)
-            parts.append((doc, pos, left, count, base + np.cumsum(long) - long))
-            datas.append(raw[18 * n :])
-            base += size - 18 * n
-        cols = [np.concatenate(x) for x in zip(*parts)] if parts else [np.empty(0, np.int64)] * 5
-        return Entries(*cols, np.concatenate(datas), length)
-
 
 def gram_key(words: np.ndarray) -> np.ndarray:
     """A hash of the K bytes after the anchor, from their three words."""
@@ -327,7 +302,77 @@ def merge_scan(entries: Entries, age: np.ndarray):
     return order, keep, joined
 
 
-# ---- tasks
+# ---- suffix arrays of the family
+
+
+class Suffixes:
+    """Suffixes by their first K bytes: ``words`` (three of 8 bytes), doc, pos, left and count as in Entries, and the name of all bytes."""
+
+    FIELDS = ("words", "doc", "pos", "left", "count", "name")
+
+    def __init__(self, words, doc, pos, left, count, name):
+        self.words, self.doc, self.pos, self.left, self.count, self.name = words, doc, pos, left, count, name
+
+    def __len__(self) -> int:
+        return len(self.doc)
+
+    def take(self, rows) -> Suffixes:
+        return Suffixes(*(getattr(self, f)[rows] for f in self.FIELDS))
+
+    @staticmethod
+    def joined(parts: list[Suffixes]) -> Suffixes:
+        return Suffixes(*(np.concatenate([getattr(p, f) for p in parts]) for f in Suffixes.FIELDS))
+
+    def key(self) -> np.ndarray:
+        return gram_key(self.words)
+
+    def order(self) -> np.ndarray:
+        """The suffix array; suffixes that begin alike are ordered by name."""
+        return np.lexsort((self.name, self.words[:, 2], self.words[:, 1], self.words[:, 0]))
+
+    def pack(self) -> bytes:
+        import pyarrow as pa
+
+        planes = [np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8).T).tobytes() for x in (self.doc, self.pos, self.name)]
+        raw = b"".join([*planes, self.left.astype(np.uint8).tobytes(), self.count.astype(np.uint8).tobytes(), self.words.astype(">u8").tobytes()])
+        return len(self).to_bytes(8, "little") + pa.Codec("zstd", compression_level=1).compress(raw, asbytes=True)
+
+    @staticmethod
+    def unpack(blob: bytes) -> Suffixes:
+        import pyarrow as pa
+
+        n = int.from_bytes(blob[:8], "little")
+        raw = np.frombuffer(pa.Codec("zstd").decompress(blob[8:], n * 50, asbytes=True), np.uint8)
+        doc, pos, name = (np.ascontiguousarray(raw[i * 8 * n : (i + 1) * 8 * n].reshape(8, n).T).view(np.uint64).ravel() for i in range(3))
+        left, count = (raw[(24 + i) * n : (25 + i) * n].astype(np.int64) for i in (0, 1))
+        words = raw[26 * n :].view(">u8").astype(np.uint64).reshape(n, 3)
+        return Suffixes(words, doc.view(np.int64), pos.view(np.int64), left, count, name)
+
+
+def scan_suffixes(one: Suffixes, age: np.ndarray, hot: np.ndarray):
+    """(order, kept, matched, unsure) of old (age 0) and new (age 1) suffixes, merged into one suffix array.
+
+    Neighbours whose common prefix is K bytes or more are a run. Of a run's suffixes with one name all but the oldest (by
+    age, document and place) are repeated as a whole: the new ones are matches. Where a run has several names, or its
+    gram is hot, and a new suffix among them, the oldest of each name is unsure: strings may be shared between them.
+    """
+    order = one.order()
+    words, name = one.words[order], one.name[order]
+    lcp = common_prefix(words) if len(order) else np.zeros(0, np.int64)
+    new_run = np.r_[True, lcp[1:] < K] if len(order) else np.zeros(0, bool)
+    run = np.cumsum(new_run) - 1
+    group = np.cumsum(new_run | np.r_[True, name[1:] != name[:-1]]) - 1 if len(order) else run
+    by_age = np.lexsort((one.pos[order], one.doc[order], age[order], group))
+    lead = np.zeros(len(order), bool)
+    lead[by_age[np.r_[True, np.diff(group[by_age]) != 0]] if len(order) else []] = True
+    several = np.bincount(run[lead], minlength=run[-1] + 1 if len(run) else 0) > 1
+    fresh = np.zeros(len(several), bool)
+    fresh[run[age[order] == 1]] = True
+    many = several[run]
+    if len(hot) and len(order):
+        key = one.key()[order]
+        many = many | (hot[np.minimum(np.searchsorted(hot, key), len(hot) - 1)] == key)
+    return order, lead, order[~lead & (age[order] == 1)], order[lead & many & fresh[run]]
 
 
 def _fields(**given):
@@ -340,44 +385,55 @@ def _fields(**given):
 
 
 ROWS = "kind string, shard int, key long, n long, blob binary"
+SPANS = "doc long, start long, stop long"
+UNSURE = "key long, age int, doc long, pos long, left long, count long"
+
+
+def _covered(one: Suffixes, rows: np.ndarray, length: int) -> bytes:
+    start = one.pos[rows] - one.left[rows]
+    return intervals(one.doc[rows], start, start + one.count[rows] + length - 1)
+
+
+def _in_shards(one: Suffixes, shard: np.ndarray):
+    """(shard, suffix array) of the suffixes by shard."""
+    by = np.argsort(shard, kind="stable")
+    edge = np.flatnonzero(np.r_[True, np.diff(shard[by]) != 0, True]) if len(by) else [0]
+    for a, b in zip(edge[:-1], edge[1:]):
+        part = one.take(by[a:b])
+        yield int(shard[by[a]]), part.take(part.order())
 
 
 def _arrays(length: int, shards: int, room: int = 600_000, heavy: int = 16):
     """Task: the suffix arrays of what it reads, one for each shard, and what it can tell by itself.
 
     Copies within the task are entered once; the bytes of the others are matches (kind match). Grams with many
-    different entries are reported (kind heavy).
+    different surroundings are reported (kind heavy).
     """
 
     def run(batches):
-        held, datas, size, base = [], [], 0, 0
+        held, size = [], 0
 
         def flush():
-            doc, pos, left, count, at = (np.concatenate(x) for x in zip(*held))
-            all_of = Entries(doc, pos, left, count, at, np.concatenate(datas), length)
-            name, words = names(all_of), all_of.words(0, 3)
-            key = gram_key(words)
-            order = np.lexsort((pos, doc, name + key))
-            first = np.r_[True, np.diff((name + key)[order]) != 0]
-            lost, lead = order[~first], order[first]
-            if len(lost):
-                start = pos[lost] - left[lost]
-                yield _fields(kind=["match"], blob=[intervals(doc[lost], start, start + count[lost] + length - 1)])
-            found, many = np.unique(key[lead], return_counts=True)
+            one = Suffixes.joined(held)
+            key = one.key()
+            group = one.name + key
+            order = np.lexsort((one.pos, one.doc, group))
+            first = np.r_[True, np.diff(group[order]) != 0]
+            if not first.all():
+                yield _fields(kind=["match"], blob=[_covered(one, order[~first], length)])
+            one, key = one.take(order[first]), key[order[first]]
+            found, many = np.unique(key, return_counts=True)
             often = many >= heavy
             if often.any():
                 yield _fields(kind=["heavy"] * int(often.sum()), key=found[often].view(np.int64), n=many[often])
-            shard = (key[lead] % np.uint64(shards)).astype(np.int64)
-            by = np.argsort(shard, kind="stable")
-            lead, shard = lead[by], shard[by]
-            edge = np.flatnonzero(np.r_[True, np.diff(shard) != 0, True])
-            for i in range(0, len(edge) - 1, 8):  # a few blobs at a time: batches of small size
-                blobs, which = [], []
-                for a, b in zip(edge[i : i + 8], edge[i + 1 : i + 9]):
-                    part = all_of.take(lead[a:b])
-                    blobs.append(part.take(suffix_sorted(_hold(part))[0]).pack())
-                    which.append(int(shard[a]))
-                yield _fields(kind=["array"] * len(blobs), shard=which, blob=blobs)
+            held_back = []
+            for shard, part in _in_shards(one, (key % np.uint64(shards)).astype(np.int64)):
+                held_back.append((shard, part.pack()))
+                if len(held_back) == 16:  # a few blobs at a time: batches of small size
+                    yield _fields(kind=["array"] * 16, shard=[x for x, _ in held_back], blob=[b for _, b in held_back])
+                    held_back = []
+            if held_back:
+                yield _fields(kind=["array"] * len(held_back), shard=[x for x, _ in held_back], blob=[b for _, b in held_back])
 
         for whole in batches:
             for docs, data, offsets, skip in _texts(whole, length):
@@ -385,130 +441,201 @@ def _arrays(length: int, shards: int, room: int = 600_000, heavy: int = 16):
                 if not len(at):
                     continue
                 row = np.searchsorted(offsets, at, "right") - 1
-                held.append((docs[row], at - offsets[row] + skip, at - lo, hi - lo + 1, lo + base))
-                datas.append(data.copy())
-                base += len(data)
+                entries = Entries(docs[row], at - offsets[row] + skip, at - lo, hi - lo + 1, lo, data, length)
+                name = _stretch_hashes(data, lo, hi + length) + (at - lo).astype(np.uint64) * _STEPS[3]
+                held.append(Suffixes(entries.words(0, 3), entries.doc, entries.pos, entries.left, entries.count, name))
                 size += len(at)
-                if size >= room or base >= 40 * room:
+                if size >= room:
                     yield from flush()
-                    held, datas, size, base = [], [], 0, 0
+                    held, size = [], 0
         if held:
             yield from flush()
 
     return run
 
 
-def _hold(part: Entries) -> Entries:
-    """The same entries with a copy of their own bytes only."""
-    size = part.size()
-    return Entries(part.doc, part.pos, part.left, part.count, np.cumsum(size) - size, part.gathered(), part.length)
+def _spread(hot, shards: int):
+    """Task: arrays (shard, level, blob), with the suffixes of hot grams in shards of their own by gram and name."""
 
+    def run(batches):
+        import pyarrow as pa
 
-def _is_hot(entries: Entries, hot: np.ndarray) -> np.ndarray:
-    key = gram_key(entries.words(0, 3))
-    at = np.minimum(np.searchsorted(hot, key), len(hot) - 1)
-    return hot[at] == key
+        grams = hot.value
+        for whole in batches:
+            for batch in slices(whole, 4):
+                out = []
+                for shard, level, blob in zip(*(batch.column(c).to_pylist() for c in ("shard", "level", "blob"))):
+                    one = Suffixes.unpack(blob)
+                    key = one.key()
+                    is_hot = grams[np.minimum(np.searchsorted(grams, key), len(grams) - 1)] == key
+                    if not is_hot.any():
+                        out.append((shard, level, blob))
+                        continue
+                    to = np.where(is_hot, ((key + one.name) % np.uint64(shards)).astype(np.int64), shard)
+                    out += [(x, level, part.pack()) for x, part in _in_shards(one, to)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.int32(), pa.int32(), pa.binary()))], ["shard", "level", "blob"])
+
+    return run
 
 
-def _without(hot, length: int):
-    """Task: arrays (shard, level, blob) less the entries of hot grams."""
+def _add_shard(carry: tuple[int, ...], length: int, large: int, hot):
+    """Task: one shard of a new batch (level -1) and of all levels: matches, what is unsure, and the merged array of the new level."""
+
+    def run(table):
+        import pyarrow as pa
+
+        grams = hot.value if hot is not None else np.empty(0, np.uint64)
+        level, parts = table.column("level").to_pylist(), [Suffixes.unpack(b) for b in table.column("blob").to_pylist()]
+        origin = np.repeat(np.array(level), [len(p) for p in parts])
+        one, out = Suffixes.joined(parts), []
+        parts.clear()
+        order, lead, matched, unsure = scan_suffixes(one, (origin == -1).astype(np.int8), grams)
+        if len(matched):
+            out.append(_fields(kind=["match"], blob=[_covered(one, matched, length)]))
+        if len(unsure):
+            rows = one.take(unsure)
+            cols = [rows.key().view(np.int64), (origin[unsure] == -1).astype(np.int64), rows.doc, rows.pos, rows.left, rows.count]
+            out.append(_fields(kind=["open"], blob=[np.stack(cols).tobytes()]))
+        stays = order[lead & np.isin(origin[order], (-1, *carry))]
+        if len(stays):
+            out.append(_fields(kind=["level"], shard=[table.column("shard")[0].as_py()], blob=[one.take(stays).pack()]))
+        found, many = np.unique(one.key(), return_counts=True) if len(one) >= large else (None, np.zeros(1))
+        if (many >= large).any():
+            out.append(_fields(kind=["heavy"] * int((many >= large).sum()), key=found[many >= large].view(np.int64), n=many[many >= large]))
+        return pa.Table.from_batches(out or [_fields(kind=[])])
+
+    return run
+
+
+def _rows_of(names: list[str]):
+    """Task: the rows of blobs of 64-bit columns."""
 
     def run(batches):
         import pyarrow as pa
 
-        grams = hot.value
         for whole in batches:
-            for batch in slices(whole, 8):
-                blobs = []
-                for blob in batch.column("blob").to_pylist():
-                    entries = Entries.unpack([blob], length)
-                    rest = np.flatnonzero(~_is_hot(entries, grams))
-                    blobs.append(blob if len(rest) == len(entries) else entries.take(rest).pack())
-                yield pa.RecordBatch.from_arrays([batch.column("shard"), batch.column("level"), pa.array(blobs, pa.binary())], ["shard", "level", "blob"])
+            for blob in whole.column("blob").to_pylist():
+                rows = np.frombuffer(blob, np.int64).reshape(len(names), -1)
+                for i in range(0, rows.shape[1], 50_000):
+                    cols = [pa.array(x[i : i + 50_000]) for x in rows]
+                    yield pa.RecordBatch.from_arrays([c.cast(pa.int32()) if k == "age" else c for c, k in zip(cols, names)], names)
 
     return run
 
 
-def _hot_strings(hot, length: int):
-    """Task: (h, doc, start) of all strings of the entries of hot grams in arrays."""
+# ---- what a scan leaves open
+
+
+def _cut(length: int):
+    """Task: the bytes of unsure suffixes, from (doc, text, places); the strings of hot ones by hash."""
 
     def run(batches):
         import pyarrow as pa
 
-        grams = hot.value
+        names = ["key", "age", "doc", "pos", "left", "count", "bytes", "h"]
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
         for whole in batches:
-            for blob in whole.column("blob").to_pylist():
-                entries = Entries.unpack([blob], length)
-                entries = entries.take(np.flatnonzero(_is_hot(entries, grams)))
-                for i in range(0, len(entries), 5_000):
-                    part = entries.take(np.arange(i, min(i + 5_000, len(entries))))
-                    row, back, h = strings(part, np.zeros(len(part), np.int64))
-                    h += gram_key(part.words(0, 3))[row]
-                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(part.doc[row]), pa.array(part.pos[row] - back)], ["h", "doc", "start"])
+            for batch in slices(whole, 200):
+                out = []
+                for doc, text, places in zip(*(batch.column(c).to_pylist() for c in ("doc", "text", "places"))):
+                    raw = text.encode()
+                    for x in places:
+                        start = x["pos"] - x["left"]
+                        piece = raw[start : start + x["count"] + length - 1]
+                        if not x["hot"]:
+                            out.append((x["key"], x["age"], doc, x["pos"], x["left"], x["count"], piece, None))
+                            continue
+                        one = Entries(*(np.array([v]) for v in (doc, x["pos"], x["left"], x["count"], 0)), np.frombuffer(piece, np.uint8), length)
+                        _, back, h = strings(one, np.zeros(1, np.int64))
+                        out += [(x["key"], x["age"], doc, x["pos"] - b, None, None, None, v) for b, v in zip(back.tolist(), (h + np.uint64(x["key"] & (1 << 64) - 1)).view(np.int64).tolist())]
+                    if len(out) > 20_000:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
+                        out = []
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
 
     return run
 
 
-def _add_shard(carry: tuple[int, ...], length: int, large: int):
-    """Task: one shard of a new batch (level -1) and of all levels: long matches, and the merged array of the new level."""
+def _compare(length: int, room: int = 20_000):
+    """Task: from unsure suffixes sorted by gram, (doc, start, stop) of the new ones' strings that are also older."""
 
-    def run(table):
-        level = np.array(table.column("level").to_pylist())
-        blobs = table.column("blob").to_pylist()
-        parts = [(lv, Entries.unpack([b for b, x in zip(blobs, level) if x == lv], length)) for lv in sorted(set(level.tolist()))]
-        origin = np.concatenate([np.full(len(p), lv) for lv, p in parts])
-        base, at = 0, []
-        for _, p in parts:
-            at.append(p.at + base)
-            base += len(p.data)
-        one = Entries(*(np.concatenate([getattr(p, k) for _, p in parts]) for k in ("doc", "pos", "left", "count")), np.concatenate(at), np.concatenate([p.data for _, p in parts]), length)
-        parts.clear()
-        out = []
-        if len(one):
-            order, keep, found = merge_scan(one, (origin == -1).astype(np.int8))
-            if found is not None:
-                out.append(_fields(kind=["match"], blob=[intervals(*found)]))
-            stays = order[keep[order] & np.isin(origin[order], (-1, *carry))]
-            if len(stays):
-                out.append(_fields(kind=["level"], shard=[table.column("shard")[0].as_py()], blob=[one.take(stays).pack()]))
-            found, many = np.unique(gram_key(one.words(0, 3)), return_counts=True) if len(one) >= large else (None, np.zeros(1))
-            if (many >= large).any():
-                out.append(_fields(kind=["heavy"] * int((many >= large).sum()), key=found[many >= large].view(np.int64), n=many[many >= large]))
+    def run(batches):
         import pyarrow as pa
 
-        return pa.Table.from_batches(out or [_fields(kind=[])])
+        held, size = [], 0
+
+        def settle(table):
+            text = table.column("bytes").combine_chunks().cast(pa.large_binary())
+            bounds = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1]
+            age, doc, pos, left, count = (table.column(c).to_numpy() for c in ("age", "doc", "pos", "left", "count"))
+            entries = Entries(doc, pos, left, count, bounds[:-1], np.frombuffer(text.buffers()[2], np.uint8), length)
+            _, _, found = merge_scan(entries, age)
+            if found is not None:
+                rows = np.frombuffer(intervals(*found), np.int64).reshape(3, -1)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in rows], ["doc", "start", "stop"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            size += batch.num_rows
+            if size < room:
+                continue
+            table = pa.Table.from_batches(held)
+            key = table.column("key").to_numpy()
+            cut = int(np.argmax(key == key[-1]))  # the last gram may go on in the next batch
+            if cut:
+                yield from settle(table.slice(0, cut))
+                held = table.slice(cut).combine_chunks().to_batches()
+                size = table.num_rows - cut
+        if held:
+            yield from settle(pa.Table.from_batches(held))
 
     return run
 
 
-def _stretches(batches):
-    """Task: (doc, start, stop) rows of blobs of intervals."""
-    import pyarrow as pa
+def extended(unsure: DataFrame, texts: DataFrame, length: int, hot_from: int) -> DataFrame:
+    """(doc, start, stop) of the strings that new unsure suffixes (key, age, doc, pos, left, count) share with older ones.
 
-    for whole in batches:
-        for blob in whole.column("blob").to_pylist():
-            rows = np.frombuffer(blob, np.int64).reshape(3, -1)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in rows], ["doc", "start", "stop"])
+    The suffixes' bytes come from the texts (doc, text) by a join. Those of a gram meet in one task, in suffix order; a
+    gram with ``hot_from`` of them or more is split into its strings' hashes, of which an aggregate finds the oldest.
+    """
+    hot = unsure.groupBy("key").agg(F.count("*").alias("k")).where(F.col("k") >= hot_from).select(F.col("key").alias("hot_key"))
+    marked = unsure.join(hot, F.col("key") == F.col("hot_key"), "left").withColumn("hot", F.col("hot_key").isNotNull())
+    places = marked.groupBy("doc").agg(F.collect_list(F.struct("key", "age", "pos", "left", "count", "hot")).alias("places"))
+    cut = texts.join(places.withColumnRenamed("doc", "d"), F.col("doc") == F.col("d")).select("doc", "text", "places")
+    cut = cut.mapInArrow(_cut(length), "key long, age int, doc long, pos long, left long, count long, bytes binary, h long")
+    cut = materialise(cut, "suffix-unsure")
+    cold = cut.where("h is null").drop("h").repartition("key").sortWithinPartitions("key")
+    found = cold.mapInArrow(_compare(length), SPANS)
+    single = cut.where("h is not null").select("h", "age", "doc", F.col("pos").alias("start"))
+    first = single.groupBy("h").agg(F.min(F.struct("age", "doc", "start")).alias("o")).select(F.col("h").alias("k"), "o")
+    again = single.where("age = 1").join(first, F.col("h") == F.col("k")).where(F.struct("age", "doc", "start") != F.col("o"))
+    out = materialise(found.unionByName(again.select("doc", "start", (F.col("start") + length).alias("stop"))), "suffix-shared")
+    discard(cut)
+    return out
 
 
 # ---- the family
 
 
 class SuffixFamily:
-    """A saved family of suffix arrays in levels: level i holds 2**i batches.
+    """A family of suffix arrays in levels: level i holds 2**i batches.
 
-    ``add`` makes the arrays of a batch of (doc, text), scans them against all levels for long matches, and merges
+    ``scan`` makes the arrays of a batch of (doc, text), merge-scans them with all levels for long matches, and merges
     levels of one size as in a binary counter, so an entry is rewritten a logarithmic number of times. What is in the
-    family counts as earlier than the batch; within the batch the smaller (doc, place) does. Of equal stretches the
-    family keeps one. A gram with more than ``hot_from`` different surroundings would burden one shard: its strings are
-    kept by hash in a table of their own and compared by an aggregate and a join.
+    family counts as older than the batch; within the batch the smaller (doc, place) does. Of equal stretches the
+    family keeps one. A gram with more than ``hot_from`` different surroundings would burden one shard: it is spread
+    over all of them by its surroundings.
 
-    The family lives in ``path``: tables, and a manifest for each version. Opening a path again continues it.
+    The family lives in ``path``: tables, and a manifest for each version. Opening a path again continues it; ``add``
+    also keeps the texts there, from which matches across batches are completed.
     """
 
     def __init__(self, spark: SparkSession, path: str | None = None, *, length: int = 100, shards: int = 64, hot_from: int = 16_384):
         self.spark, self.path = spark, path or scratch_path(spark, "suffix-family")
-        self.state = {"version": 0, "length": length, "shards": shards, "hot_from": hot_from, "levels": {}, "hot": [], "strings": []}
+        self.state = {"version": 0, "length": length, "shards": shards, "hot_from": hot_from, "levels": {}, "hot": [], "texts": []}
         self.stale: list[str] = []
         found = self._manifests()
         if found:
@@ -533,79 +660,69 @@ class SuffixFamily:
             fs.delete(path, True)
         self.stale = []
 
-    def _table(self, label: str) -> str:
-        return f"{self.path}/{label}-{self.state['version'] + 1}"
+    def _write(self, df: DataFrame, label: str) -> DataFrame:
+        where = f"{self.path}/{label}-{self.state['version'] + 1}"
+        df.write.mode("overwrite").options(**BLOBS).parquet(where)
+        out = self.spark.read.schema(df.schema).parquet(where)
+        out._family_path = where
+        return out
 
-    def _read(self, name: str, schema: str = ROWS) -> DataFrame:
-        return self.spark.read.schema(schema).parquet(name)
+    def _level(self, name: str) -> DataFrame:
+        return self.spark.read.schema(ROWS).parquet(name)
 
-    def add(self, texts: DataFrame) -> DataFrame:
-        """(doc, start, stop) of the bytes of a batch that long matches cover; they may overlap."""
-        s, spark = self.state, self.spark
-        length = s["length"]
-        made = self._table("arrays")
-        texts.mapInArrow(_arrays(length, s["shards"]), ROWS).write.mode("overwrite").options(**BLOBS).parquet(made)
-        arrays = self._read(made)
-        new = self._new_hot(arrays)
-        levels = {int(k): self._read(v) for k, v in s["levels"].items()}
+    @staticmethod
+    def _over(heavy: DataFrame, least: int, most: int = 1 << 20) -> list[int]:
+        """The grams with at least ``least`` entries, or with so many more that ``most`` of them at most are told."""
+        sums = heavy.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+        while (found := [r[0] for r in sums.select("key").limit(most + 1).collect()]) and len(found) > most:
+            least *= 2
+            sums = sums.where(F.col("n") >= least)
+        return found
+
+    def scan(self, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """((doc, start, stop) of the matches of a batch that are sure, the suffixes that are not); the batch is in the family then."""
+        s = self.state
+        arrays = self._write(texts.mapInArrow(_arrays(s["length"], s["shards"]), ROWS), "arrays")
+        s["hot"] = sorted({*s["hot"], *self._over(arrays.where("kind = 'heavy'"), s["hot_from"])})
+        levels = {int(k): self._level(v) for k, v in s["levels"].items()}
         carry = []
         while len(carry) in levels:
             carry.append(len(carry))
         rows = arrays.where("kind = 'array'").select("shard", F.lit(-1).alias("level"), "blob")
         for level, table in levels.items():
             rows = rows.unionByName(table.where("kind = 'level'").select("shard", F.lit(level).alias("level"), "blob"))
-        hot = sorted({*s["hot"], *new})
-        strings_found = None
-        if hot:
-            strings_found = self._hot_matches(rows, hot)
-            grams = spark.sparkContext.broadcast(np.sort(np.array(hot, np.int64).view(np.uint64)))
-            rows = rows.mapInArrow(_without(grams, length), "shard int, level int, blob binary")
-        done = rows.groupBy("shard").applyInArrow(_add_shard(tuple(carry), length, s["hot_from"]), ROWS)
-        where = self._table("level")
-        done.write.mode("overwrite").options(**BLOBS).parquet(where)
-        self.stale += [s["levels"].pop(str(level)) for level in carry]
-        s["levels"][str(len(carry))] = where
-        scanned = self._read(where)
-        s["hot"] = sorted({*hot, *self._over(scanned.where("kind = 'heavy'"), s["hot_from"])})
-        matches = self._table("matches")
-        both = arrays.where("kind = 'match'").unionByName(scanned.where("kind = 'match'")).select("blob")
-        both = both.mapInArrow(_stretches, "doc long, start long, stop long")
-        (both if strings_found is None else both.unionByName(strings_found)).write.mode("overwrite").parquet(matches)
-        self.stale.append(made)
+        hot = None
+        if s["hot"]:
+            hot = self.spark.sparkContext.broadcast(np.sort(np.array(s["hot"], np.int64).view(np.uint64)))
+            rows = rows.mapInArrow(_spread(hot, s["shards"]), "shard int, level int, blob binary")
+        done = self._write(rows.groupBy("shard").applyInArrow(_add_shard(tuple(carry), s["length"], s["hot_from"], hot), ROWS), "level")
+        self.stale += [s["levels"].pop(str(level)) for level in carry] + [arrays._family_path]
+        s["levels"][str(len(carry))] = done._family_path
+        s["hot"] = sorted({*s["hot"], *self._over(done.where("kind = 'heavy'"), s["hot_from"])})
+        both = arrays.where("kind = 'match'").unionByName(done.where("kind = 'match'")).select("blob")
+        sure = self._write(both.mapInArrow(_rows_of(["doc", "start", "stop"]), SPANS), "matches")
+        fields = [f.split()[0] for f in UNSURE.split(", ")]
+        unsure = self._write(done.where("kind = 'open'").select("blob").mapInArrow(_rows_of(fields), UNSURE), "unsure")
         self._commit()
-        return self._read(matches, "doc long, start long, stop long")
+        return sure, unsure
 
-    @staticmethod
-    def _over(heavy: DataFrame, least: int, most: int = 1 << 20) -> list[int]:
-        """The grams with at least ``least`` entries, or with so many more that ``most`` of them at most are told."""
-        sums = heavy.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-        while sums.count() > most:
-            least *= 2
-            sums = sums.where(F.col("n") >= least)
-        return [r[0] for r in sums.select("key").collect()]
-
-    def _new_hot(self, arrays: DataFrame) -> list[int]:
-        return self._over(arrays.where("kind = 'heavy'"), self.state["hot_from"])
-
-    def _hot_matches(self, rows: DataFrame, hot: list[int]) -> DataFrame:
-        """(doc, start, stop) of the new strings of hot grams that are known or come earlier; the others become known."""
-        s, length = self.state, self.state["length"]
-        grams = self.spark.sparkContext.broadcast(np.sort(np.array(hot, np.int64).view(np.uint64)))
-        found = rows.select("level", "blob")
-        new = found.where("level = -1").select("blob").mapInArrow(_hot_strings(grams, length), "h long, doc long, start long")
-        old = found.where("level >= 0").select("blob").mapInArrow(_hot_strings(grams, length), "h long, doc long, start long")
-        every = new.select("h", F.lit(1).alias("age"), "doc", "start").unionByName(old.select("h", F.lit(0).alias("age"), "doc", "start"))
-        for name in s["strings"]:
-            known = self._read(name, "h long, age int, doc long, start long")
-            every = every.unionByName(known.withColumn("age", F.lit(0)))
-        made = self._table("strings")
-        first = every.groupBy("h").agg(F.min(F.struct("age", "doc", "start")).alias("o")).select("h", "o.*")
-        first.write.mode("overwrite").parquet(made)
-        self.stale += s["strings"]
-        s["strings"] = [made]
-        lead = self._read(made, "h long, age int, doc long, start long").select(F.col("h").alias("k"), *[F.col(c).alias(f"first_{c}") for c in ("age", "doc", "start")])
-        again = new.join(lead, F.col("h") == F.col("k")).where("first_age = 0 or first_doc != doc or first_start != start")
-        return again.select("doc", "start", (F.col("start") + length).alias("stop"))
+    def add(self, texts: DataFrame) -> DataFrame:
+        """(doc, start, stop) of the bytes of a batch that long matches cover; they may overlap. The texts are kept, too."""
+        if self.state["texts"]:
+            known = self.spark.read.schema("doc long").parquet(*self.state["texts"])
+            if texts.select("doc").join(known, "doc", "left_semi").limit(1).count():
+                raise ValueError("the family has documents of these ids already")
+        kept = self._write(texts.select("doc", "text"), "texts")
+        self.state["texts"].append(kept._family_path)
+        sure, unsure = self.scan(kept)
+        every = self.spark.read.schema("doc long, text string").parquet(*self.state["texts"])
+        return sure.unionByName(extended(unsure, every, self.state["length"], self.state["hot_from"]))
+
+    def drop_levels(self) -> None:
+        """Delete the arrays, for a family that takes no more batches."""
+        self.stale += self.state["levels"].values()
+        self.state["levels"] = {}
+        self._commit()
 
     def drop(self) -> None:
         fs, path = self._fs(self.path)
@@ -682,30 +799,35 @@ def _only(seen, bits: int):
 def _unique_ids(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """(doc, text) with a unique, ordered long for each document; a table of names where the ids are no such thing."""
     hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("h"))
-    narrow = hashed.select("doc_id", "h").distinct()
+    narrow = hashed.select("doc_id", "h")
     if not narrow.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 or doc_id is null").limit(1).count():
         return docs.select(F.col("doc_id").alias("doc"), "text"), None
-    named = ranked(narrow, F.col("doc_id").asc_nulls_last(), "h", label="suffix-order")
+    named = ranked(narrow.distinct(), F.col("doc_id").asc_nulls_last(), "h", label="suffix-order")
     names = materialise(named.select(F.col("rank").alias("doc"), F.col("doc_id").alias("own"), "h"), "suffix-names")
     joined = hashed.join(names, hashed.doc_id.eqNullSafe(names.own) & (hashed.h == names.h)).select("doc", "text", "doc_id")
     joined = materialise(joined, "suffix-documents")
-    return joined.select("doc", "text"), joined
+    return joined.select("doc", "text").dropDuplicates(["doc"]), joined
 
 
 def repeated_stretches(texts: DataFrame, *, length: int = 100, batches: int = 4, shard_bytes: int = 32_000_000, hot_from: int = 16_384) -> DataFrame:
     """(doc, start, stop) of bytes of (doc, text) covered by ``length``-byte strings that start earlier; may overlap."""
+    spark = texts.sparkSession
     cuts = [i / batches for i in range(1, batches)]
     total, bounds = texts.agg(
         F.sum(F.octet_length("text")), F.percentile_approx("doc", F.array(*[F.lit(c) for c in cuts]), 1000) if cuts else F.lit(None)
     ).first()
-    family = SuffixFamily(texts.sparkSession, length=length, shards=max(64, (total or 0) // shard_bytes), hot_from=hot_from)
-    out, edges = None, [None, *sorted(set(bounds or [])), None]
+    family = SuffixFamily(spark, length=length, shards=max(64, (total or 0) // shard_bytes), hot_from=hot_from)
+    whole, unsure, edges = None, None, [None, *sorted(set(bounds or [])), None]
     for lo, hi in zip(edges[:-1], edges[1:]):
         batch = texts.where(F.lit(True) if lo is None else F.col("doc") >= lo).where(F.lit(True) if hi is None else F.col("doc") < hi)
-        found = family.add(batch)
-        out = found if out is None else out.unionByName(found)
-        release(texts.sparkSession)
-    out = materialise(out, "suffix-repeats")
+        found, left_open = family.scan(batch)
+        whole = found if whole is None else whole.unionByName(found)
+        unsure = left_open if unsure is None else unsure.unionByName(left_open)
+        release(spark)
+    family.drop_levels()
+    # The batches follow the order of the documents: one look at the texts settles what all of them left open.
+    unsure = unsure.select("key", F.lit(1).alias("age"), "doc", "pos", "left", "count").distinct()
+    out = materialise(whole.unionByName(extended(unsure, texts, length, hot_from)), "suffix-repeats")
     family.drop()
     return out
 
@@ -753,11 +875,13 @@ def remove_repeats(
 
     A null or empty text has 0 bytes and loses none. Documents of one id are ordered by a hash of the text, null ids
     come last; rows of the same id and text are one document and each get its result; other columns are not read; an
-    empty table gives an empty result.
+    empty table gives an empty result. A saved family takes no null or repeated ids, and none that it has already.
     """
     spark = docs.sparkSession
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     texts, named = _unique_ids(src)
+    if family and named is not None:
+        raise ValueError("a saved family needs documents with ids that are unique and not null")
     spans = family.add(texts) if family else repeated_stretches(texts, length=length, batches=batches, hot_from=hot_from)
     release(spark)
     per = spans.groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
