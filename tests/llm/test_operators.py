@@ -140,6 +140,16 @@ def test_suffix_dedup_odd_rows(spark, odd, batches):
     assert Counter(map(tuple, got)) == Counter(expected[d, t or ""] for d, t in pairs(odd))
 
 
+def test_repeated_rows_are_one_document(spark):
+    from strandlake.llm.suffix import SuffixFamily, remove_repeats
+
+    text = " ".join(f"word{i}" for i in range(60))
+    rows = H.table(spark, [(1, text, *[None] * 9), (1, text, *[None] * 9), (2, "other", *[None] * 9)])
+    assert sorted((r.doc_id, r.n_removed) for r in remove_repeats(rows, batches=1).collect()) == [(1, 0), (1, 0), (2, 0)]
+    with pytest.raises(ValueError):
+        remove_repeats(rows, family=SuffixFamily(spark))
+
+
 def test_suffix_dedup_keeps_text(docs):
     from strandlake.llm.suffix import remove_repeats
 
@@ -185,7 +195,7 @@ def test_saved_family_takes_more_batches(spark, docs, tmp_path):
 
 
 def test_suffix_arrays_are_in_order():
-    from strandlake.llm.suffix import Entries, suffix_sorted
+    from strandlake.llm.suffix import Entries, Suffixes, names, suffix_sorted
 
     rng = np.random.default_rng(3)
     data = rng.integers(97, 100, 4000, dtype=np.uint8)
@@ -193,15 +203,17 @@ def test_suffix_arrays_are_in_order():
     at = np.sort(rng.integers(0, 3800, 300))
     left, count = rng.integers(0, 60, 300), rng.integers(1, 60, 300)
     left = np.maximum(left, count - 1)
-    entries = Entries(np.arange(300), at + left, left, count, at, data, 100)
-    again = Entries.unpack([entries.take(np.arange(100)).pack(), entries.take(np.arange(100, 300)).pack()], 100)
-    for e in (entries, again):
-        order, lcp = suffix_sorted(e)
-        tails = [e.data[a + x : a + n].tobytes().ljust(100, b"\0") for a, x, n in zip(e.at, e.left, e.size())]
-        assert [tails[i] for i in order] == sorted(tails)
-        for i in range(1, 300):
-            a, b = tails[order[i - 1]], tails[order[i]]
-            assert lcp[i] == next((k for k in range(100) if a[k] != b[k]), 100)
+    e = Entries(np.arange(300), at + left, left, count, at, data, 100)
+    order, lcp = suffix_sorted(e)
+    tails = [e.data[a + x : a + n].tobytes().ljust(104, b"\0")[:104] for a, x, n in zip(e.at, e.left, e.size())]
+    assert [tails[i] for i in order] == sorted(tails)
+    for i in range(1, 300):
+        a, b = tails[order[i - 1]], tails[order[i]]
+        assert lcp[i] == next((k for k in range(100) if a[k] != b[k]), 100)
+    short = Suffixes(e.words(0, 3), e.doc, e.pos, e.left, e.count, names(e))
+    again = Suffixes.unpack(short.take(short.order()).pack())
+    assert [tails[i][:24] for i in again.doc] == sorted(t[:24] for t in tails)
+    assert all((getattr(again, f) == getattr(short, f)[again.doc]).all() for f in Suffixes.FIELDS)
 
 
 def test_long_texts_come_in_stretches():
@@ -367,6 +379,56 @@ def test_decontamination(spark, docs, odd, sf_dir):
             assert {r.doc_id for r in clean.collect()} == {d for d, _ in pairs(df)} - bad
 
 
+def test_containment_sketches_find_all(spark):
+    """Recall against a look at every pair: items of all sizes in documents up to a thousand times as long, changed up to the threshold."""
+    from strandlake.llm.decontam import ItemIndex, _sketches, hash_functions, least_hits, partition_of
+
+    rng = np.random.default_rng(11)
+    word = lambda n: [f"w{x}" for x in rng.integers(0, 400, n)]
+    sizes = [1, 3, 5, 6, 8, 12, 20, 21, 40, 64, 65, 130, 300]
+    items = [word(n) for n in sizes * 6]
+    import pyarrow as pa
+
+    texts = [" ".join(x) for x in items]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(items))), pa.array(texts)], ["item", "text"])
+    table = pa.Table.from_batches(list(_sketches(5, 0.8)([batch])))
+    index = ItemIndex(table.column("item").combine_chunks(), list(zip(*(table.column(c).to_pylist() for c in ("grams", "mins", "weights", "need", "hits")))))
+    from strandlake.llm.common import shingle_hashes, words_of
+
+    sets, found, true = [H.shingles(t, 5) for t in texts], 0, 0
+    for _ in range(300):
+        parts = word(int(rng.integers(0, 20_000)))
+        for _ in range(3):  # passages with words changed or pieces scattered
+            own = list(items[int(rng.integers(0, len(items)))])
+            for _ in range(int(rng.integers(0, 1 + len(own) // 25))):
+                own[int(rng.integers(0, len(own)))] = "changed"
+            cut = int(rng.integers(0, len(parts) + 1))
+            parts[cut:cut] = own
+        text = " ".join(parts)
+        want = {(i, len(q & s), len(q)) for s in [H.shingles(text, 5)] for i, q in enumerate(sets) if q and 10 * len(q & s) >= 8 * len(q)}
+        got = set(index.search(shingle_hashes(words_of(text.encode()), 5)))
+        true += len(want)
+        found += len(got & want)
+        assert got <= want
+    assert true > 300 and found == true
+    assert [partition_of(n) for n in (1, 2, 3, 64, 65)] == [1, 2, 4, 64, 128] and hash_functions(1) == 32 and hash_functions(64) == 128
+    assert least_hits(32, 0.8) >= 10 and least_hits(128, 0.8) >= 70 and least_hits(32, 1.0) == 32
+
+
+def test_decontamination_takes_items_of_any_type(spark):
+    import datetime
+
+    from strandlake.llm.decontam import clean_documents, contained_items
+
+    docs = H.table(spark)
+    day = datetime.date(2020, 1, 2)
+    items = spark.createDataFrame([(day, H.LINE, 1), (None, "x " * 40, 2)], "item_id date, text string, doc_id int")
+    got = contained_items(docs, items).collect()
+    assert got and {r.item_id for r in got} == {day}
+    none = spark.createDataFrame([], "item_id date, text string")
+    assert contained_items(docs, none).count() == 0 and clean_documents(docs, none).count() == docs.count()
+
+
 # ---- tokens
 
 
