@@ -403,7 +403,7 @@ def _in_shards(one: Suffixes, shard: np.ndarray):
         yield int(shard[by[a]]), part.take(part.order())
 
 
-def _arrays(length: int, shards: int, room: int = 600_000, heavy: int = 16):
+def _arrays(length: int, shards: int, room: int = 300_000, heavy: int = 16):
     """Task: the suffix arrays of what it reads, one for each shard, and what it can tell by itself.
 
     Copies within the task are entered once; the bytes of the others are matches (kind match). Grams with many
@@ -599,9 +599,9 @@ def extended(unsure: DataFrame, texts: DataFrame, length: int, hot_from: int) ->
     """(doc, start, stop) of the strings that new unsure suffixes (key, age, doc, pos, left, count) share with older ones.
 
     The suffixes' bytes come from the texts (doc, text) by a join. Those of a gram meet in one task, in suffix order; a
-    gram with ``hot_from`` of them or more is split into its strings' hashes, of which an aggregate finds the oldest.
+    gram with a 16th of ``hot_from`` of them or more is split into its strings' hashes, of which an aggregate finds the oldest.
     """
-    hot = unsure.groupBy("key").agg(F.count("*").alias("k")).where(F.col("k") >= hot_from).select(F.col("key").alias("hot_key"))
+    hot = unsure.groupBy("key").agg(F.count("*").alias("k")).where(F.col("k") >= max(2, hot_from // 16)).select(F.col("key").alias("hot_key"))
     marked = unsure.join(hot, F.col("key") == F.col("hot_key"), "left").withColumn("hot", F.col("hot_key").isNotNull())
     places = marked.groupBy("doc").agg(F.collect_list(F.struct("key", "age", "pos", "left", "count", "hot")).alias("places"))
     cut = texts.join(places.withColumnRenamed("doc", "d"), F.col("doc") == F.col("d")).select("doc", "text", "places")
