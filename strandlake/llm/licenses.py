@@ -2,130 +2,115 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .common import materialise
+from .license_texts import BASE, BODIES, NOTICES
+
 #: What separates words: every ASCII character but letters and digits.
 BREAKS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-K = 2
-
-#: (label, words): base phrases. Fixed values.
-BASE = (("mit", "mit license"), ("apache", "apache license"), ("gpl", "general public license"))
-#: Positions a mask holds; longer templates have several masks.
-BITS = 63
-#: (label, words): longer notices that the voting finds even when words are changed. Those of up to four words are found
-#: as they stand (fewer than all of their grams are under the share), which keeps variants of a license apart. Fixed values.
-NOTICES = (
-    ("mit", "released under the mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software"),
-    ("apache", "licensed under the apache license version 2 0"),
-    ("gpl", "licensed under the gnu general public license version 3"),
-    ("cc-by-nc", "licensed under cc by nc 4 0"),
-    ("cc-by-sa", "licensed under cc by sa 4 0"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
-    (
-        "mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation "
-        "files the software to deal in the software without restriction including without limitation the rights to use copy modify merge "
-        "publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so "
-        "subject to the following conditions",
-    ),
-    (
-        "isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided "
-        "that the above copyright notice and this permission notice appear in all copies",
-    ),
-    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"),
-    (
-        "apache", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license "
-        "you may obtain a copy of the license at",
-    ),
-    (
-        "apache", "subject to the terms and conditions of this license each contributor hereby grants to you a perpetual worldwide non "
-        "exclusive no charge royalty free irrevocable copyright license to reproduce prepare derivative works of publicly display publicly "
-        "perform sublicense and distribute the work and such derivative works in source or object form",
-    ),
-    (
-        "gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as "
-        "published by the free software foundation either version",
-    ),
-    ("gpl", "everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed"),
-    ("lgpl", "gnu lesser general public license"),
-    ("agpl", "gnu affero general public license"),
-    ("mpl", "mozilla public license"),
-    ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with this file"),
-    ("epl", "eclipse public license"),
-    ("unlicense", "this is free and unencumbered software released into the public domain"),
-    (
-        "zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any "
-        "damages arising from the use of this software",
-    ),
-    ("cc0", "cc0 1 0"),
-    ("cc-by", "cc by 4 0"),
-    ("cc-by", "commons attribution 4 0"),
-    ("cc-by-nc", "attribution noncommercial 4 0"),
-    ("cc-by-sa", "attribution sharealike 4 0"),
-)
-
-
-def _templates():
-    """(template, label, base, total, tpos, gram) rows of all templates."""
-    rows = []
-    for t, (label, text) in enumerate(BASE + NOTICES):
-        words = text.split()
-        grams = [" ".join(words[i : i + K]) for i in range(len(words) - K + 1)]
-        rows += [(t, label, t < len(BASE), len(grams), i, g) for i, g in enumerate(grams)]
-    return rows
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Words of a gram: of templates that long, and of shorter ones, which are found as they stand.
+K, SHORT_K = 5, 2
+
+
+def template_rows(base=BASE, more=NOTICES + BODIES) -> list[tuple[int, str, bool, list[str], int]]:
+    """(template, label, base, words, k) of all templates; texts of one word are none."""
+    out = []
+    for label, text in (*base, *more):
+        words = [w for w in re.split(BREAKS, text.translate(str.maketrans(UPPER, LOWER))) if w]
+        if len(words) >= SHORT_K:
+            out.append((len(out), label, len(out) < len(base), words, K if len(words) >= K else SHORT_K))
+    return out
+
+
+def _gram(hashes: Column, i: Column, k: int) -> Column:
+    return F.xxhash64(*[F.get(hashes, i + j) for j in range(k)])
+
+
+def _templates(spark: SparkSession, rows) -> DataFrame:
+    """(template, label, base, k, tw: words, total: grams) as a table of a row each."""
+    names = ("template", "label", "base", "k", "text")
+    made = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, (t, label, base, k, " ".join(words)))]) for t, label, base, words, k in rows]
+    table = spark.range(1).select(F.inline(F.array(*made)))
+    return table.withColumn("tw", F.split("text", " ")).drop("text").withColumn("total", F.size("tw") - F.col("k") + 1)
+
+
+def _positions(templates: DataFrame) -> DataFrame:
+    """(template, tpos, k, gram) of every gram of the templates."""
+    hashed = templates.withColumn("th", F.transform("tw", lambda x: F.xxhash64(x)))
+    every = F.sequence(F.lit(0), F.col("total") - 1)
+    grams = F.when(F.col("k") == K, F.transform(every, lambda i: _gram(F.col("th"), i, K))).otherwise(F.transform(every, lambda i: _gram(F.col("th"), i, SHORT_K)))
+    return hashed.select("template", "k", F.posexplode(grams).alias("tpos", "gram"))
 
 
 def license_scan(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", reach: int = 2, share: float = 0.75
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", base=BASE, templates=NOTICES + BODIES, reach: int = 2, drift: int = 16,
+    votes: float = 0.1, share: float = 0.75,
 ) -> DataFrame:
     """(id, n_words, n_base, first_word, last_word, base_labels, labels, score) of every row.
 
-    The hashes of all runs of K words of all texts are joined with the template positions (a fixed, small table that
-    is broadcast) and checked by their words. Hits of one text and template vote for the diagonal text position minus
-    template position; a bit for each template position, in as many masks as the longest template needs, counts a
-    repeated hit once. Diagonals at most ``reach``
-    apart are merged, so words put in or left out don't split a notice. A base phrase stands where one diagonal has
-    all its positions; a notice is found where merged diagonals have ``share`` of its positions. score is the largest
-    share of any template that is found.
+    The hashes of all runs of K words of all texts are joined with the template positions (of templates under K words, runs of
+    SHORT_K). Hits of one text and template vote for the diagonal text position minus template position. Neighbouring diagonals at
+    most ``reach`` apart are merged, up to ``drift`` words in all, so words put in or left out don't split a notice. What
+    has ``votes`` of a template's grams is verified: a word of the template stands if one of the merged diagonals has it
+    in the text, and the notice is found where ``share`` of the words stand. A base phrase, or another template under K words, is
+    found where all its words stand on one diagonal. score is the largest share of any template that is found.
 
-    A null text is empty: no words, labels '' and score 0. Null or repeated ids and repeated rows each get their
-    text's result; other columns are not read; an empty table gives an empty result.
+    ``base`` and ``templates`` are (label, text) pairs of any length; together they are broadcast and should stay small.
+
+    A null text is empty: no words, labels '' and score 0. Null or repeated ids and repeated rows are scanned row by row; other
+    columns are not read; an empty table gives an empty result.
     """
     spark = docs.sparkSession
-    src = docs.select(
-        F.col(id_col).alias("doc_id"), F.lower(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("t")
-    )
-    # Rows are told apart by id and text, which both passes over the table see alike.
-    keyed = src.select("doc_id", "t", F.xxhash64("t").alias("h"))
-    words = keyed.withColumn("w", F.filter(F.split("t", BREAKS), lambda x: x != ""))
-    pair = lambda i: F.concat_ws(" ", *[F.get(F.col("w"), i + k) for k in range(K)])
-    grams = words.withColumn(
-        "g", F.when(F.size("w") >= K, F.transform(F.sequence(F.lit(0), F.size("w") - K), pair))
-    # The outer form: for the inner one the optimizer infers a filter that would split the text again for each word.
-    ).select("doc_id", "h", F.posexplode_outer("g").alias("pos", "gram"))
-    grams = grams.withColumn("gh", F.xxhash64("gram"))
-
-    names = ("template", "label", "base", "total", "tpos", "tgram")
-    rows = [F.struct(*[F.lit(v).alias(k) for k, v in zip(names, row)]) for row in _templates()]
-    masks = [f"mask{i}" for i in range(max(row[3] for row in _templates()) // BITS + 1)]
-    table = spark.range(1).select(F.inline(F.array(*rows))).withColumn("th", F.xxhash64("tgram"))
-    hits = grams.join(F.broadcast(table), (F.col("gh") == F.col("th")) & (F.col("gram") == F.col("tgram")))
-    votes = hits.withColumn("diag", F.col("pos") - F.col("tpos")).groupBy(
-        "doc_id", "h", "template", "label", "base", "total", "diag"
-    ).agg(*[F.bit_or(F.expr(f"if(tpos div {BITS} = {i}, shiftleft(1L, tpos % {BITS}), 0L)")).alias(m) for i, m in enumerate(masks)])
-
-    along = Window.partitionBy("doc_id", "h", "template").orderBy("diag")
-    near = F.col("diag") - F.lag("diag").over(along) <= F.lit(reach)
-    banded = votes.withColumn("new", F.when(near & ~F.col("base"), 0).otherwise(1))
-    banded = banded.withColumn("band", F.sum("new").over(along))
-    spans = banded.groupBy("doc_id", "h", "template", "label", "base", "total", "band").agg(
-        sum((F.bit_count(F.bit_or(m)) for m in masks[1:]), F.bit_count(F.bit_or(masks[0]))).alias("n"), F.min("diag").alias("start")
-    )
-    spans = spans.withColumn("part", F.col("n") / F.col("total")).where(
-        F.when(F.col("base"), F.col("n") == F.col("total")).otherwise(F.col("part") >= share)
+    rows = template_rows(base, templates)
+    table = _templates(spark, rows)
+    grams = _positions(table)
+    known: dict[int, list[int]] = {K: [], SHORT_K: []}
+    for k, gram in grams.select("k", "gram").distinct().collect():  # the templates' own, a fixed number
+        known[k].append(gram)
+
+    text = F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), UPPER, LOWER)
+    words = docs.select(F.col(id_col).alias("doc_id"), F.filter(F.split(text, BREAKS), lambda x: x != "").alias("w"))
+    hashed = words.withColumn("wh", F.transform("w", lambda x: F.xxhash64(x)))
+
+    def hits(k: int) -> Column:
+        """The runs of k words that some template has, told by their hashes before any of them becomes a row."""
+        runs = F.when(F.size("wh") >= k, F.sequence(F.lit(0), F.size("wh") - k)).otherwise(F.array().cast("array<int>"))
+        found = F.filter(runs, lambda i: _gram(F.col("wh"), i, k).isin(known[k]))
+        return F.transform(found, lambda i: F.struct(F.lit(k).alias("k"), i.alias("pos"), _gram(F.col("wh"), i, k).alias("gram")))
+
+    seen = hashed.select("doc_id", "w", F.concat(hits(K), hits(SHORT_K)).alias("hits"))
+    # The row number is only written here; from the table on it is a fixed key.
+    seen = materialise(
+        seen.select(
+            F.monotonically_increasing_id().alias("row"), "doc_id", F.size("w").cast("long").alias("n_words"), "hits",
+            F.when(F.size("hits") > 0, F.col("w")).alias("w"),
+        ),
+        "license-hits",
     )
-    per = spans.groupBy(F.col("doc_id").alias("d"), F.col("h").alias("dh")).agg(
+    hit = seen.where(F.size("hits") > 0).select("row", F.inline("hits"))
+    found = hit.join(F.broadcast(grams.withColumnRenamed("k", "tk")), (F.col("k") == F.col("tk")) & (hit.gram == grams.gram))
+    per_diagonal = found.select("row", "template", (F.col("pos") - F.col("tpos")).alias("diag")).groupBy("row", "template", "diag").agg(F.count("*").alias("n"))
+    facts = table.select("template", "label", "base", (F.col("k") < K).alias("exact"), "tw", "total")
+    per_diagonal = per_diagonal.join(F.broadcast(facts.select("template", "exact", "total")), "template")
+
+    along = Window.partitionBy("row", "template").orderBy("diag")
+    apart = F.col("exact") | F.coalesce(F.col("diag") - F.lag("diag").over(along) > reach, F.lit(True))
+    banded = per_diagonal.withColumn("band", F.sum(F.when(apart, 1).otherwise(0)).over(along))
+    banded = banded.withColumn("piece", F.floor((F.col("diag") - F.min("diag").over(Window.partitionBy("row", "template", "band"))) / drift))
+    bands = banded.groupBy("row", "template", "band", "piece").agg(F.sum("n").alias("n"), F.collect_set("diag").alias("diags"), F.min("diag").alias("start"))
+    bands = bands.join(F.broadcast(facts), "template").where(F.when(F.col("exact"), F.col("n") == F.col("total")).otherwise(F.col("n") >= F.col("total") * votes))
+
+    texts = seen.where(F.size("hits") > 0).select(F.col("row").alias("r"), "w")
+    spans = bands.join(texts, F.col("row") == F.col("r"))
+    stands = lambda t: F.exists("diags", lambda d: F.coalesce(F.when(d + t >= 0, F.get(F.col("w"), (d + t).cast("int"))) == F.get(F.col("tw"), t), F.lit(False)))
+    spans = spans.withColumn("part", F.size(F.filter(F.sequence(F.lit(0), F.size("tw") - 1), stands)) / F.size("tw"))
+    spans = spans.where(F.when(F.col("exact"), F.col("part") == 1).otherwise(F.col("part") >= share))
+    per = spans.groupBy("row").agg(
         F.count(F.when(F.col("base"), 1)).alias("n_base"),
         F.min(F.when(F.col("base"), F.col("start"))).cast("long").alias("first_word"),
         F.max(F.when(F.col("base"), F.col("start"))).cast("long").alias("last_word"),
@@ -133,11 +118,7 @@ def license_scan(
         F.array_join(F.array_sort(F.collect_set("label")), ",").alias("labels"),
         F.max("part").alias("score"),
     )
-    sizes = keyed.select(
-        "doc_id", "h", F.size(F.filter(F.split("t", BREAKS), lambda x: x != "")).cast("long").alias("n_words")
-    )
-    out = sizes.join(per, sizes.doc_id.eqNullSafe(per.d) & (sizes.h == per.dh), "left")
-    return out.select(
+    return seen.select("row", "doc_id", "n_words").join(per, "row", "left").select(
         "doc_id", "n_words", F.coalesce("n_base", F.lit(0)).cast("long").alias("n_base"), "first_word", "last_word",
         F.coalesce("base_labels", F.lit("")).alias("base_labels"), F.coalesce("labels", F.lit("")).alias("labels"),
         F.coalesce("score", F.lit(0.0)).cast("double").alias("score"),

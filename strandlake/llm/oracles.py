@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .licenses import BASE, K, NOTICES
+from .licenses import SHORT_K, K, template_rows
 from .mixing import CAP, GOLDEN, WEIGHTS
 from .secrets import RULES
 
@@ -95,24 +95,26 @@ select d.doc_id, d.source, size, ss source_size, target, cast(coalesce(taken, 0)
 
 
 def _licenses() -> str:
-    rows = []
-    for t, (label, text) in enumerate(BASE + NOTICES):
-        words = text.split()
-        total = len(words) - K + 1
-        rows += [f"({t}, '{label}', {t < len(BASE)}, {total}, {i}, '{' '.join(words[i : i + K])}')" for i in range(total)]
+    rows = template_rows()
+    grams = [f"({t}, {i}, '{' '.join(w[i : i + k])}')" for t, _, _, w, k in rows for i in range(len(w) - k + 1)]
+    facts = [f"({t}, '{label}', {base}, {k < K}, {len(w) - k + 1}, {w})" for t, label, base, w, k in rows]
     words = "regexp_extract_all(" + _LOWER.format("coalesce(text, '')") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    runs = " union all ".join(f"select doc_id, i - 1 pos, array_to_string(w[i:i + {k - 1}], ' ') gram from (select doc_id, w, unnest(range(1, len(w) - {k - 2})) i from w)" for k in (SHORT_K, K))
     return f"""
-with m(template, label, base, total, tpos, gram) as (values {", ".join(rows)}),
-w as (select doc_id, {words} w from documents),
-g as (select doc_id, i - 1 pos, w[i] || ' ' || w[i + 1] gram from (select doc_id, w, unnest(range(1, len(w))) i from w)),
-v as (select distinct doc_id, template, label, base, total, pos - tpos diag, tpos from g join m on m.gram = g.gram),
-o as (select doc_id, template, label, base, total, diag from v group by all),
-n as (select *, case when not base and diag - lag(diag) over (partition by doc_id, template order by diag) <= 2 then 0 else 1 end new from o),
+with m(template, tpos, gram) as (values {", ".join(grams)}), f(template, label, base, exact, total, tw) as (values {", ".join(facts)}),
+w as (select doc_id, {words} w from documents), g as ({runs}),
+d as (select doc_id, template, pos - tpos diag, count(*) n from g join m on m.gram = g.gram group by all),
+n as (select d.*, exact, total, case when not exact and diag - lag(diag) over (partition by doc_id, d.template order by diag) <= 2 then 0 else 1 end new from d join f on f.template = d.template),
 b as (select *, sum(new) over (partition by doc_id, template order by diag) band from n),
-s as (select b.doc_id, b.template, b.label, b.base, b.total, band, min(b.diag) start, count(distinct tpos) n from b join v on v.doc_id = b.doc_id and v.template = b.template and v.diag = b.diag group by all),
-k as (select * from s where case when base then n = total else n / total >= 0.75 end),
+p as (select *, (diag - min(diag) over (partition by doc_id, template, band)) // 16 piece from b),
+s as (select doc_id, template, band, piece, sum(n) n, min(diag) start, any_value(exact) exact, any_value(total) total from p group by all having case when any_value(exact) then sum(n) = any_value(total) else sum(n) >= any_value(total) * 0.1::double end),
+t as (select s.doc_id, s.template, s.band, s.piece, x.i, bool_or(diag + x.i >= 1 and w.w[diag + x.i] = x.word) stands
+      from s join p on p.doc_id = s.doc_id and p.template = s.template and p.band = s.band and p.piece = s.piece join w on w.doc_id = s.doc_id
+      join (select template, unnest(tw) word, unnest(range(1, len(tw) + 1)) i from f) x on x.template = s.template group by all),
+v as (select doc_id, template, band, piece, count(*) filter (stands) / count(*) part from t group by all),
+k as (select s.doc_id, label, base, start, part from v join s using (doc_id, template, band, piece) join f on f.template = s.template where case when f.exact then part = 1 else part >= 0.75 end),
 r as (select doc_id, count(*) filter (base) n_base, min(start) filter (base) first_word, max(start) filter (base) last_word,
-      coalesce(string_agg(distinct label, ',' order by label) filter (base), '') base_labels, string_agg(distinct label, ',' order by label) labels, max(n / total) score from k group by doc_id)
+      coalesce(string_agg(distinct label, ',' order by label) filter (base), '') base_labels, string_agg(distinct label, ',' order by label) labels, max(part) score from k group by doc_id)
 select w.doc_id, len(w) n_words, coalesce(n_base, 0) n_base, first_word, last_word, coalesce(base_labels, '') base_labels, coalesce(labels, '') labels, coalesce(score, 0.0) score
 from w left join r on r.doc_id = w.doc_id"""
 

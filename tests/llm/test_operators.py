@@ -664,8 +664,29 @@ def test_license_scan_survives_changed_words(spark):
     from strandlake.llm.licenses import license_scan
 
     texts = ["x Permission is hereby freely granted, free of charge, to any person obtaining one copy of this software y", "Licensed under CC BY-NC 4.0.", "a licensed person"]
+    texts += ["This Source Code Form is subject to the terms of the Mozilla Public Licence, version 2.0. If a copy of the MPL was not distributed with this file"]
     got = [r.labels for r in license_scan(H.table(spark, [(i, t, *[None] * 9) for i, t in enumerate(texts)])).orderBy("doc_id").collect()]
-    assert got == ["mit", "cc-by-nc", ""]
+    assert got == ["mit", "cc-by-nc", "", "mpl"]
+
+
+def test_license_scan_verifies_spans(spark):
+    """Grams in another order or far apart vote, but their words don't stand where the template has them."""
+    import random
+
+    from strandlake.llm.license_texts import BODIES
+    from strandlake.llm.licenses import license_scan
+
+    words = BODIES[1][1].split()
+    pieces = [" ".join(words[i : i + 6]) for i in range(0, len(words), 6)]
+    random.Random(1).shuffle(pieces)
+    far = " ".join(p + " x" * 40 for p in (" ".join(words[i : i + 6]) for i in range(0, len(words), 6)))
+    texts = [" ".join(words), " ".join(pieces), far, " ".join(w for i, w in enumerate(words) if i % 12)]
+    got = license_scan(H.table(spark, [(i, t, *[None] * 9) for i, t in enumerate(texts)])).orderBy("doc_id").collect()
+    assert [(r.labels, r.score == 1) for r in got[:3]] == [("mit", True), ("", False), ("", False)]
+    assert got[3].labels == "mit" and 0.75 <= got[3].score < 1
+    own = [("long", " ".join(f"w{i}" for i in range(500)))]
+    one = license_scan(H.table(spark, [(0, " ".join(f"w{i}" for i in range(100, 500)), *[None] * 9)]), templates=own).first()
+    assert one.labels == "long" and one.score == 0.8
 
 
 # ---- pages
@@ -682,7 +703,7 @@ def test_license_scan_knows_notices_and_bodies(spark):
         mit: ("mit", 1.0), "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.": ("mpl", 1.0),
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the "
         "above copyright notice and this permission notice appear in all copies.": ("isc", 1.0),
-        "This is free and unencumbered software released into the public domain.": ("unlicense", 1.0), "CC0 1.0 Universal": ("cc0", 1.0),
+        "This is free and unencumbered software released into the public domain.": ("public-domain,unlicense", 1.0), "CC0 1.0 Universal": ("cc0", 1.0), "SPDX-License-Identifier: Apache-2.0": ("apache", 1.0), "dedicated to the public domain": ("public-domain", 1.0),
         "Licensed under CC BY 4.0": ("cc-by", 1.0), "Creative Commons Attribution 4.0 International License": ("cc-by", 1.0),
         "Creative Commons Attribution-NonCommercial 4.0 International License": ("cc-by-nc", 1.0), "Licensed under CC BY-NC 4.0": ("cc-by-nc", 1.0),
         "the rights of the public to use this and the following": ("", 0.0),
