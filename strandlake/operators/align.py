@@ -8,6 +8,8 @@ at the first highest cell in row order.
 
 from __future__ import annotations
 
+import itertools
+import re
 import sys
 from collections import defaultdict
 from typing import NamedTuple
@@ -139,39 +141,31 @@ def sw_align(target: pd.Series, query: pd.Series) -> pd.DataFrame:
 def differences(target: str, query: str, ignore_ambiguous: bool = False) -> list[tuple[int, str, str]]:
     """(coordinate, kind, alternative) of an alignment: snv, ins (inserted bases) and del (their number).
 
-    An indel is open until the sequences agree again, so a mismatch in between doesn't part it; one that closes at a
-    coordinate of 1 or less is what the alignment left off at the start and is dropped; one that stays open at the end counts.
+    A stretch between columns that agree holds substitutions and at most one indel for each change from inserted to deleted bases
+    or back; it ends there. An indel that closes at a coordinate of 1 or less is what the alignment left off at the start and is
+    dropped, one that stays open at the end is not.
     """
-    out, open_indel, at = [], None, 0
-    for t, q in zip(target, query):
-        at += t != "-"
-        if t == q:
-            if open_indel is not None and open_indel[0] > 1:
-                out.append(tuple(open_indel))
-            open_indel = None
-        elif ignore_ambiguous and t != "-" and q not in "ACGT-":
-            continue
-        elif "-" in (t, q):
-            kind = "ins" if t == "-" else "del"
-            if open_indel is None:
-                open_indel = [at if kind == "ins" else at - 1, kind, q if kind == "ins" else "1"]
-            elif open_indel[1] == kind:
-                open_indel[2] = open_indel[2] + q if kind == "ins" else str(int(open_indel[2]) + 1)
-            else:  # an insertion that turns into a deletion, or back, is two
-                if open_indel[0] > 1:
-                    out.append(tuple(open_indel))
-                open_indel = [at if kind == "ins" else at - 1, kind, q if kind == "ins" else "1"]
-        else:
-            out.append((at, "snv", q))
-    if open_indel is not None:
-        out.append(tuple(open_indel))
-    return out
+    t, q = (np.frombuffer(x.encode("latin-1", "replace"), np.uint8)[: min(len(target), len(query))] for x in (target, query))
+    coord = np.cumsum(t != 45)
+    signs = np.where(t == q, "=", np.where(t == 45, "i", np.where(q == 45, "d", "s")))
+    if ignore_ambiguous:
+        signs[(signs == "s") & ~np.isin(q, np.frombuffer(b"ACGT", np.uint8))] = "."
+    found: list[tuple[int, tuple[int, str, str]]] = [(int(i), (int(coord[i]), "snv", query[i])) for i in np.flatnonzero(signs == "s")]
+    for stretch in re.finditer(r"[^=]+", "".join(signs)):
+        columns = [stretch.start() + i for i, c in enumerate(stretch[0]) if c in "id"]
+        runs = [list(g) for _, g in itertools.groupby(columns, key=lambda i: signs[i])]
+        for run, closes in zip(runs, [*(r[0] for r in runs[1:]), stretch.end()]):
+            first, inserted = run[0], signs[run[0]] == "i"
+            at = int(coord[first]) - (not inserted)
+            if at > 1 or closes == len(signs):
+                found.append((closes, (at, "ins" if inserted else "del", "".join(query[i] for i in run) if inserted else str(len(run)))))
+    return [d for _, d in sorted(found, key=lambda f: f[0])]
 
 
 def global_alignment(a: str, b: str) -> tuple[str, str]:
     """Needleman-Wunsch with match 1, mismatch -1 and affine gaps (-3 to open, -1 to extend); gaps go as far left as they can."""
     m, n = len(a), len(b)
-    low = -(10**9)
+    low, steps = -(10**9), np.arange(n + 1)
     x, y = np.frombuffer(a.encode("latin-1"), np.uint8), np.frombuffer(b.encode("latin-1"), np.uint8)
     best = np.full((m + 1, n + 1), low, np.int64)
     in_a, in_b = best.copy(), best.copy()
@@ -185,8 +179,9 @@ def global_alignment(a: str, b: str) -> tuple[str, str]:
         top = np.maximum(np.maximum(best[i - 1], in_a[i - 1]), in_b[i - 1])
         best[i, 1:] = top[:-1] + pair
         in_b[i, 1:] = np.maximum(np.maximum(best[i - 1, 1:], in_a[i - 1, 1:]) - 3, in_b[i - 1, 1:] - 1)
-        for j in range(1, n + 1):
-            in_a[i, j] = max(best[i, j - 1] - 3, in_b[i, j - 1] - 3, in_a[i, j - 1] - 1)
+        # The best start of a gap so far, less a point for each base it has gone on.
+        from_start = np.maximum.accumulate(np.maximum(best[i], in_b[i]) + steps)
+        in_a[i, 1:] = from_start[:-1] - 2 - steps[1:]
     i, j, out_a, out_b = m, n, [], []
     tables = (best, in_a, in_b)
     state = max(range(3), key=lambda k: tables[k][i, j])

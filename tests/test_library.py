@@ -365,8 +365,38 @@ def test_error_statistics(spark):
     rows = [("b", "ab", 1, f"r{i}", s, q) for i, (s, q) in enumerate([("ACGT", "IIII"), ("ACGA", "IIII"), ("AC-A", "II I"), ("TCGT", "IIII")])]
     got = Q.error_statistics(spark.createDataFrame(rows, MSA)).first()
     assert (got.mate, got.n_reads, got.consensus) == (0, 4, "ACGN") and got.errors == [1, 1, 2, 2] and got.repeat_errors == 2 and got.repeat_votes == [1, 1, 2, 2]
-    cons, errors, repeated, votes = Q.family_errors(["AC", "AG"], ["I#", "I "], "5")
-    assert cons == "AN" and errors == [0, 0] and repeated == 0 and votes == []
+    cons, errors, repeated, votes = Q.stacked_errors(*(np.frombuffer(x, np.uint8).reshape(1, 2, 2) for x in (b"ACAG", b"I#I ")), ord("5"))
+    assert cons.tobytes() == b"AN" and errors.tolist() == [[0, 0]] and repeated.tolist() == [0] and votes[0].tolist() == []
+    with pytest.raises(KeyError):
+        Q.stacked_errors(np.frombuffer(b"aA", np.uint8).reshape(1, 2, 1), np.frombuffer(b"II", np.uint8).reshape(1, 2, 1), ord("5"))
+
+
+def test_error_statistics_against_a_walk(spark):
+    """Column after column, base after base: what the votes and errors of families of several sizes come to."""
+    rng, rows, want = random.Random(6), [], {}
+    for fam in range(30):
+        width, reads = rng.choice([5, 9]), []
+        for i in range(rng.randrange(1, 6)):
+            seq = "".join(rng.choice("ACGTN--") for _ in range(width))
+            reads.append((seq, "".join(" " if c == "-" else rng.choice("#5I") for c in seq)))
+            rows.append((f"b{fam // 2}", "ab", 1 + fam % 2, f"r{i}", *reads[-1]))
+        want[f"b{fam // 2}", fam % 2] = walk = ["", [0] * len(reads), []]
+        last = "~"
+        for p in range(width):
+            votes = {}
+            for s, q in reads:
+                last = q[p] if q[p] != " " else last
+                if last >= "5":
+                    votes[s[p]] = votes.get(s[p], 0) + 1
+            best = [b for b in votes if votes[b] == max(votes.values())]
+            walk[0] += best[0] if len(best) == 1 else "N"
+            last = "~"
+            for i, (s, q) in enumerate(reads):
+                last = q[p] if q[p] != " " else last
+                walk[1][i] += last >= "5" and s[p] != walk[0][p]
+            walk[2] += [votes[b] for b in "ACGT-N" if b in votes and b != walk[0][p]]
+    got = {(r.barcode, r.mate): [r.consensus, r.errors, r.repeat_votes] for r in Q.error_statistics(spark.createDataFrame(rows, MSA), 20).collect()}
+    assert got == want
 
 
 def test_differences_and_bins(spark, tmp_path):
@@ -375,7 +405,10 @@ def test_differences_and_bins(spark, tmp_path):
     marked = R.read_marked_msa(spark, str(tmp_path / "m.tsv"))
     got = {(r.barcode, r.diffs, r.seq) for r in Q.read_statistics(marked, ["diffs"]).collect()}
     assert got == {("b", 0.0, "ACGT--ACGT"), ("b", 0.1, "ACGTTTACGT"), ("b", 0.2, "AC----AGGT"), ("c", 0.5, "AATT")}
-    assert Q.binned_counts("ACGTACGT", ["ACGTACGA", "TCGT"], 2) == [[0.0, 0.25], None] and Q.binned_counts("A", ["A"], 9) == [None]
+    made = [(0, i, "b", str(i), s, "ACGTACGT") for i, s in enumerate(["ACGTACGA", "TCGT", "ACGTAC--", "-CGTACGT"])] + [(1, 0, "c", "0", "A", "A")]
+    table = spark.createDataFrame(made, "family long, row long, barcode string, name string, seq string, consensus string")
+    assert [r.bins for r in Q.differences_binned(table, 2).orderBy("family", "row").collect()] == [[0.0, 0.25], None, [0.0, 0.25], [0.0, 0.0], [0.0, 0.0]]
+    assert Q.differences_binned(table, 9).where("family = 1").first().bins is None
     assert {(r.name, r.seq) for r in W.marked_fasta(marked).collect()} == {("b:3", "ACGT--ACGT"), ("c:1", "AAAA")}
     stats = Q.read_statistics(marked, ["seqlen", "diffs-binned", "strand"], bins=2, probes=["ACGTACG"]).collect()
     assert len(stats) == 4 and {r.seqlen for r in stats} == {10, 4}
@@ -447,8 +480,7 @@ def test_simulated_errors_are_logged(spark):
 @settings(max_examples=40, deadline=None)
 @given(DNA, st.integers(0, 2**32))
 def test_mutations_mirror(seq, seed):
-    rng = random.Random(seed)
-    for m in I.draw_mutations(rng, len(seq), I.Rates(0.1)):
+    for m in I.draw_mutations(np.random.default_rng(seed), len(seq), I.Rates(0.1)):
         if 0 <= m.coord and m.coord + max(m.deleted, m.kind == "snv") <= len(seq):
             there = I.mutate(A.reverse_complement(seq), I.mirrored(m, len(seq)))
             assert A.reverse_complement(there) == I.mutate(seq, m)
