@@ -163,25 +163,30 @@ def differences(target: str, query: str, ignore_ambiguous: bool = False) -> list
 
 
 def global_alignment(a: str, b: str) -> tuple[str, str]:
-    """Needleman-Wunsch with match 1, mismatch -1 and affine gaps (-3 to open, -1 to extend); gaps go as far left as they can."""
+    """Needleman-Wunsch with match 2, mismatch -2 and affine gaps (-6 for the first base, -2 for each further one).
+
+    At either end of the sequences a gap costs 1 a base, so a read that begins or ends elsewhere is not torn for one match. Gaps go as
+    far left as they can.
+    """
     m, n = len(a), len(b)
     low, steps = -(10**9), np.arange(n + 1)
     x, y = np.frombuffer(a.encode("latin-1"), np.uint8), np.frombuffer(b.encode("latin-1"), np.uint8)
     best = np.full((m + 1, n + 1), low, np.int64)
     in_a, in_b = best.copy(), best.copy()
     best[0, 0] = 0
-    for j in range(1, n + 1):
-        in_a[0, j] = -3 - (j - 1)
-    for i in range(1, m + 1):
-        in_b[i, 0] = -3 - (i - 1)
+    in_a[0, 1:], in_b[1:, 0] = -steps[1:], -np.arange(1, m + 1)
     for i in range(1, m + 1):
-        pair = np.where(y == x[i - 1], 1, -1)
+        pair = np.where(y == x[i - 1], 2, -2)
         top = np.maximum(np.maximum(best[i - 1], in_a[i - 1]), in_b[i - 1])
         best[i, 1:] = top[:-1] + pair
-        in_b[i, 1:] = np.maximum(np.maximum(best[i - 1, 1:], in_a[i - 1, 1:]) - 3, in_b[i - 1, 1:] - 1)
-        # The best start of a gap so far, less a point for each base it has gone on.
-        from_start = np.maximum.accumulate(np.maximum(best[i], in_b[i]) + steps)
-        in_a[i, 1:] = from_start[:-1] - 2 - steps[1:]
+        outer = np.maximum(best[i - 1, 1:], in_a[i - 1, 1:])
+        in_b[i, 1:] = np.maximum(outer - 6, in_b[i - 1, 1:] - 2)
+        if n:
+            in_b[i, n] = max(outer[-1], in_b[i - 1, n]) - 1
+        # The best start of a gap so far, less what each base it has gone on costs.
+        first, each = (1, 1) if i == m else (6, 2)
+        from_start = np.maximum.accumulate(np.maximum(best[i], in_b[i]) + each * steps)
+        in_a[i, 1:] = from_start[:-1] - (first - each) - each * steps[1:]
     i, j, out_a, out_b = m, n, [], []
     tables = (best, in_a, in_b)
     state = max(range(3), key=lambda k: tables[k][i, j])
@@ -196,13 +201,13 @@ def global_alignment(a: str, b: str) -> tuple[str, str]:
             j -= 1
             out_a.append("-")
             out_b.append(b[j])
-            state = 1 if j and here == in_a[i, j] - 1 else max((0, 2), key=lambda k: tables[k][i, j])
+            state = 1 if j and here == in_a[i, j] - (1 if i in (0, m) else 2) else max((0, 2), key=lambda k: tables[k][i, j])
         else:
-            here = in_b[i, j]
+            here, edge = in_b[i, j], j in (0, n)
             i -= 1
             out_a.append(a[i])
             out_b.append("-")
-            state = 2 if i and here == in_b[i, j] - 1 else max((0, 1), key=lambda k: tables[k][i, j])
+            state = 2 if i and here == in_b[i, j] - (1 if edge else 2) else max((0, 1), key=lambda k: tables[k][i, j])
     return "".join(reversed(out_a)), "".join(reversed(out_b))
 
 

@@ -151,6 +151,34 @@ def test_star_alignment_keeps_reads(reads):
     assert [r.replace("-", "") for r in rows] == reads and len({len(r) for r in rows}) == 1
 
 
+def gap_cost(line, end):
+    """What the gaps of one aligned sequence cost."""
+    import re
+
+    return sum(len(g[0]) if g.start() == 0 or g.end() == end else 4 + 2 * len(g[0]) for g in re.finditer("-+", line))
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.text("ACG", min_size=1, max_size=5), st.text("ACG", min_size=1, max_size=5))
+def test_affine_alignment_is_the_best(a, b):
+    def score(x, y):
+        return sum(2 if p == q else -2 for p, q in zip(x, y) if "-" not in (p, q)) - gap_cost(x, len(x)) - gap_cost(y, len(y))
+
+    def every(x, y):
+        if not x and not y:
+            yield "", ""
+        if x and y:
+            yield from ((x[0] + p, y[0] + q) for p, q in every(x[1:], y[1:]))
+        if x:
+            yield from ((x[0] + p, "-" + q) for p, q in every(x[1:], y))
+        if y:
+            yield from (("-" + p, y[0] + q) for p, q in every(x, y[1:]))
+
+    got = A.global_alignment(a, b)
+    assert (got[0].replace("-", ""), got[1].replace("-", "")) == (a, b)
+    assert score(*got) == max(score(*x) for x in every(a, b))
+
+
 def test_star_alignment_places_a_gap():
     assert A.star_alignment(["TAAGGATACTAGTATAAGAG"] * 2 + ["TAAGGATACTAGATAAGAGC"]) == ["TAAGGATACTAGTATAAGAG-"] * 2 + ["TAAGGATACTAG-ATAAGAGC"]
     assert A.star_alignment(["acg"]) == ["acg"] and A.star_alignment(["acg", "acg"]) == ["ACG", "ACG"]
