@@ -15,7 +15,7 @@ from .common import GAPS, WORD, discard, materialise
 
 SYMBOLS = r"[#*$%&|<>]"
 GRID = 1024
-#: Statistic -> standard deviation that is always granted: how well one text can measure it.
+#: Statistic -> the least standard deviation it is taken to have, others given: how well one text can measure it.
 FLOORS = {"len": 0.08, "sym": 0.5, "dup": 0.1, "rep": 0.07, "size": 0.5}
 DIMS = tuple(FLOORS)
 
@@ -82,6 +82,9 @@ def _transformed() -> dict[str, Column]:
     }
 
 
+PAIRS = tuple((a, b) for i, a in enumerate(DIMS) for b in DIMS[: i + 1])
+
+
 def _whiten(df: DataFrame) -> DataFrame:
     """Adds d2, the squared Mahalanobis distance of x_* from m_* under the Cholesky factor l_*."""
     for i, a in enumerate(DIMS):
@@ -93,58 +96,105 @@ def _whiten(df: DataFrame) -> DataFrame:
     return df.withColumn("d2", d2).drop(*[f"y_{a}" for a in DIMS])
 
 
-def _estimate(rows: DataFrame, factor: float) -> DataFrame:
-    """Mean and Cholesky factor of (factor * covariance + floors) of the rows of each grp."""
-    sums = [F.count("*").alias("n")] + [F.sum(f"x_{a}").alias(f"s_{a}") for a in DIMS]
-    pairs = [(a, b) for i, a in enumerate(DIMS) for b in DIMS[: i + 1]]
-    sums += [F.sum(F.col(f"x_{a}") * F.col(f"x_{b}")).alias(f"q_{a}_{b}") for a, b in pairs]
-    g = rows.groupBy("grp").agg(*sums)
-    n = F.col("n").cast("double")
-    g = g.withColumns({f"m_{a}": F.col(f"s_{a}") / n / GRID for a in DIMS})
-    cov = {}
-    for a, b in pairs:
-        c = (F.col(f"q_{a}_{b}") / n / (GRID * GRID) - F.col(f"m_{a}") * F.col(f"m_{b}")) * factor
-        cov[f"c_{a}_{b}"] = c + FLOORS[a] ** 2 if a == b else c
-    g = g.withColumns(cov)
+def _moments(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Adds to each group of x_* (on the grid) its means m_* and covariances c_*, from exact integer sums."""
+    sums = [F.count("*").cast("double").alias("n")] + [F.sum(f"x_{a}").alias(f"s_{a}") for a in DIMS]
+    sums += [F.sum(F.col(f"x_{a}") * F.col(f"x_{b}")).alias(f"q_{a}_{b}") for a, b in PAIRS]
+    g = rows.groupBy(*keys).agg(*sums).withColumns({f"m_{a}": F.col(f"s_{a}") / F.col("n") / GRID for a in DIMS})
+    return g.withColumns({f"c_{a}_{b}": F.col(f"q_{a}_{b}") / F.col("n") / (GRID * GRID) - F.col(f"m_{a}") * F.col(f"m_{b}") for a, b in PAIRS})
+
+
+def _factored(g: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, m_*, l_*, logdet) from m_* and c_*: the Cholesky factor, regularised where a statistic (nearly) follows from the others.
+
+    What is left of a variance counts at least as the square of its floor, so a constant statistic can't make small differences large.
+    """
     for i, a in enumerate(DIMS):
         for j, b in enumerate(DIMS[: i + 1]):
             left = F.col(f"c_{a}_{b}")
             for k in DIMS[:j]:
                 left = left - F.col(f"l_{a}_{k}") * F.col(f"l_{b}_{k}")
-            if a == b:
-                g = g.withColumn(f"l_{a}_{a}", F.sqrt(F.greatest(left, F.lit(FLOORS[a] ** 2 / 4))))
-            else:
-                g = g.withColumn(f"l_{a}_{b}", left / F.col(f"l_{b}_{b}"))
-    return g.select("grp", *[f"m_{a}" for a in DIMS], *[f"l_{a}_{b}" for a, b in pairs])
-
-
-def _start(rows: DataFrame) -> DataFrame:
-    """Medians and median absolute deviations, as a diagonal first estimate."""
-    med = rows.groupBy("grp").agg(*[F.expr(f"percentile(x_{a}, 0.5)").alias(f"v_{a}") for a in DIMS])
-    far = rows.join(med, "grp").groupBy("grp").agg(
-        *[F.first(f"v_{a}").alias(f"v_{a}") for a in DIMS],
-        *[F.expr(f"percentile(abs(x_{a} - cast(v_{a} as bigint)), 0.5)").alias(f"u_{a}") for a in DIMS],
+            g = g.withColumn(f"l_{a}_{b}", F.sqrt(F.greatest(left, F.lit(FLOORS[a] ** 2))) if a == b else left / F.col(f"l_{b}_{b}"))
+    logdet = sum((F.log(F.col(f"l_{a}_{a}")) for a in DIMS), F.lit(0.0))
+    return g.select(*keys, *[f"m_{a}" for a in DIMS], *[f"l_{a}_{b}" for a, b in PAIRS], logdet.alias("logdet"))
+
+
+def _centred(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows (grp, x_*) less their group's medians, and (grp, v_*: medians, u_*: scales by median deviations, at least the floors)."""
+    med = rows.groupBy("grp").agg(*[F.expr(f"cast(percentile(x_{a}, 0.5) as bigint)").alias(f"v_{a}") for a in DIMS])
+    med = materialise(med, "quality-medians")
+    near = rows.join(med, "grp").select("grp", *[(F.col(f"x_{a}") - F.col(f"v_{a}")).alias(f"x_{a}") for a in DIMS])
+    near = materialise(near, "quality-fit")
+    spread = near.groupBy("grp").agg(*[F.expr(f"percentile(abs(x_{a}), 0.5)").alias(f"u_{a}") for a in DIMS])
+    scale = med.join(spread, "grp").select(
+        "grp", *[f"v_{a}" for a in DIMS], *[F.greatest(F.col(f"u_{a}") * 1.4826 / GRID, F.lit(FLOORS[a])).alias(f"u_{a}") for a in DIMS]
     )
-    out = [(F.col(f"v_{a}") / GRID).alias(f"m_{a}") for a in DIMS]
-    for i, a in enumerate(DIMS):
-        for b in DIMS[: i + 1]:
-            own = F.sqrt(F.pow(F.col(f"u_{a}") * 1.4826 / GRID, 2) + FLOORS[a] ** 2)
-            out.append((own if a == b else F.lit(0.0)).alias(f"l_{a}_{b}"))
-    return far.select("grp", *out)
+    scale = materialise(scale, "quality-scale")
+    discard(med)
+    return near, scale
+
+
+def _starts(near: DataFrame, scale: DataFrame) -> DataFrame:
+    """(grp, start, m_*, l_*, logdet) of three first estimates around the medians: no correlation, and the correlations of the statistics'
+    hyperbolic tangents and of their spatial signs, which outliers hardly move."""
+    z = near.join(scale, "grp").withColumns({f"z_{a}": F.col(f"x_{a}") / GRID / F.col(f"u_{a}") for a in DIMS})
+    norm = F.sqrt(sum((F.col(f"z_{a}") * F.col(f"z_{a}") for a in DIMS), F.lit(0.0)))
+    forms = (lambda a: F.tanh(f"z_{a}"), lambda a: F.col(f"z_{a}") / F.greatest(norm, F.lit(1e-9)))
+    on_grid = lambda form: F.struct(*[F.floor(form(a) * GRID + 0.5).cast("long").alias(f"x_{a}") for a in DIMS])
+    rows = z.select("grp", F.posexplode(F.array(*map(on_grid, forms))).alias("start", "y")).select("grp", (F.col("start") + 1).alias("start"), "y.*")
+    own = lambda a: F.sqrt(F.greatest(F.col(f"r_{a}_{a}"), F.lit(1e-6)))
+    made = _moments(rows, ["grp", "start"]).select("grp", "start", *[F.col(f"c_{a}_{b}").alias(f"r_{a}_{b}") for a, b in PAIRS])
+    made = made.unionByName(scale.select("grp", F.lit(0).alias("start"), *[F.lit(float(a == b)).alias(f"r_{a}_{b}") for a, b in PAIRS])).join(scale, "grp")
+    made = made.withColumns({f"c_{a}_{b}": F.col(f"r_{a}_{b}") / own(a) / own(b) * F.col(f"u_{a}") * F.col(f"u_{b}") for a, b in PAIRS})
+    return _factored(made.withColumns({f"m_{a}": F.lit(0.0) for a in DIMS}), ["grp", "start"])
+
+
+def _estimate(core: DataFrame, keys: list[str], factor: float) -> DataFrame:
+    g = _moments(core, keys)
+    return _factored(g.withColumns({f"c_{a}_{b}": F.col(f"c_{a}_{b}") * factor for a, b in PAIRS}), keys)
+
+
+def minimum_covariance(fit: DataFrame, *, half: float, most_steps: int, tolerance: float = 1e-6) -> DataFrame:
+    """(grp, v_*, m_*, l_*) of rows (grp, x_*): the minimum-covariance-determinant estimates, reweighted.
+
+    From each start, concentration steps on the ``half`` of the rows nearest to the centre go on until the determinant falls no more;
+    of a group's starts the one that ends with the smallest determinant counts.
+    """
+    d, keys = len(DIMS), ["grp", "start"]
+    consistent = lambda p: p / chi2_cdf(chi2_quantile(p, d), d + 2)
+    near, scale = _centred(fit)
+    est = materialise(_starts(near, scale).withColumns({"logdet": F.lit(float("inf")), "done": F.lit(False)}), "quality-est")
+    grid_d2 = F.floor(F.log1p("d2") * GRID + 0.5).cast("long")
+    for step in range(most_steps):
+        open_ = est.where("not done")
+        if step and not open_.limit(1).count():
+            break
+        rows = _whiten(near.join(open_.drop("logdet", "done"), "grp")).select(*keys, grid_d2.alias("r"), *[f"x_{a}" for a in DIMS])
+        edge = rows.groupBy(*keys).agg(F.expr(f"percentile(r, {half})").alias("edge"))
+        new = _estimate(rows.join(edge, keys).where("r <= edge"), keys, consistent(half))
+        last = open_.select(*keys, F.col("logdet").alias("last"))
+        new = new.join(last, keys).withColumn("done", F.col("last") - F.col("logdet") < tolerance).drop("last")
+        est, old = materialise(new.unionByName(est.where("done")), "quality-est"), est
+        discard(old)
+    best = est.groupBy("grp").agg(F.min(F.struct(F.round("logdet", 6).alias("d"), "start")).alias("b")).select("grp", F.col("b.start").alias("start"))
+    core = _whiten(near.join(est.join(best, keys).drop("start", "logdet", "done"), "grp")).where(F.col("d2") <= chi2_quantile(0.975, d))
+    out = materialise(_estimate(core, ["grp"], consistent(0.975)).join(scale.select("grp", *[f"v_{a}" for a in DIMS]), "grp"), "quality-final")
+    for table in (est, near, scale):
+        discard(table)
+    return out
 
 
 def quality_rules(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", group_cols=("lang", "source"), keep=(),
-    half: float = 0.6, steps: int = 3, tail: float = 1e-6, min_group: int = 100,
+    half: float = 0.6, most_steps: int = 12, tail: float = 1e-6, min_group: int = 100,
 ) -> DataFrame:
     """Base statistics, base_failed, distance2 and kept of every row, with the columns in ``keep``.
 
     base_failed: under 10 words, or over 20% of the words in 5-word windows that the text repeats. Rows that pass
     are measured in their (language, source) group; those of groups under ``min_group`` rows against all rows of their
-    language, and those of languages under it against all rows. A minimum-covariance-determinant estimate is made of each group: from medians and
-    median deviations, ``steps`` concentration steps on the ``half`` of the rows nearest to the centre, then one
-    reweighting step. A row is kept if its squared Mahalanobis distance is within the chi-square quantile that
-    leaves ``tail``. Each covariance has a fixed floor, so a constant statistic can't make small differences large.
+    language, and those of languages under it against all rows. A minimum-covariance-determinant estimate is made of each group:
+    from three starts, concentration steps until the determinant falls no more, the start with the smallest one, and one reweighting
+    step. A row is kept if its squared Mahalanobis distance is within the chi-square quantile that leaves ``tail``.
 
     A null text has no words and fails; null group columns form groups of their own; null or repeated ids and
     repeated rows are judged row by row; an empty table gives an empty result.
@@ -157,7 +207,7 @@ def quality_rules(
     n = F.col("n_words")
     stats = text_statistics(src).drop("text")
     stats = stats.withColumn("base_failed", (n < 10) | (100 * F.col("n_repeat_words") > 20 * n))
-    stats = stats.withColumns({f"x_{k}": F.round(v * GRID).cast("long") for k, v in _transformed().items()})
+    stats = stats.withColumns({f"x_{k}": F.floor(v * GRID + 0.5).cast("long") for k, v in _transformed().items()})
     stats = materialise(stats, "quality-stats")
 
     # Groups are named by JSON, which tells null from any text.
@@ -168,7 +218,7 @@ def quality_rules(
         "_lang", "_source", F.array(pair, lang, every).alias("levels"),
         F.when(F.col("n") >= min_group, pair).when(F.col("n_lang") >= min_group, lang).otherwise(every).alias("grp"),
     )
-    named = materialise(named.coalesce(1), "quality-groups")
+    named = materialise(named, "quality-groups")
     own = named.select(F.col("_lang").alias("l"), F.col("_source").alias("s"), "grp")
     # A row is judged in one group, but is part of the estimate of each level around it that judges any row.
     feeds = named.select(F.col("_lang").alias("l"), F.col("_source").alias("s"), F.explode("levels").alias("grp"))
@@ -176,24 +226,12 @@ def quality_rules(
     fit = stats.where("not base_failed").join(
         feeds, stats._lang.eqNullSafe(feeds.l) & stats._source.eqNullSafe(feeds.s)
     ).select("grp", *[f"x_{a}" for a in DIMS])
-
-    d = len(DIMS)
-    consistent = lambda p: p / chi2_cdf(chi2_quantile(p, d), d + 2)
-    est = materialise(_start(fit).coalesce(1), "quality-est")
-    grid_d2 = F.round(F.log1p("d2") * GRID).cast("long")
-    for _ in range(steps):
-        near = _whiten(fit.join(est, "grp")).select("grp", grid_d2.alias("r"), *[f"x_{a}" for a in DIMS])
-        edge = near.groupBy("grp").agg(F.expr(f"percentile(r, {half})").alias("edge"))
-        core = near.join(edge, "grp").where("r <= edge")
-        est, old = materialise(_estimate(core, consistent(half)).coalesce(1), "quality-est"), est
-        discard(old)
-    core = _whiten(fit.join(est, "grp")).where(F.col("d2") <= chi2_quantile(0.975, d))
-    est, old = materialise(_estimate(core, consistent(0.975)).coalesce(1), "quality-est"), est
-    discard(old)
+    est = minimum_covariance(fit, half=half, most_steps=most_steps)
 
     own = own.join(est, "grp", "left")
-    out = _whiten(stats.join(own, stats._lang.eqNullSafe(own.l) & stats._source.eqNullSafe(own.s), "left"))
-    cutoff = chi2_quantile(1 - tail, d)
+    out = stats.join(own, stats._lang.eqNullSafe(own.l) & stats._source.eqNullSafe(own.s), "left")
+    out = _whiten(out.withColumns({f"x_{a}": F.col(f"x_{a}") - F.col(f"v_{a}") for a in DIMS}))
+    cutoff = chi2_quantile(1 - tail, len(DIMS))
     kept = ~F.col("base_failed") & (F.coalesce("d2", F.lit(0.0)) <= cutoff)
     return out.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"),

@@ -34,42 +34,71 @@ def pairs(df):
 # ---- quality rules
 
 
-def mcd_verdicts(data, half=0.6, steps=3, tail=1e-6, min_group=100):
-    """{row: kept} by numpy: the same estimates from whole arrays."""
+def mcd_estimate(v, half, most_steps):
+    """(centre, Cholesky factor) by numpy: from three starts, steps until the determinant stands, the smallest one reweighted."""
     from strandlake.llm.quality import DIMS, FLOORS, GRID, chi2_cdf, chi2_quantile
 
+    d, floor = len(DIMS), np.array(list(FLOORS.values()))
+    factor = lambda p: p / chi2_cdf(chi2_quantile(p, d), d + 2)
+    grid = lambda y: np.floor(y * GRID + 0.5)
+
+    def cholesky(c):
+        low = np.zeros((d, d))
+        for i in range(d):
+            for j in range(i + 1):
+                left = c[i, j] - low[i, :j] @ low[j, :j]
+                low[i, j] = np.sqrt(max(left, floor[i] ** 2)) if i == j else left / low[j, j]
+        return low
+
+    dist = lambda m, low: (np.linalg.solve(low, (v - m).T) ** 2).sum(0)
+    fit = lambda core, f: (core.mean(0), cholesky((core.T @ core / len(core) - np.outer(core.mean(0), core.mean(0))) * f))
+    s = np.maximum(np.median(np.abs(v), axis=0) * 1.4826, floor)
+    z = v / s
+    shapes = [np.eye(d)]
+    for y in (np.tanh(z), z / np.maximum(np.sqrt((z**2).sum(1, keepdims=True)), 1e-9)):
+        y = grid(y) / GRID
+        c = y.T @ y / len(y) - np.outer(y.mean(0), y.mean(0))
+        q = np.sqrt(np.maximum(np.diag(c), 1e-6))
+        shapes.append(c / np.outer(q, q))
+    ends = []
+    for shape in shapes:
+        m, low, last = np.zeros(d), cholesky(shape * np.outer(s, s)), np.inf
+        for _ in range(most_steps):
+            r = grid(np.log1p(dist(m, low)))
+            m, low = fit(v[r <= np.percentile(r, half * 100)], factor(half))
+            det = np.log(np.diag(low)).sum()
+            if last - det < 1e-6:
+                break
+            last = det
+        ends.append((round(det, 6), len(ends), m, low))
+    _, _, m, low = min(ends, key=lambda e: e[:2])
+    return fit(v[dist(m, low) <= chi2_quantile(0.975, d)], factor(0.975))
+
+
+def mcd_verdicts(data, half=0.6, most_steps=12, tail=1e-6, min_group=100):
+    """{row: kept} by numpy: the same estimates from whole arrays."""
+    from strandlake.llm.quality import DIMS, GRID, chi2_quantile
+
     stats = [H.base_statistics(r.text) for r in data]
     failed = [s[0] < 10 or 100 * s[4] > 20 * s[0] for s in stats]
     x = np.array([
         [np.log((s[1] + 500) / (s[0] + 100)), np.log1p(s[2] * 100 / (s[0] + 20)), s[3] / (s[5] + 5), s[4] / (s[0] + 20), np.log1p(s[0])] for s in stats
     ])
-    x = np.floor(x * GRID + 0.5) / GRID
+    x = np.floor(x * GRID + 0.5)
     n_pair = Counter((r.lang, r.source) for r, f in zip(data, failed) if not f)
     n_lang = Counter(r.lang for r, f in zip(data, failed) if not f)
     names = [(r.lang, r.source) if n_pair[r.lang, r.source] >= min_group else (r.lang,) if n_lang[r.lang] >= min_group else () for r in data]
-    d, floor, kept = len(DIMS), np.array(list(FLOORS.values())), [False] * len(data)
-    factor = lambda p: p / chi2_cdf(chi2_quantile(p, d), d + 2)
+    kept = [False] * len(data)
     for g in set(names):
         rows = [i for i in range(len(data)) if names[i] == g and not failed[i]]
+        feed = [i for i in range(len(data)) if (data[i].lang, data[i].source)[: len(g)] == g and not failed[i]]
         if not rows:
             continue
-        v = x[rows]
-        med = np.median(v, axis=0)
-        mad = np.median(np.abs(v * GRID - np.trunc(med * GRID)), axis=0) * 1.4826 / GRID
-        mean, cov = med, np.diag(mad**2 + floor**2)
-
-        def dist():
-            return np.einsum("ij,jk,ik->i", v - mean, np.linalg.inv(cov), v - mean)
-
-        def fit(core, f):
-            return core.mean(0), (core.T @ core / len(core) - np.outer(core.mean(0), core.mean(0))) * f + np.diag(floor**2)
-
-        for _ in range(steps):
-            r = np.floor(np.log1p(dist()) * GRID + 0.5)
-            mean, cov = fit(v[r <= np.percentile(r, half * 100)], factor(half))
-        mean, cov = fit(v[dist() <= chi2_quantile(0.975, d)], factor(0.975))
-        for i, d2 in zip(rows, dist()):
-            kept[i] = d2 <= chi2_quantile(1 - tail, d)
+        centre = np.trunc(np.median(x[feed], axis=0))
+        m, low = mcd_estimate((x[feed] - centre) / GRID, half, most_steps)
+        d2 = (np.linalg.solve(low, ((x[rows] - centre) / GRID - m).T) ** 2).sum(0)
+        for i, far in zip(rows, d2):
+            kept[i] = bool(far <= chi2_quantile(1 - tail, len(DIMS)))
     return kept
 
 
@@ -98,6 +127,24 @@ def test_quality_rules_find_junk(spark):
     assert all(good) and np.mean(bad) < 0.1
 
 
+def test_estimate_resists_a_third_of_outliers(spark):
+    """A tight cluster of a third of the rows off the correlation of the others doesn't bend the estimate."""
+    from strandlake.llm.quality import DIMS, GRID, minimum_covariance
+
+    rng = np.random.default_rng(2)
+    mix = np.linalg.cholesky(0.8 * np.ones((5, 5)) + 0.2 * np.eye(5))
+    good = rng.normal(size=(600, 5)) @ mix.T
+    bad = np.array([3.0, -3, 3, -3, 3]) + 0.3 * rng.normal(size=(300, 5))
+    x = np.floor(np.r_[good, bad] * GRID + 0.5).astype(int)
+    rows = spark.createDataFrame([("g", *map(int, r)) for r in x], "grp string, " + ", ".join(f"x_{a} long" for a in DIMS))
+    got = minimum_covariance(rows, half=0.6, most_steps=12).first()
+    centre = np.trunc(np.median(x, axis=0))
+    m, low = mcd_estimate((x - centre) / GRID, 0.6, 12)
+    assert np.allclose([got[f"m_{a}"] for a in DIMS], m) and np.allclose([[got[f"l_{a}_{b}"] if j <= i else 0 for j, b in enumerate(DIMS)] for i, a in enumerate(DIMS)], low)
+    d2 = (np.linalg.solve(low, ((x - centre) / GRID - m).T) ** 2).sum(0)
+    assert d2[600:].min() > 30 and np.mean(d2[:600] < 30) > 0.99
+
+
 def test_quality_rules_judge_thin_sources_by_language(spark):
     from strandlake.llm.quality import quality_rules
 
