@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from .common import discard, materialise, scratch_path
 
 
+#: Blobs to scan whose addresses (under 100 bytes each) are broadcast.
+FEW = 500_000
+
+
 @dataclass(frozen=True)
 class Rule:
     """A pattern; matches are leftmost and non-overlapping, and fail under ``least`` characters of ``group``."""
@@ -35,7 +39,12 @@ RULES = (
     ),
     Rule("access", r"AKIA[A-Z0-9]{12,}", 16),
     Rule("hex", r"[0-9a-f]{32,}", 32),
-    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 1, base=False),
+    # A key up to its end; without one, its first line.
+    Rule(
+        "pem",
+        r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[A-Za-z0-9+/=\t\n\r :,.-]*?-----END [A-Z ]*PRIVATE KEY-----|[\t\n\r ]*[A-Za-z0-9+/=]{40,})?", 1,
+        base=False,
+    ),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}", 40, base=False),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 40, base=False),
 )
@@ -83,10 +92,12 @@ class BlobLedger:
     def __init__(self, spark, path: str | None = None):
         self.spark, self.path = spark, path or scratch_path(spark, "secret-ledger")
 
+    def _has(self, table: str) -> bool:
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{table}")
+        return where.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(where)
+
     def _read(self, table: str, schema: str) -> DataFrame:
-        jvm = self.spark._jvm
-        where = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{table}")
-        if not where.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(where):
+        if not self._has(table):
             return self.spark.range(0).selectExpr(*[f"cast(null as {c.split()[1]}) {c.split()[0]}" for c in schema.split(", ")])
         return self.spark.read.schema(schema).parquet(f"{self.path}/{table}")
 
@@ -99,16 +110,26 @@ class BlobLedger:
     def ingest(self, texts: DataFrame, rules=RULES) -> None:
         """Scan what is new in a table with a ``text`` column, historical versions being rows like any other.
 
-        One text of each blob is kept by a partial aggregate before the shuffle, so a blob with a third of all rows
-        is one row a task. Blobs whose pairs are all known are dropped before any pattern runs.
+        Where the ledger knows something, addresses alone are held against it first: an unchanged table costs no shuffle of
+        texts. One text of each remaining blob is kept by a partial aggregate before the shuffle, so a blob with a third of
+        all rows is one row a task. Null texts are the empty blob, which has nothing to scan.
         """
         versions = F.array(*[F.lit(r.version) for r in rules])
-        done = self.scanned().groupBy("blob").agg(F.collect_set("version").alias("done"))
-        blobs = texts.select(blob_id(F.col("text")).alias("blob"), F.col("text").cast("string").alias("text"))
-        blobs = blobs.where("text is not null").groupBy("blob").agg(F.first("text").alias("text"))
-        blobs = blobs.join(done, "blob", "left").select(
-            "blob", "text", F.array_except(versions, F.coalesce("done", F.array().cast("array<string>"))).alias("todo")
-        ).where(F.size("todo") > 0)
+        blobs = texts.where("text is not null").select(blob_id(F.col("text")).alias("blob"), F.col("text").cast("string").alias("text"))
+        if self._has("scanned"):
+            done = self.scanned().groupBy("blob").agg(F.collect_set("version").alias("done"))
+            known = F.coalesce("done", F.array().cast("array<string>"))
+            need = blobs.select("blob").distinct().join(done, "blob", "left").select("blob", F.array_except(versions, known).alias("todo"))
+            need = materialise(need.where(F.size("todo") > 0), "secret-todo")
+            n = need.count()
+            if not n:
+                return discard(need)
+            if n <= FEW:  # addresses of fixed size: the texts of known blobs end here
+                blobs = blobs.join(F.broadcast(need.select("blob")), "blob", "left_semi")
+            blobs = blobs.groupBy("blob").agg(F.first("text").alias("text")).join(need, "blob")
+        else:
+            need = None
+            blobs = blobs.groupBy("blob").agg(F.first("text").alias("text")).withColumn("todo", versions)
         # One pass over the texts notes for each blob what is to do and which rules match at all.
         hits = F.filter(
             F.array(*[F.when(F.array_contains("todo", r.version) & F.col("text").rlike(r.pattern), r.version) for r in rules]),
@@ -121,6 +142,7 @@ class BlobLedger:
         found.write.mode("append").parquet(f"{self.path}/findings")
         seen.select("blob", F.explode("todo").alias("version")).write.mode("append").parquet(f"{self.path}/scanned")
         discard(seen)
+        discard(need)
 
     def spans(self, rules=RULES) -> DataFrame:
         """(blob, spans): the findings of the rules' versions by start, then kind as listed. A blob is one text."""
@@ -149,7 +171,10 @@ def secret_scan(
 
 
 def secret_digest(scanned: DataFrame, rules=RULES) -> DataFrame:
-    """The counts and digests of the base spans, and all spans as text."""
+    """The counts and digests of the base spans, and all spans as text, of every row of ``secret_scan``.
+
+    Rows without spans have counts of 0, the digest of nothing and an empty text; null or repeated ids stay as they are.
+    """
     line = lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])
     base = F.filter("spans", lambda s: s["kind"].isin([r.kind for r in rules if r.base]))
     number = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
@@ -161,13 +186,22 @@ def secret_digest(scanned: DataFrame, rules=RULES) -> DataFrame:
 
 
 def redact(scanned: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
-    """Replace every stretch that spans cover, overlapping ones together, by ``mark``."""
-    # Spans are sorted by start: a stretch begins where a start lies beyond all earlier ends.
-    far = lambda i: F.array_max(F.concat(F.array(F.lit(0).cast("long")), F.transform(F.slice("spans", 1, i), lambda s: s["end"])))
-    df = scanned.withColumn("_n", F.size("spans"))
-    piece = lambda s, i: F.when(
-        s["start"] >= far(i), F.concat(F.substring(F.col(text_col), far(i) + 1, s["start"] - far(i)), F.lit(mark))
-    ).otherwise("")
-    rest = F.substring(F.col(text_col), far(F.col("_n")) + 1, F.length(text_col))
-    new = F.concat(F.array_join(F.transform("spans", piece), ""), rest)
-    return df.withColumn(text_col, F.when(F.col("_n") > 0, new).otherwise(F.col(text_col))).drop("_n")
+    """Rows of ``secret_scan`` with every stretch that spans cover, overlapping ones together, replaced by ``mark``.
+
+    Spans that touch are replaced one by one. Null and empty texts and rows without spans stay as they are; other columns stay.
+    """
+    # Spans are sorted by start: a new stretch begins where a start lies at or beyond the reach of the ones before.
+    spans = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
+    first = F.array().cast("array<struct<start:bigint,end:bigint>>")
+    last = lambda a: F.element_at(a, -1)
+
+    def merged(acc, s):
+        longer = F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(last(acc)["start"].alias("start"), F.greatest(last(acc)["end"], s["end"]).alias("end"))))
+        return F.when((F.size(acc) == 0) | (s["start"] >= F.coalesce(F.get(acc, F.size(acc) - 1)["end"], F.lit(0))), F.concat(acc, F.array(s))).otherwise(longer)
+
+    df = scanned.withColumn("_m", F.aggregate(spans, first, merged))
+    # What lies before each stretch and after the last one: from the end of the one before to its start.
+    starts = F.concat(F.array(F.lit(0).cast("long")), F.transform("_m", lambda s: s["end"]))
+    stops = F.concat(F.transform("_m", lambda s: s["start"]), F.array(F.length(text_col).cast("long")))
+    gaps = F.zip_with(starts, stops, lambda a, b: F.substring(F.col(text_col), (a + 1).cast("int"), (b - a).cast("int")))
+    return df.withColumn(text_col, F.when(F.size("_m") > 0, F.array_join(gaps, mark)).otherwise(F.col(text_col))).drop("_m")
