@@ -13,7 +13,7 @@ import hashlib
 import json
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strandlake.operators.scratch import ranked
@@ -526,33 +526,62 @@ def _rows_of(names: list[str]):
 # ---- what a scan leaves open
 
 
-def _cut(length: int):
-    """Task: the bytes of unsure suffixes, from (doc, text, places); the strings of hot ones by hash."""
+CUT = "key long, age int, doc long, pos long, left long, count long, bytes binary, h long"
+
+
+def _cut(length: int, room: int = 500_000):
+    """Task: the bytes of unsure suffixes, from (doc, text, places); of hot ones the strings by hash.
+
+    Of one string the task's earliest goes on (pos is its start). The task's later new ones are matches whatever other tasks have, and come out
+    without key and hash, from pos to count.
+    """
 
     def run(batches):
         import pyarrow as pa
 
-        names = ["key", "age", "doc", "pos", "left", "count", "bytes", "h"]
+        names = [f.split()[0] for f in CUT.split(", ")]
         kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
+        held, size = [], 0
+
+        def rows(**given):
+            n = len(given["doc"])
+            return pa.RecordBatch.from_arrays([pa.array(given[c], k) if c in given else pa.nulls(n, k) for c, k in zip(names, kinds)], names)
+
+        def flush():
+            h, age, doc, start = (np.concatenate(x) for x in zip(*held))
+            order = np.lexsort((start, doc, age, h))
+            first = np.r_[True, np.diff(h[order]) != 0]
+            lead, again = order[first], order[~first]
+            again = again[age[again] == 1]
+            if len(again):
+                d, a, b = np.frombuffer(intervals(doc[again], start[again], start[again] + length), np.int64).reshape(3, -1)
+                yield rows(doc=d, pos=a, count=b)
+            for i in range(0, len(lead), 20_000):
+                part = lead[i : i + 20_000]
+                yield rows(h=h[part], age=age[part].astype(np.int32), doc=doc[part], pos=start[part])
+
         for whole in batches:
             for batch in slices(whole, 200):
-                out = []
+                cold, hot = [], []
                 for doc, text, places in zip(*(batch.column(c).to_pylist() for c in ("doc", "text", "places"))):
                     raw = text.encode()
                     for x in places:
                         start = x["pos"] - x["left"]
-                        piece = raw[start : start + x["count"] + length - 1]
-                        if not x["hot"]:
-                            out.append((x["key"], x["age"], doc, x["pos"], x["left"], x["count"], piece, None))
-                            continue
-                        one = Entries(*(np.array([v]) for v in (doc, x["pos"], x["left"], x["count"], 0)), np.frombuffer(piece, np.uint8), length)
-                        _, back, h = strings(one, np.zeros(1, np.int64))
-                        out += [(x["key"], x["age"], doc, x["pos"] - b, None, None, None, v) for b, v in zip(back.tolist(), (h + np.uint64(x["key"] & (1 << 64) - 1)).view(np.int64).tolist())]
-                    if len(out) > 20_000:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
-                        out = []
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
+                        (hot if x["hot"] else cold).append((x["key"], x["age"], doc, x["pos"], x["left"], x["count"], raw[start : start + x["count"] + length - 1]))
+                for i in range(0, len(cold), 20_000):
+                    yield rows(**dict(zip(names, zip(*cold[i : i + 20_000]))))
+                if hot:
+                    key, age, doc, pos, left, count = (np.array(c, np.int64) for c in list(zip(*hot))[:6])
+                    long = count + (length - 1)
+                    one = Entries(doc, pos, left, count, np.cumsum(long) - long, np.frombuffer(b"".join(x[6] for x in hot), np.uint8), length)
+                    row, back, h = strings(one, np.zeros(len(one), np.int64))
+                    held.append(((h + key.view(np.uint64)[row]).view(np.int64), age[row], doc[row], pos[row] - back))
+                    size += len(row)
+                if size >= room:
+                    yield from flush()
+                    held, size = [], 0
+        if held:
+            yield from flush()
 
     return run
 
@@ -599,19 +628,20 @@ def extended(unsure: DataFrame, texts: DataFrame, length: int, hot_from: int) ->
     """(doc, start, stop) of the strings that new unsure suffixes (key, age, doc, pos, left, count) share with older ones.
 
     The suffixes' bytes come from the texts (doc, text) by a join. Those of a gram meet in one task, in suffix order; a
-    gram with a 16th of ``hot_from`` of them or more is split into its strings' hashes, of which an aggregate finds the oldest.
+    gram with a 16th of ``hot_from`` of them or more is split into its strings' hashes, collapsed in each task before they are shuffled.
     """
     hot = unsure.groupBy("key").agg(F.count("*").alias("k")).where(F.col("k") >= max(2, hot_from // 16)).select(F.col("key").alias("hot_key"))
     marked = unsure.join(hot, F.col("key") == F.col("hot_key"), "left").withColumn("hot", F.col("hot_key").isNotNull())
     places = marked.groupBy("doc").agg(F.collect_list(F.struct("key", "age", "pos", "left", "count", "hot")).alias("places"))
     cut = texts.join(places.withColumnRenamed("doc", "d"), F.col("doc") == F.col("d")).select("doc", "text", "places")
-    cut = cut.mapInArrow(_cut(length), "key long, age int, doc long, pos long, left long, count long, bytes binary, h long")
-    cut = materialise(cut, "suffix-unsure")
-    cold = cut.where("h is null").drop("h").repartition("key").sortWithinPartitions("key")
+    cut = materialise(cut.mapInArrow(_cut(length), CUT), "suffix-unsure")
+    cold = cut.where("key is not null").drop("h").repartition("key").sortWithinPartitions("key")
     found = cold.mapInArrow(_compare(length), SPANS)
+    found = found.unionByName(cut.where("key is null and h is null").select("doc", F.col("pos").alias("start"), F.col("count").alias("stop")))
     single = cut.where("h is not null").select("h", "age", "doc", F.col("pos").alias("start"))
-    first = single.groupBy("h").agg(F.min(F.struct("age", "doc", "start")).alias("o")).select(F.col("h").alias("k"), "o")
-    again = single.where("age = 1").join(first, F.col("h") == F.col("k")).where(F.struct("age", "doc", "start") != F.col("o"))
+    # A string comes once from each task, however many suffixes have it.
+    rank = F.row_number().over(Window.partitionBy("h").orderBy("age", "doc", "start"))
+    again = single.withColumn("rank", rank).where("rank > 1 and age = 1")
     out = materialise(found.unionByName(again.select("doc", "start", (F.col("start") + length).alias("stop"))), "suffix-shared")
     discard(cut)
     return out
