@@ -52,7 +52,7 @@ def schedule(targets: DataFrame, slots: int) -> DataFrame:
     """(slot, source, turn): slot j goes to the source whose stretch of the cumulated targets holds its point.
 
     The points are multiples of the golden ratio modulo 1 in 32-bit integers, so every run of slots is near the
-    weights. ``turn`` ranks a source's slots; it is found from counts of chunks of slots and ranks inside a chunk.
+    weights. ``turn`` ranks a source's slots.
     """
     spark = targets.sparkSession
     order = Window.orderBy(F.col("source").asc_nulls_last())
@@ -80,18 +80,31 @@ def schedule(targets: DataFrame, slots: int) -> DataFrame:
         .withColumn("cell", F.shiftright("u", shift))
     )
     # The cells are 4,096 plus one for each source; whether to broadcast them is left to their measured size.
-    drawn = points.join(cells, "cell").where("u >= lo and u < hi").select(
-        "slot", "source", F.floor(F.col("slot") / SLOT_CHUNK).alias("chunk")
-    )
-    counts = drawn.groupBy("source", "chunk").agg(F.count("*").alias("n"))
-    by_chunk = Window.partitionBy("source").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select(
-        F.col("source").alias("s"), F.col("chunk").alias("c"), F.coalesce(F.sum("n").over(by_chunk), F.lit(0)).alias("base")
-    )
-    ranked = drawn.withColumn("r", F.row_number().over(Window.partitionBy("source", "chunk").orderBy("slot")) - 1)
-    return ranked.join(counts, ranked.source.eqNullSafe(counts.s) & (ranked.chunk == counts.c)).select(
-        "slot", "source", (F.col("base") + F.col("r")).alias("turn")
-    )
+    drawn = points.join(cells, "cell").where("u >= lo and u < hi").select("slot", "source")
+    ranked = with_sums_before(drawn.withColumn("one", F.lit(1)), "one", "slot", SLOT_CHUNK)
+    return ranked.select("slot", "source", F.col("before").alias("turn"))
+
+
+def with_sums_before(df: DataFrame, value: str, order: str, chunk: int) -> DataFrame:
+    """Adds ``before``: the sum of ``value`` over the rows of the same source with a smaller ``order`` (unique in the source).
+
+    Rows are summed by stretches of ``chunk``, and these by stretches of stretches until few are left, so that no source's rows, however
+    many, go through one task: each window sees one stretch.
+    """
+    rows = df.withColumn("_c", F.floor(F.col(order) / chunk))
+    per = rows.groupBy("source", "_c").agg(F.sum(value).alias("_n"))
+    above = F.floor(F.col("_c") / chunk)
+    tops = per.groupBy("source", above.alias("_t")).agg(F.sum("_n").alias("_n"))
+    over = Window.partitionBy("source").orderBy("_t").rowsBetween(Window.unboundedPreceding, -1)
+    tops = tops.select(F.col("source").alias("_s"), F.col("_t").alias("_u"), F.coalesce(F.sum("_n").over(over), F.lit(0)).alias("_top"))
+    inside = Window.partitionBy("source", "_t").orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.withColumn("_t", above).withColumn("_b", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+    per = per.join(tops, per.source.eqNullSafe(tops._s) & (per._t == tops._u))
+    per = per.select(F.col("source").alias("_s"), F.col("_c").alias("_d"), (F.col("_b") + F.col("_top")).alias("_base"))
+    near = Window.partitionBy("source", "_c").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("_in", F.coalesce(F.sum(value).over(near), F.lit(0)))
+    out = rows.join(per, rows.source.eqNullSafe(per._s) & (rows._c == per._d))
+    return out.select(*df.columns, (F.col("_base") + F.col("_in")).alias("before"))
 
 
 def mix_sources(
@@ -131,23 +144,26 @@ def mix_sources(
     # Buckets are stretches of the hash, so the order by bucket and hash is the order by hash.
     mixed = mixed.withColumn("b", F.shiftright(F.conv(F.substr("h", F.lit(1), F.lit(7)), 16, 10).cast("long") * buckets, 28))
     sums = mixed.groupBy("source", "b").agg(F.sum("size").alias("n"))
-    upto = Window.partitionBy("source").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select(
-        F.col("source").alias("s"), F.col("b").alias("sb"), F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("base")
-    )
+    sums = with_sums_before(sums, "n", "b", SLOT_CHUNK).select(F.col("source").alias("s"), F.col("b").alias("sb"), F.col("before").alias("base"))
     inside = Window.partitionBy("source", "b").orderBy("h", "text_hash", "doc_key").rowsBetween(Window.unboundedPreceding, -1)
     placed = mixed.withColumn("offset", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     placed = placed.join(sums, placed.source.eqNullSafe(sums.s) & (placed.b == sums.sb)).select(
         "doc_key", "doc_id", "source", "size", (F.col("base") + F.col("offset")).alias("at")
     )
-    per = targets.select(F.col("source").alias("s"), "source_size")
+    plan = materialise(schedule(targets, slots), "mix-plan")
+    per = plan.groupBy("source").agg(F.count("*").alias("turns")).withColumnRenamed("source", "p")
+    per = targets.join(per, targets.source.eqNullSafe(per.p)).select(F.col("source").alias("s"), "source_size", "turns")
+    # Laps and blocks that no slot asks for are never made.
+    wanted = F.least(F.lit(cap), F.ceil(F.col("turns") * block / F.col("source_size")).cast("int"))
     spans = (
         placed.join(per, placed.source.eqNullSafe(per.s))
-        .withColumn("lap", F.explode(F.sequence(F.lit(0), F.lit(cap - 1))))
+        .withColumn("lap", F.explode(F.sequence(F.lit(0), wanted - 1)))
         .withColumn("start", F.col("lap") * F.col("source_size") + F.col("at"))
         .withColumn("stop", F.col("start") + F.col("size"))
+        .where(F.floor(F.col("start") / block) < F.col("turns"))
         .withColumn(
-            "turn", F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.col("stop") - 1) / block)))
+            "turn",
+            F.explode(F.sequence(F.floor(F.col("start") / block), F.least(F.floor((F.col("stop") - 1) / block), F.col("turns") - 1))),
         )
         # A block that runs beyond the last lap would repeat a document once too often.
         .where((F.col("turn") + 1) * block <= F.col("source_size") * cap)
@@ -156,7 +172,6 @@ def mix_sources(
             (F.least("stop", (F.col("turn") + 1) * block) - F.greatest("start", F.col("turn") * block)).alias("words"),
         )
     )
-    plan = schedule(targets, slots)
     pieces = plan.join(spans, plan.source.eqNullSafe(spans["from"]) & (plan.turn == spans.turn)).select(
         "slot", "doc_key", "doc_id", "words"
     )
