@@ -8,7 +8,7 @@ import xxhash
 from strandlake.operators.graph import connected_components
 from strandlake.operators.scratch import discard, materialise, release, scratch_path, shared_dir
 
-__all__ = ["connected_components", "discard", "materialise", "release", "scratch_path", "shared_dir"]
+__all__ = ["bitmap", "connected_components", "discard", "materialise", "release", "scratch_path", "shared_dir"]
 
 #: Java/RE2 pattern of a run of non-space characters; the same bytes that ``bytes.split()`` splits on.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -58,3 +58,47 @@ def slices(batch, rows: int):
     """Pieces of an Arrow batch of at most ``rows`` rows."""
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)
+
+
+PIECES = 64
+
+
+def in_bitmap(packed: np.ndarray, cells: np.ndarray) -> np.ndarray:
+    """Which cells are set in a bitmap of one bit a cell."""
+    return (packed[cells >> 3] >> (cells & 7).astype(np.uint8)) & np.uint8(1) != 0
+
+
+def bitmap(rows, bits: int, cells) -> bytes:
+    """A bitmap of 2**bits cells with those of ``cells(batch)`` set, over all Arrow batches of ``rows``.
+
+    The tasks' bitmaps are joined piece by piece in as many tasks, so that none sees all of all tasks.
+    """
+    size = (1 << bits) // 8 // PIECES
+
+    def mark(batches):
+        import pyarrow as pa
+
+        seen = np.zeros((1 << bits) // 8, np.uint8)
+        for batch in batches:
+            at = np.unique(cells(batch))
+            np.bitwise_or.at(seen, at >> 3, np.left_shift(np.uint8(1), (at & 7).astype(np.uint8)))
+        for i, piece in enumerate(np.split(seen, PIECES)):
+            if piece.any():
+                raw = pa.compress(piece.tobytes(), "zstd", asbytes=True)
+                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([raw], pa.binary())], ["piece", "bits"])
+
+    def join(batches):
+        import pyarrow as pa
+
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for piece, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                one = np.frombuffer(pa.decompress(raw, size, "zstd", asbytes=True), np.uint8)
+                total[piece] = total[piece] | one if piece in total else one
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], ["piece", "bits"])
+
+    pieces = rows.coalesce(256).mapInArrow(mark, "piece int, bits binary").repartition("piece")
+    out = np.zeros((1 << bits) // 8, np.uint8)
+    for piece, raw in pieces.mapInArrow(join, "piece int, bits binary").collect():  # a bitmap of fixed size
+        out[piece * size : (piece + 1) * size] = np.frombuffer(raw, np.uint8)
+    return out.tobytes()

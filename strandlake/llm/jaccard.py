@@ -7,10 +7,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, binary_column, connected_components, discard, materialise, shingle_hashes, slices, words_of
+from .common import WORD, binary_column, bitmap, connected_components, discard, materialise, shingle_hashes, slices, words_of
 
 CELLS = 1 << 20
 PIECES = 16
+#: Bytes of the sets that a task takes of a block, about.
+BLOCK_BYTES = 64_000_000
 #: Bits of the bitmap that tells which texts are candidates at all; a full one only costs time.
 SEEN_BITS = 23
 
@@ -140,57 +142,56 @@ def _pairs(num: int, den: int, window: int):
 
     A bucket of up to ``window`` classes gives its pairs that pass the length and positional filters. A larger one
     gives a chain along its sizes, broken where the length filter parts it, so that its members meet as one
-    cluster; the rows stay proportional to the bucket.
+    cluster; the rows stay proportional to the bucket. Of a bucket that goes on in the next batch at most ``window`` rows are
+    held, or its last one where it is a chain by then.
     """
 
+    def near(sig, n):
+        ok = n[:-1] * den >= n[1:] * num
+        return sig[:-1][ok], sig[1:][ok], np.ones(int(ok.sum()), bool)
+
     def of_bucket(sig, n, pos):
-        m = len(sig)
-        if m > window:
-            ok = n[:-1] * den >= n[1:] * num
-            return sig[:-1][ok], sig[1:][ok], np.ones(int(ok.sum()), bool)
-        i, j = np.triu_indices(m, 1)
+        i, j = np.triu_indices(len(sig), 1)
         need = -(-num * (n[i] + n[j]) // (num + den))
         most = 1 + np.minimum(n[i] - pos[i], n[j] - pos[j]) - 1 + np.minimum(pos[i], pos[j])
         ok = (n[i] * den >= n[j] * num) & (most >= need)
         return sig[i][ok], sig[j][ok], np.zeros(int(ok.sum()), bool)
 
     def run(batches):
-        import pyarrow as pa
-
-        def flush(parts):
-            gram, sig, n, pos = (np.concatenate(x) for x in zip(*parts))
-            fresh = np.r_[True, (gram[1:] != gram[:-1]) | (sig[1:] != sig[:-1])]
-            gram, sig, n, pos = gram[fresh], sig[fresh], n[fresh].astype(np.int64), pos[fresh].astype(np.int64)
-            edge = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1], True])
-            many = np.flatnonzero(np.diff(edge) > 1)
-            out = [of_bucket(sig[edge[b] : edge[b + 1]], n[edge[b] : edge[b + 1]], pos[edge[b] : edge[b + 1]]) for b in many]
-            if not out:
-                return None
-            a, b, chain = (np.concatenate(x) for x in zip(*out))
-            both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b), chain.astype(np.int64)]), axis=1)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(both[0]), pa.array(both[1]), pa.array(both[2].astype(bool))], ["a", "b", "chain"]
-            )
-
-        held = []
+        held, chained = None, False  # the last bucket so far, and whether its rows before the held one are chained already
         for batch in batches:
             if not batch.num_rows:
                 continue
             cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            last = cols[0] == cols[0][-1]
-            cut = int(np.argmax(last))  # the last bucket may go on in the next batch
-            if cut:
-                held.append([c[:cut] for c in cols])
-                if (got := flush(held)) is not None:
-                    yield got
-                held = []
-            elif held and held[-1][0][-1] != cols[0][0]:
-                if (got := flush(held)) is not None:
-                    yield got
-                held = []
-            held.append([c[cut:] for c in cols])
-        if held and (got := flush(held)) is not None:
-            yield got
+            if held is not None:
+                cols = [np.concatenate(x) for x in zip(held, cols)]
+            gram, sig, n, pos = cols
+            fresh = np.r_[True, (gram[1:] != gram[:-1]) | (sig[1:] != sig[:-1])]
+            gram, sig, n, pos = gram[fresh], sig[fresh], n[fresh].astype(np.int64), pos[fresh].astype(np.int64)
+            edge = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1], True])
+            out = []
+            for k in range(len(edge) - 2):
+                a, b = edge[k], edge[k + 1]
+                if b - a > 1:
+                    long = b - a > window or chained and k == 0
+                    out.append(near(sig[a:b], n[a:b]) if long else of_bucket(sig[a:b], n[a:b], pos[a:b]))
+            a = edge[-2]
+            chained = chained and len(edge) == 2
+            if len(gram) - a > window or chained:
+                out.append(near(sig[a:], n[a:]))
+                a, chained = len(gram) - 1, True
+            held = [x[a:] for x in (gram, sig, n, pos)]
+            if out:
+                yield emit(out)
+        if held is not None and len(held[0]) > 1 and not chained:
+            yield emit([of_bucket(*held[1:])])
+
+    def emit(out):
+        import pyarrow as pa
+
+        a, b, chain = (np.concatenate(x) for x in zip(*out))
+        both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b), chain.astype(np.int64)]), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1]), pa.array(both[2].astype(bool))], ["a", "b", "chain"])
 
     return run
 
@@ -207,25 +208,9 @@ def _suffix(num: int, den: int):
     return run
 
 
-def _bitmap(batches):
-    """Task: a bitmap of the cells of the signatures it reads."""
-    import pyarrow as pa
-
-    bits = np.zeros(1 << SEEN_BITS, bool)
-    for batch in batches:
-        sig = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-        bits[(sig >> np.uint64(64 - SEEN_BITS)).astype(np.int64)] = True
-    yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], ["bits"])
-
-
-def _or_bitmaps(batches):
-    import pyarrow as pa
-
-    total = np.zeros((1 << SEEN_BITS) // 8, np.uint8)
-    for batch in batches:
-        for raw in batch.column(0).to_pylist():
-            total |= np.frombuffer(raw, np.uint8)
-    yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["bits"])
+def _cells_of_classes(batch) -> np.ndarray:
+    sig = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+    return (sig >> np.uint64(64 - SEEN_BITS)).astype(np.int64)
 
 
 def _sets(width: int, seen):
@@ -234,7 +219,7 @@ def _sets(width: int, seen):
     def run(batches):
         import pyarrow as pa
 
-        bits, done = np.unpackbits(np.frombuffer(seen.value, np.uint8)), set()
+        bits, done = np.unpackbits(np.frombuffer(seen.value, np.uint8), bitorder="little"), set()
         for whole in batches:
             for batch in slices(whole, 300):
                 sigs, sets = [], []
@@ -337,10 +322,10 @@ def _cluster_parts(sets: DataFrame, clusters: DataFrame, num: int, den: int, blo
     still outside a cluster's largest part is then held, block by block, against the whole cluster, so that no link
     between parts is missed.
     """
-    sizes = clusters.groupBy("component").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    members = sets.join(clusters.join(sizes, "component").withColumnRenamed("node", "sig"), "sig")
-    members = materialise(members.select("component", "blocks", "sig", "grams"), "jaccard-members")
-
+    members = materialise(sets.join(clusters.withColumnRenamed("node", "sig"), "sig").select("component", "sig", "grams"), "jaccard-members")
+    most = F.greatest(F.count("*") / block, F.sum(F.octet_length("grams")) / BLOCK_BYTES)
+    sizes = members.groupBy("component").agg(F.ceil(most).cast("int").alias("blocks"))
+    members = members.join(sizes, "component")
     def settle(rows: DataFrame) -> DataFrame:
         return rows.groupBy("component", "i", "j").applyInArrow(_resolve(num, den), "a long, b long")
 
@@ -351,7 +336,6 @@ def _cluster_parts(sets: DataFrame, clusters: DataFrame, num: int, den: int, blo
     links = materialise(settle(members.select("component", drawn(0).alias("i"), zero.alias("j"), "sig", F.col("sig").alias("label"), "grams")), "jaccard-links")
     large = members.where("blocks > 1")
     if not large.limit(1).count():
-        discard(members)
         return links.select(F.col("b").alias("node"), F.col("a").alias("component"))
 
     def labelled(links: DataFrame) -> DataFrame:
@@ -366,7 +350,9 @@ def _cluster_parts(sets: DataFrame, clusters: DataFrame, num: int, den: int, blo
     labels = labelled(links)
     per_label = labels.groupBy("component", "label").agg(F.count("*").alias("k"))
     main = per_label.groupBy("component").agg(F.max_by("label", F.struct("k", "label")).alias("main"), F.sum("k").alias("all_k"), F.max("k").alias("most"))
-    main = main.withColumn("outer_blocks", F.ceil((F.col("all_k") - F.col("most")) / block).cast("int")).where("outer_blocks > 0")
+    share = (F.col("all_k") - F.col("most")) / F.col("all_k")  # of the cluster's blocks, which are bounded in classes and bytes
+    main = main.join(large.select("component", "blocks").distinct(), "component")
+    main = main.withColumn("outer_blocks", F.ceil(share * F.col("blocks")).cast("int")).where("outer_blocks > 0")
     main = materialise(main.select("component", "main", "outer_blocks"), "jaccard-main")
     rows = labels.join(main, "component").withColumn("own", drawn(2)).withColumn("outer", F.col("label") != F.col("main"))
     rows = rows.withColumn("r", F.pmod(F.xxhash64(F.lit(3), "sig"), F.col("outer_blocks")).cast("int"))
@@ -374,7 +360,6 @@ def _cluster_parts(sets: DataFrame, clusters: DataFrame, num: int, den: int, blo
     outer = rows.where("outer").select("component", F.col("r").alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), "sig", "label")
     last = settle(every.unionByName(outer).distinct().join(grams, "sig"))
     links = links.unionByName(materialise(last, "jaccard-links"))
-    discard(members)
     return connected_components(links, "jaccard-components")
 
 
@@ -409,9 +394,7 @@ def _components(docs: DataFrame, id_col: str, text_col: str, width: int, share:
     edges = materialise(near.union(pairs.where("chain").select("a", "b")).distinct(), "jaccard-edges")
     clusters = materialise(connected_components(edges, "jaccard-clusters"), "jaccard-cluster")
 
-    seen = clusters.select("node").mapInArrow(_bitmap, "bits binary").repartition(1).mapInArrow(_or_bitmaps, "bits binary")
-    bits = seen.first()
-    bits = spark.sparkContext.broadcast(bits[0] if bits else bytes((1 << SEEN_BITS) // 8))
+    bits = spark.sparkContext.broadcast(bitmap(clusters.select("node"), SEEN_BITS, _cells_of_classes))
     sets = src.mapInArrow(_sets(width, bits), "sig long, grams binary").groupBy("sig").agg(F.first("grams").alias("grams"))
     parts = _cluster_parts(sets, clusters, num, den, block)
     classes = rows.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("least"))

@@ -18,10 +18,9 @@ from pyspark.sql import functions as F
 
 from strandlake.operators.scratch import ranked
 
-from .common import discard, materialise, release, scratch_path, slices
+from .common import bitmap, discard, in_bitmap, materialise, release, scratch_path, slices
 
 K = 24
-PIECES = 64
 #: How tables of blobs are written: a page ends after one that fills it, not after a hundred.
 BLOBS = {"parquet.page.size.row.check.min": "1"}
 CHUNK = 100_000  #: bytes handled at once: what fits a core's cache
@@ -762,58 +761,10 @@ class SuffixFamily:
 # ---- what loses bytes
 
 
-def in_bitmap(packed: np.ndarray, cells: np.ndarray) -> np.ndarray:
-    """Which cells are set in a bitmap of one bit a cell."""
-    return (packed[cells >> 3] >> (cells & 7).astype(np.uint8)) & np.uint8(1) != 0
-
-
 def _doc_cell(doc: np.ndarray, bits: int) -> np.ndarray:
     return ((doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _mark(bits: int):
-    """Task: the pieces of a bitmap that the documents it reads fall in."""
-
-    def run(batches):
-        import pyarrow as pa
-
-        seen = np.zeros((1 << bits) // 8, np.uint8)
-        for batch in batches:
-            cells = np.unique(_doc_cell(batch.column(0).to_numpy(zero_copy_only=False), bits))
-            np.bitwise_or.at(seen, cells >> 3, np.left_shift(np.uint8(1), (cells & 7).astype(np.uint8)))
-        for i, piece in enumerate(np.split(seen, PIECES)):
-            if piece.any():
-                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([pa.compress(piece.tobytes(), "zstd", asbytes=True)], pa.binary())], ["piece", "bits"])
-
-    return run
-
-
-def _join_pieces(size: int):
-    """Task: the union of all versions of each piece it is dealt."""
-
-    def run(batches):
-        import pyarrow as pa
-
-        total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for piece, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                one = np.frombuffer(pa.decompress(raw, size, "zstd", asbytes=True), np.uint8)
-                total[piece] = total[piece] | one if piece in total else one
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], ["piece", "bits"])
-
-    return run
-
-
-def document_bitmap(docs: DataFrame, bits: int) -> bytes:
-    """A bitmap of (doc): joined piece by piece over the tasks, so that none sees all of all tasks."""
-    size = (1 << bits) // 8 // PIECES
-    pieces = docs.coalesce(256).mapInArrow(_mark(bits), "piece int, bits binary").repartition("piece")
-    out = np.zeros((1 << bits) // 8, np.uint8)
-    for piece, raw in pieces.mapInArrow(_join_pieces(size), "piece int, bits binary").collect():  # a bitmap of fixed size
-        out[piece * size : (piece + 1) * size] = np.frombuffer(raw, np.uint8)
-    return out.tobytes()
-
-
 def _only(seen, bits: int):
     def run(batches):
         import pyarrow as pa
@@ -917,7 +868,7 @@ def remove_repeats(
     per = spans.groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     losers = spans.select("doc").distinct()
     bits = min(30, max(20, (8 * losers.count()).bit_length()))  # past 2**30 cells the bitmap fills, which only costs time
-    seen = spark.sparkContext.broadcast(document_bitmap(losers, bits))
+    seen = spark.sparkContext.broadcast(bitmap(losers, bits, lambda batch: _doc_cell(batch.column(0).to_numpy(zero_copy_only=False), bits)))
     hit = texts.mapInArrow(_only(seen, bits), "doc long, text string").join(per.withColumnRenamed("doc", "d"), F.col("doc") == F.col("d"))
     done = hit.select("doc", "text", "spans").mapInArrow(_apply, "doc long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     done = done.withColumnRenamed("doc", "d") if with_text else done.drop("kept").withColumnRenamed("doc", "d")

@@ -307,6 +307,27 @@ def test_keep_one(odd, none):
     assert sum(r.text == H.LINE for r in kept) == 1 and keep_one(none).count() == 0
 
 
+def test_large_buckets_stream():
+    """Wherever the sorted rows are cut, a bucket gives its pairs or, over the window, its chain."""
+    import pyarrow as pa
+
+    from strandlake.llm.jaccard import _pairs
+
+    rows = [(1, s, 10, 0) for s in range(3)] + [(2, s, 10, 1) for s in range(9)] + [(3, 7, 10, 0)] + [(4, s, 10, 0) for s in (1, 1, 8)]
+    table = pa.table({"gram": [r[0] for r in rows], "sig": [r[1] for r in rows], "n": pa.array([r[2] for r in rows], pa.int32()), "pos": pa.array([r[3] for r in rows], pa.int32())})
+    want = {(a, b, False) for a in range(3) for b in range(a + 1, 3)} | {(a, a + 1, True) for a in range(8)} | {(1, 8, False)}
+    for size in (1, 2, 3, 5, 100):
+        got = [tuple(r.values()) for b in _pairs(80, 100, 4)(table.to_batches(max_chunksize=size)) for r in pa.Table.from_batches([b]).to_pylist()]
+        assert set(got) == want
+
+
+def test_blocks_are_bounded_in_bytes(docs, monkeypatch):
+    from strandlake.llm import jaccard
+
+    monkeypatch.setattr(jaccard, "BLOCK_BYTES", 3_000)
+    assert {tuple(r) for r in jaccard.near_duplicates(docs, window=4).collect()} == set(H.components(pairs(docs), 5, 80, 100))
+
+
 def test_overlap_bound_never_too_small():
     from strandlake.llm.jaccard import histogram, overlap_bound
 
