@@ -10,20 +10,25 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _own_dir: list[str] = []
+_made: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share (``spark.checkpoint.dir``); a local one only where it is unset."""
+    """The folder all executors share (``spark.checkpoint.dir``). Where it is unset a local one serves a local master, and no other."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if found:
         return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not _own_dir:
         _own_dir.append("file://" + tempfile.mkdtemp(prefix="strandlake-"))
     return _own_dir[0]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/strandlake/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/strandlake/{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
 
 
 def materialise(df: DataFrame, label: str, **options: str) -> DataFrame:
@@ -35,13 +40,33 @@ def materialise(df: DataFrame, label: str, **options: str) -> DataFrame:
     return out
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    if path in _made:
+        _made.remove(path)
+
+
 def discard(df: DataFrame | None) -> None:
     """Delete a table that ``materialise`` wrote and no plan needs any more."""
     path = getattr(df, "_strandlake_path", None)
     if path:
-        jvm, jsc = df.sparkSession._jvm, df.sparkSession._jsc
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(jsc.hadoopConfiguration()).delete(where, True)
+        _delete(df.sparkSession, path)
+
+
+def mark() -> int:
+    """A point in time for ``sweep``."""
+    return len(_made)
+
+
+def sweep(spark: SparkSession, since: int, *keep: DataFrame) -> None:
+    """Delete what was written to the shared folder since a ``mark``, but for the tables in ``keep``.
+
+    For callers that have written the result they wanted: nothing may be read from the other tables any more.
+    """
+    kept = {getattr(df, "_strandlake_path", None) for df in keep}
+    for path in [p for p in _made[since:] if p not in kept]:
+        _delete(spark, path)
 
 
 def release(spark: SparkSession) -> None:

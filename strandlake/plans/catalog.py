@@ -170,9 +170,9 @@ def duplex_iupac(spark, sf_dir):
     return a.join(b, ["barcode", "mate"]).select("barcode", "mate", S.merge_bases("x", "y").alias("seq"))
 
 
-@_query(_PLAIN + """, q as (select *, n_A + n_C + n_G + n_T + n_N + n_gap t from m),
+@_query(_PLAIN + """, q as materialized (select *, cast(3 - mate as int) other, n_A + n_C + n_G + n_T + n_N + n_gap t from m),
 j as (select a.barcode, a.mate, a.pos, (a.n_A / a.t + b.n_A / b.t) / 2 fa, (a.n_C / a.t + b.n_C / b.t) / 2 fc, (a.n_G / a.t + b.n_G / b.t) / 2 fg, (a.n_T / a.t + b.n_T / b.t) / 2 ft,
-      (a.n_N / a.t + b.n_N / b.t) / 2 fn, (a.n_gap / a.t + b.n_gap / b.t) / 2 fx from q a join q b on a.barcode = b.barcode and a.pos = b.pos and a.ord = 'ab' and b.ord = 'ba' and b.mate = 3 - a.mate),
+      (a.n_N / a.t + b.n_N / b.t) / 2 fn, (a.n_gap / a.t + b.n_gap / b.t) / 2 fx from (select * from q where ord = 'ab') a join (select * from q where ord = 'ba') b on a.barcode = b.barcode and a.pos = b.pos and a.mate = b.other),
 k as (select *, greatest(fa, fc, fg, ft, fn, fx) top from j)
 select barcode, mate, pos, case when top <= 0.5 then 'N' when fa = top then 'A' when fc = top then 'C' when fg = top then 'G' when ft = top then 'T' when fn = top then 'N' else '-' end base from k""")
 def duplex_freq(spark, sf_dir):
@@ -273,7 +273,9 @@ def precheck_report(spark, sf_dir):
     return B.precheck_report(B.precheck(tags)).where("stat in ('pairs', 'barcodes', 'singletons', 'passed_sscs')")
 
 
-@_query()
+@_query(_QUAL + _CALL.replace("count(*) >= 3", "count(*) >= 1") + """ select msa.barcode, msa.ord, msa.mate, name, gapped consensus, array_to_string(list_transform(range(1, 33), lambda i:
+  case when substr(seq, i, 1) <> '-' and ascii(substr(qual, i, 1)) < 53 then ' ' when substr(seq, i, 1) = substr(gapped, i, 1) then '.' else substr(seq, i, 1) end), '') marked
+from msa join s on s.barcode = msa.barcode and s.ord = msa.ord and s.mate = msa.mate""")
 def marked_alignment(spark, sf_dir):
     return _ord(M.marked_alignment(D.msa(spark, sf_dir)))
 
@@ -410,6 +412,15 @@ def component_shapes(spark, sf_dir):
     return X.component_shapes(X.neighbours(D.noisy_families(spark, sf_dir))).withColumn("degrees", F.array_join(F.col("degrees").cast("array<string>"), ","))
 
 
+@_query(_EDGES + _PARTS + """, dd as (select src barcode, count(distinct dst) deg from y where src <> dst group by src),
+cc as (select component, count(*) size, string_agg(cast(deg as varchar), ',' order by deg desc) degrees, max(deg) = count(*) - 1 central from p join dd using (barcode) group by component)
+select size, degrees, count(*) n, count(*) filter (central) central from cc group by size, degrees""")
+def component_degrees(spark, sf_dir):
+    """Components by size and degrees, over all structures that have them."""
+    rows = X.component_shapes(X.neighbours(D.noisy_families(spark, sf_dir))).groupBy("size", F.array_join(F.col("degrees").cast("array<string>"), ",").alias("degrees"))
+    return rows.agg(F.sum("n").alias("n"), F.sum("central").alias("central"))
+
+
 @_query(_EDGES + """, n as (select barcode, count(*) filter (ord = 'ab') a, count(*) filter (ord = 'ba') b from bars group by barcode),
 z as (select src barcode, sum(n.a) xa, sum(n.b) xb from (select distinct src, dst from e) d join n on n.barcode = d.dst group by src),
 o as (select n.a, n.b, n.a + coalesce(xa, 0) aa, n.b + coalesce(xb, 0) bb from n left join z on z.barcode = n.barcode)
