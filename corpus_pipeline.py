@@ -9,12 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandlake.llm.common import materialise
+from strandlake.llm.common import discard, materialise, release
 from strandlake.llm.decontam import clean_documents
 from strandlake.llm.jaccard import keep_one
 from strandlake.llm.mixing import mix_sources
 from strandlake.llm.quality import quality_rules
 from strandlake.llm.secrets import redact, secret_scan
+from strandlake.operators.scratch import mark, sweep
 
 
 def _whole(docs: DataFrame, *columns: str) -> DataFrame:
@@ -33,24 +34,32 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no benchmark item to 0.8 of its five-word shingles."""
+    """Documents that contain no benchmark item to 0.8 of its five-word shingles. Null and empty texts and repeated rows stay."""
     return clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, secrets replaced by a mark; n_chars follows the text."""
+    """All documents, secrets replaced by a mark; n_chars, where there is such a column, follows the text.
+
+    Null and empty texts stay as they are, repeated rows are treated alike.
+    """
     clean = redact(secret_scan(_whole(docs, "doc_id", "text"), keep=("text", "row")))
-    changed = {"text": F.col("text"), "n_chars": F.when(F.size("spans") > 0, F.length("text")).otherwise(F.col("row")["n_chars"])}
+    changed = {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(F.size("spans") > 0, F.length("text")).otherwise(F.col("row")["n_chars"])
     return clean.select(*[(changed.get(c, F.col("row")[c])).alias(c) for c in docs.columns])
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the mix takes, with how many of their words it takes (repeats counted)."""
+    """Documents that the mix takes, with their columns and how many of their words it takes (repeats counted).
+
+    Documents without words are never taken; a column of the table that is called like one of the mix's keeps the name
+    with ``doc_`` before it.
+    """
     taken, _ = mix_sources(_whole(docs, "doc_id", "text", "source"), keep=("row",))
-    return taken.where("taken > 0").select(
-        "doc_id", F.col("row")["text"].alias("text"), F.col("row")["lang"].alias("lang"), "source",
-        F.col("row")["n_chars"].alias("n_chars"), "size", "source_size", "target", "taken",
-    )
+    own = ("size", "source_size", "target", "taken")
+    columns = [F.col("row")[c].alias(f"doc_{c}" if c in own else c) for c in docs.columns]
+    return taken.where("taken > 0").select(*columns, *own)
 
 
 STAGES = [
@@ -68,5 +77,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), "pipeline-" + name.split()[0])
+        before, start = docs, mark()
+        docs = materialise(stage(spark, before, sf_dir), "pipeline-" + name.split()[0])
+        # The stage is written: what it needed on the way, and what it read of the stage before, can go.
+        sweep(spark, start, docs)
+        discard(before)
+        release(spark)
     return docs
