@@ -389,7 +389,7 @@ def test_pseudo_likelihood(spark, docs, odd, monkeypatch, known):
         expected = {(d, *x) for (d, _), x in zip(rows, plain_scores(model, table, [t for _, t in rows]))}
         by_id = sorted(((r.doc_id is None, r.doc_id or 0, r.n_tokens, r.log_likelihood) for r in got))
         for a, b in zip(by_id, sorted((d is None, d or 0, n, x) for d, n, x in [(d, *x) for (d, _), x in zip(rows, plain_scores(model, table, [t for _, t in rows]))])):
-            assert a[:3] == b[:3] and abs(a[3] - b[3]) < 1e-5 * max(1, abs(b[3]))
+            assert a[:3] == b[:3] and abs(a[3] - b[3]) < 1e-5 * max(1, abs(b[3])) + 3e-7 * a[2]
         assert len(by_id) == len(rows) >= len(expected)
         for r in got:
             assert r.mean_log_likelihood == (r.log_likelihood / r.n_tokens if r.n_tokens else None)
@@ -466,9 +466,9 @@ def test_gradients_are_derivatives():
     g = net.gradients(context, target)
     for i in [*np.flatnonzero(g)[:: max(1, np.count_nonzero(g) // 12)]]:
         step = np.zeros_like(net.flat)
-        step[i] = 1e-2
+        step[i] = 3e-2
         loss = [-Network(net.flat + s * step, kind=np.float64).log_probabilities(context, target).mean() for s in (1, -1)]
-        assert abs((loss[0] - loss[1]) / 2e-2 - g[i]) < 1e-4
+        assert abs((loss[0] - loss[1]) / 6e-2 - g[i]) < 1e-4
 
 
 # ---- decontamination
