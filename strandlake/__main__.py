@@ -26,6 +26,29 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--pos", type=int, default=2)
     p.add_argument("--choose-by", choices=("count", "connect"), default="count")
     p.add_argument("--prepend", action="store_true")
+    p.add_argument("--limit", type=int, help="lines of the input to read")
+    p = command("shapes", "structures of the graph of similar barcodes", "families")
+    p.add_argument("--tsv", action="store_true")
+    p = command("kmers", "barcodes that share k-mers, aligned and held against their consensus", "families", "out")
+    p.add_argument("-w", "--win-len", type=int, default=8)
+    p.add_argument("-s", "--shift", type=int, default=0)
+    p.add_argument("-n", "--num-barcodes", type=int)
+    p = command("simulate", "read pairs of fragments of a FASTA reference: OUT_1, OUT_2, and what they come from", "fasta", "out")
+    p.add_argument("-n", "--n-frags", type=int, default=1000)
+    p.add_argument("-f", "--frag-len", type=int, default=400)
+    p.add_argument("-r", "--read-len", type=int, default=100)
+    p.add_argument("-s", "--seq-error", type=float, default=0.001)
+    p.add_argument("-p", "--pcr-error", type=float, default=0.001)
+    p.add_argument("-c", "--cycles", type=int, default=25)
+    p.add_argument("-i", "--indel-rate", type=float, default=0.15)
+    p.add_argument("-E", "--extension-rate", type=float, default=0.3)
+    p.add_argument("-B", "--bar-len", type=int, default=12)
+    p.add_argument("-I", "--invariant", default="TGACT")
+    p.add_argument("-Q", "--qual", default="I")
+    p.add_argument("-S", "--seed", type=int, default=1)
+    command("label", "consensus sequences with the fragments they come from", "consensus", "families", "out")
+    p = command("check", "labelled consensus sequences against their fragments", "labelled", "fragments", "out")
+    p.add_argument("-i", "--ignore-ambiguous", action="store_true")
     p = command("align", "aligned families", "families", "out")
     p.add_argument("--aligner", default="star")
     p = command("duplex", "consensus of aligned families, by mate: OUT_1, OUT_2 and, with --sscs, OUT_sscs", "msa", "out")
@@ -59,13 +82,13 @@ def main(argv: list[str] | None = None) -> None:
     from pyspark.sql import SparkSession
     from pyspark.sql import functions as F
 
-    from strandlake.operators import barcodes, consensus, correction, msa, qc
+    from strandlake.operators import barcodes, consensus, correction, msa, qc, scratch, simulate
     from strandlake.sources import readers, writers
 
     spark = SparkSession.builder.appName("strandlake").getOrCreate()
 
     def tsv(df, path):
-        columns = [F.array_join(F.col(c).cast("array<string>"), "\t") if kind.startswith("array") else F.col(c).cast("string") for c, kind in df.dtypes]
+        columns = [F.array_join(F.col(c).cast("array<string>"), "\t") if kind.startswith("array") else F.coalesce(F.col(c).cast("string"), F.lit("")) for c, kind in df.dtypes]
         writers.write_lines(df.select(F.concat_ws("\t", *columns).alias("value")), path)
 
     if a.command == "make-families":
@@ -76,8 +99,36 @@ def main(argv: list[str] | None = None) -> None:
         for r in barcodes.precheck_report(barcodes.precheck(tags, a.min_reads)).collect():
             print(r.stat, r.value, sep="\t")
     elif a.command == "correct":
-        fam = readers.read_families(spark, a.families)
+        fam = readers.read_families(spark, a.families, a.limit)
         tsv(correction.correct_families(fam, correction.neighbours(fam, dist=a.dist, pos=a.pos), choose_by=a.choose_by, prepend=a.prepend), a.out)
+    elif a.command == "shapes":
+        fam = readers.read_families(spark, a.families)
+        for r in correction.shape_lines(correction.component_shapes(correction.neighbours(fam)), not a.tsv).collect():
+            print(r.value)
+    elif a.command == "kmers":
+        fam = readers.read_families(spark, a.families)
+        fam = barcodes.first_barcodes(fam, a.num_barcodes) if a.num_barcodes else fam
+        tsv(qc.fuzzy_groups(qc.kmer_sets(fam, a.win_len, a.shift)), a.out)
+    elif a.command == "simulate":
+        reference = "".join(r.seq for r in readers.read_fasta(spark, a.fasta).orderBy("path", "rec").select("seq").collect())
+        options = {k: getattr(a, k) for k in ("n_frags", "frag_len", "read_len", "seq_error", "pcr_error", "cycles", "indel_rate", "extension_rate", "bar_len", "invariant", "qual", "seed")}
+        reads = scratch.materialise(simulate.simulate(spark, reference, **options), "simulated")
+        for k in (1, 2):
+            record = F.concat(F.lit("@"), f"name{k}", F.lit("\n"), f"seq{k}", F.lit("\n+\n"), f"qual{k}")
+            writers.write_lines(reads.orderBy("frag", "read").select(record.alias("value")), f"{a.out}_{k}")
+        tsv(simulate.mutation_log(reads), f"{a.out}_mutations")
+        tsv(simulate.barcode_log(reads), f"{a.out}_barcodes")
+        tsv(reads.select("chrom", "frag_id", "fragment").distinct(), f"{a.out}_fragments")
+    elif a.command == "label":
+        head = readers.parse_consensus_header("name")
+        called = readers.read_fasta(spark, a.consensus).select(head["barcode"].alias("barcode"), head["mate"].alias("mate"), head["n_reads"].alias("n_reads"), "seq")
+        rows = simulate.label_consensus(called, readers.read_families(spark, a.families))
+        tsv(rows.withColumn("n_reads", F.array_join(F.col("n_reads").cast("array<string>"), "-")), a.out)
+    elif a.command == "check":
+        columns = ("chrom", "frag_num", "frag_id", "barcode", "mate", "n_reads", "seq")
+        rows = readers.table(spark, a.labelled, columns).withColumn("mate", F.col("mate").try_cast("int")).withColumn("n_reads", F.split("n_reads", "-").cast("array<int>"))
+        found = simulate.check_consensus(rows, readers.table(spark, a.fragments, ("chrom", "frag_id", "fragment")), a.ignore_ambiguous)
+        tsv(found.withColumn("n_reads", F.array_join(F.col("n_reads").cast("array<string>"), "-")), a.out)
     elif a.command == "align":
         writers.write_lines(writers.msa_lines(msa.align_families(readers.read_families(spark, a.families), a.aligner)), a.out)
     elif a.command == "duplex":

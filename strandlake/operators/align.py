@@ -162,6 +162,15 @@ def differences(target: str, query: str, ignore_ambiguous: bool = False) -> list
     return [d for _, d in sorted(found, key=lambda f: f[0])]
 
 
+def alignment_lines(a: Alignment, width: int = 60) -> list[str]:
+    """An alignment in blocks of three lines: target, '|' where both agree, query."""
+    marks = "".join("|" if x == y else " " for x, y in zip(a.target, a.query))
+    out = []
+    for i in range(0, len(marks), width):
+        out += [a.target[i : i + width], marks[i : i + width].rstrip(), a.query[i : i + width]]
+    return out
+
+
 def global_alignment(a: str, b: str) -> tuple[str, str]:
     """Needleman-Wunsch with match 2, mismatch -2 and affine gaps (-6 for the first base, -2 for each further one).
 
@@ -253,6 +262,15 @@ def star_alignment(reads: list[str]) -> list[str]:
     return [rows[r] for r in reads]
 
 
+def insert_gaps(seq: str, gaps: list[tuple[int, int]]) -> str:
+    """``seq`` with gaps put in: each (place, length) before the base at that place, from 0, of the sequence without them."""
+    out, last = [], 0
+    for at, n in sorted(gaps):
+        out += [seq[last:at], "-" * n]
+        last = at
+    return "".join([*out, seq[last:]])
+
+
 def transfer_gaps(gapped: str, ungapped: str, new_gap: str = "-") -> str:
     """``ungapped`` with ``new_gap`` wherever ``gapped`` has a gap."""
     rest = iter(ungapped)

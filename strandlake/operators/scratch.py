@@ -75,8 +75,8 @@ def release(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
-def with_places(table: DataFrame) -> DataFrame:
-    """Adds ``file`` (rank of the file's path) and ``line`` (row in the file, from 0) to a table read from files.
+def with_places(table: DataFrame, with_path: bool = False) -> DataFrame:
+    """Adds ``file`` (rank of the file's path; ``path`` itself, too, if asked) and ``line`` (row in the file, from 0) to a table read from files.
 
     Each split of a file counts its rows, running sums over the splits give where it starts, and the place in the split
     comes from the row ids that Spark deals out in reading order. Only the counts, a row for each split, are sorted.
@@ -93,7 +93,8 @@ def with_places(table: DataFrame) -> DataFrame:
         (F.dense_rank().over(Window.orderBy("_path")) - 1).cast("long").alias("file"),
     )
     out = rows.join(splits, (F.col("_path") == F.col("_p")) & (F.col("_block") == F.col("_b")))
-    return out.select(*columns, "file", (F.col("_base") + F.col("_id") - F.col("_first")).alias("line"))
+    path = [F.col("_path").alias("path")] if with_path else []
+    return out.select(*columns, *path, "file", (F.col("_base") + F.col("_id") - F.col("_first")).alias("line"))
 
 
 def ranked(df: DataFrame, *order, label: str = "ranked") -> DataFrame:

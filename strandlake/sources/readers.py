@@ -1,13 +1,14 @@
 """Readers of sequencing files as DataFrames.
 
 Line formats are read with Spark's text source, so they split and push down like any table; record numbers come from
-the places of lines in their files. Formats whose records span any number of lines are parsed file by file in Arrow
-batches, one record at a time.
+the places of lines in their files. FASTA is read with records instead of lines as what the text source splits at, so it splits as
+well. FASTQ whose records span any number of lines has no such mark: files that turn out to have four lines a record are
+read by lines, others are parsed file by file in Arrow batches, up to 2 GB a file.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strandlake.operators.scratch import with_places
@@ -20,9 +21,10 @@ class FormatError(ValueError):
     """A file that breaks the rules of its format."""
 
 
-def _lines(spark: SparkSession, path) -> DataFrame:
-    """(file, line, value): the rank of the file's path, the line's place in it, and the line."""
-    return with_places(spark.read.text(path))
+def _lines(spark: SparkSession, path, limit: int | None = None) -> DataFrame:
+    """(file, line, value): the rank of the file's path, the line's place in it, and the line; of each file the first ``limit``."""
+    rows = with_places(spark.read.text(path))
+    return rows if limit is None else rows.where(F.col("line") < limit)
 
 
 def _bare(c: Column) -> Column:
@@ -56,15 +58,21 @@ def read_pairs(spark: SparkSession, path1, path2, check_names: bool = False) ->
     return out
 
 
-def _tsv(spark: SparkSession, path, columns) -> DataFrame:
+def _tsv(spark: SparkSession, path, columns, limit: int | None = None) -> DataFrame:
     parts = F.split(_bare(F.col("value")), "\t")
-    rows = spark.read.text(path).select(parts.alias("p")).where(F.size("p") == len(columns))
+    lines = spark.read.text(path) if limit is None else _lines(spark, path, limit)
+    rows = lines.select(parts.alias("p")).where(F.size("p") == len(columns))
     return rows.select(*[F.get("p", F.lit(i)).alias(c) for i, c in enumerate(columns)])
 
 
-def read_families(spark: SparkSession, path) -> DataFrame:
-    """Families: eight columns; other lines are left out."""
-    return _tsv(spark, path, FAMILY_COLUMNS)
+def table(spark: SparkSession, path, columns) -> DataFrame:
+    """Lines of as many tab-separated fields as there are ``columns``, under these names; other lines are left out."""
+    return _tsv(spark, path, columns)
+
+
+def read_families(spark: SparkSession, path, limit: int | None = None) -> DataFrame:
+    """Families: eight columns; other lines are left out. ``limit`` reads so many lines of each file."""
+    return _tsv(spark, path, FAMILY_COLUMNS, limit)
 
 
 def read_msa(spark: SparkSession, path) -> DataFrame:
@@ -84,20 +92,8 @@ def read_marked_msa(spark: SparkSession, path) -> DataFrame:
     return best.select(F.col("h.family").alias("family"), F.col("line").alias("row"), "barcode", "name", "seq", F.col("h.consensus").alias("consensus"))
 
 
-def _records(kind: str):
-    """Task: (path, rec, name, id, seq, qual) of whole files of ``kind``."""
-
-    def fasta(lines):
-        name, parts = None, []
-        for line in lines:
-            if line.startswith(">"):
-                if name is not None:
-                    yield name, "".join(parts), None
-                name, parts = line[1:], []
-            elif name is not None:
-                parts.append(line.strip())
-        if name is not None:
-            yield name, "".join(parts), None
+def _fastq_records():
+    """Task: (path, rec, name, id, seq, qual) of whole FASTQ files."""
 
     def fastq(lines):
         name, seq, qual, state = None, "", "", "head"
@@ -133,7 +129,7 @@ def _records(kind: str):
         for batch in batches:
             for path, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 text = gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else raw
-                rows = list((fastq if kind == "fastq" else fasta)(text.decode("latin-1").splitlines()))
+                rows = list(fastq(text.decode("latin-1").splitlines()))
                 for at in range(0, len(rows), 10_000):
                     part = rows[at : at + 10_000]
                     names = [r[0] for r in part]
@@ -146,19 +142,72 @@ def _records(kind: str):
     return run
 
 
-def _files(spark: SparkSession, path, kind: str) -> DataFrame:
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInArrow(_records(kind), "path string, rec long, name string, id string, seq string, qual string")
+def _plain(spark: SparkSession, path: str) -> bool:
+    """Whether the text source reads a path as it is: files compressed without saying so in their names aren't."""
+    jvm = spark._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.globStatus(where) or []:
+        for f in fs.listStatus(status.getPath()):
+            if f.isFile() and f.getLen() > 1 and not f.getPath().getName().endswith(".gz"):
+                stream = fs.open(f.getPath())
+                magic = (stream.read(), stream.read())
+                stream.close()
+                if magic == (0x1F, 0x8B):
+                    return False
+    return True
 
 
 def read_fasta(spark: SparkSession, path) -> DataFrame:
-    """(path, rec, name, id, seq) of FASTA files with sequences over any number of lines."""
-    return _files(spark, path, "fasta").drop("qual")
+    """(path, rec, name, id, seq) of FASTA files with sequences over any number of lines; files of any size split.
+
+    Files that are compressed under another name than .gz are unpacked whole, up to 2 GB each.
+    """
+    if _plain(spark, path):
+        parts = with_places(spark.read.option("lineSep", "\n>").text(path), with_path=True)
+    else:
+        parts = spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(_unpacked, "path string, line long, value string")
+    # The first record of a file has its mark; what comes before a file's first record is none.
+    first = F.regexp_replace(F.regexp_replace("value", r"^(?s:(?!>).*?\n)?>", ""), r"^\r?\n", "")
+    text = F.when(F.col("line") == 0, F.when(F.col("value").rlike(r"(^|\n)>"), first)).otherwise(F.col("value"))
+    rows = parts.withColumn("t", text).where("t is not null").withColumn("first", F.regexp_extract("t", r"^[^\n]*", 0))
+    name = F.regexp_replace("first", r"\r$", "")
+    lines = F.split(F.substr("t", F.length("first") + 1), "\n")
+    seq = F.array_join(F.transform(lines, lambda x: F.trim(F.regexp_replace(x, r"[\t\r]", " "))), "")
+    return rows.select("path", F.col("line").alias("rec"), name.alias("name"), F.coalesce(F.get(F.split(F.trim(name), r"\s+"), F.lit(0)), F.lit("")).alias("id"), seq.alias("seq"))
+
+
+def _unpacked(batches):
+    """Task: (path, line, value) of compressed files, a record a row as the text source gives them."""
+    import gzip
+
+    import pyarrow as pa
+
+    for batch in batches:
+        for path, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            text = (gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else raw).decode("latin-1")
+            rows = text.split("\n>")
+            yield pa.RecordBatch.from_arrays([pa.array([path] * len(rows)), pa.array(range(len(rows)), pa.int64()), pa.array(rows)], ["path", "line", "value"])
 
 
 def read_fastq(spark: SparkSession, path) -> DataFrame:
-    """(path, rec, name, id, seq, qual) of FASTQ files with records over any number of lines; raises FormatError."""
-    return _files(spark, path, "fastq")
+    """(path, rec, name, id, seq, qual) of FASTQ files with records over any number of lines; raises FormatError.
+
+    The lines are looked through first: where every record has four of them, they are what is read, and files of any size split.
+    """
+    if _plain(spark, path):
+        lines = with_places(spark.read.text(path), with_path=True).select("path", "file", "line", _bare(F.col("value")).alias("v"))
+        k = F.col("line") % 4
+        fits = F.when(k == 0, F.col("v").startswith("@")).when(k == 2, F.col("v").startswith("+")).otherwise(F.lit(True))
+        wide = lines.groupBy("path", F.shiftright("line", 2).alias("rec")).agg(
+            F.bool_and(fits).alias("fits"), F.count("*").alias("n"), F.max(F.when(k == 0, F.substr("v", F.lit(2)))).alias("name"),
+            F.max(F.when(k == 1, F.trim("v"))).alias("seq"), F.max(F.when(k == 3, F.col("v"))).alias("qual"), F.max(F.length(F.trim("v"))).alias("most"),
+        ).where("most > 0")
+        bad = ~F.col("fits") | (F.col("n") < 4) | (F.length("seq") != F.length("qual"))
+        if not wide.where(bad).limit(1).count():
+            return wide.select("path", "rec", "name", F.coalesce(F.get(F.split(F.trim("name"), r"\s+"), F.lit(0)), F.lit("")).alias("id"), "seq", "qual")
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    return files.mapInArrow(_fastq_records(), "path string, rec long, name string, id string, seq string, qual string")
 
 
 def fasta_bases(records: DataFrame) -> DataFrame:
@@ -167,10 +216,17 @@ def fasta_bases(records: DataFrame) -> DataFrame:
 
 
 def extract_region(records: DataFrame, start: int, end: int, chrom: str | None = None) -> DataFrame:
-    """(seq): bases ``start`` to ``end`` (from 1, inclusive) of one record, or of all joined in order."""
+    """(seq): bases ``start`` to ``end`` (from 1, inclusive) of one record, or of all joined in order.
+
+    Only the lengths of all records are put in order; each gives the piece of it that is in the region.
+    """
     rows = records.where(F.col("id") == chrom) if chrom else records
-    whole = rows.agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("path", "rec", "seq"))), lambda r: r["seq"]), "").alias("seq"))
-    return whole.select(F.substr("seq", F.lit(start), F.lit(max(0, end - start + 1))).alias("seq"))
+    at = Window.orderBy("path", "rec").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.select("path", "rec", F.length("seq").alias("n")).select("path", "rec", F.coalesce(F.sum("n").over(at), F.lit(0)).alias("before"))
+    placed = rows.join(sizes, ["path", "rec"]).withColumn("lo", F.greatest(F.lit(start) - F.col("before"), F.lit(1)))
+    placed = placed.withColumn("hi", F.least(F.lit(end) - F.col("before"), F.length("seq"))).where("lo <= hi")
+    pieces = placed.select("before", F.substr("seq", F.col("lo").cast("int"), (F.col("hi") - F.col("lo") + 1).cast("int")).alias("piece"))
+    return pieces.agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("before", "piece"))), lambda r: r["piece"]), "").alias("seq"))
 
 
 def read_tsv_reads(spark: SparkSession, path) -> DataFrame:
@@ -190,19 +246,24 @@ def read_sam_reads(spark: SparkSession, path) -> DataFrame:
     return _sam_fields(spark, path).select(F.get("p", F.lit(0)).alias("name"), F.get("p", F.lit(9)).alias("seq"), F.get("p", F.lit(10)).alias("qual"))
 
 
-def read_alignments(spark: SparkSession, path, *, pos: int = 2, mapq: int = 20, dist: int = 1) -> DataFrame:
+def read_alignments(
+    spark: SparkSession, path, *, pos: int = 2, mapq: int = 20, dist: int = 1, secondary: bool = False, limit: int | None = None
+) -> DataFrame:
     """(qname, rname, reversed, flag, pos, mapq, nm) of alignments that pass: mapped, near the start, sure and close.
 
     Lines whose numbers don't parse are left out; an alignment without an edit distance raises. ``reversed`` is a
-    reference name with the suffix :rev, which is taken off.
+    reference name with the suffix :rev, which is taken off. ``secondary`` keeps secondary alignments alone; ``limit`` reads so many
+    lines of each file.
     """
     p = F.col("p")
+    lines = spark.read.text(path) if limit is None else _lines(spark, path, limit)
     nm = F.regexp_extract(F.array_join(F.filter(F.slice(p, 12, 1000), lambda t: t.startswith("NM:i:")), " "), r"NM:i:(-?\d+)", 1)
-    rows = spark.read.text(path).select(F.split(_bare(F.col("value")), "\t").alias("p")).where((F.size("p") >= 11) & ~F.get(p, F.lit(0)).startswith("@"))
+    rows = lines.select(F.split(_bare(F.col("value")), "\t").alias("p")).where((F.size("p") >= 11) & ~F.get(p, F.lit(0)).startswith("@"))
     rows = rows.select(
         F.get(p, F.lit(0)).alias("qname"), F.get(p, F.lit(2)).alias("target"), F.get(p, F.lit(1)).try_cast("int").alias("flag"), F.get(p, F.lit(3)).try_cast("int").alias("pos"),
         F.get(p, F.lit(4)).try_cast("int").alias("mapq"), nm.alias("nm_text"),
     ).where("flag is not null and pos is not null and mapq is not null and target <> '*' and flag & 4 = 0")
+    rows = rows.where("flag & 256 <> 0") if secondary else rows
     rows = rows.where((F.abs(F.col("pos") - 1) <= pos) & (F.col("mapq") >= mapq))
     checked = F.when(F.col("nm_text") != "", F.col("nm_text").cast("int")).otherwise(F.raise_error(F.lit("no NM tag")).cast("int"))
     rows = rows.withColumn("nm", checked).where(F.col("nm") <= dist)
@@ -212,9 +273,10 @@ def read_alignments(spark: SparkSession, path, *, pos: int = 2, mapq: int = 20,
 def read_reads(spark: SparkSession, path, kind: str | None = None) -> DataFrame:
     """(name, seq, qual) of a file of fasta, fastq, sam or tsv reads; without ``kind`` the format is detected."""
     kind = kind or detect_format(spark, path)
-    if kind in ("fasta", "fastq"):
-        found = _files(spark, path, kind)
-        return found.select("name", "seq", "qual")
+    if kind == "fasta":
+        return read_fasta(spark, path).select("name", "seq", F.lit(None).cast("string").alias("qual"))
+    if kind == "fastq":
+        return read_fastq(spark, path).select("name", "seq", "qual")
     if kind == "sam":
         return read_sam_reads(spark, path)
     if kind == "tsv":
@@ -235,12 +297,12 @@ def detect_format(spark: SparkSession, path: str) -> str | None:
 
 
 def parse_consensus_header(name: Column | str) -> Column:
-    """struct(barcode, order, mate, n_reads) of 'barcode.mate n1-n2' or 'barcode.order.mate n'."""
+    """struct(barcode, order, mate, n_reads) of 'barcode.mate n1-n2', 'barcode.order.mate n', or 'barcode n1-n2' (no mate)."""
     c = F.col(name) if isinstance(name, str) else name
     parts = F.split(F.split(c, " ")[0], r"\.")
     return F.struct(
         parts[0].alias("barcode"), F.when(F.size(parts) == 3, F.get(parts, F.lit(1))).alias("order"),
-        F.element_at(parts, -1).cast("int").alias("mate"),
+        F.element_at(parts, -1).try_cast("int").alias("mate"),
         F.transform(F.split(F.element_at(F.split(c, " "), -1), "-"), lambda x: x.cast("int")).alias("n_reads"),
     )
 

@@ -131,6 +131,11 @@ def test_alignment_corner_cases(pair, aligned, score, matches, start, end):
     assert (got.target, got.query) == aligned and (got.score, got.matches, got.start_target, got.end_target) == (score, matches, start, end)
 
 
+def test_alignment_text_and_gaps():
+    assert A.alignment_lines(A.Alignment("ACG-T", "AC-GT", 0, 0, 0, 0, 3, 6.0), 3) == ["ACG", "||", "AC-", "-T", " |", "GT"]
+    assert A.insert_gaps("ACGT", [(4, 1), (0, 2), (2, 1)]) == "--AC-GT-" and A.insert_gaps("", []) == ""
+
+
 def test_best_strand():
     seq = "ACGGTTACAGGCATTA"
     assert A.align_best_strand([seq], [A.reverse_complement(seq)])[0].query == seq
@@ -239,6 +244,15 @@ def test_record_readers(spark, tmp_path):
     (tmp_path / "plain").write_text(">a\nAC\n>b\nGT\n")
     assert R.detect_format(spark, str(tmp_path / "plain")) == "fasta"
     (tmp_path / "none").write_text("hello\n")
+    (tmp_path / "odd.fa").write_text("; a remark\n\n>one x\r\nAC \r\n\r\nGT\r\n>\n>three\n")
+    odd = R.read_fasta(spark, str(tmp_path / "odd.fa"))
+    assert sorted((r.name, r.id, r.seq) for r in odd.collect()) == [("", "", ""), ("one x", "one", "ACGT"), ("three", "three", "")]
+    (tmp_path / "packed").write_bytes(gzip.compress(b">a b\nAC\nGT\n>c\nT\n"))
+    assert [(r.rec, r.name, r.id, r.seq) for r in R.read_fasta(spark, str(tmp_path / "packed")).orderBy("rec").collect()] == [(0, "a b", "a", "ACGT"), (1, "c", "c", "T")]
+    (tmp_path / "empty.fa").write_text("")
+    assert R.read_fasta(spark, str(tmp_path / "empty.fa")).count() == 0 and R.read_fastq(spark, str(tmp_path / "empty.fa")).count() == 0
+    (tmp_path / "four.fq").write_text("@x 1\nACGT\n+\nIII@\n@y\nA\n+y\n@\n\n")
+    assert [(r.rec, r.name, r.id, r.seq, r.qual) for r in R.read_fastq(spark, str(tmp_path / "four.fq")).orderBy("rec").collect()] == [(0, "x 1", "x", "ACGT", "III@"), (1, "y", "y", "A", "@")]
     assert R.detect_format(spark, str(tmp_path / "none")) is None
 
 
@@ -252,6 +266,7 @@ def test_alignment_file(spark, tmp_path):
     (tmp_path / "a.sam").write_text("\n".join(lines) + "\n")
     rows = R.read_alignments(spark, str(tmp_path / "a.sam"))
     assert sorted((r.qname, r.rname, r.reversed) for r in rows.collect()) == [("1", "1", False), ("1", "2", True), ("3", "2", False)]
+    assert R.read_alignments(spark, str(tmp_path / "a.sam"), secondary=True).count() == 2 and R.read_alignments(spark, str(tmp_path / "a.sam"), limit=3).count() == 2
     numbered = spark.createDataFrame([(1, "AA"), (2, "CC"), (3, "GG")], "num long, barcode string")
     assert {tuple(r) for r in X.alignment_edges(rows, numbered).collect()} == {("AA", "CC", True), ("GG", "CC", False)}
     assert R.read_sam_reads(spark, str(tmp_path / "a.sam")).count() == len(lines) - 2
@@ -380,6 +395,9 @@ def test_shapes(spark):
     edges = [("a", "b"), ("c", "d"), ("e", "f"), ("f", "g"), ("h", "i"), ("i", "j"), ("h", "j"), ("k", "l"), ("l", "m")]
     got = X.component_shapes(spark.createDataFrame([(*e, False) for e in edges], "src string, dst string, reversed boolean")).collect()
     assert {(r.size, r.ordinal, r.n, r.central, tuple(r.degrees)) for r in got} == {(2, "A", 2, 2, (1, 1)), (3, "A", 2, 2, (2, 1, 1)), (3, "B", 1, 1, (2, 2, 2))}
+    table = spark.createDataFrame([(3, "B", 1, 1, [2, 2, 2]), (2, "A", 12, 12, [1, 1]), (3, "A", 2, 2, [2, 1, 1])], "size long, ordinal string, n long, central long, degrees array<long>")
+    assert [r.value for r in X.shape_lines(table).collect()] == [" 2A:  12 12 1 1", " 3A:  2  2  2 1 1", " 3B:  1  1  2 2 2"]
+    assert [r.value for r in X.shape_lines(table, human=False).collect()] == ["2\tA\t12\t12\t1,1", "3\tA\t2\t2\t2,1,1", "3\tB\t1\t1\t2,2,2"]
     ring = [("a", "b"), ("b", "c"), ("c", "d"), ("d", "e"), ("e", "f"), ("f", "a")]
     two = [("a", "b"), ("b", "c"), ("c", "a"), ("d", "e"), ("e", "f"), ("f", "d"), ("a", "d")]
     mixed = [(y.upper(), x.upper()) for x, y in reversed(ring)]
@@ -569,6 +587,20 @@ def test_commands(spark, fastq, tmp_path, capsys):
     assert capsys.readouterr().out.strip() == "ACT"
     main(["precheck", *fastq, "-t", "8", "-m", "1"])
     assert "duplexes\t1.0" in capsys.readouterr().out
+    main(["correct", path("fam"), path("fixed-2"), "--limit", "1"])
+    main(["shapes", path("fam"), "--tsv"])
+    main(["kmers", path("fam"), path("kmers"), "-w", "4"])
+    assert spark.read.text(path("fixed-2")).count() <= 3 and spark.read.text(path("kmers")).count() > 0
+    (tmp_path / "ref.fa").write_text(">r\n" + "ACGGTTACAGGCATTAGACCATGA" * 20 + "\n")
+    main(["simulate", path("ref.fa"), path("sim"), "-n", "3", "-f", "60", "-r", "30", "-c", "6", "-s", "0", "-p", "0"])
+    main(["make-families", path("sim_1"), path("sim_2"), path("sim-fam"), "-t", "12", "-i", "5"])
+    main(["align", path("sim-fam"), path("sim-msa")])
+    main(["duplex", path("sim-msa"), path("sim-out"), "-r", "1", "--incl-sscs"])
+    main(["label", path("sim-out_1"), path("sim-fam"), path("labelled")])
+    main(["check", path("labelled"), path("sim_fragments"), path("checked")])
+    checked = [r.value.split("\t") for r in spark.read.text(path("checked")).collect()]
+    assert checked and all(r[5] == "0" for r in checked)
+    capsys.readouterr()
     main(["pcr", "-k", "5", "-n", "4"])
     assert len(capsys.readouterr().out.strip().split("\n")) == 2
 
