@@ -169,17 +169,20 @@ def minimum_covariance(fit: DataFrame, *, half: float, most_steps: int, toleranc
         open_ = est.where("not done")
         if step and not open_.limit(1).count():
             break
-        rows = _whiten(near.join(open_.drop("logdet", "done"), "grp")).select(*keys, grid_d2.alias("r"), *[f"x_{a}" for a in DIMS])
-        edge = rows.groupBy(*keys).agg(F.expr(f"percentile(r, {half})").alias("edge"))
-        new = _estimate(rows.join(edge, keys).where("r <= edge"), keys, consistent(half))
+        edge = _whiten(near.join(open_.drop("logdet", "done"), "grp")).withColumn("r", grid_d2).groupBy(*keys).agg(F.expr(f"percentile(r, {half})").alias("edge"))
+        # Estimates are tables by themselves, so that their size is known and rows meet them without a shuffle.
+        edge = materialise(open_.drop("logdet", "done").join(edge, keys), "quality-edge")
+        new = _estimate(_whiten(near.join(edge, "grp")).where(grid_d2 <= F.col("edge")), keys, consistent(half))
         last = open_.select(*keys, F.col("logdet").alias("last"))
         new = new.join(last, keys).withColumn("done", F.col("last") - F.col("logdet") < tolerance).drop("last")
         est, old = materialise(new.unionByName(est.where("done")), "quality-est"), est
         discard(old)
+        discard(edge)
     best = est.groupBy("grp").agg(F.min(F.struct(F.round("logdet", 6).alias("d"), "start")).alias("b")).select("grp", F.col("b.start").alias("start"))
-    core = _whiten(near.join(est.join(best, keys).drop("start", "logdet", "done"), "grp")).where(F.col("d2") <= chi2_quantile(0.975, d))
+    best = materialise(est.join(best, keys).drop("start", "logdet", "done"), "quality-best")
+    core = _whiten(near.join(best, "grp")).where(F.col("d2") <= chi2_quantile(0.975, d))
     out = materialise(_estimate(core, ["grp"], consistent(0.975)).join(scale.select("grp", *[f"v_{a}" for a in DIMS]), "grp"), "quality-final")
-    for table in (est, near, scale):
+    for table in (est, best, near, scale):
         discard(table)
     return out
 
@@ -222,13 +225,13 @@ def quality_rules(
     own = named.select(F.col("_lang").alias("l"), F.col("_source").alias("s"), "grp")
     # A row is judged in one group, but is part of the estimate of each level around it that judges any row.
     feeds = named.select(F.col("_lang").alias("l"), F.col("_source").alias("s"), F.explode("levels").alias("grp"))
-    feeds = feeds.join(named.select("grp").distinct(), "grp", "left_semi")
+    feeds = materialise(feeds.join(named.select("grp").distinct(), "grp", "left_semi"), "quality-feeds")
     fit = stats.where("not base_failed").join(
         feeds, stats._lang.eqNullSafe(feeds.l) & stats._source.eqNullSafe(feeds.s)
     ).select("grp", *[f"x_{a}" for a in DIMS])
     est = minimum_covariance(fit, half=half, most_steps=most_steps)
 
-    own = own.join(est, "grp", "left")
+    own = materialise(own.join(est, "grp", "left"), "quality-own")
     out = stats.join(own, stats._lang.eqNullSafe(own.l) & stats._source.eqNullSafe(own.s), "left")
     out = _whiten(out.withColumns({f"x_{a}": F.col(f"x_{a}") - F.col(f"v_{a}") for a in DIMS}))
     cutoff = chi2_quantile(1 - tail, len(DIMS))
