@@ -119,6 +119,17 @@ select w.doc_id, len(w) n_words, coalesce(n_base, 0) n_base, first_word, last_wo
 from w left join r on r.doc_id = w.doc_id"""
 
 
+FILL_IN_MIDDLE = """
+with h as (select doc_id, coalesce(text, '') t, sha256('1:' || coalesce(cast(doc_id as varchar), '')) h from documents),
+d as (select doc_id, t, length(t) n, cast('0x' || h[1:8] as bigint) h1, cast('0x' || h[9:16] as bigint) h2, cast('0x' || h[17:24] as bigint) h3, cast('0x' || h[25:32] as bigint) h4 from h),
+c as (select *, least(h1 % (n + 1), h2 % (n + 1)) a, greatest(h1 % (n + 1), h2 % (n + 1)) b,
+      case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90 then 'plain' when h4 % 100 < 20 then 'spm' else 'psm' end form from d),
+o as (select *, substr(t, 1, a) p, substr(t, a + 1, b - a) m, substr(t, b + 1) s from c)
+select doc_id, n, form, case when form <> 'plain' then a end prefix_chars, case when form <> 'plain' then b - a end middle_chars,
+       sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m else '<S>' || s || '<P>' || p || '<M>' || m end) output_sha256,
+       sha256(t) restored_sha256 from o"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_suffix_array_dedup": SUFFIX,
@@ -127,4 +138,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_secret_scan": _secrets(),
         "op8_mix_sources": _mixing(),
         "op9_license_scan": _licenses(),
+        "op12_fill_in_middle": FILL_IN_MIDDLE,
     }

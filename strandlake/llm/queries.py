@@ -72,6 +72,12 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .fim import fill_in_middle, fim_digest
+
+    return fim_digest(fill_in_middle(_table(spark, sf_dir, "documents")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -90,6 +96,7 @@ def queries() -> dict:
         "op9_license_scan": op9_license_scan,
         "op6_token_counts": op6_token_counts,
         "op8_mix_sources": op8_mix_sources,
+        "op12_fill_in_middle": op12_fill_in_middle,
         "pipeline": pipeline,
     }
 
