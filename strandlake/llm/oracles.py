@@ -130,6 +130,51 @@ select doc_id, n, form, case when form <> 'plain' then a end prefix_chars, case
        sha256(t) restored_sha256 from o"""
 
 
+def _repair() -> str:
+    """Least (cost, edits, text) behind each row and state, from the last row to the first; states: start, after s, after u, after a."""
+    table = []
+    for x in range(256):
+        for _ in range(8):
+            x = x >> 1 ^ (0xEDB88320 if x & 1 else 0)
+        table.append(x)
+    void, more = "fault in ('blank', 'duplicate')", "case when fault = 'truncated' then 5 else 0 end"
+    role = {2: "user", 3: "assistant"}
+
+    def put(letter: str, cost: str, line: str, to: str) -> str:
+        return f"{{'c': {to}.c + {cost}, 'a': '{letter}' || {to}.a, 't': {line} || {to}.t}}"
+
+    def row(state: int, keeps: dict[str, int], to: int) -> str:
+        kept = " ".join(f"when ini = '{i}' then {put('K', more, own, f'v{t}')}" for i, t in keeps.items())
+        turned = put("R", f"1 + {more}", f"'{role[to]}:' || text || chr(10)", f"v{to}")
+        return f"list_min(list_filter([{put('D', '2', no, f'v{state}')}, case when {void} then null {kept} end, case when not {void} then {turned} end], lambda x: x is not null)) w{state}"
+
+    own, no = "role || ':' || text || chr(10)", "''"
+    insert = lambda to, at: put("I", "5", f"'{role[to]}:' || chr(10)", at)
+    rows = ", ".join([row(0, {"s": 1, "u": 2}, 2), row(1, {"u": 2}, 2), row(2, {"a": 3}, 3), row(3, {"u": 2}, 2)])
+    two = f"list_min([w2, {insert(3, 'w3')}])"
+    done = "{'c': 0, 'a': '', 't': ''}"
+    start = f"{done} v0, {{'c': 10, 'a': 'II', 't': 'user:' || chr(10) || 'assistant:' || chr(10)}} v1, {{'c': 5, 'a': 'I', 't': 'assistant:' || chr(10)}} v2, {done} v3"
+    return f"""
+with recursive k as (select conv_id, turn, coalesce(role, ' ') role, coalesce(text, ' ') text,
+      xor(list_reduce([4294967295::bigint] || list_transform(string_split(key, ''), lambda x: ord(x)::bigint), lambda c, b: xor(c >> 8, list_extract({table}, (xor(c, b) & 255) + 1))), 4294967295) % 20 kind
+      from (select *, coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ') key from conversations)),
+d as (select conv_id, turn, case kind when 4 then 'user' else role end role, case kind when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end text,
+      unnest(case when kind = 3 then [0, 1] else [0] end) copy from k where kind <> 0),
+o as (select *, row_number() over (partition by conv_id order by turn nulls first, role, sha256(text), copy) i, row_number() over (partition by conv_id, role, text order by turn nulls first, copy) rep,
+      rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) r from d),
+f as (select conv_id, i, turn, role, text, left(role, 1) ini, case when r = '' then 'blank' when rep > 1 then 'duplicate' when right(r, 1) not in ('.', '!', '?') then 'truncated' else 'sound' end fault from o),
+p as (select *, ini || lead(ini) over (partition by conv_id order by i) pair from f),
+n as (select conv_id, count(*) n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) gaps, count(*) filter (fault = 'blank') blank, count(*) filter (fault = 'duplicate') duplicate,
+      count(*) filter (fault = 'truncated') truncated, count(*) filter (pair is not null and pair not in ('su', 'ua', 'au')) illegal from p group by conv_id),
+v as (select conv_id, n i, {start} from n
+      union all
+      select conv_id, i, list_min([w0, {insert(2, two)}]), list_min([w1, {insert(2, two)}]), {two}, list_min([w3, {insert(2, 'w2')}])
+      from (select v.conv_id, v.i - 1 i, {rows} from v join f on f.conv_id is not distinct from v.conv_id and f.i = v.i))
+select c.conv_id, coalesce(gaps, 0) gaps, coalesce(blank, 0) blank, coalesce(duplicate, 0) duplicate, coalesce(truncated, 0) truncated, coalesce(illegal, 0) illegal,
+       cast(coalesce(v0.c, 0) as bigint) as "cost", coalesce(v0.a, '') audit, sha256(case when coalesce(v0.t, '') = '' then '' else left(v0.t, length(v0.t) - 1) end) repaired_sha256
+from (select distinct conv_id from conversations) c left join n on n.conv_id is not distinct from c.conv_id left join v on v.conv_id is not distinct from c.conv_id and v.i = 0"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_suffix_array_dedup": SUFFIX,
@@ -138,5 +183,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_secret_scan": _secrets(),
         "op8_mix_sources": _mixing(),
         "op9_license_scan": _licenses(),
+        "op11_conversation_repair": _repair(),
         "op12_fill_in_middle": FILL_IN_MIDDLE,
     }

@@ -72,6 +72,13 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .repair import damaged, repair_conversations, repair_digest
+
+    conversations = _table(spark, sf_dir, "conversations")
+    return repair_digest(conversations, *repair_conversations(damaged(conversations)))
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .fim import fill_in_middle, fim_digest
 
@@ -96,6 +103,7 @@ def queries() -> dict:
         "op9_license_scan": op9_license_scan,
         "op6_token_counts": op6_token_counts,
         "op8_mix_sources": op8_mix_sources,
+        "op11_conversation_repair": op11_conversation_repair,
         "op12_fill_in_middle": op12_fill_in_middle,
         "pipeline": pipeline,
     }
