@@ -85,6 +85,12 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim_digest(fill_in_middle(_table(spark, sf_dir, "documents")))
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import toxicity_scores
+
+    return toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -105,6 +111,7 @@ def queries() -> dict:
         "op8_mix_sources": op8_mix_sources,
         "op11_conversation_repair": op11_conversation_repair,
         "op12_fill_in_middle": op12_fill_in_middle,
+        "op13_toxicity": op13_toxicity,
         "pipeline": pipeline,
     }
 
