@@ -72,8 +72,8 @@ def fit_linear(rows: list[np.ndarray], labels: np.ndarray, scale: np.ndarray, pe
     ``rows`` are each text's feature numbers. Limited-memory quasi-Newton steps with halving; the loss is convex.
     """
     size = np.fromiter(map(len, rows), np.int64, len(rows))
-    flat = np.concatenate(rows).astype(np.int64) if size.sum() else np.empty(0, np.int64)
-    owner, value = np.repeat(np.arange(len(rows)), size), scale[flat]
+    flat = np.concatenate(rows).astype(np.int32) if size.sum() else np.empty(0, np.int32)
+    owner, value = np.repeat(np.arange(len(rows), dtype=np.int32), size), scale[flat]
     sign, d = np.where(labels > 0, 1.0, -1.0), len(scale)
 
     def loss(w):
@@ -137,13 +137,13 @@ def held_out(id_col: str) -> Column:
 
 def train(
     docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", most: int = 30_000,
-    least: float = 6.63, penalty: float = 1.0,
+    least: float = 6.63, gain: float = 0.001, penalty: float = 1.0,
 ) -> Model:
     """Learn from labelled rows that aren't held out.
 
     At most ``most`` labelled ids are learned from, the first by a hash of the id: they are broadcast to find their texts, whose rows go to a
     scratch table. Tasks count in how many toxic and other texts each hashed n-gram is; n-grams whose likelihood-ratio statistic is
-    at least ``least`` (one in a hundred by chance) are features. Each has its log-count ratio as value where present, and a logistic
+    at least ``least`` (one in a hundred by chance), and tells ``gain`` nats a text or more, are features. Each has its log-count ratio as value where present, and a logistic
     regression on these values is fitted to the sample's feature lists. Reruns give the same model.
 
     An id with several labels is toxic if any says so; null ids and labels are left out, rows of one id all count.
@@ -172,7 +172,7 @@ def train(
     if not n_pos or not n_neg:
         return Model(none.astype(np.uint32), none, None if not n_neg and not n_pos else float(np.log((n_pos + 0.5) / (n_neg + 0.5))))
     counts = sample.mapInArrow(count, "bucket long, pos long, neg long").groupBy("bucket").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    chosen = counts.where(evidence(F.col("pos"), F.col("neg"), n_pos, n_neg) >= least).toPandas().sort_values("bucket")  # of 2^22 hashes at most
+    chosen = counts.where(evidence(F.col("pos"), F.col("neg"), n_pos, n_neg) >= max(least, gain * (n_pos + n_neg))).toPandas().sort_values("bucket")  # of 2^22 hashes at most
     buckets = chosen["bucket"].to_numpy(np.uint32)
     scale = log_ratios(chosen["pos"].to_numpy(float), chosen["neg"].to_numpy(float), n_pos, n_neg)
 
