@@ -1,9 +1,10 @@
 """Readers of sequencing files as DataFrames.
 
-Line formats are read with Spark's text source, so they split and push down like any table; record numbers come from
-the places of lines in their files. FASTA is read with records instead of lines as what the text source splits at, so it splits as
-well. FASTQ whose records span any number of lines has no such mark: files that turn out to have four lines a record are
-read by lines, others are parsed file by file in Arrow batches, up to 2 GB a file.
+Plain line formats are read with Spark's text source, so they split and push down like any table; record numbers come from
+the places of lines in their files. FASTA is read with records instead of lines as what the text source splits at. FASTQ whose records span any
+number of lines, and files that are compressed, whatever their names say, are read by byte ranges (``datasource``): FASTQ and
+block-compressed gzip of any size split. Stores that only Spark opens give whole files instead, up to 2 GB each, where a file is compressed
+or FASTQ has other than four lines a record.
 """
 
 from __future__ import annotations
@@ -13,17 +14,82 @@ from pyspark.sql import functions as F
 
 from strandlake.operators.scratch import with_places
 
+from . import datasource, ranges
+from .ranges import FormatError
+
+__all__ = ["FormatError"]
 FAMILY_COLUMNS = ("barcode", "order", "name1", "seq1", "qual1", "name2", "seq2", "qual2")
 MSA_COLUMNS = ("barcode", "order", "mate", "name", "seq", "qual")
 
 
-class FormatError(ValueError):
-    """A file that breaks the rules of its format."""
+def _kinds(path) -> set[str] | None:
+    """How the files of a path are packed (plain, gzip, bgzf); None where only Spark opens them."""
+    out = set()
+    try:
+        for name, size in ranges.files(path):
+            kind = ranges.Source(name).kind if size else "plain"
+            out.add("named" if kind == "gzip" and name.endswith(".gz") else kind)
+    except Exception as failed:  # a store that pyarrow doesn't know, or can't reach from here
+        if isinstance(failed, FileNotFoundError):
+            raise
+        return None
+    return out
+
+
+def _ranges(spark: SparkSession, kind: str, path: str, columns: str | None = None, **options) -> DataFrame:
+    """Records of a file, a folder or a pattern by byte ranges as large as Spark's own splits; ``columns`` (DDL) instead of all."""
+    datasource.register(spark)
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("bB")
+    units = {"k": 10, "m": 20, "g": 30}
+    size = int(split[:-1]) << units[split[-1].lower()] if split[-1:].lower() in units else int(split)
+    reader = spark.read.format(kind).options(split=size, **options)
+    return (reader.schema(columns) if columns else reader).load(path)
+
+
+def _numbered(records: DataFrame, parts: DataFrame, with_path: bool = False) -> DataFrame:
+    """Adds ``file`` (rank of the path) and ``line`` (place in the file) to records by byte ranges; ``parts`` are the same records' (path, part) alone."""
+    before = Window.partitionBy("path").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = parts.groupBy("path", "part").agg(F.count("*").alias("_n"))
+    counts = counts.select(
+        F.col("path").alias("_p"), F.col("part").alias("_b"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"),
+        (F.dense_rank().over(Window.orderBy("path")) - 1).cast("long").alias("file"),
+    )
+    # A row a byte range, like the list of partitions that the driver holds anyway: records meet it without a shuffle.
+    out = records.join(F.broadcast(counts), (F.col("path") == F.col("_p")) & (F.col("part") == F.col("_b")))
+    columns = [c for c in records.columns if c not in ("part", "place") and (with_path or c != "path")]
+    return out.select(*columns, "file", (F.col("_base") + F.col("place")).alias("line"))
+
+
+def _whole_files(spark: SparkSession, path, kind: str) -> DataFrame:
+    """Records as by ``_ranges`` of files that only Spark opens, each read whole."""
+    columns = datasource.COLUMNS[kind]
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(datasource.whole_files(kind), columns)
+
+
+def _by_places(spark: SparkSession, path) -> bool:
+    """Whether the text source would give something else than a path's lines, or couldn't split them."""
+    kinds = _kinds(path) if isinstance(path, str) else None
+    return bool(kinds and kinds & {"gzip", "bgzf"})
+
+
+def _text(spark: SparkSession, path) -> DataFrame:
+    """(value): the lines of plain or compressed files."""
+    if _by_places(spark, path):
+        return _ranges(spark, "seqlines", path, "value string")
+    if not isinstance(path, str) or _kinds(path) is not None or _plain(spark, path):
+        return spark.read.text(path)
+    return _whole_files(spark, path, "seqlines").select("value")
 
 
 def _lines(spark: SparkSession, path, limit: int | None = None) -> DataFrame:
     """(file, line, value): the rank of the file's path, the line's place in it, and the line; of each file the first ``limit``."""
-    rows = with_places(spark.read.text(path))
+    if _by_places(spark, path):
+        rows = _numbered(_ranges(spark, "seqlines", path), _ranges(spark, "seqlines", path, "path string, part long"))
+    elif not isinstance(path, str) or _kinds(path) is not None or _plain(spark, path):
+        rows = with_places(spark.read.text(path))
+    else:
+        whole = _whole_files(spark, path, "seqlines")
+        rows = _numbered(whole, whole)
     return rows if limit is None else rows.where(F.col("line") < limit)
 
 
@@ -44,13 +110,33 @@ def read_fastq_lines(spark: SparkSession, path) -> DataFrame:
     return rows.where("head like '@%' and qual is not null").select("rec", F.substr("head", F.lit(2)).alias("name"), "seq", "qual")
 
 
-def read_pairs(spark: SparkSession, path1, path2, check_names: bool = False) -> DataFrame:
-    """(rec, name1, seq1, qual1, name2, seq2, qual2): two FASTQ files joined by record; records of one alone are dropped."""
-    one, two = read_fastq_lines(spark, path1), read_fastq_lines(spark, path2)
-    for k, df in ((1, one), (2, two)):
-        renamed = df.select("rec", *[F.col(c).alias(f"{c}{k}") for c in ("name", "seq", "qual")])
-        one, two = (renamed, two) if k == 1 else (one, renamed)
-    out = one.join(two, "rec")
+def _pair_parts(spark: SparkSession, path) -> list[tuple[str, int, int]]:
+    """(path, range start, records) of the ranges of FASTQ files, in order: a row a range."""
+    parts = _ranges(spark, "fastq", path, "path string, part long").groupBy("path", "part").count()
+    return sorted((r["path"], r["part"], r["count"]) for r in parts.collect())
+
+
+def read_pairs(spark: SparkSession, path1, path2, check_names: bool = False, limit: int | None = None) -> DataFrame:
+    """(rec, name1, seq1, qual1, name2, seq2, qual2): two FASTQ files joined by record; records of one alone are dropped.
+
+    Records of both files are counted by byte range. A range of the first file and the place of the second where the same
+    records start are then read side by side by one task: no line is shuffled. Files may be compressed and have any number of lines a record;
+    of files in stores that only Spark opens records are joined by number. ``limit``: so many pairs of each pair of files.
+    """
+    import json
+
+    if _kinds(path1) is not None and _kinds(path2) is not None:
+        plan = datasource.pair_plan(_pair_parts(spark, path1), _pair_parts(spark, path2))
+        if limit is not None:
+            least = lambda p: p[6] & (1 << 40) - 1
+            plan = [(*p[:5], min(p[5], limit - least(p)), p[6]) for p in plan if least(p) < limit]
+        out = spark.read.format("fastqpairs").option("plan", json.dumps(plan)).load()
+    else:
+        one, two = (
+            read_fastq_lines(spark, p).select("rec", *[F.col(c).alias(f"{c}{k}") for c in ("name", "seq", "qual")]) for k, p in ((1, path1), (2, path2))
+        )
+        out = one.join(two, "rec")
+        out = out if limit is None else out.where(F.col("rec").bitwiseAND((1 << 40) - 1) < limit)
     if check_names:
         bare = lambda c: F.regexp_replace(F.get(F.split(F.col(c), " "), F.lit(0)), r"([/.])[12]$", "")
         bad = F.raise_error(F.concat(F.lit("read names differ: "), "name1", F.lit(" and "), "name2"))
@@ -60,7 +146,7 @@ def read_pairs(spark: SparkSession, path1, path2, check_names: bool = False) ->
 
 def _tsv(spark: SparkSession, path, columns, limit: int | None = None) -> DataFrame:
     parts = F.split(_bare(F.col("value")), "\t")
-    lines = spark.read.text(path) if limit is None else _lines(spark, path, limit)
+    lines = _text(spark, path) if limit is None else _lines(spark, path, limit)
     rows = lines.select(parts.alias("p")).where(F.size("p") == len(columns))
     return rows.select(*[F.get("p", F.lit(i)).alias(c) for i, c in enumerate(columns)])
 
@@ -75,10 +161,19 @@ def read_families(spark: SparkSession, path, limit: int | None = None) -> DataFr
     return _tsv(spark, path, FAMILY_COLUMNS, limit)
 
 
-def read_msa(spark: SparkSession, path) -> DataFrame:
-    """Aligned families: six columns, mate as an integer; other lines are left out."""
-    rows = _tsv(spark, path, MSA_COLUMNS)
-    return rows.withColumn("mate", F.col("mate").try_cast("int")).where("mate is not null")
+def read_msa(spark: SparkSession, path, limit: int | None = None, strict: bool = True) -> DataFrame:
+    """Aligned families: six columns, mate as an integer. ``limit`` reads so many lines of each file.
+
+    Other lines are left out; without ``strict`` lines of more columns count by their first six, and lines of fewer are an error.
+    """
+    if strict:
+        rows = _tsv(spark, path, MSA_COLUMNS, limit)
+        return rows.withColumn("mate", F.col("mate").try_cast("int")).where("mate is not null")
+    lines = _text(spark, path) if limit is None else _lines(spark, path, limit)
+    few = F.raise_error(F.concat(F.lit("an aligned read needs six columns: "), F.substring("value", 1, 40))).cast("string")
+    parts = lines.select("value", F.split(_bare(F.col("value")), "\t").alias("p")).where("value <> ''")
+    rows = parts.select(*[F.when(F.size("p") >= len(MSA_COLUMNS), F.get("p", F.lit(i))).otherwise(few).alias(c) for i, c in enumerate(MSA_COLUMNS)])
+    return rows.withColumn("mate", F.col("mate").cast("int"))
 
 
 def read_marked_msa(spark: SparkSession, path) -> DataFrame:
@@ -92,58 +187,8 @@ def read_marked_msa(spark: SparkSession, path) -> DataFrame:
     return best.select(F.col("h.family").alias("family"), F.col("line").alias("row"), "barcode", "name", "seq", F.col("h.consensus").alias("consensus"))
 
 
-def _fastq_records():
-    """Task: (path, rec, name, id, seq, qual) of whole FASTQ files."""
-
-    def fastq(lines):
-        name, seq, qual, state = None, "", "", "head"
-        for line in lines:
-            if state == "qual" and len(qual) >= len(seq):
-                yield name, seq, qual
-                name, state = None, "head"
-            if state == "head":
-                if not line.strip():
-                    continue
-                if not line.startswith("@"):
-                    raise FormatError(f"a record should start with @: {line[:40]!r}")
-                name, seq, qual, state = line[1:], "", "", "seq"
-            elif state == "seq":
-                if line.startswith("+"):
-                    state = "qual"
-                else:
-                    seq += line.strip()
-            else:
-                qual += line
-                if len(qual) > len(seq):
-                    raise FormatError(f"more qualities than bases in {name!r}")
-        if name is not None:
-            if len(qual) != len(seq):
-                raise FormatError(f"qualities and bases differ in {name!r}")
-            yield name, seq, qual
-
-    def run(batches):
-        import gzip
-
-        import pyarrow as pa
-
-        for batch in batches:
-            for path, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                text = gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else raw
-                rows = list(fastq(text.decode("latin-1").splitlines()))
-                for at in range(0, len(rows), 10_000):
-                    part = rows[at : at + 10_000]
-                    names = [r[0] for r in part]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([path] * len(part)), pa.array(range(at, at + len(part)), pa.int64()), pa.array(names),
-                         pa.array([(n.split() or [""])[0] for n in names]), pa.array([r[1] for r in part]), pa.array([r[2] for r in part], pa.string())],
-                        ["path", "rec", "name", "id", "seq", "qual"],
-                    )
-
-    return run
-
-
 def _plain(spark: SparkSession, path: str) -> bool:
-    """Whether the text source reads a path as it is: files compressed without saying so in their names aren't."""
+    """Whether the text source reads a path as it is, as the JVM sees it: files compressed without saying so in their names aren't."""
     jvm = spark._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -158,15 +203,24 @@ def _plain(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def read_fasta(spark: SparkSession, path) -> DataFrame:
+def _with_rec(records: DataFrame, parts: DataFrame, *columns: str) -> DataFrame:
+    return _numbered(records, parts, with_path=True).select("path", F.col("line").alias("rec"), *columns)
+
+
+def read_fasta(spark: SparkSession, path, limit: int | None = None) -> DataFrame:
     """(path, rec, name, id, seq) of FASTA files with sequences over any number of lines; files of any size split.
 
-    Files that are compressed under another name than .gz are unpacked whole, up to 2 GB each.
+    ``limit``: so many records of each file. Compressed files are read by byte ranges.
     """
-    if _plain(spark, path):
-        parts = with_places(spark.read.option("lineSep", "\n>").text(path), with_path=True)
-    else:
-        parts = spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(_unpacked, "path string, line long, value string")
+    kinds = _kinds(path)
+    if kinds is not None and (limit is not None or kinds & {"gzip", "bgzf"}):
+        more = {} if limit is None else {"limit": limit}
+        return _with_rec(_ranges(spark, "fasta", path, **more), _ranges(spark, "fasta", path, "path string, part long", **more), "name", "id", "seq")
+    if kinds is None and not _plain(spark, path):
+        whole = _whole_files(spark, path, "fasta")
+        rows = _with_rec(whole, whole, "name", "id", "seq")
+        return rows if limit is None else rows.where(F.col("rec") < limit)
+    parts = with_places(spark.read.option("lineSep", "\n>").text(path), with_path=True)
     # The first record of a file has its mark; what comes before a file's first record is none.
     first = F.regexp_replace(F.regexp_replace("value", r"^(?s:(?!>).*?\n)?>", ""), r"^\r?\n", "")
     text = F.when(F.col("line") == 0, F.when(F.col("value").rlike(r"(^|\n)>"), first)).otherwise(F.col("value"))
@@ -177,37 +231,18 @@ def read_fasta(spark: SparkSession, path) -> DataFrame:
     return rows.select("path", F.col("line").alias("rec"), name.alias("name"), F.coalesce(F.get(F.split(F.trim(name), r"\s+"), F.lit(0)), F.lit("")).alias("id"), seq.alias("seq"))
 
 
-def _unpacked(batches):
-    """Task: (path, line, value) of compressed files, a record a row as the text source gives them."""
-    import gzip
-
-    import pyarrow as pa
-
-    for batch in batches:
-        for path, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            text = (gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else raw).decode("latin-1")
-            rows = text.split("\n>")
-            yield pa.RecordBatch.from_arrays([pa.array([path] * len(rows)), pa.array(range(len(rows)), pa.int64()), pa.array(rows)], ["path", "line", "value"])
-
-
-def read_fastq(spark: SparkSession, path) -> DataFrame:
+def read_fastq(spark: SparkSession, path, limit: int | None = None, most: int = datasource.MOST) -> DataFrame:
     """(path, rec, name, id, seq, qual) of FASTQ files with records over any number of lines; raises FormatError.
 
-    The lines are looked through first: where every record has four of them, they are what is read, and files of any size split.
+    Files of any size split, plain or block-compressed; a record of a file that splits has ``most`` bytes at most. ``limit``: so many records
+    of each file.
     """
-    if _plain(spark, path):
-        lines = with_places(spark.read.text(path), with_path=True).select("path", "file", "line", _bare(F.col("value")).alias("v"))
-        k = F.col("line") % 4
-        fits = F.when(k == 0, F.col("v").startswith("@")).when(k == 2, F.col("v").startswith("+")).otherwise(F.lit(True))
-        wide = lines.groupBy("path", F.shiftright("line", 2).alias("rec")).agg(
-            F.bool_and(fits).alias("fits"), F.count("*").alias("n"), F.max(F.when(k == 0, F.substr("v", F.lit(2)))).alias("name"),
-            F.max(F.when(k == 1, F.trim("v"))).alias("seq"), F.max(F.when(k == 3, F.col("v"))).alias("qual"), F.max(F.length(F.trim("v"))).alias("most"),
-        ).where("most > 0")
-        bad = ~F.col("fits") | (F.col("n") < 4) | (F.length("seq") != F.length("qual"))
-        if not wide.where(bad).limit(1).count():
-            return wide.select("path", "rec", "name", F.coalesce(F.get(F.split(F.trim("name"), r"\s+"), F.lit(0)), F.lit("")).alias("id"), "seq", "qual")
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInArrow(_fastq_records(), "path string, rec long, name string, id string, seq string, qual string")
+    columns, more = ("name", "id", "seq", "qual"), {"most": most} | ({} if limit is None else {"limit": limit})
+    if _kinds(path) is not None:
+        return _with_rec(_ranges(spark, "fastq", path, **more), _ranges(spark, "fastq", path, "path string, part long", **more), *columns)
+    whole = _whole_files(spark, path, "fastq")
+    rows = _with_rec(whole, whole, *columns)
+    return rows if limit is None else rows.where(F.col("rec") < limit)
 
 
 def fasta_bases(records: DataFrame) -> DataFrame:
@@ -231,12 +266,12 @@ def extract_region(records: DataFrame, start: int, end: int, chrom: str | None =
 
 def read_tsv_reads(spark: SparkSession, path) -> DataFrame:
     """(name, seq, qual) of tab-separated lines with two columns or more."""
-    rows = spark.read.text(path).select(F.split(_bare(F.col("value")), "\t").alias("p")).where("size(p) >= 2")
+    rows = _text(spark, path).select(F.split(_bare(F.col("value")), "\t").alias("p")).where("size(p) >= 2")
     return rows.select(F.get("p", F.lit(0)).alias("name"), F.get("p", F.lit(1)).alias("seq"), F.get("p", F.lit(2)).alias("qual"))
 
 
 def _sam_fields(spark: SparkSession, path) -> DataFrame:
-    rows = spark.read.text(path).select(F.split(_bare(F.col("value")), "\t").alias("p"))
+    rows = _text(spark, path).select(F.split(_bare(F.col("value")), "\t").alias("p"))
     header = F.get("p", F.lit(0)).startswith("@") & (F.length(F.get("p", F.lit(0))) == 3)
     return rows.where((F.size("p") >= 11) & ~header)
 
@@ -252,14 +287,16 @@ def read_alignments(
     """(qname, rname, reversed, flag, pos, mapq, nm) of alignments that pass: mapped, near the start, sure and close.
 
     Lines whose numbers don't parse are left out; an alignment without an edit distance raises. ``reversed`` is a
-    reference name with the suffix :rev, which is taken off. ``secondary`` keeps secondary alignments alone; ``limit`` reads so many
-    lines of each file.
+    reference name with the suffix :rev, which is taken off. ``secondary`` keeps secondary alignments alone; ``limit`` gives the first so
+    many alignments that pass, in the files' order.
     """
     p = F.col("p")
-    lines = spark.read.text(path) if limit is None else _lines(spark, path, limit)
+    places = [] if limit is None else ["file", "line"]
+    lines = _text(spark, path) if limit is None else _lines(spark, path)
     nm = F.regexp_extract(F.array_join(F.filter(F.slice(p, 12, 1000), lambda t: t.startswith("NM:i:")), " "), r"NM:i:(-?\d+)", 1)
-    rows = lines.select(F.split(_bare(F.col("value")), "\t").alias("p")).where((F.size("p") >= 11) & ~F.get(p, F.lit(0)).startswith("@"))
+    rows = lines.select(*places, F.split(_bare(F.col("value")), "\t").alias("p")).where((F.size("p") >= 11) & ~F.get(p, F.lit(0)).startswith("@"))
     rows = rows.select(
+        *places,
         F.get(p, F.lit(0)).alias("qname"), F.get(p, F.lit(2)).alias("target"), F.get(p, F.lit(1)).try_cast("int").alias("flag"), F.get(p, F.lit(3)).try_cast("int").alias("pos"),
         F.get(p, F.lit(4)).try_cast("int").alias("mapq"), nm.alias("nm_text"),
     ).where("flag is not null and pos is not null and mapq is not null and target <> '*' and flag & 4 = 0")
@@ -267,6 +304,7 @@ def read_alignments(
     rows = rows.where((F.abs(F.col("pos") - 1) <= pos) & (F.col("mapq") >= mapq))
     checked = F.when(F.col("nm_text") != "", F.col("nm_text").cast("int")).otherwise(F.raise_error(F.lit("no NM tag")).cast("int"))
     rows = rows.withColumn("nm", checked).where(F.col("nm") <= dist)
+    rows = rows if limit is None else rows.orderBy(*places).limit(limit)
     return rows.select("qname", F.regexp_replace("target", ":rev$", "").alias("rname"), F.col("target").endswith(":rev").alias("reversed"), "flag", "pos", "mapq", "nm")
 
 
@@ -290,7 +328,7 @@ def detect_format(spark: SparkSession, path: str) -> str | None:
     for ending, kind in ((".fa", "fasta"), (".fasta", "fasta"), (".fq", "fastq"), (".fastq", "fastq"), (".sam", "sam"), (".tsv", "tsv")):
         if name.endswith(ending):
             return kind
-    lines = [r[0] for r in spark.read.text(path).head(7)]
+    lines = [r[0] for r in _text(spark, path).head(7)]
     fasta = sum(line.startswith(">") for line in lines)
     fastq = sum(line.startswith("@") for line in lines[::4]) + sum(line.startswith("+") for line in lines[2::4])
     return "fasta" if fasta > fastq else "fastq" if fastq > fasta else None
@@ -315,10 +353,10 @@ def duplex_reads(families: DataFrame, mate: int, order: str) -> DataFrame:
 def read_expected(spark: SparkSession, path) -> DataFrame:
     """(famsize, x, prob) of a table of k, n, x and p."""
     p = F.split(_bare(F.col("value")), "\t")
-    return spark.read.text(path).select(F.get(p, F.lit(1)).cast("int").alias("famsize"), F.get(p, F.lit(2)).cast("int").alias("x"), F.get(p, F.lit(3)).cast("double").alias("prob"))
+    return _text(spark, path).select(F.get(p, F.lit(1)).cast("int").alias("famsize"), F.get(p, F.lit(2)).cast("int").alias("x"), F.get(p, F.lit(3)).cast("double").alias("prob"))
 
 
 def read_observed(spark: SparkSession, path) -> DataFrame:
     """(famsize, errors) of a table of family sizes and errors."""
     p = F.split(_bare(F.col("value")), "\t")
-    return spark.read.text(path).select(F.get(p, F.lit(0)).cast("int").alias("famsize"), F.get(p, F.lit(1)).cast("int").alias("errors"))
+    return _text(spark, path).select(F.get(p, F.lit(0)).cast("int").alias("famsize"), F.get(p, F.lit(1)).cast("int").alias("errors"))
