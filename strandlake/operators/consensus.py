@@ -1,7 +1,8 @@
 """Votes, single-strand and duplex consensus.
 
-Two forms: built-in expressions over exploded positions (``vote_matrix`` and what follows it), and one Arrow kernel that
-calls single-strand and duplex consensus in a single pass over rows that are shuffled once, by barcode.
+Votes are count arrays: reads are shuffled once by family, as they are, and each task adds up its families' arrays in numpy, for all
+families of a batch at once. Positions are exploded after that, or called within the array. Single-strand and duplex consensus take the same
+counts through one pass over rows that are shuffled by barcode.
 """
 
 from __future__ import annotations
@@ -10,46 +11,188 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandlake.functions.scalar import AMBIGUITY, BASES, gap_quality, phred_char, remove_gaps
+from strandlake.functions.scalar import AMBIGUITY, BASES, phred_char, remove_gaps
 
 from .align import align_pairs
 
 SIDE = 4
 
-# ---- built-in form
+VOTES = ("n_A", "n_C", "n_G", "n_T", "n_N", "n_gap")
 
+# ---- count arrays
 
-def explode_bases(msa: DataFrame, keys: list[str], least: str | None = None) -> DataFrame:
-    """keys, pos (from 1), base: one row for each base that may vote; ``least`` is the lowest quality character.
 
-    A gap's quality comes from its neighbours; it is worked out only for reads that have gaps.
+def gap_qualities(bases: np.ndarray, quals: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Qualities of reads laid end to end (read r from ``starts[r]`` on), those of gaps replaced by the weighted mean of SIDE neighbours on each side.
+
+    Spaces among the qualities are gaps' and are passed over; a gap without neighbours has 0.
     """
-    base = F.posexplode(F.split(F.upper("seq"), "")).alias("p", "base")
-    if least is None:
-        rows = msa.select(*keys, base).withColumn("pos", F.col("p") + 1)
-    else:
-        rows = msa.select(*keys, "qual", base).withColumn("pos", F.col("p") + 1)
-        quality = F.when(F.col("base") == "-", gap_quality("qual", F.col("pos"))).otherwise(F.ascii(F.substr("qual", F.col("pos"), F.lit(1))))
-        rows = rows.where(quality >= ord(least))
-    return rows.where(F.col("base").isin(*BASES)).select(*keys, "pos", "base")
+    out = quals.astype(np.int32)
+    gaps = np.flatnonzero(bases == ord("-"))
+    if not len(gaps):
+        return out
+    real = quals != 32
+    before = np.r_[0, np.cumsum(real)]
+    values = np.r_[quals[real].astype(np.int64), 0]
+    row = np.searchsorted(starts, gaps, "right") - 1
+    low, high = before[starts[row]], before[starts[row + 1]]
+    left, right = before[gaps], before[gaps + 1]
+    total, weight = np.zeros(len(gaps), np.int64), np.zeros(len(gaps), np.int64)
+    for k in range(SIDE):
+        for at, there in ((left - 1 - k, left - 1 - k >= low), (right + k, right + k < high)):
+            total += np.where(there, values[np.where(there, at, -1)] * (SIDE - k), 0)
+            weight += np.where(there, SIDE - k, 0)
+    out[gaps] = total // np.maximum(weight, 1)
+    return out
+
+
+def tally(seqs: list[str], quals: list[str | None], family: np.ndarray, least: int | None, offset: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """(edges, table): votes of families 0, 1, ..., whose reads' numbers are in ``family``; those of f are rows edges[f] to edges[f + 1].
+
+    A row has the six bases' votes and how many reads voted. Reads may be of different lengths. With ``least`` only bases of that quality vote, with
+    ``offset`` each has its quality less the offset as its vote; gaps' qualities come from their neighbours.
+    """
+    sizes = np.fromiter(map(len, seqs), np.int64, len(seqs))
+    starts = np.r_[0, np.cumsum(sizes)]
+    widths = np.zeros(family.max() + 1 if len(family) else 0, np.int64)
+    np.maximum.at(widths, family, sizes)
+    edges = np.r_[0, np.cumsum(widths)]
+    bases = np.frombuffer("".join(seqs).encode("latin-1", "replace"), np.uint8)
+    code = _CODE[bases]
+    votes = code >= 0
+    weight = None
+    if least is not None or offset is not None:
+        fitted = [q if q is not None and len(q) == n else (q or "").ljust(n, "\0")[:n] for q, n in zip(quals, sizes.tolist())]
+        q = gap_qualities(bases, np.frombuffer("".join(fitted).encode("latin-1", "replace"), np.uint8), starts)
+        votes = votes & (q >= least) if least is not None else votes
+        weight = (q - offset)[votes] if offset is not None else None
+    at = (np.arange(len(bases)) + np.repeat(edges[family] - starts[:-1], sizes))[votes]
+    table = np.zeros((edges[-1], len(VOTES) + 1), np.int64)
+    cell = at * len(VOTES) + code[votes]
+    room = edges[-1] * len(VOTES)
+    # Sums of small whole numbers: exact in double precision.
+    table[:, :-1] = np.bincount(cell, weight, room).reshape(-1, len(VOTES)) if room else 0
+    table[:, -1] = np.bincount(at, minlength=edges[-1])
+    return edges, table
+
+
+#: Reads of one family in one batch from which on they are added up before the shuffle.
+MANY = 16
+
+
+def _added_before(keys: int, least: int | None, offset: int | None):
+    """Task: (keys, seq, qual, n, counts) of (keys, seq, qual); families with MANY reads in a batch become one row of counts."""
+
+    def run(batches):
+        from collections import Counter
+
+        import pyarrow as pa
+
+        for batch in batches:
+            columns = [batch.column(k).to_pylist() for k in range(keys + 2)]
+            key = list(zip(*columns[:keys]))
+            sizes = Counter(key)
+            hot = {k: i for i, k in enumerate(k for k, n in sizes.items() if n >= MANY)}
+            packed = pa.nulls(batch.num_rows, pa.binary())
+            one = pa.array([1] * batch.num_rows, pa.int64())
+            if not hot:
+                yield pa.RecordBatch.from_arrays([*batch.columns, one, packed], [*batch.schema.names, "n", "counts"])
+                continue
+            is_hot = np.fromiter((k in hot for k in key), bool, len(key))
+            cold = batch.filter(pa.array(~is_hot))
+            yield pa.RecordBatch.from_arrays([*cold.columns, one[: cold.num_rows], packed[: cold.num_rows]], [*batch.schema.names, "n", "counts"])
+            rows = np.flatnonzero(is_hot)
+            edges, table = tally([columns[keys][r] or "" for r in rows], [columns[keys + 1][r] for r in rows], np.array([hot[key[r]] for r in rows]), least, offset)
+            kinds = [batch.schema.field(k).type for k in range(keys)]
+            made = [pa.array([k[i] for k in hot], kinds[i]) for i in range(keys)]
+            none = pa.nulls(len(hot), pa.string())
+            counts = pa.array([table[edges[f] : edges[f + 1]].tobytes() for f in range(len(hot))], pa.binary())
+            yield pa.RecordBatch.from_arrays([*made, none, none, pa.array([sizes[k] for k in hot], pa.int64()), counts], [*batch.schema.names, "n", "counts"])
+
+    return run
+
+
+def _added(keys: int, least: int | None, offset: int | None):
+    """Task: (keys, n_reads, width, votes) of families whose rows stand together; of the family at a batch's end the sum so far is kept."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        names = None
+        last, kept_n, kept = None, 0, np.zeros((0, len(VOTES) + 1), np.int64)
+
+        def emit(found):
+            kinds = [f.type for f in names[:keys]]
+            made = [pa.array([k[i] for k, _, _ in found], kinds[i]) for i in range(keys)]
+            seen = [np.flatnonzero(t[:, -1]) for _, _, t in found]
+            flat = np.concatenate([t[p] for p, (_, _, t) in zip(seen, found)])
+            at = pa.array(np.concatenate(seen).astype(np.int32) + 1, pa.int32())
+            rows = pa.StructArray.from_arrays([at, *[pa.array(flat[:, b].copy()) for b in range(len(VOTES))]], ["pos", *VOTES])
+            votes = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum([len(p) for p in seen])], pa.int32()), rows)
+            width = pa.array([len(t) for _, _, t in found], pa.int32())
+            return pa.RecordBatch.from_arrays([*made, pa.array([n for _, n, _ in found], pa.int64()), width, votes], [*[f.name for f in names[:keys]], "n_reads", "width", "votes"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            names = list(batch.schema)
+            columns = [c.to_pylist() for c in batch.columns]
+            key = list(zip(*columns[:keys]))
+            family = np.cumsum(np.fromiter((i > 0 and key[i] != key[i - 1] for i in range(len(key))), np.int64, len(key)))
+            firsts = np.r_[0, np.flatnonzero(np.diff(family)) + 1]
+            edges, table = tally([x or "" for x in columns[keys]], columns[keys + 1], family, least, offset)
+            found = [[key[i], 0, table[edges[f] : edges[f + 1]]] for f, i in enumerate(firsts)]
+            for f, n in zip(family.tolist(), columns[keys + 2]):
+                found[f][1] += n
+            for i, raw in enumerate(columns[keys + 3]):
+                if raw is not None:
+                    found[family[i]][2] = _plus(found[family[i]][2], np.frombuffer(raw, np.int64).reshape(-1, len(VOTES) + 1))
+            if last is not None and found[0][0] == last:
+                found[0][1] += kept_n
+                found[0][2] = _plus(found[0][2], kept)
+            elif last is not None:
+                found.insert(0, [last, kept_n, kept])
+            last, kept_n, kept = found.pop()
+            if found:
+                yield emit(found)
+        if last is not None:
+            yield emit([[last, kept_n, kept]])
+
+    return run
+
+
+def _plus(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    if len(a) < len(b):
+        a, b = b, a
+    out = a.copy()
+    out[: len(b)] += b
+    return out
+
+
+def family_votes(msa: DataFrame, keys=("barcode", "order", "mate"), least: str | None = None, offset: int | None = None) -> DataFrame:
+    """keys, n_reads, width (of the longest read), votes: array of (pos from 1, n_A .. n_gap) of the positions where any read votes.
+
+    ``least`` is the lowest quality character that votes; with ``offset`` votes are qualities less that. A gap's quality comes from its neighbours.
+    Reads are shuffled once by the keys; a family with many reads in a batch is added up before that, and behind the shuffle a task streams its
+    rows and holds one batch and one family's counts, so a family of any size is no burden to memory or to the shuffle.
+    """
+    keys, code = list(keys), ord(least) if least is not None else None
+    rows = msa.select(*keys, F.col("seq").cast("string"), F.col("qual").cast("string") if "qual" in msa.columns else F.lit(None).cast("string").alias("qual"))
+    kinds = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys)
+    first = rows.mapInArrow(_added_before(len(keys), code, offset), f"{kinds}, seq string, qual string, n long, counts binary")
+    dealt = first.repartition(*keys).sortWithinPartitions(*keys)
+    votes = ", ".join(f"{v}: bigint" for v in VOTES)
+    return dealt.mapInArrow(_added(len(keys), code, offset), f"{kinds}, n_reads long, width int, votes array<struct<pos: int, {votes}>>")
 
 
 def vote_matrix(msa: DataFrame, keys=("barcode", "order", "mate"), least: str | None = None) -> DataFrame:
-    """keys, pos, n_A .. n_gap: votes by position. Partial counts are made before the shuffle."""
-    keys = list(keys)
-    names = dict(zip(BASES, ("n_A", "n_C", "n_G", "n_T", "n_N", "n_gap")))
-    return explode_bases(msa, keys, least).groupBy(*keys, "pos").agg(*[F.count_if(F.col("base") == b).alias(n) for b, n in names.items()])
+    """keys, pos, n_A .. n_gap: votes by position."""
+    return family_votes(msa, keys, least).select(*keys, F.inline("votes"))
 
 
 def weighted_vote_matrix(msa: DataFrame, keys=("barcode", "order", "mate"), offset: int = 33) -> DataFrame:
     """keys, pos, n_A .. n_gap: sums of qualities in place of counts; a gap weighs what its neighbours' qualities give."""
-    keys = list(keys)
-    names = dict(zip(BASES, ("n_A", "n_C", "n_G", "n_T", "n_N", "n_gap")))
-    rows = msa.select(*keys, "qual", F.posexplode(F.split(F.upper("seq"), "")).alias("p", "base")).withColumn("pos", F.col("p") + 1)
-    own = F.ascii(F.substr("qual", F.col("pos"), F.lit(1)))
-    weight = F.when(F.col("base") == "-", gap_quality("qual", F.col("pos"))).otherwise(own) - offset
-    sums = [F.sum(F.when(F.col("base") == b, weight).otherwise(0)).alias(n) for b, n in names.items()]
-    return rows.where(F.col("base").isin(*BASES)).groupBy(*keys, "pos").agg(*sums)
+    return family_votes(msa, keys, offset=offset).select(*keys, F.inline("votes"))
 
 
 def alignment_consensus(records: DataFrame, thres: float = 0.5, gapped: bool = False) -> DataFrame:
@@ -58,9 +201,9 @@ def alignment_consensus(records: DataFrame, thres: float = 0.5, gapped: bool = F
     return consensus_native(one, ["alignment"], min_reads=1, thres=thres, gapped=gapped).select("consensus")
 
 
-def majority(thres: float = 0.5) -> Column:
-    """The base of a row of votes: over ``thres`` of the counted votes, else N."""
-    counts = {"A": F.col("n_A"), "C": F.col("n_C"), "G": F.col("n_G"), "T": F.col("n_T"), "N": F.col("n_N"), "-": F.col("n_gap")}
+def majority(votes: Column, thres: float = 0.5) -> Column:
+    """The base of a struct of votes: over ``thres`` of the counted votes, else N."""
+    counts = {base: votes[n] for base, n in zip(BASES, VOTES)}
     total = sum(counts.values(), F.lit(0))
     top = F.greatest(*counts.values())
     first = F.coalesce(*[F.when(c == top, b) for b, c in counts.items()])
@@ -70,16 +213,16 @@ def majority(thres: float = 0.5) -> Column:
 def consensus_native(
     msa: DataFrame, keys=("barcode", "order", "mate"), *, min_reads: int = 3, least: str | None = None, thres: float = 0.5, gapped: bool = False
 ) -> DataFrame:
-    """keys, n_reads, consensus: families of ``min_reads`` and more, from built-in expressions alone."""
+    """keys, n_reads, consensus: families of ``min_reads`` and more, called within their count arrays."""
     keys = list(keys)
-    sizes = msa.groupBy(*keys).agg(F.count("*").alias("n_reads"), F.max(F.length("seq")).alias("width")).where(F.col("n_reads") >= min_reads)
-    called = vote_matrix(msa, keys, least).select(*keys, "pos", majority(thres).alias("base"))
-    rows = called.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("pos", "base"))).alias("bases"))
-    out = sizes.join(rows, keys, "left")
+    rows = family_votes(msa, keys, least).where(F.col("n_reads") >= min_reads)
+    called = F.transform("votes", lambda v: F.struct(v["pos"].alias("pos"), majority(v, thres).alias("base")))
+    whole = F.array_join(F.transform(called, lambda v: v["base"]), "")
     # Positions where no vote passed are N as well.
-    one = lambda i: F.coalesce(F.try_element_at("bases", i), F.lit("N"))
-    text = F.array_join(F.transform(F.sequence(F.lit(1), F.col("width")), one), "")
-    return out.select(*keys, "n_reads", (text if gapped else remove_gaps(text)).alias("consensus"))
+    bases = F.map_from_entries(called)
+    holes = F.array_join(F.transform(F.sequence(F.lit(1), F.col("width")), lambda i: F.coalesce(F.try_element_at(bases, i), F.lit("N"))), "")
+    text = F.when(F.size("votes") == F.col("width"), whole).when(F.col("width") > 0, holes).otherwise("")
+    return rows.select(*keys, "n_reads", (text if gapped else remove_gaps(text)).alias("consensus"))
 
 
 # ---- Arrow kernel
@@ -101,18 +244,8 @@ def merge_strings(a: str, b: str) -> str:
 
 
 def fill_gap_qualities(seqs: np.ndarray, quals: np.ndarray) -> np.ndarray:
-    """Qualities with those of gaps replaced by the weighted mean of SIDE neighbours on each side."""
-    out = quals.astype(np.int32)
-    for r in np.flatnonzero((seqs == ord("-")).any(axis=1)):
-        real = np.flatnonzero(quals[r] != 32)
-        values = quals[r][real].astype(np.int64)
-        for p in np.flatnonzero(seqs[r] == ord("-")):
-            k = np.searchsorted(real, p)
-            left, right = values[max(0, k - SIDE) : k][::-1], values[k + (k < len(real) and real[k] == p) :][:SIDE]
-            near = np.r_[left, right]
-            w = np.r_[np.arange(SIDE, SIDE - len(left), -1), np.arange(SIDE, SIDE - len(right), -1)]
-            out[r, p] = (near * w).sum() // w.sum() if len(near) else 0
-    return out
+    """``gap_qualities`` of reads of one width, a row each."""
+    return gap_qualities(seqs.ravel(), quals.ravel(), np.arange(0, seqs.size + 1, seqs.shape[1])).reshape(seqs.shape)
 
 
 def call_families(seqs: list[str], quals: list[str | None], starts: np.ndarray, least: int | None, thres: float, gapped: bool) -> list[str]:
