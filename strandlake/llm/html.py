@@ -33,6 +33,12 @@ _SAYS = {
     LISTS: "related recommended recommendations",
     THIN: "share sharing social widget widgets promo promotion feedback disclaimer",
 }
+#: Names that are believed wherever they stand. Of the others some are also what sections of an article are about.
+FIRM = frozenset("comment comments commentlist disqus reply replies".split()) | frozenset(_SAYS[ADVERT].split())
+LOOSE = frozenset(
+    "discussion responses respond search alert announcement social login notice notices notification notifications promotion feedback disclaimer "
+    "subscription recommendations recommended related signup widget widgets".split()
+)
 NAMES = {word: kind for kind, words in _SAYS.items() for word in words.split()}
 GOOD = frozenset("article content post entry story main body text prose".split())
 #: A word after one of these says what a layout lacks or has beside the text.
@@ -61,13 +67,19 @@ CLOSES = {
 _P_KEEPS = frozenset("table td th button object caption li body html article main section div aside nav".split())
 
 
-def _said(tag: str, attrs: str, inside: bool) -> tuple[int, bool]:
-    """What the tag and attributes say an element is, and whether they call it the text itself."""
+#: How surely something is said: by a tag, a role or a firm name; by another name; by a name that may be an article's subject.
+SURE, NAMED, MAYBE = range(3)
+
+
+def _said(tag: str, attrs: str, inside: bool) -> tuple[int, bool, int]:
+    """What the tag and attributes say an element is, whether they call it the text itself, and how surely they say what it is."""
     kind, good = TAGS.get(tag, PLAIN), False
     if tag == "header" and not inside:
         kind = FURNITURE
+    sure = NAMED if tag == "form" or not kind else SURE
     if not attrs.strip():
-        return kind, good
+        return kind, good, sure
+    words = []
     for name, a, b, c in _ATTR.findall(attrs):
         name, raw = name.lower(), a or b or c
         value = raw.lower()
@@ -77,12 +89,15 @@ def _said(tag: str, attrs: str, inside: bool) -> tuple[int, bool]:
                 says = NAMES.get(word, FURNITURE if word == "header" and not inside else PLAIN)
                 if says and before not in NEGATED and (says == ADVERT or tag not in RUNNING):
                     kind = max(kind, says) if ADVERT in (kind, says) else min(kind or says, says)
+                    words.append(word)
                 good = good or word in GOOD
         if name == "role" and value in ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
-            kind = kind or FURNITURE
+            kind, sure = kind or FURNITURE, SURE
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            kind = kind or FURNITURE
-    return kind, good
+            kind, sure = kind or FURNITURE, SURE
+    if sure == NAMED and words:
+        sure = SURE if FIRM.intersection(words) else MAYBE if LOOSE.issuperset(words) else NAMED
+    return kind, good, sure
 
 
 class _Tree:
@@ -90,20 +105,21 @@ class _Tree:
 
     def __init__(self, page: str):
         self.tag, self.parent, self.drop, self.texts = ["html"], [-1], [False], []
-        self.kind, self.weight, self.attrs = [PLAIN], [1.0], [""]
+        self.kind, self.weight, self.attrs, self.sure = [PLAIN], [1.0], [""], [NAMED]
         self.stack, self.inside, self.open = [0], [False], {}
         self._read(page)
 
     def _open(self, tag: str, attrs: str) -> int:
         top = self.stack[-1]
         inside = self.inside[top] or self.tag[top] in ("article", "main")
-        kind, good = _said(tag, attrs, inside)
+        kind, good, sure = _said(tag, attrs, inside)
         # Of an article's own header only the title is text.
         byline = self.tag[top] == "header" and tag not in HEADINGS and tag not in ("hgroup", "div", "header", *WHOLE, "section", "form")
         drop = self.drop[top] or tag in DROP
         self.kind.append(max(kind, THIN) if byline and kind != FURNITURE else kind)
         self.weight.append(self.weight[top] * WEIGHT[kind] * (1.25 if good else 1.0))
         self.attrs.append(attrs.strip())
+        self.sure.append(SURE if byline else sure)
         self.tag.append(tag)
         self.parent.append(top)
         self.drop.append(drop)
@@ -202,7 +218,7 @@ class _Tree:
 
 
 def _measures(t: _Tree):
-    """Per element: characters, those in links, its own paragraph's points (weighted and plain), and the longest paragraph below it."""
+    """Per element: characters, those in links, its own paragraph's points, the longest paragraph below it, and its own characters."""
     n = len(t.tag)
     block, link = [0] * n, [False] * n
     for i in range(1, n):
@@ -229,7 +245,41 @@ def _measures(t: _Tree):
         size[p] += size[i]
         linked[p] += linked[i]
         longest[p] = max(longest[p], longest[i])
-    return size, linked, worth, longest
+    return size, linked, worth, longest, own
+
+
+#: Characters of a paragraph from which on it reads as running text.
+READS = 50
+
+
+def _runs(t: _Tree, own: list[int], linked: list[int], size: list[int], best: int, path: list[bool]) -> list[bool]:
+    """Whether an element that a name calls furniture is a section of the article all the same.
+
+    It is if it lies in the best container (or the article element around that), has two paragraphs of running text or more and
+    next to no links, and stands between other paragraphs of the element around it; under a name that may be a section's subject
+    it may also come first or last.
+    """
+    n = len(t.tag)
+    end, below, plain, inside = list(range(1, n + 1)), [0] * n, [0] * (n + 1), [False] * n
+    paragraph = [own[i] >= READS and t.tag[i] not in HEADINGS for i in range(n)]
+    called = [False] * n
+    for i in range(n):
+        p = t.parent[i]
+        called[i] = bool(t.kind[i]) and not path[i] or i > 0 and called[p]
+        inside[i] = i == best or i > 0 and inside[p] or path[i] and t.tag[i] in ("article", "main")
+        plain[i + 1] = plain[i] + (paragraph[i] and not called[i])
+    for i in range(n - 1, -1, -1):
+        below[i] += paragraph[i]
+        if i:
+            p = t.parent[i]
+            below[p] += below[i]
+            end[p] = max(end[p], end[i])
+    out = [False] * n
+    for i in range(1, n):
+        p = t.parent[i]
+        if t.kind[i] and t.sure[i] != SURE and inside[p] and below[i] >= 2 and linked[i] <= 0.1 * size[i]:
+            out[i] = t.sure[i] == MAYBE or plain[i] > plain[p] and plain[end[p]] > plain[end[i]]
+    return out
 
 
 def _scores(t: _Tree, size, linked, worth) -> list[float]:
@@ -257,7 +307,7 @@ def main_text(page: str | None) -> str:
         return ""
     t = _Tree(page)
     n = len(t.tag)
-    size, linked, worth, longest = _measures(t)
+    size, linked, worth, longest, own_size = _measures(t)
     if not size[0]:
         return ""
     score = _scores(t, size, linked, worth)
@@ -274,6 +324,9 @@ def main_text(page: str | None) -> str:
             paragraphs += below[i] and worth[i] >= 1
         if paragraphs < 2:
             return ""  # a few words that are said to be furniture, and nothing beside them
+    if linked[0] >= 0.8 * size[0] and max(worth) < 1:
+        return ""  # links and nothing beside them
+    runs = _runs(t, own_size, linked, size, best, path)
     like_path = {(t.tag[i], t.attrs[i]) for i in range(n) if path[i] and t.attrs[i]}
 
     def dense(i: int) -> float:
@@ -281,19 +334,18 @@ def main_text(page: str | None) -> str:
 
     def furniture(i: int) -> bool:
         kind = t.kind[i]
-        if not kind or path[i] or (t.tag[i], t.attrs[i]) in like_path:
+        if not kind or path[i] or runs[i] or (t.tag[i], t.attrs[i]) in like_path:
             return False
         return kind in (FURNITURE, ADVERT) or kind == LISTS and dense(i) >= 0.25 or kind == THIN and (dense(i) >= 0.25 or longest[i] < 100)
 
     # Readers' comments follow a heading that says so, whatever their elements are called.
     heads: dict[int, list[str]] = {}
-    gone, at_heading = [False] * n, {}
+    gone, at_heading, heading = [False] * n, {}, [0] * n
+    for i in range(1, n):
+        heading[i] = i if t.tag[i] in HEADINGS else heading[t.parent[i]]
     for i, text in t.texts:
-        p = i
-        while p > 0 and t.tag[p] not in HEADINGS:
-            p = t.parent[p]
-        if p > 0:
-            heads.setdefault(p, []).append(text)
+        if heading[i]:
+            heads.setdefault(heading[i], []).append(text)
     for h, parts in heads.items():
         title = " ".join("".join(parts).split())
         if _REPLIES.fullmatch(title) or _COMMENTS.fullmatch(title) and not path[t.parent[h]]:
@@ -349,9 +401,10 @@ def extract_pages(
     distance, and each element's points are discounted by its share of link text. Tags, roles and names in class or id
     (of menus, headers, footers, sidebars, notices, adverts, forms and comments) only weigh the points; an article or
     main element has a bonus. The best container is kept, with the elements closely around it and its siblings that score or
-    read like text. Of these, elements that are said to be furniture and don't hold the best container are left out; names of
-    lists of links count only where there are links, and in running text only an advert's name counts. Scripts, styles and form
-    controls are never text.
+    read like text. Of these, elements that are said to be furniture and don't hold the best container are left out, unless only a name says so and
+    they read as a section of the article (``_runs``); names of lists of links count only where there are links, and in running text only an
+    advert's name counts. Scripts, styles and form controls are never text; a page of links alone has none. Work is linear in a page's
+    elements and characters, however deeply they are nested.
 
     A null or empty page gives an empty text; broken markup is read as far as it goes; null or repeated ids and
     repeated rows are extracted row by row; other columns are not read; an empty table gives an empty result.

@@ -929,3 +929,60 @@ def test_pages_with_nulls_and_clashing_columns(spark):
 
     rows = spark.createDataFrame([(1, "u", "<p>a</p>", 5), (1, "u", "<p>a</p>", 5), (None, None, None, None)], "page_id long, url string, html string, text int")
     assert Counter(map(tuple, extract_pages(rows).collect())) == Counter({(1, "u", "a", 1): 2, (None, None, "", 0): 1})
+
+
+def _sections(name, at, tag="section", wrap="article"):
+    """A page of four sections of three paragraphs, the one at ``at`` with a name."""
+    text = lambda i, j: f"Paragraph {j} of part {i} tells, in plain words, how the river rose and fell that year."
+    parts = []
+    for i in range(4):
+        body = f"<h2>Part {i}</h2>" + "".join(f"<p>{text(i, j)}</p>" for j in range(3))
+        parts.append(f'<{tag} class="{name}">{body}</{tag}>' if i == at else f"<{tag}>{body}</{tag}>")
+    want = " ".join(f"Part {i} " + " ".join(text(i, j) for j in range(3)) for i in range(4))
+    return f"<html><body><nav><a href=/>Home</a></nav><{wrap}>{''.join(parts)}</{wrap}><footer>All rights reserved</footer></body></html>", want
+
+
+@pytest.mark.parametrize("wrap", ["article", "div"])
+def test_sections_are_not_lost_by_their_names(wrap):
+    from strandlake.llm.html import FIRM, NAMES, main_text
+
+    for word in sorted(NAMES.keys() - FIRM):
+        for name in (word, f"{word}-strategy"):
+            page, want = _sections(name, 1 + len(name) % 2, wrap=wrap)
+            assert main_text(page) == want, name
+    for name in ("discussion", "responses", "search-strategy", "alert-levels", "announcement", "social-structure", "login-help", "feedback"):
+        for at in range(4):
+            page, want = _sections(name, at, wrap=wrap)
+            assert main_text(page) == want, (name, at)
+
+
+def test_furniture_in_the_middle_still_goes():
+    from strandlake.llm.html import main_text
+
+    for box in (
+        "<div class=newsletter><p>Get our letter every week in your mail, free of charge and for ever.</p><form><input></form></div>", "<div class=sponsored><p>Buy this now, it is cheap.</p></div>",
+        "<div class=related><a href=/1>One story</a> <a href=/2>Another story</a></div>", "<div class=share>Share this</div>", "<aside><p>More of this in our shop, which is open all day.</p></aside>",
+    ):
+        page, want = _sections("plain", 1)
+        assert main_text(page.replace("<section class=\"plain\">", box + "<section>")) == want, box
+    page, want = _sections("x", 9)
+    reader = "<div class=comments><h3>What readers say</h3>" + "<p>I have lived by that river all my life and never saw such a thing.</p>" * 3 + "</div>"
+    assert main_text(page.replace("</article>", reader + "</article>")) == want
+
+
+@pytest.mark.parametrize("page", ["<div><a>Home</a> <a>News</a></div>", "<ul><li><a href=/>Home</a><li><a href=/n>All the news of the day in one long list</a></ul>"])
+def test_links_alone_are_no_text(page):
+    from strandlake.llm.html import main_text
+
+    assert main_text(page) == ""
+
+
+def test_deep_pages_are_read_in_linear_time():
+    import time
+
+    from strandlake.llm.html import main_text
+
+    for page in ("<div>" * 100_000 + "<p>The text at the very end, which is long enough.</p>", "<p>" + "<b>x " * 100_000, "<h1>a</h1>" + "<span>y " * 100_000):
+        began = time.process_time()
+        assert main_text(page)
+        assert time.process_time() - began < 5
