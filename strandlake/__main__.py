@@ -50,7 +50,7 @@ def _parser() -> argparse.ArgumentParser:
     p = command("check", "labelled consensus sequences against their fragments", "labelled", "fragments", "out")
     p.add_argument("-i", "--ignore-ambiguous", action="store_true")
     p = command("align", "aligned families", "families", "out")
-    p.add_argument("--aligner", default="star")
+    p.add_argument("--aligner", choices=("profile", "star", "mafft"), default="profile")
     p = command("duplex", "consensus of aligned families, by mate: OUT_1, OUT_2 and, with --sscs, OUT_sscs", "msa", "out")
     p.add_argument("-r", "--min-reads", type=int, default=3)
     p.add_argument("-q", "--qual", type=int, default=20)
@@ -133,10 +133,8 @@ def main(argv: list[str] | None = None) -> None:
         writers.write_lines(writers.msa_lines(msa.align_families(readers.read_families(spark, a.families), a.aligner)), a.out)
     elif a.command == "duplex":
         rows, options = readers.read_msa(spark, a.msa), {"min_reads": a.min_reads, "qual_thres": a.qual, "qual_format": a.qual_format, "cons_thres": a.cons_thres}
-        for mate, part in enumerate(writers.split_mates(consensus.duplex(rows, incl_sscs=a.incl_sscs, **options)), 1):
-            writers.write_lines(writers.duplex_fasta(part, with_mate=False), f"{a.out}_{mate}")
-        if a.sscs:
-            writers.write_lines(writers.sscs_fasta(consensus.single_strand(rows, **options)), f"{a.out}_sscs")
+        calls = consensus.all_calls(rows, incl_sscs=a.incl_sscs, sscs=a.sscs, **options)
+        writers.write_tagged(writers.tagged_fasta(calls), a.out, ["1", "2", "sscs"] if a.sscs else ["1", "2"])
     elif a.command == "errstats":
         columns = ["repeat_votes"] if a.all_repeats else ["repeat_errors", "errors"]
         tsv(qc.error_statistics(readers.read_msa(spark, a.msa), a.qual).select("barcode", "order", "mate", "n_reads", *columns), a.out)

@@ -262,6 +262,142 @@ def star_alignment(reads: list[str]) -> list[str]:
     return [rows[r] for r in reads]
 
 
+#: Scores of the profile aligner: an equal or another base, a gap's first and further columns, a column of a gap at a read's end.
+EQUAL, OTHER, FIRST, FURTHER, AT_END = 2, -2, 6, 2, 1
+_LETTERS = np.frombuffer(b"ACGTN-", np.uint8)
+BLANK = 45
+
+
+def _profile(rows: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(counts of each column's letters, with others as N; reads that have a base there)."""
+    counts = np.stack([((rows == c) * weight[:, None]).sum(0) for c in _LETTERS], axis=1)
+    bases = weight.sum() - counts[:, 5]
+    counts[:, 4] = bases - counts[:, :4].sum(1)
+    return counts, bases
+
+
+def _against(read: np.ndarray, counts: np.ndarray, bases: np.ndarray) -> np.ndarray:
+    """Scores of each base of a read in each column of a profile, summed over the profile's reads."""
+    same = np.zeros((len(read), len(counts)), np.int64)
+    for k, c in enumerate(_LETTERS[:4]):
+        same[read == c] = counts[:, k]
+    return EQUAL * same + OTHER * (bases - same)
+
+
+def _row_score(row: np.ndarray, counts: np.ndarray, bases: np.ndarray, n: int) -> int:
+    """The score of a read where it stands beside the ``n`` reads of a profile; columns of the profile may be empty."""
+    filled = np.flatnonzero(row != BLANK)
+    if not len(filled):
+        return -int(AT_END * bases.sum())
+    pairs = _against(row[filled], counts, bases)[np.arange(len(filled)), filled]
+    new = bases[filled] == 0
+    total = int(pairs[~new].sum())
+    lead = np.arange(len(row)) < filled[0]
+    tail = np.arange(len(row)) > filled[-1]
+    gap = (row == BLANK) & (bases > 0)
+    inner = gap & ~lead & ~tail
+    total -= int(AT_END * bases[gap & (lead | tail)].sum() + FURTHER * bases[inner].sum())
+    # The first column of each run of gaps, empty columns passed over; and of each run of new columns.
+    seen = np.flatnonzero(bases > 0)
+    opens = inner[seen] & ~np.r_[False, inner[seen][:-1]] if len(seen) else np.empty(0, bool)
+    total -= int((FIRST - FURTHER) * bases[seen[opens]].sum())
+    if new.any() and len(seen):
+        at = filled[new]
+        edge = (at < seen[0]) | (at > seen[-1])
+        runs = np.searchsorted(seen, at)
+        first = ~edge & np.r_[True, (runs[1:] != runs[:-1]) | (np.diff(filled.searchsorted(at)) > 1)]
+        total -= n * int(AT_END * edge.sum() + FURTHER * (~edge).sum() + (FIRST - FURTHER) * first.sum())
+    return total
+
+
+def profile_alignment(read: np.ndarray, counts: np.ndarray, bases: np.ndarray, n: int) -> tuple[int, list[tuple[int, int]]]:
+    """(score, steps) of the best alignment of a read with a profile of ``n`` reads: (base or -1, column or -1) for each step.
+
+    Scores are those of all pairs of the read and the profile's reads: a gap in a column costs what the bases in it weigh. A row of the tables
+    is computed at once; gaps along it are a running maximum, since what a gap costs is a sum over columns.
+    """
+    m, w = len(read), len(counts)
+    low = -(1 << 50)
+    best = np.full((m + 1, w + 1), low, np.int64)
+    skip, put = best.copy(), best.copy()
+    pair = _against(read, counts, bases)
+    cost = np.r_[0, bases]
+    inner, edge = np.cumsum(cost) * FURTHER, np.cumsum(cost) * AT_END
+    best[0, 0] = 0
+    skip[0, 1:] = -edge[1:]
+    put[1:, 0] = -n * AT_END * np.arange(1, m + 1)
+    for i in range(1, m + 1):
+        top = np.maximum(np.maximum(best[i - 1], skip[i - 1]), put[i - 1])
+        best[i, 1:] = top[:-1] + pair[i - 1]
+        from_other = np.maximum(best[i - 1], skip[i - 1])
+        put[i, 1:w] = np.maximum(from_other[1:w] - FIRST * n, put[i - 1, 1:w] - FURTHER * n)
+        if w:
+            put[i, w] = max(from_other[w], put[i - 1, w]) - AT_END * n
+        along, first = (edge, 0) if i == m else (inner, FIRST - FURTHER)
+        start = np.maximum(best[i], put[i])[:-1] + along[:-1] - first * cost[1:]
+        skip[i, 1:] = np.maximum.accumulate(start) - along[1:]
+    tables = (best, skip, put)
+    i, j = m, w
+    state = max(range(3), key=lambda k: tables[k][i, j])
+    score, steps = int(tables[state][i, j]), []
+    while i or j:
+        here = tables[state][i, j]
+        if state == 0:
+            i, j = i - 1, j - 1
+            steps.append((i, j))
+            state = max(range(3), key=lambda k: tables[k][i, j])
+        elif state == 1:
+            j -= 1
+            steps.append((-1, j))
+            went_on = skip[i, j] - cost[j + 1] * (AT_END if i in (0, m) else FURTHER)
+            state = 1 if j and here == went_on or i == 0 and j else max((0, 2), key=lambda k: tables[k][i, j])
+        else:
+            i -= 1
+            steps.append((i, -1))
+            went_on = put[i, j] - n * (AT_END if j in (0, w) else FURTHER)
+            state = 2 if i and here == went_on or j == 0 and i else max((0, 1), key=lambda k: tables[k][i, j])
+    return score, steps[::-1]
+
+
+def refined_alignment(reads: list[str], rounds: int = 8) -> list[str]:
+    """A multiple alignment in which each read is aligned with all others at once, not with one centre alone.
+
+    It starts from the star alignment. Where that has gaps, each distinct read in turn is taken out and aligned anew with the column counts of the
+    rest; where that scores higher, it is put in so. Rounds end when no read moves (after ``rounds`` at the latest: scores of
+    affine gaps needn't rise for ever). Alignments without gaps stay as they are.
+    """
+    rows = star_alignment(reads)
+    if len(rows) < 3 or not any("-" in r for r in rows):
+        return rows
+    distinct = list(dict.fromkeys(rows))
+    weight = np.array([rows.count(r) for r in distinct], np.int64)
+    table = np.stack([np.frombuffer(r.encode("latin-1", "replace"), np.uint8) for r in distinct])
+    for _ in range(rounds if len(distinct) > 1 else 0):
+        moved, all_counts = False, _profile(table, weight)[0]
+        for d in range(len(distinct)):
+            n = int(weight.sum() - weight[d])
+            counts = all_counts - _profile(table[d : d + 1], weight[d : d + 1])[0]
+            bases = n - counts[:, 5]
+            was = _row_score(table[d], counts, bases, n)
+            columns = np.flatnonzero(bases > 0)
+            read = table[d][table[d] != BLANK]
+            score, steps = profile_alignment(read, counts[columns], bases[columns], n)
+            if score <= was:
+                continue
+            new = np.full((len(distinct), len(steps)), BLANK, np.uint8)
+            for k, (i, j) in enumerate(steps):
+                if j >= 0:
+                    new[:, k] = table[:, columns[j]]
+                new[d, k] = read[i] if i >= 0 else BLANK
+            table, moved = new, True
+            all_counts = _profile(table, weight)[0]
+        if not moved:
+            break
+    table = table[:, (table != BLANK).any(0)]
+    done = {r: row.tobytes().decode("latin-1") for r, row in zip(distinct, table)}
+    return [done[r] for r in rows]
+
+
 def insert_gaps(seq: str, gaps: list[tuple[int, int]]) -> str:
     """``seq`` with gaps put in: each (place, length) before the base at that place, from 0, of the sequence without them."""
     out, last = [], 0

@@ -295,7 +295,7 @@ def _whole_barcodes(batches, columns):
         yield held
 
 
-def _caller(min_reads: int, least: int | None, thres: float, lone_strands: bool, what: str):
+def _caller(min_reads: int, least: int | None, thres: float, lone_strands: bool, what: str, strands: bool = False):
     def run(batches):
         import pyarrow as pa
 
@@ -325,6 +325,13 @@ def _caller(min_reads: int, least: int | None, thres: float, lone_strands: bool,
             out = [(*k, [v[0][1], v[1][1]], merge_strings(a.target, a.query)) for (k, v), a in zip(both, merged)]
             if lone_strands:
                 out += [(*k, [v[0][1]], v[0][2]) for k, v in pairs.items() if len(v) == 1]
+            if what == "all":
+                out = [("duplex", bar, None, m, n, t) for bar, m, n, t in out]
+                out += [("strand", bar, o, m, [n], t) for bar, o, m, n, t in called] if strands else []
+                cols = list(zip(*out)) if out else [()] * 6
+                kinds = (pa.string(), pa.string(), pa.string(), pa.int32(), pa.list_(pa.int32()), pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["call", "barcode", "order", "mate", "n_reads", "seq"])
+                continue
             cols = list(zip(*out)) if out else [()] * 4
             yield pa.RecordBatch.from_arrays(
                 [pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.list_(pa.int32())), pa.array(cols[3], pa.string())],
@@ -360,6 +367,15 @@ def duplex(
     )
 
 
+def all_calls(
+    msa: DataFrame, *, min_reads: int = 3, qual_thres: int = 20, qual_format: str = "sanger", cons_thres: float = 0.5, incl_sscs: bool = False, sscs: bool = True
+) -> DataFrame:
+    """call (duplex or strand), barcode, order (of strands), mate, n_reads, seq: what ``duplex`` and, with ``sscs``, ``single_strand`` give, in one pass."""
+    least = ord(phred_char(qual_thres, qual_format))
+    task = _caller(min_reads, least, cons_thres, incl_sscs, "all", sscs)
+    return _by_barcode(msa).mapInArrow(task, "call string, barcode string, order string, mate int, n_reads array<int>, seq string")
+
+
 def duplex_frequency(a: DataFrame, b: DataFrame, keys: list[str], thres: float = 0.5) -> DataFrame:
     """keys, pos, base from two vote matrices: the first base with the highest mean share, if over ``thres``, else N."""
     names = ["n_A", "n_C", "n_G", "n_T", "n_N", "n_gap"]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from strandlake.functions.scalar import mark_differences, phred_char
 
-from .align import star_alignment, transfer_gaps
+from .align import refined_alignment, star_alignment, transfer_gaps
 from .barcodes import long_reads
 from .consensus import _whole_barcodes, consensus_native
 
@@ -30,10 +30,10 @@ def mafft(reads: list[str]) -> list[str] | None:
     return rows if len(rows) == len(reads) else None
 
 
-ALIGNERS: dict[str, Callable[[list[str]], list[str] | None]] = {"star": star_alignment, "mafft": mafft}
+ALIGNERS: dict[str, Callable[[list[str]], list[str] | None]] = {"profile": refined_alignment, "star": star_alignment, "mafft": mafft}
 
 
-def align_families(families: DataFrame, aligner: str = "star") -> DataFrame:
+def align_families(families: DataFrame, aligner: str = "profile") -> DataFrame:
     """(barcode, order, mate, name, seq, qual): each family's reads aligned, mate by mate.
 
     Rows keep their order, gaps go into the qualities as spaces, and a single read stays as it is. A family that the

@@ -224,6 +224,27 @@ def fastq_to_families(spark, sf_dir):
     return _ord(B.make_families(R.read_pairs(spark, *paths)))
 
 
+@_query("select name1 as name, 'GCATC' || seq1 as seq, alpha || 'GCATC' || seq1 as whole, repeat('I', 17) || qual1 as qual from reads")
+def fastq_folded(spark, sf_dir):
+    """First mates written as FASTQ over several lines a record, read by byte ranges of 64 KB."""
+    path = scratch_path(spark, "folded")
+    fold = lambda c, n: F.regexp_replace(c, f"(.{{{n}}})(?=.)", "$1\n")
+    record = F.concat(F.lit("@"), "name1", F.lit("\n"), fold("seq1", 13), F.lit("\n+\n"), fold("qual1", 11))
+    D.raw_pairs(spark, sf_dir).select(record.alias("value")).write.text(path)
+    R.datasource.register(spark)
+    rows = spark.read.format("fastq").schema("name string, seq string, qual string").options(split=1 << 16, most=1 << 12).load(path)
+    return rows.select("name", F.substr("seq", F.lit(13)).alias("seq"), F.col("seq").alias("whole"), "qual")
+
+
+@_query("""select c.k as tag, count(*) as n from (select barcode, ord, count(*) c from reads group by 1, 2 having count(*) >= 3) f, (select unnest(['ab1', 'ab2', 'ba1', 'ba2']) k) c where substr(c.k, 1, 2) = ord group by 1""")
+def strands_from_one_pass(spark, sf_dir):
+    """Single strands and duplexes from one alignment stage, written by one job to tagged folders, and the strands counted from what was written."""
+    path = scratch_path(spark, "calls")
+    W.write_tagged(W.tagged_fasta(C.all_calls(D.msa(spark, sf_dir))), path, ["1", "2", "sscs"])
+    head = R.parse_consensus_header("name")
+    return R.read_fasta(spark, f"{path}_sscs").groupBy(F.concat(head["order"], head["mate"].cast("string")).alias("tag")).agg(F.count("*").alias("n"))
+
+
 @_query("select barcode, ord, mate, name, seq, qual from msa")
 def msa_round_trip(spark, sf_dir):
     """Aligned families written as text and read back; gaps' qualities are spaces that must stay."""

@@ -45,6 +45,37 @@ def split_mates(consensus: DataFrame) -> tuple[DataFrame, DataFrame]:
     return consensus.where("mate = 1"), consensus.where("mate = 2")
 
 
+def tagged_fasta(calls: DataFrame) -> DataFrame:
+    """(value, output) of ``consensus.all_calls``: records of duplexes under outputs 1 and 2 by mate, of strands under sscs."""
+    counts = F.array_join(F.transform("n_reads", lambda n: n.cast("string")), "-")
+    strand = F.concat_ws(".", "barcode", "order", F.col("mate").cast("string"))
+    name = F.when(F.col("call") == "strand", strand).otherwise(F.col("barcode"))
+    output = F.when(F.col("call") == "strand", "sscs").otherwise(F.col("mate").cast("string"))
+    return calls.select(F.concat(F.lit(">"), name, F.lit(" "), counts, F.lit("\n"), F.col("seq")).alias("value"), output.alias("output"))
+
+
+def write_tagged(lines: DataFrame, path: str, outputs: list[str]) -> None:
+    """Write lines of (value, output) as folders of text files ``path_output``, all by one job.
+
+    The job writes a folder for each output it meets; these are renamed, and outputs without lines become empty folders. The folders mustn't exist.
+    """
+    spark, jvm = lines.sparkSession, lines.sparkSession._jvm
+    part = f"{path}_parts"
+    hadoop = jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(part).getFileSystem(spark._jsc.hadoopConfiguration())
+    for name in outputs:
+        if fs.exists(hadoop(f"{path}_{name}")):
+            raise FileExistsError(f"{path}_{name}")
+    lines.select("value", "output").write.partitionBy("output").text(part)
+    for name in outputs:
+        made = hadoop(f"{part}/output={name}")
+        if not fs.exists(made):
+            fs.mkdirs(hadoop(f"{path}_{name}"))
+        elif not fs.rename(made, hadoop(f"{path}_{name}")):
+            raise OSError(f"{path}_{name} could not be written")
+    fs.delete(hadoop(part), True)
+
+
 def pair_mates(sscs: DataFrame) -> DataFrame:
     """(barcode, order, n1, seq1, n2, seq2): single-strand consensus with both mates; unpaired ones are dropped."""
     one = sscs.where("mate = 1").select("barcode", "order", F.col("n_reads").alias("n1"), F.col("seq").alias("seq1"))
