@@ -170,17 +170,29 @@ def duplex_iupac(spark, sf_dir):
     return a.join(b, ["barcode", "mate"]).select("barcode", "mate", S.merge_bases("x", "y").alias("seq"))
 
 
-@_query(_PLAIN + """, q as materialized (select *, cast(3 - mate as int) other, n_A + n_C + n_G + n_T + n_N + n_gap t from m),
-j as (select a.barcode, a.mate, a.pos, (a.n_A / a.t + b.n_A / b.t) / 2 fa, (a.n_C / a.t + b.n_C / b.t) / 2 fc, (a.n_G / a.t + b.n_G / b.t) / 2 fg, (a.n_T / a.t + b.n_T / b.t) / 2 ft,
-      (a.n_N / a.t + b.n_N / b.t) / 2 fn, (a.n_gap / a.t + b.n_gap / b.t) / 2 fx from (select * from q where ord = 'ab') a join (select * from q where ord = 'ba') b on a.barcode = b.barcode and a.pos = b.pos and a.mate = b.other),
-k as (select *, greatest(fa, fc, fg, ft, fn, fx) top from j)
-select barcode, mate, pos, case when top <= 0.5 then 'N' when fa = top then 'A' when fc = top then 'C' when fg = top then 'G' when ft = top then 'T' when fn = top then 'N' else '-' end base from k""")
+_SHARES = ", ".join(f"max(case when ord = '{o}' then n_{b} / (n_A + n_C + n_G + n_T + n_N + n_gap) end) {o}_{b}" for b in ("A", "C", "G", "T", "N", "gap") for o in ("ab", "ba"))
+_MEANS = ", ".join(f"(ab_{b} + ba_{b}) / 2 f{b}" for b in ("A", "C", "G", "T", "N", "gap"))
+
+
+@_query(_PLAIN + f""", q as (select barcode, cast(case when ord = 'ab' then mate else 3 - mate end as int) mate, pos, {_SHARES} from m group by 1, 2, 3),
+j as (select barcode, mate, pos, {_MEANS} from q where ab_A is not null and ba_A is not null), k as (select *, greatest(fA, fC, fG, fT, fN, fgap) top from j)
+select barcode, mate, pos, case when top <= 0.5 then 'N' when fA = top then 'A' when fC = top then 'C' when fG = top then 'G' when fT = top then 'T' when fN = top then 'N' else '-' end base from k""")
 def duplex_freq(spark, sf_dir):
     m = C.vote_matrix(D.msa(spark, sf_dir))
     a, b = m.where("`order` = 'ab'").drop("order"), m.where("`order` = 'ba'").withColumn("mate", 3 - F.col("mate")).drop("order")
     return C.duplex_frequency(a, b, ["barcode", "mate"])
 
 
+@_query(_QUAL + _CALL + " select barcode, ord, mate, n_reads, replace(gapped, '-', '') seq from s")
+def sscs_by_sql(spark, sf_dir):
+    """Single-strand consensus from SQL alone: a table function over the families as partitions."""
+    from strandlake.functions import tables
+
+    tables.register(spark)
+    D.msa(spark, sf_dir).createOrReplaceTempView("strandlake_msa")
+    return spark.sql("select barcode, `order` as ord, mate, n_reads, seq from call_consensus(table(strandlake_msa) partition by (barcode, `order`, mate))")
+
+
 @_query()
 def dcs_full(spark, sf_dir):
     return C.duplex(D.msa(spark, sf_dir)).withColumn("n_reads", F.array_join(F.col("n_reads").cast("array<string>"), "-"))

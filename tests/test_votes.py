@@ -71,3 +71,23 @@ def test_a_read_is_a_row_of_the_shuffle(spark):
     assert (called.n_reads, called.consensus) == (5, "ACGTAC-T")
     low = C.consensus_native(df.selectExpr("barcode", "seq", "'IIII#I I' as qual").limit(5), ["barcode"], least="5", gapped=True).first()
     assert low.consensus == "ACGTNC-T"
+
+
+def test_table_functions(spark):
+    from strandlake.functions import scalar as S
+    from strandlake.operators import msa as M
+
+    S.register(spark)
+    rows = [("b", o, m, f"r{i}", s, "I" * len(s)) for o in ("ab", "ba") for m in (1, 2) for i, s in enumerate(("ACGTACGTAC", "ACGTCGTAC", "ACGTCGTAC", "ACGTCGTACC"))]
+    df = spark.createDataFrame([*rows, ("c", "ab", 1, "x", "AC", None)], "barcode string, order string, mate int, name string, seq string, qual string")
+    df.createOrReplaceTempView("reads_by_family")
+    aligned = spark.sql("select * from align_reads(table(reads_by_family) partition by (barcode, `order`, mate) order by name)")
+    wide = df.where("qual is not null").groupBy("barcode", "order", "name").pivot("mate", [1, 2]).agg(S.F.first("seq").alias("seq"), S.F.first("qual").alias("qual"))
+    wide = wide.selectExpr("barcode", "order", "name as name1", "`1_seq` as seq1", "`1_qual` as qual1", "name as name2", "`2_seq` as seq2", "`2_qual` as qual2")
+    assert sorted(aligned.where("qual is not null").collect()) == sorted(M.align_families(wide).collect())
+    aligned.where("qual is not null").createOrReplaceTempView("aligned_reads")
+    called = spark.sql("select * from call_consensus(table(aligned_reads) partition by (barcode, `order`, mate), 2, 20)")
+    assert sorted(called.collect()) == sorted(C.single_strand(aligned.where("qual is not null"), min_reads=2).collect())
+    spark.createDataFrame([("s", "b", "c"), ("s", "c", "d"), ("t", "x", "c"), ("s", "f", "e")], "sample string, src string, dst string").createOrReplaceTempView("edges_by_sample")
+    parts = spark.sql("select * from components_within(table(edges_by_sample) partition by sample)")
+    assert sorted(map(tuple, parts.collect())) == [("b", "b"), ("c", "b"), ("c", "c"), ("d", "b"), ("e", "e"), ("f", "e"), ("x", "c")]
