@@ -108,7 +108,7 @@ def main(argv: list[str] | None = None) -> None:
     elif a.command == "kmers":
         fam = readers.read_families(spark, a.families)
         fam = barcodes.first_barcodes(fam, a.num_barcodes) if a.num_barcodes else fam
-        tsv(qc.fuzzy_groups(qc.kmer_sets(fam, a.win_len, a.shift)), a.out)
+        tsv(qc.fuzzy_groups(qc.kmer_members(fam, a.win_len, a.shift)), a.out)
     elif a.command == "simulate":
         reference = "".join(r.seq for r in readers.read_fasta(spark, a.fasta).orderBy("path", "rec").select("seq").collect())
         options = {k: getattr(a, k) for k in ("n_frags", "frag_len", "read_len", "seq_error", "pcr_error", "cycles", "indel_rate", "extension_rate", "bar_len", "invariant", "qual", "seed")}

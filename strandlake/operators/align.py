@@ -220,6 +220,38 @@ def global_alignment(a: str, b: str) -> tuple[str, str]:
     return "".join(reversed(out_a)), "".join(reversed(out_b))
 
 
+def star_pair(centre: str, read: str) -> tuple[str, str]:
+    """A read aligned with a centre; one of the same length with up to two other bases stands beside it as it is."""
+    same = len(read) == len(centre) and sum(x != y for x, y in zip(read, centre)) <= 2
+    return (centre, read) if same else global_alignment(centre, read)
+
+
+def centre_gaps(aligned: str) -> list[int]:
+    """How many gaps an aligned centre has before each of its bases and at its end."""
+    gaps, run = [], 0
+    for ch in aligned:
+        if ch == "-":
+            run += 1
+        else:
+            gaps.append(run)
+            run = 0
+    return [*gaps, run]
+
+
+def star_row(centre: str, read: str, gaps: list[int]) -> str:
+    """The row of a read, aligned with a centre, in an alignment that puts ``gaps[i]`` columns before base i of the centre."""
+    out, k = [], 0
+    for at, wide in enumerate(gaps):
+        run = k
+        while k < len(centre) and centre[k] == "-":
+            k += 1
+        out.append(read[run:k] + "-" * (wide - (k - run)))
+        if at < len(gaps) - 1:
+            out.append(read[k])
+            k += 1
+    return "".join(out)
+
+
 def star_alignment(reads: list[str]) -> list[str]:
     """A multiple alignment around the commonest read (the first of the commonest); rows stay in order, in upper case.
 
@@ -232,33 +264,9 @@ def star_alignment(reads: list[str]) -> list[str]:
     for r in reads:
         counts[r] += 1
     centre = max(reads, key=lambda r: counts[r])
-    pairs = {}
-    for r in counts:
-        same = len(r) == len(centre) and sum(x != y for x, y in zip(r, centre)) <= 2
-        pairs[r] = (centre, r) if same else global_alignment(centre, r)
-    # gaps[i]: how many columns are put in before base i of the centre
-    gaps = [0] * (len(centre) + 1)
-    for c, _ in pairs.values():
-        at = run = 0
-        for ch in c + "\0":
-            if ch == "-":
-                run += 1
-            else:
-                gaps[at] = max(gaps[at], run)
-                at, run = at + 1, 0
-    rows = {}
-    for r, (c, q) in pairs.items():
-        out, at, k = [], 0, 0
-        while at <= len(centre):
-            run = k
-            while k < len(c) and c[k] == "-":
-                k += 1
-            out.append(q[run:k] + "-" * (gaps[at] - (k - run)))
-            if at < len(centre):
-                out.append(q[k])
-                k += 1
-            at += 1
-        rows[r] = "".join(out)
+    pairs = {r: star_pair(centre, r) for r in counts}
+    gaps = [max(each) for each in zip(*(centre_gaps(c) for c, _ in pairs.values()))]
+    rows = {r: star_row(c, q, gaps) for r, (c, q) in pairs.items()}
     return [rows[r] for r in reads]
 
 

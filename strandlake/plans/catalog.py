@@ -523,7 +523,7 @@ def kmer_sets(spark, sf_dir):
 
 @_query()
 def fuzzy_match(spark, sf_dir):
-    return Q.fuzzy_groups(Q.kmer_sets(D.noisy_families(spark, sf_dir), 10)).withColumn("similarity", F.round("similarity", 6))
+    return Q.fuzzy_groups(Q.kmer_members(D.noisy_families(spark, sf_dir), 10)).withColumn("similarity", F.round("similarity", 6))
 
 
 @_query()
