@@ -357,6 +357,28 @@ def test_neighbours_against_all_pairs(spark):
     assert {tuple(r) for r in X.neighbours(df).collect()} == expected
 
 
+def test_neighbours_of_little_variety(spark):
+    """Barcodes that share their seeds with most others: the same pairs under strings without a base, of which few aren't neighbours."""
+    rng = random.Random(6)
+    bars = {"A" * 16, "AC" * 8, "A" * 8 + "C" * 8}
+    while len(bars) < 70:
+        b = rng.choice(sorted(bars))
+        i = rng.randrange(16)
+        bars.add(rng.choice([b[:i] + rng.choice("AC") + b[i + 1 :], b[1:] + "A", "C" + b[:-1]]))
+    expected = {
+        (q, t, rev) for q in bars for t in bars for rev in (False, True)
+        if q != t and edit_distance_to_stretch(q, t[8:] + t[:8] if rev else t, 2) <= 1
+    }
+    df = spark.createDataFrame([(b,) for b in bars] + [(None,), ("A" * 16,)], "barcode string")
+    for crowd in (0, 5, 1000):
+        assert {tuple(r) for r in X.neighbours(df, crowd=crowd).collect()} == expected
+    plain = spark.createDataFrame([(b,) for b in bars], "barcode string")
+    targets = plain.select(F.col("barcode").alias("dst"), F.col("barcode").alias("t"), F.lit(False).alias("reversed"))
+    met = X._one_edit(plain, targets, 2).where("src <> dst").select("src", "dst").distinct().count()
+    assert met == len({(a, b) for a, b, rev in expected if not rev})
+    assert X.neighbours(df.limit(0)).count() == 0
+
+
 def test_correction_of_families(spark):
     main, near, turned = "AACCGGTTACGTACCA", "AACCGGTTACGTACCT", "ACGTACCAAACCGGTT"
     cols = "barcode string, order string, name1 string, seq1 string, qual1 string, name2 string, seq2 string, qual2 string"
