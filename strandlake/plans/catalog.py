@@ -454,6 +454,16 @@ def component_degrees(spark, sf_dir):
     return rows.agg(F.sum("n").alias("n"), F.sum("central").alias("central"))
 
 
+@_query(_EDGES + _PARTS + """, dd as (select src barcode, count(distinct dst) deg from y where src <> dst group by src),
+cc as (select component, count(*) size, list(deg order by deg desc) degrees, max(deg) = count(*) - 1 central from p join dd using (barcode) group by component),
+ss as (select size, degrees, count(*) n, count(*) filter (central) central from cc where size <= 4 group by size, degrees)
+select size, chr(64 + cast(row_number() over (partition by size order by n desc, degrees) as int)) ordinal, n, central, array_to_string(degrees, ',') degrees from ss""")
+def component_shapes_of_four(spark, sf_dir):
+    """Structures of up to four barcodes: each has degrees of its own."""
+    rows = X.component_shapes(X.neighbours(D.noisy_families(spark, sf_dir))).where("size <= 4")
+    return rows.withColumn("degrees", F.array_join(F.col("degrees").cast("array<string>"), ","))
+
+
 @_query(_EDGES + """, n as (select barcode, count(*) filter (ord = 'ab') a, count(*) filter (ord = 'ba') b from bars group by barcode),
 z as (select src barcode, sum(n.a) xa, sum(n.b) xb from (select distinct src, dst from e) d join n on n.barcode = d.dst group by src),
 o as (select n.a, n.b, n.a + coalesce(xa, 0) aa, n.b + coalesce(xb, 0) bb from n left join z on z.barcode = n.barcode)

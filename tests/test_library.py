@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import random
 import sys
 
@@ -426,6 +427,51 @@ def test_shapes(spark):
     assert X.canonical_form(ring) == X.canonical_form(mixed) != X.canonical_form(two)
 
 
+def test_shapes_of_symmetric_and_large_components(spark):
+    """A long ring, graphs of twelve links a node, and pairs that colours alone don't tell apart."""
+    rng = random.Random(11)
+
+    def graph(links, tag, shuffled=True):
+        names = sorted({x for link in links for x in link})
+        order = rng.sample(range(len(names)), len(names)) if shuffled else range(len(names))
+        to = {x: f"{tag}{i:06d}" for x, i in zip(names, order)}
+        return [(to[a], to[b]) for a, b in links]
+
+    ring = [(i, (i + 1) % 20_000) for i in range(20_000)]
+    # Words of three letters out of five, linked where they differ at one place: 125 nodes of twelve links.
+    words = list(itertools.product(range(5), repeat=3))
+    hamming = [(a, b) for a, b in itertools.combinations(words, 2) if sum(x != y for x, y in zip(a, b)) == 1]
+    circle = [tuple(sorted((i, (i + d) % 125))) for i in range(125) for d in range(1, 7)]
+    # Both have three links a node and six nodes; only one has triangles.
+    prism = [(0, 1), (1, 2), (0, 2), (3, 4), (4, 5), (3, 5), (0, 3), (1, 4), (2, 5)]
+    utility = [(a, b) for a in (0, 1, 2) for b in (3, 4, 5)]
+    tree = [(0, 1), (0, 2), (0, 3), (1, 4), (4, 5)]
+    other = [(0, 1), (0, 2), (0, 3), (1, 4), (2, 5)]
+    links = graph(ring, "r")
+    for i, g in enumerate([hamming, hamming, circle, prism, utility, prism, tree, other, tree]):
+        links += graph(g, f"g{i}-")
+    df = spark.createDataFrame([(*e, False) for e in links], "src string, dst string, reversed boolean")
+    got = sorted((r.size, r.ordinal, r.n, r.central, len(r.degrees), r.degrees[0]) for r in X.component_shapes(df).collect())
+    assert got == [
+        (6, "A", 2, 0, 6, 3), (6, "B", 2, 0, 6, 3), (6, "C", 1, 0, 6, 3), (6, "D", 1, 0, 6, 3),
+        (125, "A", 2, 0, 125, 12), (125, "B", 1, 0, 125, 12), (20_000, "A", 1, 0, 20_000, 2),
+    ]
+    assert X.component_shapes(df.limit(0)).count() == 0
+
+
+def test_canonical_form_against_permutations():
+    """Small graphs: names are equal if and only if some renaming makes the graphs equal."""
+    rng = random.Random(3)
+    graphs = []
+    for _ in range(60):
+        n = rng.randrange(4, 7)
+        links = {(i, rng.randrange(i)) for i in range(1, n)} | {tuple(sorted(rng.sample(range(n), 2), reverse=True)) for _ in range(rng.randrange(6))}
+        graphs.append((n, links))
+    least = lambda n, links: min(tuple(sorted(tuple(sorted((p[a], p[b]))) for a, b in links)) for p in itertools.permutations(range(n)))
+    found = [(X.canonical_form([(f"x{a}", f"x{b}") for a, b in g])[0], (n, least(n, g))) for n, g in graphs]
+    assert len({a for a, _ in found}) == len({b for _, b in found}) == len(set(found))
+
+
 # ---- quality control
 
 
