@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import WORD, binary_column, bitmap, connected_components, discard, materialise, shingle_hashes, slices, words_of
@@ -56,7 +56,9 @@ def _profile(width: int):
 
         names = ["kind", "doc_id", "h", "n", "sig", "hist", "piece", "counts"]
         total, waiting, size = np.zeros(CELLS, np.int64), [], 0
+        id_type = pa.int64()
         for whole in batches:
+            id_type = whole.schema.field("doc_id").type
             for batch in slices(whole, 500):
                 n, sig, hist = [], [], []
                 for text in binary_column(batch, "text"):
@@ -81,7 +83,7 @@ def _profile(width: int):
 
             parts = [zlib.compress(p.astype(np.uint32).tobytes(), 1) for p in np.split(total, PIECES)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([1] * PIECES, pa.int32()), pa.nulls(PIECES, pa.int64()), pa.nulls(PIECES, pa.int64()), pa.nulls(PIECES, pa.int64()),
+                [pa.array([1] * PIECES, pa.int32()), pa.nulls(PIECES, id_type), pa.nulls(PIECES, pa.int64()), pa.nulls(PIECES, pa.int64()),
                  pa.nulls(PIECES, pa.int64()), pa.nulls(PIECES, pa.binary()), pa.array(range(PIECES), pa.int32()),
                  pa.array(parts, pa.binary())], names,
             )
@@ -363,15 +365,22 @@ def _cluster_parts(sets: DataFrame, clusters: DataFrame, num: int, den: int, blo
     return connected_components(links, "jaccard-components")
 
 
+def _id(docs: DataFrame, id_col: str) -> Column:
+    """The id column: integers as long, all else (strings, dates) in its own type and order."""
+    whole = docs.schema[id_col].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint")
+    return F.col(id_col).cast("long") if whole else F.col(id_col)
+
+
 def _components(docs: DataFrame, id_col: str, text_col: str, width: int, share: tuple[int, int], window: int, block: int) -> DataFrame:
     """(doc_id, h: hash of the text, n: size of the set, c: class of the component or null, component_id) of every row."""
     num, den = share
     spark = docs.sparkSession
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    src = docs.select(_id(docs, id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    id_type = src.schema["doc_id"].dataType.simpleString()
     hashed = src.withColumn("h", F.xxhash64("text"))
     profile = materialise(
         hashed.mapInArrow(
-            _profile(width), "kind int, doc_id long, h long, n long, sig long, hist binary, piece int, counts binary"
+            _profile(width), f"kind int, doc_id {id_type}, h long, n long, sig long, hist binary, piece int, counts binary"
         ),
         "jaccard-profile",
     )
@@ -429,7 +438,8 @@ def near_duplicates(
        gathered whole; parts that grow together in random blocks are only held against what stayed outside.
 
     A null or empty text has no shingles and its own id as component; null ids never name a component; rows of one id and
-    other text are linked by their texts alone; repeated rows are copies; an empty table gives an empty result.
+    other text are linked by their texts alone; repeated rows are copies; an empty table gives an empty result. Ids may be of
+    any type that has an order; integers come back as long.
     """
     rows = _components(docs, id_col, text_col, width, share, window, block)
     return rows.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
@@ -450,7 +460,7 @@ def keep_one(
     best = materialise(best.select(F.col("o.doc_id").alias("kept_id"), F.col("o.h").alias("kept_h"), "size"), "jaccard-keep")
     # Whole rows travel as one column, whatever their columns are called.
     whole = docs.select(
-        F.col(id_col).cast("long").alias("d"), F.xxhash64(F.col(text_col).cast("string")).alias("th"),
+        _id(docs, id_col).alias("d"), F.xxhash64(F.col(text_col).cast("string")).alias("th"),
         (F.size(F.split(F.coalesce(F.col(text_col).cast("string"), F.lit("")), WORD, 2)) > 1).alias("has_words"),
         F.struct(*[docs[c] for c in docs.columns]).alias("row"),
     )

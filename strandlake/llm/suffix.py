@@ -856,7 +856,8 @@ def remove_repeats(
 
     A null or empty text has 0 bytes and loses none. Documents of one id are ordered by a hash of the text, null ids
     come last; rows of the same id and text are one document and each get its result; other columns are not read; an
-    empty table gives an empty result. A saved family takes no null or repeated ids, and none that it has already.
+    empty table gives an empty result. A saved family takes no null or repeated ids, and none that it has already. Ids are whole
+    numbers: one that can't be read as such is an error (CAST_INVALID_INPUT), as batches are cut by their order.
     """
     spark = docs.sparkSession
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))

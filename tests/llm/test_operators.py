@@ -297,6 +297,17 @@ def test_jaccard_join_odd_rows(odd):
     assert got == Counter(H.components(pairs(odd), 3, 90, 100))
 
 
+def test_jaccard_of_ids_that_are_no_numbers(spark):
+    from strandlake.llm.jaccard import keep_one, near_duplicates
+
+    long = " ".join(f"w{i}" for i in range(40))
+    rows = [("b-10", long), ("b-9", long + " end"), ("a", "quite another text of more than five words"), (None, long), ("c", None), ("d", "")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    got = {(r.doc_id, r.component_id) for r in near_duplicates(docs).collect()}
+    assert got == {("b-10", "b-10"), ("b-9", "b-10"), ("a", "a"), (None, "b-10"), ("c", "c"), ("d", "d")}
+    assert sorted(r.doc_id for r in keep_one(docs).collect()) == ["a", "b-10", "c", "d"]
+
+
 def test_keep_one(odd, none):
     from strandlake.llm.jaccard import keep_one
 
