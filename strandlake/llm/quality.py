@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import GAPS, WORD, discard, materialise
@@ -85,23 +85,26 @@ def _transformed() -> dict[str, Column]:
 PAIRS = tuple((a, b) for i, a in enumerate(DIMS) for b in DIMS[: i + 1])
 
 
+# Estimates are SQL text, one selection each in which later columns use earlier ones: a driver that makes plans in rounds then spends little on each.
+
+
 def _whiten(df: DataFrame) -> DataFrame:
     """Adds d2, the squared Mahalanobis distance of x_* from m_* under the Cholesky factor l_*."""
-    for i, a in enumerate(DIMS):
-        rest = F.col(f"x_{a}") / GRID - F.col(f"m_{a}")
-        for b in DIMS[:i]:
-            rest = rest - F.col(f"l_{a}_{b}") * F.col(f"y_{b}")
-        df = df.withColumn(f"y_{a}", rest / F.col(f"l_{a}_{a}"))
-    d2 = sum((F.col(f"y_{a}") * F.col(f"y_{a}") for a in DIMS), F.lit(0.0))
-    return df.withColumn("d2", d2).drop(*[f"y_{a}" for a in DIMS])
+    rest = lambda i, a: " - ".join([f"x_{a} / {GRID} - m_{a}", *[f"l_{a}_{b} * y_{b}" for b in DIMS[:i]]])
+    ys = [f"({rest(i, a)}) / l_{a}_{a} as y_{a}" for i, a in enumerate(DIMS)]
+    return df.selectExpr("*", *ys, " + ".join(f"y_{a} * y_{a}" for a in DIMS) + " as d2").drop(*[f"y_{a}" for a in DIMS])
+
 
+def _sums() -> list[Column]:
+    """Number, sums and sums of products of x_*, exact integers."""
+    sums = ["count(*) as n", *[f"sum(x_{a}) as s_{a}" for a in DIMS], *[f"sum(x_{a} * x_{b}) as q_{a}_{b}" for a, b in PAIRS]]
+    return [F.expr(e) for e in sums]
 
-def _moments(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Adds to each group of x_* (on the grid) its means m_* and covariances c_*, from exact integer sums."""
-    sums = [F.count("*").cast("double").alias("n")] + [F.sum(f"x_{a}").alias(f"s_{a}") for a in DIMS]
-    sums += [F.sum(F.col(f"x_{a}") * F.col(f"x_{b}")).alias(f"q_{a}_{b}") for a, b in PAIRS]
-    g = rows.groupBy(*keys).agg(*sums).withColumns({f"m_{a}": F.col(f"s_{a}") / F.col("n") / GRID for a in DIMS})
-    return g.withColumns({f"c_{a}_{b}": F.col(f"q_{a}_{b}") / F.col("n") / (GRID * GRID) - F.col(f"m_{a}") * F.col(f"m_{b}") for a, b in PAIRS})
+
+def _moments(g: DataFrame, factor: float = 1.0) -> DataFrame:
+    """Adds means m_* and covariances c_*, times ``factor``, to the sums of groups of x_* (on the grid)."""
+    means = [f"s_{a} / cast(n as double) / {GRID} as m_{a}" for a in DIMS]
+    return g.selectExpr("*", *means, *[f"(q_{a}_{b} / cast(n as double) / {GRID * GRID} - m_{a} * m_{b}) * {factor!r}D as c_{a}_{b}" for a, b in PAIRS])
 
 
 def _factored(g: DataFrame, keys: list[str]) -> DataFrame:
@@ -109,14 +112,12 @@ def _factored(g: DataFrame, keys: list[str]) -> DataFrame:
 
     What is left of a variance counts at least as the square of its floor, so a constant statistic can't make small differences large.
     """
+    low = []
     for i, a in enumerate(DIMS):
         for j, b in enumerate(DIMS[: i + 1]):
-            left = F.col(f"c_{a}_{b}")
-            for k in DIMS[:j]:
-                left = left - F.col(f"l_{a}_{k}") * F.col(f"l_{b}_{k}")
-            g = g.withColumn(f"l_{a}_{b}", F.sqrt(F.greatest(left, F.lit(FLOORS[a] ** 2))) if a == b else left / F.col(f"l_{b}_{b}"))
-    logdet = sum((F.log(F.col(f"l_{a}_{a}")) for a in DIMS), F.lit(0.0))
-    return g.select(*keys, *[f"m_{a}" for a in DIMS], *[f"l_{a}_{b}" for a, b in PAIRS], logdet.alias("logdet"))
+            left = " - ".join([f"c_{a}_{b}", *[f"l_{a}_{k} * l_{b}_{k}" for k in DIMS[:j]]])
+            low.append((f"sqrt(greatest({left}, {FLOORS[a] ** 2!r}D))" if a == b else f"({left}) / l_{b}_{b}") + f" as l_{a}_{b}")
+    return g.selectExpr(*keys, *[f"m_{a}" for a in DIMS], *low, " + ".join(f"ln(l_{a}_{a})" for a in DIMS) + " as logdet")
 
 
 def _centred(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -143,45 +144,47 @@ def _starts(near: DataFrame, scale: DataFrame) -> DataFrame:
     on_grid = lambda form: F.struct(*[F.floor(form(a) * GRID + 0.5).cast("long").alias(f"x_{a}") for a in DIMS])
     rows = z.select("grp", F.posexplode(F.array(*map(on_grid, forms))).alias("start", "y")).select("grp", (F.col("start") + 1).alias("start"), "y.*")
     own = lambda a: F.sqrt(F.greatest(F.col(f"r_{a}_{a}"), F.lit(1e-6)))
-    made = _moments(rows, ["grp", "start"]).select("grp", "start", *[F.col(f"c_{a}_{b}").alias(f"r_{a}_{b}") for a, b in PAIRS])
+    made = _moments(rows.groupBy("grp", "start").agg(*_sums())).select("grp", "start", *[F.col(f"c_{a}_{b}").alias(f"r_{a}_{b}") for a, b in PAIRS])
     made = made.unionByName(scale.select("grp", F.lit(0).alias("start"), *[F.lit(float(a == b)).alias(f"r_{a}_{b}") for a, b in PAIRS])).join(scale, "grp")
     made = made.withColumns({f"c_{a}_{b}": F.col(f"r_{a}_{b}") / own(a) / own(b) * F.col(f"u_{a}") * F.col(f"u_{b}") for a, b in PAIRS})
     return _factored(made.withColumns({f"m_{a}": F.lit(0.0) for a in DIMS}), ["grp", "start"])
 
 
-def _estimate(core: DataFrame, keys: list[str], factor: float) -> DataFrame:
-    g = _moments(core, keys)
-    return _factored(g.withColumns({f"c_{a}_{b}": F.col(f"c_{a}_{b}") * factor for a, b in PAIRS}), keys)
+def _nearest(near: DataFrame, est: DataFrame, keys: list[str], half: float) -> DataFrame:
+    """(keys, sums, last) over the ``half`` of each estimate's rows that are nearest to it, ties of the edge included, in one pass over the rows.
+
+    Rows are summed by cells of their distance on a logarithmic grid; running counts over the cells, which the grid bounds, tell where the half ends.
+    """
+    r = F.floor(F.log1p("d2") * GRID + 0.5).cast("long").alias("r")
+    cells = _whiten(near.join(est, "grp")).groupBy(*keys, r).agg(*_sums(), F.max("logdet").alias("last"))
+    run = Window.partitionBy(*keys).orderBy("r").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cells = cells.withColumns({"before": F.sum("n").over(run) - F.col("n"), "all": F.sum("n").over(Window.partitionBy(*keys))})
+    names = ["n", *[f"s_{a}" for a in DIMS], *[f"q_{a}_{b}" for a, b in PAIRS]]
+    inside = cells.where(F.col("before") <= F.floor((F.col("all") - 1) * F.lit(half)))
+    return inside.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in names], F.max("last").alias("last"))
 
 
-def minimum_covariance(fit: DataFrame, *, half: float, most_steps: int, tolerance: float = 1e-6) -> DataFrame:
+def minimum_covariance(fit: DataFrame, *, half: float, tolerance: float = 1e-6) -> DataFrame:
     """(grp, v_*, m_*, l_*) of rows (grp, x_*): the minimum-covariance-determinant estimates, reweighted.
 
-    From each start, concentration steps on the ``half`` of the rows nearest to the centre go on until the determinant falls no more;
-    of a group's starts the one that ends with the smallest determinant counts.
+    From each start, concentration steps on the ``half`` of the rows nearest to the centre go on until the determinant's logarithm falls by less than
+    ``tolerance``; the floors bound it below, so they end. Of a group's starts the one that ends with the smallest determinant counts.
     """
     d, keys = len(DIMS), ["grp", "start"]
     consistent = lambda p: p / chi2_cdf(chi2_quantile(p, d), d + 2)
     near, scale = _centred(fit)
+    # Estimates are tables by themselves, so that their size is known and rows meet them without a shuffle.
     est = materialise(_starts(near, scale).withColumns({"logdet": F.lit(float("inf")), "done": F.lit(False)}), "quality-est")
-    grid_d2 = F.floor(F.log1p("d2") * GRID + 0.5).cast("long")
-    for step in range(most_steps):
-        open_ = est.where("not done")
-        if step and not open_.limit(1).count():
-            break
-        edge = _whiten(near.join(open_.drop("logdet", "done"), "grp")).withColumn("r", grid_d2).groupBy(*keys).agg(F.expr(f"percentile(r, {half})").alias("edge"))
-        # Estimates are tables by themselves, so that their size is known and rows meet them without a shuffle.
-        edge = materialise(open_.drop("logdet", "done").join(edge, keys), "quality-edge")
-        new = _estimate(_whiten(near.join(edge, "grp")).where(grid_d2 <= F.col("edge")), keys, consistent(half))
-        last = open_.select(*keys, F.col("logdet").alias("last"))
-        new = new.join(last, keys).withColumn("done", F.col("last") - F.col("logdet") < tolerance).drop("last")
+    while not est.where("not done").isEmpty():
+        sums = _nearest(near, est.where("not done").drop("done"), keys, half)
+        new = _factored(_moments(sums, consistent(half)), [*keys, "last"]).withColumn("done", F.col("last") - F.col("logdet") < tolerance).drop("last")
         est, old = materialise(new.unionByName(est.where("done")), "quality-est"), est
         discard(old)
-        discard(edge)
     best = est.groupBy("grp").agg(F.min(F.struct(F.round("logdet", 6).alias("d"), "start")).alias("b")).select("grp", F.col("b.start").alias("start"))
     best = materialise(est.join(best, keys).drop("start", "logdet", "done"), "quality-best")
-    core = _whiten(near.join(best, "grp")).where(F.col("d2") <= chi2_quantile(0.975, d))
-    out = materialise(_estimate(core, ["grp"], consistent(0.975)).join(scale.select("grp", *[f"v_{a}" for a in DIMS]), "grp"), "quality-final")
+    core = _whiten(near.join(best, "grp")).where(F.col("d2") <= chi2_quantile(0.975, d)).groupBy("grp").agg(*_sums())
+    out = _factored(_moments(core, consistent(0.975)), ["grp"]).join(scale.select("grp", *[f"v_{a}" for a in DIMS]), "grp")
+    out = materialise(out, "quality-final")
     for table in (est, best, near, scale):
         discard(table)
     return out
@@ -189,7 +192,7 @@ def minimum_covariance(fit: DataFrame, *, half: float, most_steps: int, toleranc
 
 def quality_rules(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", group_cols=("lang", "source"), keep=(),
-    half: float = 0.6, most_steps: int = 12, tail: float = 1e-6, min_group: int = 100,
+    half: float = 0.6, tail: float = 1e-6, min_group: int = 100,
 ) -> DataFrame:
     """Base statistics, base_failed, distance2 and kept of every row, with the columns in ``keep``.
 
@@ -229,9 +232,11 @@ def quality_rules(
     fit = stats.where("not base_failed").join(
         feeds, stats._lang.eqNullSafe(feeds.l) & stats._source.eqNullSafe(feeds.s)
     ).select("grp", *[f"x_{a}" for a in DIMS])
-    est = minimum_covariance(fit, half=half, most_steps=most_steps)
+    est = minimum_covariance(fit, half=half)
 
     own = materialise(own.join(est, "grp", "left"), "quality-own")
+    for table in (named, feeds, est):
+        discard(table)
     out = stats.join(own, stats._lang.eqNullSafe(own.l) & stats._source.eqNullSafe(own.s), "left")
     out = _whiten(out.withColumns({f"x_{a}": F.col(f"x_{a}") - F.col(f"v_{a}") for a in DIMS}))
     cutoff = chi2_quantile(1 - tail, len(DIMS))

@@ -137,7 +137,7 @@ def test_estimate_resists_a_third_of_outliers(spark):
     bad = np.array([3.0, -3, 3, -3, 3]) + 0.3 * rng.normal(size=(300, 5))
     x = np.floor(np.r_[good, bad] * GRID + 0.5).astype(int)
     rows = spark.createDataFrame([("g", *map(int, r)) for r in x], "grp string, " + ", ".join(f"x_{a} long" for a in DIMS))
-    got = minimum_covariance(rows, half=0.6, most_steps=12).first()
+    got = minimum_covariance(rows, half=0.6).first()
     centre = np.trunc(np.median(x, axis=0))
     m, low = mcd_estimate((x - centre) / GRID, 0.6, 12)
     assert np.allclose([got[f"m_{a}"] for a in DIMS], m) and np.allclose([[got[f"l_{a}_{b}"] if j <= i else 0 for j, b in enumerate(DIMS)] for i, a in enumerate(DIMS)], low)
