@@ -163,7 +163,7 @@ def apply_mutation(seq: Column | str, kind: Column | str, coord: Column | str, a
 def register(spark) -> None:
     """The functions by name in SQL: built-in expressions as temporary SQL functions, alignment as an Arrow function, and the table functions."""
     from strandlake.functions import tables
-    from strandlake.operators.align import sw_align
+    from strandlake.operators.align import near_align, sw_align
 
     pairs = {c + c: c for c in "ACGT-"} | {x[i] + x[1 - i]: code for x, code in AMBIGUITY.items() for i in (0, 1)}
     table = ", ".join(f"'{k}', '{v}'" for k, v in sorted(pairs.items()))
@@ -185,4 +185,5 @@ def register(spark) -> None:
     for name, (args, body) in texts.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({args}) RETURNS STRING RETURN {body}")
     spark.udf.register("sw_align", sw_align)
+    spark.udf.register("near_align", near_align)
     tables.register(spark)

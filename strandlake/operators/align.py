@@ -415,6 +415,67 @@ def insert_gaps(seq: str, gaps: list[tuple[int, int]]) -> str:
     return "".join([*out, seq[last:]])
 
 
+def shortest_shift(a: str, b: str, window: int = 5, least: int = 3, i: int = 0, j: int = 0) -> int | None:
+    """The fewest bases of ``a`` from ``i`` on (one at least) to pass over so that what follows agrees with ``b`` from ``j`` on.
+
+    It agrees if ``window`` bases are equal; where a sequence ends before, those that are left, at least ``least``.
+    """
+    n = min(window, len(b) - j)
+    if n < least:
+        return None
+    whole = a.find(b[j : j + n], i + 1)
+    if whole >= 0:
+        return whole - i
+    # Windows that a's end cuts start later than any whole one; the longest starts first.
+    cut = (r for r in range(n - 1, least - 1, -1) if len(a) - r > i and a.endswith(b[j : j + r]))
+    return next((len(a) - r - i for r in cut), None)
+
+
+def near_gaps(target: str, query: str, window: int = 5, least: int = 3, longest: int | None = None) -> list[tuple[bool, int, int]]:
+    """(in the target, place, length) of the gaps between two sequences that are nearly aligned already, places as ``insert_gaps`` takes them.
+
+    Bases are compared without gaps, all of one shift at once. At the first that differ, the shortest gap after which the sequences agree again
+    (``shortest_shift``; in the query, if both would do) changes the shift; where there is none, of at most ``longest`` bases, they are a substitution.
+    """
+    t, q = (np.frombuffer(x.encode("utf-32-le"), np.uint32) for x in (target, query))
+    gaps, i, j, on = [], 0, 0, True
+    while on:
+        on, n = False, min(len(t) - i, len(q) - j)
+        for off in np.flatnonzero(t[i : i + n] != q[j : j + n]).tolist():
+            ways = [(shortest_shift(target, query, window, least, i + off, j + off), False), (shortest_shift(query, target, window, least, j + off, i + off), True)]
+            ways = [w for w in ways if w[0] and (longest is None or w[0] <= longest)]
+            if ways:
+                k, in_target = min(ways)
+                i, j, on = i + off, j + off, True
+                gaps.append((in_target, i if in_target else j, k))
+                i, j = (i, j + k) if in_target else (i + k, j)
+                break
+    return gaps
+
+
+_NEAR = T.StructType([
+    T.StructField("target", T.StringType()), T.StructField("query", T.StringType()), T.StructField("n_gaps", T.LongType()), T.StructField("matches", T.LongType()),
+])
+
+
+@pandas_udf(_NEAR)
+def near_align(target: pd.Series, query: pd.Series) -> pd.DataFrame:
+    """Two columns of nearly aligned sequences with their gaps put in, as a struct (target, query, n_gaps, matches); null where either is null.
+
+    The shorter row is filled with gaps at its end, which don't count in ``n_gaps``.
+    """
+
+    def one(t: str | None, q: str | None):
+        if t is None or q is None:
+            return (None,) * 4
+        gaps = near_gaps(t, q)
+        x, y = (insert_gaps(s, [g[1:] for g in gaps if g[0] == own]) for s, own in ((t, True), (q, False)))
+        width = max(len(x), len(y))
+        return x.ljust(width, "-"), y.ljust(width, "-"), len(gaps), sum(c == d for c, d in zip(x, y))
+
+    return pd.DataFrame([one(t, q) for t, q in zip(target, query)], columns=_NEAR.names, dtype=object)
+
+
 def transfer_gaps(gapped: str, ungapped: str, new_gap: str = "-") -> str:
     """``ungapped`` with ``new_gap`` wherever ``gapped`` has a gap."""
     rest = iter(ungapped)

@@ -12,7 +12,7 @@ from strandlake.operators import correction as X
 from strandlake.operators import msa as M
 from strandlake.operators import qc as Q
 from strandlake.operators import simulate as I
-from strandlake.operators.align import ALIGNMENT_TYPE, align_pairs
+from strandlake.operators.align import ALIGNMENT_TYPE, align_pairs, near_align as near_align_column
 from strandlake.operators.scratch import materialise, scratch_path
 from strandlake.sources import readers as R
 from strandlake.sources import writers as W
@@ -590,6 +590,30 @@ def sw_align(spark, sf_dir):
     return one.where("t is not null and q is not null").mapInArrow(run, "barcode string, " + ALIGNMENT_TYPE[7:-1].replace(":", " "))
 
 
+_NEAR_PAIRS = "select name1, case when sk % 2 = 0 then s0 else replace(gseq, '-', '') end t, case when sk % 2 = 0 then replace(gseq, '-', '') else s0 end q from reads"
+_SHIFT = "list_min(list_filter(range(1, {n} - {i}), lambda k: least(5, {n} - {i} - k, {m} - {j}) >= 3 and substr({a}, {i} + k + 1, least(5, {n} - {i} - k, {m} - {j})) = substr({b}, {j} + 1, least(5, {n} - {i} - k, {m} - {j}))))"
+_SHIFTS = ", ".join(
+    f"case when not same then {_SHIFT.format(**use)} end {name}"
+    for name, use in (("kt", dict(a="t", b="q", n="length(t)", m="length(q)", i="i", j="j")), ("kq", dict(a="q", b="t", n="length(q)", m="length(t)", i="j", j="i")))
+)
+
+
+@_query(f"""with p as (select row_number() over () id, * from ({_NEAR_PAIRS})),
+walk as (select id, t, q, cast(0 as bigint) i, cast(0 as bigint) j, '' x, '' y, cast(0 as bigint) n_gaps from p
+  union all select id, t, q, i + case way when 'both' then 1 when 'target' then kt else 0 end, j + case way when 'both' then 1 when 'query' then kq else 0 end,
+    x || case way when 'both' then substr(t, i + 1, 1) when 'target' then substr(t, i + 1, kt) else repeat('-', kq) end,
+    y || case way when 'both' then substr(q, j + 1, 1) when 'target' then repeat('-', kt) else substr(q, j + 1, kq) end, n_gaps + cast(way <> 'both' as bigint)
+  from (select *, case when same or coalesce(kt, kq) is null then 'both' when kq is null or kt <= kq then 'target' else 'query' end way
+    from (select *, {_SHIFTS} from (select *, substr(t, i + 1, 1) = substr(q, j + 1, 1) same from walk where i < length(t) and j < length(q))))),
+e as (select id, x || substr(t, i + 1) x, y || substr(q, j + 1) y, n_gaps from walk where i >= length(t) or j >= length(q))
+select name1, rpad(x, cast(greatest(length(x), length(y)) as int), '-') target, rpad(y, cast(greatest(length(x), length(y)) as int), '-') query, n_gaps,
+  len(list_filter(range(1, least(length(x), length(y)) + 1), lambda k: substr(x, k, 1) = substr(y, k, 1))) matches from e join p using (id)""")
+def near_align(spark, sf_dir):
+    """Each read, less its gap, beside its fragment; every other pair the other way round."""
+    pairs = D.view(spark, sf_dir, _NEAR_PAIRS)
+    return pairs.select("name1", near_align_column("t", "q").alias("a")).select("name1", "a.*")
+
+
 def _simulated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One fragment for every fifty orders, at least 50, from a fixed reference of 4,000 bases; no other table is read."""
     n = spark.read.parquet(f"{sf_dir}/orders.parquet").count()

@@ -114,3 +114,66 @@ def test_all_outputs_from_one_pass(spark, tmp_path):
     read = lambda name: {r.value for r in spark.read.option("lineSep", "\n>").text(f"{out}_{name}").collect()}
     assert {v.lstrip(">").strip() for v in read("sscs")} == {r.value[1:] for r in W.sscs_fasta(C.single_strand(msa)).collect()}
     assert not list((tmp_path / "out_none").iterdir()) and not (tmp_path / "out_parts").exists()
+
+
+def walked(target, query):
+    """Nearly aligned sequences walked base by base, every shift tried in turn."""
+    i = j = 0
+    gaps = []
+
+    def agree(a, b):
+        n = min(5, len(a), len(b))
+        return n >= 3 and a[:n] == b[:n]
+
+    while i < len(target) and j < len(query):
+        if target[i] != query[j]:
+            for k in range(1, max(len(target), len(query)) + 1):
+                if agree(target[i + k :], query[j:]):
+                    gaps.append((False, j, k))
+                    i += k
+                    break
+                if agree(target[i:], query[j + k :]):
+                    gaps.append((True, i, k))
+                    j += k
+                    break
+            else:
+                i, j = i + 1, j + 1
+        else:
+            i, j = i + 1, j + 1
+    return gaps
+
+
+def test_near_gaps_equal_a_walk():
+    rng = random.Random(11)
+    seen = 0
+    for _ in range(3000):
+        target = "".join(rng.choice("ACGT" if rng.random() < 0.9 else "A") for _ in range(rng.randrange(0, 60)))
+        query = list(target)
+        for _ in range(rng.randrange(0, 4)):
+            at = rng.randrange(0, len(query) + 1)
+            query[at : at + rng.choice((0, 0, 1, 3))] = "".join(rng.choice("ACGT") for _ in range(rng.choice((0, 1, 2))))
+        query = "".join(query)
+        found = A.near_gaps(target, query)
+        assert found == walked(target, query)
+        seen += len(found)
+    assert seen > 1000
+
+
+def test_near_gaps_known():
+    a = "ACGTTGCAAGGCTTACCGAT"
+    assert A.near_gaps(a, a) == [] and A.near_gaps("", a) == [] and A.near_gaps(a, "") == []
+    assert A.near_gaps(a, a[:8] + a[10:]) == [(False, 8, 2)] and A.near_gaps(a[:8] + a[10:], a) == [(True, 8, 2)]
+    assert A.near_gaps(a, a[:8] + "T" + a[9:]) == []
+    assert A.near_gaps(a, a[:6] + a[10:], longest=3) == [] and A.near_gaps(a, a[:6] + a[10:], longest=4) == [(False, 6, 4)]
+
+
+def test_near_align_column(spark):
+    from strandlake.functions import scalar
+
+    scalar.register(spark)
+    rows = [("ACGTTGCAAGGCTTACCGAT", "ACGTTGCAGCTTACCGAT"), ("ACGTACG", "ACGTACGGT"), (None, "A"), ("A", None), ("", "")]
+    spark.createDataFrame(rows, "t string, q string").createOrReplaceTempView("near_pairs")
+    got = [tuple(r) for r in spark.sql("select a.* from (select near_align(t, q) a from near_pairs)").collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, [
+        ("ACGTTGCAAGGCTTACCGAT", "ACGTTGCA--GCTTACCGAT", 1, 18), ("ACGTACG--", "ACGTACGGT", 0, 7), (None,) * 4, (None,) * 4, ("", "", 0, 0),
+    ]))
