@@ -27,6 +27,9 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--choose-by", choices=("count", "connect"), default="count")
     p.add_argument("--prepend", action="store_true")
     p.add_argument("--limit", type=int, help="lines of the input to read")
+    p.add_argument("-S", "--structures", action="store_true", help="print the structures of the graph of similar barcodes")
+    p.add_argument("--struct-human", action="store_true", help="print them in aligned columns")
+    p.add_argument("-n", "--no-output", dest="output", action="store_false", help="write no families")
     p = command("shapes", "structures of the graph of similar barcodes", "families")
     p.add_argument("--tsv", action="store_true")
     p = command("kmers", "barcodes that share k-mers, aligned and held against their consensus", "families", "out")
@@ -49,6 +52,8 @@ def _parser() -> argparse.ArgumentParser:
     command("label", "consensus sequences with the fragments they come from", "consensus", "families", "out")
     p = command("check", "labelled consensus sequences against their fragments", "labelled", "fragments", "out")
     p.add_argument("-i", "--ignore-ambiguous", action="store_true")
+    p.add_argument("-a", "--print-alignments", action="store_true", help="write the alignments to OUT_alignments")
+    p.add_argument("-S", "--no-stats", dest="stats", action="store_false", help="write no statistics")
     p = command("align", "aligned families", "families", "out")
     p.add_argument("--aligner", choices=("profile", "star", "mafft"), default="profile")
     p = command("duplex", "consensus of aligned families, by mate: OUT_1, OUT_2 and, with --sscs, OUT_sscs", "msa", "out")
@@ -73,7 +78,9 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("-k", "--cycles", type=int, default=25)
     p.add_argument("-n", type=int, default=10)
     p.add_argument("-x", type=int)
-    p.add_argument("-1", "--single", action="store_true")
+    p.add_argument("-1", "--1-sided", "--single", dest="single", action="store_true")
+    p.add_argument("-2", "--2-sided", dest="single", action="store_false")
+    p.set_defaults(single=False)
     return top
 
 
@@ -100,7 +107,12 @@ def main(argv: list[str] | None = None) -> None:
             print(r.stat, r.value, sep="\t")
     elif a.command == "correct":
         fam = readers.read_families(spark, a.families, a.limit)
-        tsv(correction.correct_families(fam, correction.neighbours(fam, dist=a.dist, pos=a.pos), choose_by=a.choose_by, prepend=a.prepend), a.out)
+        edges = scratch.materialise(correction.neighbours(fam, dist=a.dist, pos=a.pos), "neighbours")
+        if a.structures or a.struct_human:
+            for r in correction.shape_lines(correction.component_shapes(edges), a.struct_human).collect():
+                print(r.value)
+        if a.output:
+            tsv(correction.correct_families(fam, edges, choose_by=a.choose_by, prepend=a.prepend), a.out)
     elif a.command == "shapes":
         fam = readers.read_families(spark, a.families)
         for r in correction.shape_lines(correction.component_shapes(correction.neighbours(fam)), not a.tsv).collect():
@@ -127,8 +139,12 @@ def main(argv: list[str] | None = None) -> None:
     elif a.command == "check":
         columns = ("chrom", "frag_num", "frag_id", "barcode", "mate", "n_reads", "seq")
         rows = readers.table(spark, a.labelled, columns).withColumn("mate", F.col("mate").try_cast("int")).withColumn("n_reads", F.split("n_reads", "-").cast("array<int>"))
-        found = simulate.check_consensus(rows, readers.table(spark, a.fragments, ("chrom", "frag_id", "fragment")), a.ignore_ambiguous)
-        tsv(found.withColumn("n_reads", F.array_join(F.col("n_reads").cast("array<string>"), "-")), a.out)
+        found = simulate.check_consensus(rows, readers.table(spark, a.fragments, ("chrom", "frag_id", "fragment")), a.ignore_ambiguous, a.print_alignments)
+        if a.print_alignments:
+            found = scratch.materialise(found, "checked")
+            writers.write_lines(found.select(F.concat(F.concat_ws(".", "barcode", F.col("mate").cast("string")), F.lit("\n"), "alignment", F.lit("\n")).alias("value")), f"{a.out}_alignments")
+        if a.stats:
+            tsv(found.drop("alignment").withColumn("n_reads", F.array_join(F.col("n_reads").cast("array<string>"), "-")), a.out)
     elif a.command == "align":
         writers.write_lines(writers.msa_lines(msa.align_families(readers.read_families(spark, a.families), a.aligner)), a.out)
     elif a.command == "duplex":

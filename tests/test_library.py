@@ -675,9 +675,19 @@ def test_commands(spark, fastq, tmp_path, capsys):
     main(["check", path("labelled"), path("sim_fragments"), path("checked")])
     checked = [r.value.split("\t") for r in spark.read.text(path("checked")).collect()]
     assert checked and all(r[5] == "0" for r in checked)
+    main(["check", path("labelled"), path("sim_fragments"), path("shown"), "-a", "-S"])
+    shown = [r.value for r in spark.read.text(path("shown_alignments")).collect()]
+    assert sum(set(v.strip()) == {"|"} for v in shown) >= len(checked) and not (tmp_path / "shown").exists()
+    capsys.readouterr()
+    main(["correct", path("fam"), path("none"), "-S", "-n"])
+    assert not (tmp_path / "none").exists()
     capsys.readouterr()
     main(["pcr", "-k", "5", "-n", "4"])
     assert len(capsys.readouterr().out.strip().split("\n")) == 2
+    main(["pcr", "-k", "5", "-n", "4", "-1"])
+    one = capsys.readouterr().out.strip().split("\n")
+    main(["pcr", "-k", "5", "-n", "4", "-1", "-2"])
+    assert len(one) == 3 and len(capsys.readouterr().out.strip().split("\n")) == 2
 
 
 def test_views_and_counters(spark):
