@@ -557,15 +557,30 @@ def pcr_maf(spark, sf_dir):
     return Q.minor_alleles(grid).withColumn("p", F.round("p", 7))
 
 
-@_query("""with o as (select barcode, ord, cast(count(*) as int) famsize, cast(count(distinct seq1) - 1 as int) errors from reads group by barcode, ord),
+_FREQ = """with o as (select barcode, ord, cast(count(*) as int) famsize, cast(count(distinct seq1) - 1 as int) errors from reads group by barcode, ord),
 n as (select famsize, count(*) total from o group by famsize), c as (select famsize, errors x, count(*) m from o group by 1, 2),
-f as (select n.famsize, n.total, x.x, coalesce(c.m, 0) / n.total freq from n join (select cast(unnest(range(1, 20)) as int) x) x on x.x <= n.famsize // 2 left join c on c.famsize = n.famsize and c.x = x.x)
-select famsize, total, round(sum(pow(freq - 0.5 / x, 2) / (0.5 / x)), 6) statistic from f where total >= 20 group by famsize, total having count(*) > 1""")
-def chi_stat(spark, sf_dir):
+f as (select n.famsize, n.total, x.x, coalesce(c.m, 0) / n.total freq from n join (select cast(unnest(range(1, 20)) as int) x) x on x.x <= n.famsize // 2 left join c on c.famsize = n.famsize and c.x = x.x)"""
+
+
+def _chi_square(spark, sf_dir):
     fam = D.reads(spark, sf_dir).groupBy("barcode", "order").agg(F.count("*").cast("int").alias("famsize"), (F.countDistinct("seq1") - 1).cast("int").alias("errors"))
     expected = fam.select("famsize").distinct().select("famsize", F.explode(F.sequence(F.lit(1), F.greatest(F.floor(F.col("famsize") / 2).cast("int"), F.lit(1)))).alias("x"))
     expected = expected.select("famsize", "x", (F.lit(0.5) / F.col("x")).alias("prob"))
-    return Q.chi_square(fam.select("famsize", "errors"), expected).select("famsize", "total", F.round("statistic", 6).alias("statistic"))
+    return Q.chi_square(fam.select("famsize", "errors"), expected)
+
+
+@_query(_FREQ + """
+select famsize, total, round(sum(pow(freq - 0.5 / x, 2) / (0.5 / x)), 6) statistic from f where total >= 20 group by famsize, total having count(*) > 1""")
+def chi_stat(spark, sf_dir):
+    return _chi_square(spark, sf_dir).select("famsize", "total", F.round("statistic", 6).alias("statistic"))
+
+
+@_query(_FREQ + """, st as (select famsize, total, sum(pow(freq - 0.5 / x, 2) / (0.5 / x)) / 2 z, (count(*) - 1) / 2 a from f where total >= 20 group by famsize, total having count(*) > 1)
+select famsize, total, round(1 - sum(case when z > 0 then exp((a + k) * ln(greatest(z, 1e-300)) - z - lgamma(a + k + 1)) else 0 end), 7) p_value
+from st, (select unnest(range(0, 500)) k) group by famsize, total""")
+def chi_test(spark, sf_dir):
+    """P-values of the chi-square test; the SQL adds up the series of the lower incomplete gamma function."""
+    return _chi_square(spark, sf_dir).select("famsize", "total", F.round("p_value", 7).alias("p_value"))
 
 
 # ---- alignment and simulation
