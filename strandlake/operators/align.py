@@ -468,6 +468,8 @@ def near_align(target: pd.Series, query: pd.Series) -> pd.DataFrame:
     def one(t: str | None, q: str | None):
         if t is None or q is None:
             return (None,) * 4
+        if t == q:
+            return t, q, 0, len(t)
         gaps = near_gaps(t, q)
         x, y = (insert_gaps(s, [g[1:] for g in gaps if g[0] == own]) for s, own in ((t, True), (q, False)))
         width = max(len(x), len(y))
