@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from itertools import groupby
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -21,8 +22,10 @@ from strandlake.operators.scratch import ranked
 from .common import bitmap, discard, in_bitmap, materialise, release, scratch_path, slices
 
 K = 24
-#: How tables of blobs are written: a page ends after one that fills it, not after a hundred.
-BLOBS = {"parquet.page.size.row.check.min": "1"}
+#: How tables are written: a page ends after a row that fills it, not after a hundred. Blobs are compressed before they are written.
+PAGES = {"parquet.page.size.row.check.min": "1"}
+BLOBS = PAGES | {"compression": "none"}
+PIECE = 4096  #: suffixes or rows in a blob at most: readers, shuffles and writers hold several copies of each blob
 CHUNK = 100_000  #: bytes handled at once: what fits a core's cache
 
 _TABLE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -336,6 +339,10 @@ class Suffixes:
         raw = b"".join([*planes, self.left.astype(np.uint8).tobytes(), self.count.astype(np.uint8).tobytes(), self.words.astype(">u8").tobytes()])
         return len(self).to_bytes(8, "little") + pa.Codec("zstd", compression_level=1).compress(raw, asbytes=True)
 
+    def packed(self) -> list[bytes]:
+        """The suffixes in blobs of PIECE."""
+        return [self.take(slice(i, i + PIECE)).pack() for i in range(0, len(self), PIECE)]
+
     @staticmethod
     def unpack(blob: bytes) -> Suffixes:
         import pyarrow as pa
@@ -388,9 +395,31 @@ SPANS = "doc long, start long, stop long"
 UNSURE = "key long, age int, doc long, pos long, left long, count long"
 
 
-def _covered(one: Suffixes, rows: np.ndarray, length: int) -> bytes:
+def _blob_rows(kind: str, blobs, at_once: int = 16):
+    """Batches of a few blobs each, from (shard, blob)."""
+    held = []
+    for one in blobs:
+        held.append(one)
+        if len(held) == at_once:
+            yield _fields(kind=[kind] * at_once, shard=[x for x, _ in held], blob=[b for _, b in held])
+            held = []
+    if held:
+        yield _fields(kind=[kind] * len(held), shard=[x for x, _ in held], blob=[b for _, b in held])
+
+
+def _columns(kind: str, cols: np.ndarray):
+    """Batches of rows of 64-bit columns, as compressed blobs of PIECE rows."""
+    import pyarrow as pa
+
+    codec = pa.Codec("zstd", compression_level=1)
+    pieces = (cols[:, i : i + PIECE] for i in range(0, cols.shape[1], PIECE))
+    return _blob_rows(kind, ((None, x.nbytes.to_bytes(8, "little") + codec.compress(x.tobytes(), asbytes=True)) for x in pieces))
+
+
+def _covered(one: Suffixes, rows: np.ndarray, length: int):
     start = one.pos[rows] - one.left[rows]
-    return intervals(one.doc[rows], start, start + one.count[rows] + length - 1)
+    found = intervals(one.doc[rows], start, start + one.count[rows] + length - 1)
+    return _columns("match", np.frombuffer(found, np.int64).reshape(3, -1))
 
 
 def _in_shards(one: Suffixes, shard: np.ndarray):
@@ -419,20 +448,14 @@ def _arrays(length: int, shards: int, room: int = 300_000, heavy: int = 16):
             order = np.lexsort((one.pos, one.doc, group))
             first = np.r_[True, np.diff(group[order]) != 0]
             if not first.all():
-                yield _fields(kind=["match"], blob=[_covered(one, order[~first], length)])
+                yield from _covered(one, order[~first], length)
             one, key = one.take(order[first]), key[order[first]]
             found, many = np.unique(key, return_counts=True)
             often = many >= heavy
             if often.any():
                 yield _fields(kind=["heavy"] * int(often.sum()), key=found[often].view(np.int64), n=many[often])
-            held_back = []
-            for shard, part in _in_shards(one, (key % np.uint64(shards)).astype(np.int64)):
-                held_back.append((shard, part.pack()))
-                if len(held_back) == 16:  # a few blobs at a time: batches of small size
-                    yield _fields(kind=["array"] * 16, shard=[x for x, _ in held_back], blob=[b for _, b in held_back])
-                    held_back = []
-            if held_back:
-                yield _fields(kind=["array"] * len(held_back), shard=[x for x, _ in held_back], blob=[b for _, b in held_back])
+            parts = _in_shards(one, (key % np.uint64(shards)).astype(np.int64))
+            yield from _blob_rows("array", ((shard, blob) for shard, part in parts for blob in part.packed()))
 
         for whole in batches:
             for docs, data, offsets, skip in _texts(whole, length):
@@ -461,17 +484,19 @@ def _spread(hot, shards: int):
 
         grams = hot.value
         for whole in batches:
-            for batch in slices(whole, 4):
+            for batch in slices(whole, 16):
                 out = []
-                for shard, level, blob in zip(*(batch.column(c).to_pylist() for c in ("shard", "level", "blob"))):
-                    one = Suffixes.unpack(blob)
+                rows = zip(*(batch.column(c).to_pylist() for c in ("shard", "level", "blob")))
+                for (shard, level), same in groupby(rows, lambda x: x[:2]):
+                    blobs = [x[2] for x in same]
+                    one = Suffixes.joined([Suffixes.unpack(b) for b in blobs])
                     key = one.key()
                     is_hot = grams[np.minimum(np.searchsorted(grams, key), len(grams) - 1)] == key
                     if not is_hot.any():
-                        out.append((shard, level, blob))
+                        out += [(shard, level, b) for b in blobs]
                         continue
                     to = np.where(is_hot, ((key + one.name) % np.uint64(shards)).astype(np.int64), shard)
-                    out += [(x, level, part.pack()) for x, part in _in_shards(one, to)]
+                    out += [(x, level, b) for x, part in _in_shards(one, to) for b in part.packed()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.int32(), pa.int32(), pa.binary()))], ["shard", "level", "blob"])
 
     return run
@@ -490,14 +515,15 @@ def _add_shard(carry: tuple[int, ...], length: int, large: int, hot):
         parts.clear()
         order, lead, matched, unsure = scan_suffixes(one, (origin == -1).astype(np.int8), grams)
         if len(matched):
-            out.append(_fields(kind=["match"], blob=[_covered(one, matched, length)]))
+            out += _covered(one, matched, length)
         if len(unsure):
             rows = one.take(unsure)
             cols = [rows.key().view(np.int64), (origin[unsure] == -1).astype(np.int64), rows.doc, rows.pos, rows.left, rows.count]
-            out.append(_fields(kind=["open"], blob=[np.stack(cols).tobytes()]))
+            out += _columns("open", np.stack(cols))
         stays = order[lead & np.isin(origin[order], (-1, *carry))]
         if len(stays):
-            out.append(_fields(kind=["level"], shard=[table.column("shard")[0].as_py()], blob=[one.take(stays).pack()]))
+            shard = table.column("shard")[0].as_py()
+            out += _blob_rows("level", ((shard, b) for b in one.take(stays).packed()))
         found, many = np.unique(one.key(), return_counts=True) if len(one) >= large else (None, np.zeros(1))
         if (many >= large).any():
             out.append(_fields(kind=["heavy"] * int((many >= large).sum()), key=found[many >= large].view(np.int64), n=many[many >= large]))
@@ -514,10 +540,9 @@ def _rows_of(names: list[str]):
 
         for whole in batches:
             for blob in whole.column("blob").to_pylist():
-                rows = np.frombuffer(blob, np.int64).reshape(len(names), -1)
-                for i in range(0, rows.shape[1], 50_000):
-                    cols = [pa.array(x[i : i + 50_000]) for x in rows]
-                    yield pa.RecordBatch.from_arrays([c.cast(pa.int32()) if k == "age" else c for c, k in zip(cols, names)], names)
+                raw = pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), "zstd", asbytes=True)
+                cols = [pa.array(x) for x in np.frombuffer(raw, np.int64).reshape(len(names), -1)]
+                yield pa.RecordBatch.from_arrays([c.cast(pa.int32()) if k == "age" else c for c, k in zip(cols, names)], names)
 
     return run
 
@@ -689,9 +714,9 @@ class SuffixFamily:
             fs.delete(path, True)
         self.stale = []
 
-    def _write(self, df: DataFrame, label: str) -> DataFrame:
+    def _write(self, df: DataFrame, label: str, how: dict = PAGES) -> DataFrame:
         where = f"{self.path}/{label}-{self.state['version'] + 1}"
-        df.write.mode("overwrite").options(**BLOBS).parquet(where)
+        df.write.mode("overwrite").options(**how).parquet(where)
         out = self.spark.read.schema(df.schema).parquet(where)
         out._family_path = where
         return out
@@ -711,7 +736,7 @@ class SuffixFamily:
     def scan(self, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
         """((doc, start, stop) of the matches of a batch that are sure, the suffixes that are not); the batch is in the family then."""
         s = self.state
-        arrays = self._write(texts.mapInArrow(_arrays(s["length"], s["shards"]), ROWS), "arrays")
+        arrays = self._write(texts.mapInArrow(_arrays(s["length"], s["shards"]), ROWS), "arrays", BLOBS)
         s["hot"] = sorted({*s["hot"], *self._over(arrays.where("kind = 'heavy'"), s["hot_from"])})
         levels = {int(k): self._level(v) for k, v in s["levels"].items()}
         carry = []
@@ -724,7 +749,7 @@ class SuffixFamily:
         if s["hot"]:
             hot = self.spark.sparkContext.broadcast(np.sort(np.array(s["hot"], np.int64).view(np.uint64)))
             rows = rows.mapInArrow(_spread(hot, s["shards"]), "shard int, level int, blob binary")
-        done = self._write(rows.groupBy("shard").applyInArrow(_add_shard(tuple(carry), s["length"], s["hot_from"], hot), ROWS), "level")
+        done = self._write(rows.groupBy("shard").applyInArrow(_add_shard(tuple(carry), s["length"], s["hot_from"], hot), ROWS), "level", BLOBS)
         self.stale += [s["levels"].pop(str(level)) for level in carry] + [arrays._family_path]
         s["levels"][str(len(carry))] = done._family_path
         s["hot"] = sorted({*s["hot"], *self._over(done.where("kind = 'heavy'"), s["hot_from"])})

@@ -263,6 +263,35 @@ def test_suffix_arrays_are_in_order():
     assert all((getattr(again, f) == getattr(short, f)[again.doc]).all() for f in Suffixes.FIELDS)
 
 
+def test_family_blobs_stay_small(spark):
+    """However much a shard holds, its array, its matches and what it leaves open come in blobs of bounded size."""
+    from pyspark.sql import functions as F
+
+    from strandlake.llm.suffix import PIECE, Suffixes, SuffixFamily, repeated_stretches
+
+    rng = np.random.default_rng(12)
+    text = lambda n: rng.integers(97, 123, n, dtype=np.uint8).tobytes().decode()
+    shared, passage = text(300_000), text(60)
+    mixed = lambda: "".join(text(50) + passage for _ in range(100))
+    data = [(i, mixed() + shared[i * 1000 :] + text(100_000)) for i in range(4)]
+    family = SuffixFamily(spark, shards=1)
+    for i in range(0, 4, 2):
+        family.scan(spark.createDataFrame(data[i : i + 2], "doc long, text string").coalesce(1))
+    held = family._level(family.state["levels"]["1"])
+    assert {r.kind for r in held.select("kind").distinct().collect()} == {"level", "match", "open"}
+    blobs = [bytes(r.blob) for r in held.where("kind = 'level'").collect()]
+    sizes = [len(Suffixes.unpack(b)) for b in blobs]
+    assert len(sizes) > 2 and max(sizes) == PIECE and sum(sizes) > 2 * PIECE
+    assert held.agg(F.max(F.octet_length("blob"))).first()[0] <= 50 * PIECE + 1000
+    family.drop()
+    got = repeated_stretches(spark.createDataFrame(data, "doc long, text string"), batches=2).collect()
+    gone = {d: np.zeros(len(t), bool) for d, t in data}
+    for r in got:
+        gone[r.doc][r.start : r.stop] = True
+    want = H.repeats(data, 100)
+    assert [int(gone[d].sum()) for d, _ in data] == [w[2] for w in want] and sum(w[2] for w in want) > 800_000
+
+
 def test_long_texts_come_in_stretches():
     import pyarrow as pa
 
