@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import numpy as np
 import xxhash
 
 from strandlake.operators.graph import connected_components
 from strandlake.operators.scratch import discard, materialise, release, scratch_path, shared_dir
 
-__all__ = ["bitmap", "connected_components", "discard", "materialise", "release", "scratch_path", "shared_dir"]
+__all__ = ["arrow_rows", "bitmap", "connected_components", "discard", "materialise", "release", "scratch_path", "shared_dir"]
 
 #: Java/RE2 pattern of a run of non-space characters; the same bytes that ``bytes.split()`` splits on.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -60,6 +62,19 @@ def slices(batch, rows: int):
         yield batch.slice(at, rows)
 
 
+@contextmanager
+def arrow_rows(spark, most: int):
+    """Meanwhile Spark hands its Python workers at most so many rows at once: whole texts are held on both sides, in several copies."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    if not 0 < int(before) <= most:
+        spark.conf.set(key, most)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 PIECES = 64
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from strandlake.operators.scratch import ranked
 
-from .common import bitmap, discard, in_bitmap, materialise, release, scratch_path, slices
+from .common import arrow_rows, bitmap, discard, in_bitmap, materialise, release, scratch_path, slices
 
 K = 24
 #: How tables are written: a page ends after a row that fills it, not after a hundred. Blobs are compressed before they are written.
@@ -364,8 +364,8 @@ def scan_suffixes(one: Suffixes, age: np.ndarray, hot: np.ndarray):
     """
     order = one.order()
     words, name = one.words[order], one.name[order]
-    lcp = common_prefix(words) if len(order) else np.zeros(0, np.int64)
-    new_run = np.r_[True, lcp[1:] < K] if len(order) else np.zeros(0, bool)
+    new_run = np.r_[True, (words[1:] != words[:-1]).any(axis=1)] if len(order) else np.zeros(0, bool)
+    del words
     run = np.cumsum(new_run) - 1
     group = np.cumsum(new_run | np.r_[True, name[1:] != name[:-1]]) - 1 if len(order) else run
     by_age = np.lexsort((one.pos[order], one.doc[order], age[order], group))
@@ -443,6 +443,7 @@ def _arrays(length: int, shards: int, room: int = 300_000, heavy: int = 16):
 
         def flush():
             one = Suffixes.joined(held)
+            held.clear()
             key = one.key()
             group = one.name + key
             order = np.lexsort((one.pos, one.doc, group))
@@ -889,20 +890,22 @@ def remove_repeats(
     texts, named = _unique_ids(src)
     if family and named is not None:
         raise ValueError("a saved family needs documents with ids that are unique and not null")
-    spans = family.add(texts) if family else repeated_stretches(texts, length=length, batches=batches, hot_from=hot_from)
-    release(spark)
-    per = spans.groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    losers = spans.select("doc").distinct()
-    bits = min(30, max(20, (8 * losers.count()).bit_length()))  # past 2**30 cells the bitmap fills, which only costs time
-    seen = spark.sparkContext.broadcast(bitmap(losers, bits, lambda batch: _doc_cell(batch.column(0).to_numpy(zero_copy_only=False), bits)))
-    hit = texts.mapInArrow(_only(seen, bits), "doc long, text string").join(per.withColumnRenamed("doc", "d"), F.col("doc") == F.col("d"))
-    done = hit.select("doc", "text", "spans").mapInArrow(_apply, "doc long, n_removed long, n_spans long, kept_sha256 string, kept binary")
-    done = done.withColumnRenamed("doc", "d") if with_text else done.drop("kept").withColumnRenamed("doc", "d")
+    with arrow_rows(spark, 2000):
+        spans = family.add(texts) if family else repeated_stretches(texts, length=length, batches=batches, hot_from=hot_from)
+        release(spark)
+        per = spans.groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+        losers = spans.select("doc").distinct()
+        bits = min(30, max(20, (8 * losers.count()).bit_length()))  # past 2**30 cells the bitmap fills, which only costs time
+        seen = spark.sparkContext.broadcast(bitmap(losers, bits, lambda batch: _doc_cell(batch.column(0).to_numpy(zero_copy_only=False), bits)))
+        hit = texts.mapInArrow(_only(seen, bits), "doc long, text string").join(per.withColumnRenamed("doc", "d"), F.col("doc") == F.col("d"))
+        done = hit.select("doc", "text", "spans").mapInArrow(_apply, "doc long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+        # Repeated rows of one document would double its result.
+        done = done.withColumnRenamed("doc", "d").dropDuplicates(["d"])
+        if not with_text:
+            done = materialise(done.drop("kept"), "suffix-results")
     whole = (texts.withColumn("doc_id", F.col("doc")) if named is None else named).select(
         "doc_id", "doc", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("whole")
     )
-    # Repeated rows of one document would double its result.
-    done = done.dropDuplicates(["d"])
     out = whole.join(done, whole.doc == done.d, "left")
     zero = F.lit(0).cast("long")
     return out.select(

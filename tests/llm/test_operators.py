@@ -263,6 +263,24 @@ def test_suffix_arrays_are_in_order():
     assert all((getattr(again, f) == getattr(short, f)[again.doc]).all() for f in Suffixes.FIELDS)
 
 
+def test_texts_reach_the_workers_in_small_batches(spark):
+    """Within a limit batches have so many rows at most; the session's own setting is back afterwards, and a smaller one stays."""
+    from strandlake.llm.common import arrow_rows
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    sizes = lambda batches: (b.from_pydict({"n": [b.num_rows]}) for b in batches)
+    table, before = spark.range(0, 9000, 1, 1), spark.conf.get(key)
+    largest = lambda: max(r.n for r in table.mapInArrow(sizes, "n long").collect())
+    assert largest() > 2000
+    with arrow_rows(spark, 2000):
+        assert largest() == 2000
+        with arrow_rows(spark, 3000):
+            assert largest() == 2000
+    with pytest.raises(ZeroDivisionError), arrow_rows(spark, 5):
+        1 / 0
+    assert spark.conf.get(key) == before
+
+
 def test_family_blobs_stay_small(spark):
     """However much a shard holds, its array, its matches and what it leaves open come in blobs of bounded size."""
     from pyspark.sql import functions as F
