@@ -80,7 +80,7 @@ def schedule(targets: DataFrame, slots: int) -> DataFrame:
         .withColumn("cell", F.shiftright("u", shift))
     )
     # The cells are 4,096 plus one for each source; whether to broadcast them is left to their measured size.
-    drawn = points.join(cells, "cell").where("u >= lo and u < hi").select("slot", "source")
+    drawn = materialise(points.join(cells, "cell").where("u >= lo and u < hi").select("slot", "source"), "mix-drawn")
     ranked = with_sums_before(drawn.withColumn("one", F.lit(1)), "one", "slot", SLOT_CHUNK)
     return ranked.select("slot", "source", F.col("before").alias("turn"))
 
@@ -143,8 +143,10 @@ def mix_sources(
     mixed = sized.where("size > 0").withColumn("h", F.md5(F.concat_ws("-", name, F.lit("mix"))))
     # Buckets are stretches of the hash, so the order by bucket and hash is the order by hash.
     mixed = mixed.withColumn("b", F.shiftright(F.conv(F.substr("h", F.lit(1), F.lit(7)), 16, 10).cast("long") * buckets, 28))
-    sums = mixed.groupBy("source", "b").agg(F.sum("size").alias("n"))
+    # Small tables are written as soon as they are made: one plan of all steps would be planned anew, whole, at each of its shuffles.
+    sums = materialise(mixed.groupBy("source", "b").agg(F.sum("size").alias("n")), "mix-buckets")
     sums = with_sums_before(sums, "n", "b", SLOT_CHUNK).select(F.col("source").alias("s"), F.col("b").alias("sb"), F.col("before").alias("base"))
+    sums = materialise(sums, "mix-bases")
     inside = Window.partitionBy("source", "b").orderBy("h", "text_hash", "doc_key").rowsBetween(Window.unboundedPreceding, -1)
     placed = mixed.withColumn("offset", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     placed = placed.join(sums, placed.source.eqNullSafe(sums.s) & (placed.b == sums.sb)).select(
@@ -175,7 +177,7 @@ def mix_sources(
     pieces = plan.join(spans, plan.source.eqNullSafe(spans["from"]) & (plan.turn == spans.turn)).select(
         "slot", "doc_key", "doc_id", "words"
     )
-    taken = pieces.groupBy("doc_key").agg(F.sum("words").cast("long").alias("taken"))
+    taken = materialise(pieces.groupBy("doc_key").agg(F.sum("words").cast("long").alias("taken")), "mix-taken")
     per = targets.select(F.col("source").alias("s"), "source_size", "target")
     out = sized.join(taken, "doc_key", "left")
     out = out.join(per, out.source.eqNullSafe(per.s)).select(

@@ -52,3 +52,19 @@ def test_odd_rows_pass_all_stages(spark, sf_dir):
     empty = H.table(spark, [])
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, sf_dir).count() == 0
+
+
+def test_plans_of_the_mix_stay_small(spark, sf_dir, monkeypatch):
+    """No plan of the mix has many shuffles: the driver plans anew, and describes, a whole plan at each of them."""
+    from strandlake.llm import mixing
+
+    shuffles = []
+
+    def noted(df):
+        shuffles.append(len(re.findall(r"\bExchange ", df._jdf.queryExecution().executedPlan().toString())))
+        return df
+
+    monkeypatch.setattr(mixing, "materialise", lambda df, label: materialise(noted(df), label))
+    noted(corpus_pipeline.mix(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"), sf_dir))
+    print("shuffles by plan:", shuffles)
+    assert max(shuffles) <= 6
