@@ -7,7 +7,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, binary_column, bitmap, connected_components, discard, materialise, shingle_hashes, slices, words_of
+from .common import WORD, binary_column, bitmap, connected_components, discard, materialise, release, shingle_hashes, slices, words_of
 
 CELLS = 1 << 20
 PIECES = 16
@@ -324,7 +324,8 @@ def _cluster_parts(sets: DataFrame, clusters: DataFrame, num: int, den: int, blo
     still outside a cluster's largest part is then held, block by block, against the whole cluster, so that no link
     between parts is missed.
     """
-    members = materialise(sets.join(clusters.withColumnRenamed("node", "sig"), "sig").select("component", "sig", "grams"), "jaccard-members")
+    members = written = materialise(sets.join(clusters.withColumnRenamed("node", "sig"), "sig").select("component", "sig", "grams"), "jaccard-members")
+    release(sets.sparkSession)
     most = F.greatest(F.count("*") / block, F.sum(F.octet_length("grams")) / BLOCK_BYTES)
     sizes = members.groupBy("component").agg(F.ceil(most).cast("int").alias("blocks"))
     members = members.join(sizes, "component")
@@ -338,6 +339,7 @@ def _cluster_parts(sets: DataFrame, clusters: DataFrame, num: int, den: int, blo
     links = materialise(settle(members.select("component", drawn(0).alias("i"), zero.alias("j"), "sig", F.col("sig").alias("label"), "grams")), "jaccard-links")
     large = members.where("blocks > 1")
     if not large.limit(1).count():
+        discard(written)
         return links.select(F.col("b").alias("node"), F.col("a").alias("component"))
 
     def labelled(links: DataFrame) -> DataFrame:
@@ -362,6 +364,7 @@ def _cluster_parts(sets: DataFrame, clusters: DataFrame, num: int, den: int, blo
     outer = rows.where("outer").select("component", F.col("r").alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), "sig", "label")
     last = settle(every.unionByName(outer).distinct().join(grams, "sig"))
     links = links.unionByName(materialise(last, "jaccard-links"))
+    discard(written)
     return connected_components(links, "jaccard-components")
 
 
@@ -403,6 +406,8 @@ def _components(docs: DataFrame, id_col: str, text_col: str, width: int, share:
     edges = materialise(near.union(pairs.where("chain").select("a", "b")).distinct(), "jaccard-edges")
     clusters = materialise(connected_components(edges, "jaccard-clusters"), "jaccard-cluster")
 
+    # The shuffles so far have served; the sets are shuffled next.
+    release(spark)
     bits = spark.sparkContext.broadcast(bitmap(clusters.select("node"), SEEN_BITS, _cells_of_classes))
     sets = src.mapInArrow(_sets(width, bits), "sig long, grams binary").groupBy("sig").agg(F.first("grams").alias("grams"))
     parts = _cluster_parts(sets, clusters, num, den, block)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -121,14 +124,23 @@ def mix_sources(
     The block is a 256th of the smallest target, at most ``max_block`` words, so that whole slots come near every
     target. A null text has size 0; a null source is a source of its own and comes last; null or repeated ids are
     rows of their own; documents of size 0 are never taken; an empty table gives empty results.
+
+    The columns in ``keep`` are not written on the way: ``docs``, which must give the same rows again, is read once more and joined by
+    id, source and hash of the text. Only where two rows agree in all three are they written beside the row's number.
     """
-    src = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), *[F.col(k).alias(f"keep_{k}") for k in keep],
-        F.xxhash64(F.col(text_col).cast("string")).alias("text_hash"),
-        F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-    )
-    # The row number is only written here; from the table on it is a fixed key.
-    sized = materialise(src.withColumn("doc_key", F.monotonically_increasing_id()), "mix-sizes")
+    named = {"doc_id": F.col(id_col), "source": F.col(source_col), "text_hash": F.xxhash64(F.col(text_col).cast("string"))}
+    words = F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
+    kept = [F.col(k).alias(f"keep_{k}") for k in keep]
+
+    def sizes(*more: Column) -> DataFrame:
+        src = docs.select(*[c.alias(k) for k, c in named.items()], *more, words.alias("size"))
+        # The row number is only written here; from the table on it is a fixed key.
+        return materialise(src.withColumn("doc_key", F.monotonically_increasing_id()), "mix-sizes")
+
+    sized, later = sizes(), bool(keep)
+    if keep and not sized.groupBy(*named).agg(F.count("*").alias("k")).where("k > 1").isEmpty():
+        discard(sized)
+        sized, later = sizes(*kept), False
     targets = materialise(source_targets(sized, weights, cap).coalesce(1), "mix-targets")
     least, total, n_docs = targets.agg(
         F.min(F.when(F.col("target") > 0, F.col("target"))), F.sum("source_size"), F.count("*")
@@ -180,6 +192,10 @@ def mix_sources(
     taken = materialise(pieces.groupBy("doc_key").agg(F.sum("words").cast("long").alias("taken")), "mix-taken")
     per = targets.select(F.col("source").alias("s"), "source_size", "target")
     out = sized.join(taken, "doc_key", "left")
+    if later:
+        whole = docs.select(*[c.alias(f"own_{k}") for k, c in named.items()], *kept)
+        same = [out[k].eqNullSafe(whole[f"own_{k}"]) for k in named]
+        out = whole.join(out, reduce(and_, same)).drop(*[f"own_{k}" for k in named])
     out = out.join(per, out.source.eqNullSafe(per.s)).select(
         "doc_key", "doc_id", "source", "size", "source_size", "target",
         F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), *[F.col(f"keep_{k}").alias(k) for k in keep],

@@ -337,6 +337,19 @@ def test_jaccard_join(docs, width, share, window):
     assert got == set(H.components(pairs(docs), width, *share))
 
 
+@pytest.mark.parametrize("block", [2048, 3])
+def test_jaccard_join_leaves_no_sets(docs, block):
+    """The sets that are compared are large: their table goes as soon as the links are known, before the result is read."""
+    from strandlake.llm.jaccard import near_duplicates
+    from strandlake.operators import scratch
+
+    start = scratch.mark()
+    out = near_duplicates(docs, width=3, share=(90, 100), block=block)
+    assert any("jaccard-links" in p for p in scratch._made[start:])
+    assert not any("jaccard-members" in p for p in scratch._made[start:])
+    assert set(map(tuple, out.collect())) == set(H.components(pairs(docs), 3, 90, 100))
+
+
 def test_jaccard_join_odd_rows(odd):
     from strandlake.llm.jaccard import near_duplicates
 
@@ -824,6 +837,34 @@ def test_mixing(request, which):
     assert again == Counter((r.doc_id, r.source, r.size, r.taken) for r in got)
 
 
+@pytest.mark.parametrize("which", ["odd", "repeated"])
+def test_mixing_fetches_kept_columns_once(spark, request, monkeypatch, which):
+    """Kept columns come with their own rows, and are written on the way only where rows can't be told apart."""
+    from pyspark.sql import functions as F
+
+    from strandlake.llm import mixing
+
+    odd = [(*r[:4], i, *r[5:]) for i, r in enumerate(H.rows())]
+    df = H.table(spark, odd + [(*r[:4], 100 + r[4], *r[5:]) for r in odd] * (which == "repeated"))
+    written, write = [], mixing.materialise
+    monkeypatch.setattr(mixing, "materialise", lambda df, label: written.extend(df.columns) or write(df, label))
+    key = lambda r: repr((r.doc_id, r.source, r.size, r.taken))
+    plain = Counter(map(key, mixing.mix_sources(df)[0].collect()))
+    row = df.select("*", F.struct("text", "n_chars", "lang").alias("whole"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = mixing.mix_sources(row, keep=("whole",))[0].collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert Counter(map(key, got)) == plain
+    assert all(r.size == len(H.words(r.whole.text)) for r in got)
+    rows = Counter(repr((r.doc_id, r.source, r.whole.text, r.whole.n_chars, r.whole.lang)) for r in got)
+    assert rows == Counter(repr((r.doc_id, r.source, r.text, r.n_chars, r.lang)) for r in df.collect())
+    assert len({r.doc_key for r in got}) == len(got)
+    assert ("keep_whole" in written) == (which == "repeated")
+
+
 def test_targets_stop_at_the_cap(spark):
     from strandlake.llm.mixing import source_targets
 
