@@ -6,6 +6,9 @@ stage's ``docs``. All but the last return the columns of documents.
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,12 +65,23 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return taken.where("taken > 0").select(*columns, *own)
 
 
+def _released(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """The stage, begun when the driver has let go of what earlier stages' plans left it, however the stages are called."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        release(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
 STAGES = [
-    ("quality rules", quality),
-    ("n-gram Jaccard join", near_duplicates),
-    ("benchmark decontamination", decontamination),
-    ("secret scans", secrets),
-    ("mixing sources to target weights", mix),
+    ("quality rules", _released(quality)),
+    ("n-gram Jaccard join", _released(near_duplicates)),
+    ("benchmark decontamination", _released(decontamination)),
+    ("secret scans", _released(secrets)),
+    ("mixing sources to target weights", _released(mix)),
 ]
 
 #: The robust estimates of the first stage and the components of the second are iterative: tests compare with brute force.
@@ -82,5 +96,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         # The stage is written: what it needed on the way, and what it read of the stage before, can go.
         sweep(spark, start, docs)
         discard(before)
-        release(spark)
+    release(spark)
     return docs

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import gc
 import re
+import time
+
+import pytest
 
 import corpus_pipeline
-from strandlake.llm.common import materialise
+from strandlake.llm.common import materialise, release
 
 from . import helpers as H
 from .test_operators import base_spans, mcd_verdicts, mix_brute
@@ -68,3 +72,41 @@ def test_plans_of_the_mix_stay_small(spark, sf_dir, monkeypatch):
     noted(corpus_pipeline.mix(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"), sf_dir))
     print("shuffles by plan:", shuffles)
     assert max(shuffles) <= 6
+
+
+def native_mb(spark) -> float:
+    """MB of the driver's JVM in memory, without mapped files."""
+    with open(f"/proc/{spark._jvm.java.lang.ProcessHandle.current().pid()}/smaps_rollup") as f:
+        return int(re.search(r"\nPss_Anon:\s+(\d+)", f.read())[1]) / 1024
+
+
+def test_release_gives_freed_memory_back(spark):
+    """What was freed between live pieces outside the driver's heap leaves the driver's memory, heap or not."""
+    allocate, live = spark._jvm.java.nio.ByteBuffer.allocateDirect, []
+    for _ in range(160):
+        live.append(allocate(50_000))
+        for _ in range(15):
+            allocate(50_000)
+    gc.collect()
+    spark._jvm.System.gc()
+    time.sleep(2)  # the JVM frees buffers on a thread of its own
+    kept = native_mb(spark)
+    release(spark)
+    left = native_mb(spark)
+    print(f"MB: {kept:.0f} before, {left:.0f} after")
+    assert kept - left > 60
+
+
+def test_stages_begin_with_a_release(spark, sf_dir, monkeypatch):
+    """However stages are called, each begins with what earlier ones left in the driver let go."""
+
+    class Released(Exception):
+        pass
+
+    def noted(_):
+        raise Released
+
+    monkeypatch.setattr(corpus_pipeline, "release", noted)
+    for _, stage in corpus_pipeline.STAGES:
+        with pytest.raises(Released):
+            stage(spark, None, sf_dir)
