@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from .common import WORD, binary_column, bitmap, connected_components, discard, materialise, release, shingle_hashes, slices, words_of
 
-CELLS = 1 << 20
+#: Cells of the sketch of frequencies. Where the table has more shingles than a hundred a cell, rare and frequent ones look alike, and buckets grow.
+CELLS = 1 << 24
 PIECES = 16
+#: Shingles that a task keeps one by one before it counts them.
+WAITING = 4_000_000
 #: Bytes of the sets that a task takes of a block, about.
 BLOCK_BYTES = 64_000_000
 #: Bits of the bitmap that tells which texts are candidates at all; a full one only costs time.
@@ -27,9 +30,9 @@ def signature(grams: np.ndarray) -> int:
 
 
 def histogram(grams: np.ndarray) -> bytes:
-    """How many hashes lie in each of R equal ranges, R a power of two near a 16th of the set: the suffix filter."""
-    bits = max(0, (len(grams) // PIECES).bit_length() - 1)
-    at = (grams >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(grams), np.int64)
+    """How many hashes lie in each of R equal ranges, R a power of two near a quarter of the set, 16 at least: the suffix filter."""
+    bits = max(4, (len(grams) // 4).bit_length() - 1)
+    at = (grams >> np.uint64(64 - bits)).astype(np.int64)
     return np.minimum(np.bincount(at, minlength=1 << bits), 255).astype(np.uint8).tobytes()
 
 
@@ -45,17 +48,40 @@ def overlap_bound(a: bytes, b: bytes) -> int:
 
 
 def _cells(grams: np.ndarray) -> np.ndarray:
-    return (grams >> np.uint64(44)).astype(np.int64)
+    return (grams >> np.uint64(65 - CELLS.bit_length())).astype(np.int64)
+
+
+def _summed(cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each cell once, in order, and how often it is there."""
+    cells = np.sort(cells)
+    first = np.flatnonzero(np.r_[True, cells[1:] != cells[:-1]]) if len(cells) else np.zeros(0, np.int64)
+    return cells[first], np.diff(np.r_[first, len(cells)])
+
+
+def _packed(cells: np.ndarray, counts: np.ndarray) -> bytes:
+    """Cells in order as their distances, beside their counts; bytes of one weight stand together."""
+    import zlib
+
+    both = np.r_[np.diff(cells.astype(np.int64), prepend=0), counts].astype("<u4")
+    return zlib.compress(both.view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def _unpacked(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    import zlib
+
+    both = np.frombuffer(zlib.decompress(raw), np.uint8).reshape(4, -1).T.copy().view("<u4").ravel().astype(np.int64)
+    steps, counts = both.reshape(2, -1)
+    return np.cumsum(steps), counts
 
 
 def _profile(width: int):
-    """Task: a row for each text (kind 0) and, at its end, what it adds to the frequency sketch (kind 1)."""
+    """Task: a row for each text (kind 0) and, at its end and after every WAITING shingles, what they add to the frequency sketch (kind 1)."""
+    names = ["kind", "doc_id", "h", "n", "sig", "hist", "piece", "counts"]
 
     def run(batches):
         import pyarrow as pa
 
-        names = ["kind", "doc_id", "h", "n", "sig", "hist", "piece", "counts"]
-        total, waiting, size = np.zeros(CELLS, np.int64), [], 0
+        waiting, size = [], 0
         id_type = pa.int64()
         for whole in batches:
             id_type = whole.schema.field("doc_id").type
@@ -66,46 +92,45 @@ def _profile(width: int):
                     n.append(len(g))
                     sig.append(signature(g) if len(g) else None)
                     hist.append(histogram(g) if len(g) else None)
-                    waiting.append(g)
+                    waiting.append(_cells(g).astype(np.uint32))
                     size += len(g)
-                if size > 500_000:
-                    total += np.bincount(_cells(np.concatenate(waiting)), minlength=CELLS)
+                if size > WAITING:
+                    yield counted(waiting, id_type)
                     waiting, size = [], 0
                 k = batch.num_rows
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([0] * k, pa.int32()), batch.column("doc_id"), batch.column("h"), pa.array(n, pa.int64()), pa.array(sig, pa.int64()),
                      pa.array(hist, pa.binary()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names,
                 )
-        if waiting:
-            total += np.bincount(_cells(np.concatenate(waiting)), minlength=CELLS)
-        if total.any():
-            import zlib
-
-            parts = [zlib.compress(p.astype(np.uint32).tobytes(), 1) for p in np.split(total, PIECES)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([1] * PIECES, pa.int32()), pa.nulls(PIECES, id_type), pa.nulls(PIECES, pa.int64()), pa.nulls(PIECES, pa.int64()),
-                 pa.nulls(PIECES, pa.int64()), pa.nulls(PIECES, pa.binary()), pa.array(range(PIECES), pa.int32()),
-                 pa.array(parts, pa.binary())], names,
-            )
+        if size:
+            yield counted(waiting, id_type)
+
+    def counted(waiting, id_type):
+        import pyarrow as pa
+
+        cells, counts = _summed(np.concatenate(waiting))
+        edge = np.searchsorted(cells, np.arange(PIECES + 1) * (CELLS // PIECES))
+        parts = [_packed(cells[a:b] - a0, counts[a:b]) for a, b, a0 in zip(edge, edge[1:], range(0, CELLS, CELLS // PIECES))]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([1] * PIECES, pa.int32()), pa.nulls(PIECES, id_type), pa.nulls(PIECES, pa.int64()), pa.nulls(PIECES, pa.int64()),
+             pa.nulls(PIECES, pa.int64()), pa.nulls(PIECES, pa.binary()), pa.array(range(PIECES), pa.int32()),
+             pa.array(parts, pa.binary())], names,
+        )
 
     return run
 
 
 def _add_pieces(batches):
-    """Task: adds up the pieces of the sketch that were dealt to it, holding one total a piece."""
-    import zlib
-
+    """Task: adds up the pieces of the sketch that were dealt to it, holding one total a piece, and gives their logarithms, a byte a cell."""
     import pyarrow as pa
 
     total: dict[int, np.ndarray] = {}
     for batch in batches:
         for piece, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            add = np.frombuffer(zlib.decompress(raw), np.uint32).astype(np.uint64)
-            total[piece] = total[piece] + add if piece in total else add
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(list(total), pa.int32()), pa.array([t.astype(np.int64).tobytes() for t in total.values()], pa.binary())],
-        ["piece", "counts"],
-    )
+            cells, counts = _unpacked(raw)
+            total.setdefault(piece, np.zeros(CELLS // PIECES, np.int64))[cells] += counts
+    levels = [(8 * np.log2(1 + t)).astype(np.uint8).tobytes() for t in total.values()]
+    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(levels, pa.binary())], ["piece", "counts"])
 
 
 def _prefixes(width: int, num: int, den: int, counts):
@@ -142,21 +167,28 @@ def _prefixes(width: int, num: int, den: int, counts):
 def _pairs(num: int, den: int, window: int):
     """Task: from rows sorted by gram, n and sig, the pairs of classes that share a prefix gram.
 
-    A bucket of up to ``window`` classes gives its pairs that pass the length and positional filters. A larger one
-    gives a chain along its sizes, broken where the length filter parts it, so that its members meet as one
-    cluster; the rows stay proportional to the bucket. Of a bucket that goes on in the next batch at most ``window`` rows are
-    held, or its last one where it is a chain by then.
+    A pair counts where its first shared gram is, since both prefixes follow one order: of sizes n and places pos, no more than
+    min(n - pos) can be shared from there on. A bucket of up to ``window`` classes gives its pairs that pass this and the length
+    filter. A larger one gives a chain along its sizes, broken where the length filter parts it, so that its members meet as one
+    cluster; the rows stay proportional to the bucket. Members placed so late that they can only match smaller ones are no part of the chain:
+    each hangs on the largest member of the chain that is no larger. Of a bucket that goes on in the next batch at most ``window`` rows are
+    held, or the last one of its chain.
     """
 
-    def near(sig, n):
-        ok = n[:-1] * den >= n[1:] * num
-        return sig[:-1][ok], sig[1:][ok], np.ones(int(ok.sum()), bool)
+    def early(n, pos):
+        # The smaller of two linked sets shares 2 num / (num + den) of its grams at least, all of them from here on.
+        return (n - pos) * (num + den) >= 2 * num * n
+
+    def near(sig, n, pos):
+        low = np.maximum.accumulate(np.where(early(n, pos), np.arange(len(n)), -1))
+        low, at = np.r_[-1, low[:-1]], np.arange(len(n))
+        ok = (low >= 0) & (n[low] * den >= n * num)
+        return sig[low[ok]], sig[at[ok]], np.ones(int(ok.sum()), bool)
 
     def of_bucket(sig, n, pos):
         i, j = np.triu_indices(len(sig), 1)
         need = -(-num * (n[i] + n[j]) // (num + den))
-        most = 1 + np.minimum(n[i] - pos[i], n[j] - pos[j]) - 1 + np.minimum(pos[i], pos[j])
-        ok = (n[i] * den >= n[j] * num) & (most >= need)
+        ok = (n[i] * den >= n[j] * num) & (np.minimum(n[i] - pos[i], n[j] - pos[j]) >= need)
         return sig[i][ok], sig[j][ok], np.zeros(int(ok.sum()), bool)
 
     def run(batches):
@@ -176,13 +208,14 @@ def _pairs(num: int, den: int, window: int):
                 a, b = edge[k], edge[k + 1]
                 if b - a > 1:
                     long = b - a > window or chained and k == 0
-                    out.append(near(sig[a:b], n[a:b]) if long else of_bucket(sig[a:b], n[a:b], pos[a:b]))
+                    out.append((near if long else of_bucket)(sig[a:b], n[a:b], pos[a:b]))
             a = edge[-2]
             chained = chained and len(edge) == 2
+            keep = np.arange(a, len(gram))
             if len(gram) - a > window or chained:
-                out.append(near(sig[a:], n[a:]))
-                a, chained = len(gram) - 1, True
-            held = [x[a:] for x in (gram, sig, n, pos)]
+                out.append(near(sig[a:], n[a:], pos[a:]))
+                keep, chained = np.r_[keep[-1:], keep[early(n[a:], pos[a:])]][-1:], True
+            held = [x[keep] for x in (gram, sig, n, pos)]
             if out:
                 yield emit(out)
         if held is not None and len(held[0]) > 1 and not chained:
@@ -388,12 +421,12 @@ def _components(docs: DataFrame, id_col: str, text_col: str, width: int, share:
         "jaccard-profile",
     )
     pieces = profile.where("kind = 1").select("piece", "counts").repartition("piece")
-    often = np.zeros(CELLS, np.int64)
+    often = np.zeros(CELLS, np.uint8)
     for piece, raw in pieces.mapInArrow(_add_pieces, "piece int, counts binary").collect():  # PIECES rows of fixed size
-        often[piece * (CELLS // PIECES) : (piece + 1) * (CELLS // PIECES)] = np.frombuffer(raw, np.int64)
+        often[piece * (CELLS // PIECES) : (piece + 1) * (CELLS // PIECES)] = np.frombuffer(raw, np.uint8)
     rows = profile.where("kind = 0").select("doc_id", "h", "n", "sig")
 
-    counts = spark.sparkContext.broadcast(np.minimum(often, (1 << 31) - 1).astype(np.int32))
+    counts = spark.sparkContext.broadcast(often)
     prefix = src.mapInArrow(_prefixes(width, num, den, counts), "gram long, sig long, n int, pos int")
     buckets = prefix.repartition("gram").sortWithinPartitions("gram", "n", "sig")
     pairs = materialise(buckets.mapInArrow(_pairs(num, den, window), "a long, b long, chain boolean"), "jaccard-pairs")
@@ -433,7 +466,7 @@ def near_duplicates(
     shingle). Two texts link when den * intersection >= num * union, ``share`` being (num, den); component_id is
     the smallest id that links reach.
 
-    1. Equal sets are one class by a 64-bit signature. A task also counts its shingles in a sketch of fixed size;
+    1. Equal sets are one class by a 64-bit signature. A task also counts its shingles in a sketch of at most CELLS counts;
        the sum orders all shingles rarest first (any one order is right, a rare-first one keeps buckets small).
     2. Each class sends its prefix of n - ceil(n num/den) + 1 shingles to the shingles' buckets. Linked sets share one.
     3. Pairs of a bucket pass filters on length, position and (by histograms) suffix. Buckets over ``window``

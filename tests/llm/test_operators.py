@@ -409,6 +409,47 @@ def test_overlap_bound_never_too_small():
         assert overlap_bound(histogram(a), histogram(b)) >= len(np.intersect1d(a, b))
 
 
+def test_overlap_bound_of_small_sets():
+    """Unrelated sets of few grams are told apart before their sets are sent."""
+    from strandlake.llm.jaccard import histogram, overlap_bound
+
+    rng = np.random.default_rng(0)
+    a, b = (np.unique(rng.integers(0, 1 << 63, 24, dtype=np.uint64) * np.uint64(2)) for _ in range(2))
+    assert overlap_bound(histogram(a), histogram(b)) < 0.8 * 48 / 1.8
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 100])
+def test_crowded_grams_join_no_sets_that_come_too_late(size):
+    """What only matches smaller sets is no part of a bucket's chain, and first shared grams too late for a link give no pair."""
+    import pyarrow as pa
+
+    from strandlake.llm.jaccard import _pairs
+
+    # Of 100 grams a linked set of 100 shares 89, so it has the gram among its first 12; of 90 it may come as late as 10 more.
+    rows = [(1, s, 100, 15) for s in range(9)] + [(2, 0, 90, 3), (2, 1, 95, 14), (2, 2, 96, 2), *((2, s, 100, 15) for s in range(3, 8))] + [(3, 1, 100, 15), (3, 2, 100, 15)]
+    table = pa.table({"gram": [r[0] for r in rows], "sig": [r[1] for r in rows], "n": pa.array([r[2] for r in rows], pa.int32()), "pos": pa.array([r[3] for r in rows], pa.int32())})
+    got = {tuple(r.values()) for b in _pairs(80, 100, 4)(table.to_batches(max_chunksize=size)) for r in pa.Table.from_batches([b]).to_pylist()}
+    assert got == {(0, 1, True), (0, 2, True), *((2, s, True) for s in range(3, 8))}
+
+
+def test_frequencies_in_pieces(monkeypatch):
+    """Counts of tasks, and of one task's parts, add up; more often seen is a higher level."""
+    import pyarrow as pa
+
+    from strandlake.llm import jaccard
+
+    monkeypatch.setattr(jaccard, "WAITING", 50)
+    texts = [f"a b c w{i} x{i} y{i}" for i in range(1200)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(1200)), "h": list(range(1200)), "text": texts})
+    rows = [r for b in jaccard._profile(3)([batch]) for r in pa.Table.from_batches([b]).to_pylist() if r["kind"] == 1]
+    assert len(rows) > jaccard.PIECES
+    pieces = pa.RecordBatch.from_pydict({"piece": pa.array([r["piece"] for r in rows], pa.int32()), "counts": pa.array([r["counts"] for r in rows], pa.binary())})
+    (out,) = jaccard._add_pieces([pieces])
+    often = np.concatenate([np.frombuffer(raw, np.uint8) for _, raw in sorted(zip(*(c.to_pylist() for c in out.columns)))])
+    common, rare = (jaccard._cells(jaccard.gram_set(t, 3))[0] for t in (b"a b c", b"w7 x7 y7"))
+    assert len(often) == jaccard.CELLS and often[common] == int(8 * np.log2(1201)) and 8 <= often[rare] <= 16
+
+
 # ---- language model
 
 
