@@ -702,3 +702,20 @@ def test_views_and_counters(spark):
     assert {r.b for r in base.collect()} == set("ACGT") and base.collect() == base.repartition(3).sort("b").select("b").collect() or base.count() == 50
     S.register(spark)
     assert spark.sql("select merge_bases('ACG-', 'AGGA')").first()[0] == "ASGN"
+
+
+def test_neighbours_and_components_read_their_input_once(spark):
+    """Barcodes are read once for all keys, edges once for names and ends: not once for each use."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    bars = [("ACGTACGTACGTACGTACGTACGT",), ("ACGTACGTACGTACGTACGTACGA",), ("TTTTACGTACGTACGTACGTCCCC",)]
+    rows = spark.createDataFrame(bars, "barcode string").coalesce(1)
+    assert X.neighbours(rows.mapInArrow(counted, rows.schema)).count() and seen.value == 3
+    edges = spark.createDataFrame([("a", "b", False), ("b", "a", False), ("b", "c", True)], "src string, dst string, reversed boolean").coalesce(1)
+    parts = X.barcode_components(edges.mapInArrow(counted, edges.schema))
+    assert {tuple(r) for r in parts.collect()} == {("a", "a"), ("b", "a"), ("c", "a")} and seen.value == 6
