@@ -5,7 +5,9 @@ from __future__ import annotations
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from strandlake.operators import consensus as C
 
@@ -91,3 +93,52 @@ def test_table_functions(spark):
     spark.createDataFrame([("s", "b", "c"), ("s", "c", "d"), ("t", "x", "c"), ("s", "f", "e")], "sample string, src string, dst string").createOrReplaceTempView("edges_by_sample")
     parts = spark.sql("select * from components_within(table(edges_by_sample) partition by sample)")
     assert sorted(map(tuple, parts.collect())) == [("b", "b"), ("c", "b"), ("c", "c"), ("d", "b"), ("e", "e"), ("f", "e"), ("x", "c")]
+
+
+@pytest.fixture(scope="module")
+def strands(spark):
+    """Families of both strands and mates: reads of unequal length, gaps, low qualities, one without bases."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(400):
+        n = int(rng.integers(0, 9))
+        seq = "".join(rng.choice(list("AACCGTN-"), n))
+        qual = "".join(" " if b == "-" else c for b, c in zip(seq, rng.choice(list("#5I"), n)))
+        rows.append((f"b{rng.integers(0, 12)}", str(rng.choice(["ab", "ba"])), int(rng.integers(1, 3)), f"r{i}", seq, qual))
+    return spark.createDataFrame(rows, "barcode string, order string, mate int, name string, seq string, qual string")
+
+
+def shuffles(df):
+    return df.select("*")._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+
+
+def test_duplex_shares(strands):
+    """The frequencies of the two vote matrices, without writing or shuffling these."""
+    m = C.vote_matrix(strands)
+    a, b = m.where("`order` = 'ab'").drop("order"), m.where("`order` = 'ba'").withColumn("mate", 3 - F.col("mate")).drop("order")
+    want = {tuple(r) for r in C.duplex_frequency(a, b, ["barcode", "mate"]).collect()}
+    got = C.duplex_shares(strands)
+    assert len(want) > 50 and {tuple(r) for r in got.collect()} == want and shuffles(got) == 1
+
+
+def test_calls_come_from_the_adding_task(strands):
+    called = C.consensus_native(strands, min_reads=2, least="5", gapped=True)
+    votes = {tuple(r[:3]): r for r in C.family_votes(strands, least="5").where("n_reads >= 2").collect()}
+    for r in called.collect():
+        v = votes.pop(tuple(r[:3]))
+        by = {p.pos: p[1:] for p in v.votes}
+        top = [max(range(6), key=lambda k: by[i][k]) if i in by else None for i in range(1, v.width + 1)]
+        assert r.n_reads == v.n_reads
+        assert r.consensus == "".join("N" if k is None or 2 * by[i][k] <= sum(by[i]) else "ACGTN-"[k] for i, k in enumerate(top, 1))
+    assert not votes and "map_from_entries" not in called._jdf.queryExecution().executedPlan().toString()
+
+
+def test_marks_come_from_one_shuffle(strands):
+    from strandlake.functions.scalar import mark_differences
+    from strandlake.operators.msa import marked_alignment
+
+    rows = strands.where("seq <> ''")
+    called = C.consensus_native(rows, min_reads=1, least="5", gapped=True).select("barcode", "order", "mate", "consensus")
+    want = rows.join(called, ["barcode", "order", "mate"]).select("barcode", "order", "mate", "name", mark_differences("seq", "consensus", "qual", "5").alias("marked"), "consensus")
+    got = marked_alignment(rows)
+    assert {tuple(r) for r in got.collect()} == {tuple(r) for r in want.collect()} and shuffles(got) == 1
